@@ -38,3 +38,116 @@ def popular_by_category(products: DataFrame, interactions: DataFrame, k: int = C
     return (pop.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
             .select("category", "rank", "product_id", "product_name", "brand", "price", "avg_rating",
                     "popularity_score", "total_interactions", "unique_users"))
+
+
+def product_engagement(products: DataFrame, interactions: DataFrame) -> DataFrame:
+    """J3 + A9 + P13: the catalogue with each product's summed interaction score (0 without one)."""
+    eng = interactions.groupBy("product_id").agg(F.sum("interaction_score").cast("bigint").alias("total_engagement"))
+    return products.join(eng, "product_id", "left").fillna(0, subset=["total_engagement"])
+
+
+def _quality_order():
+    return [F.desc("avg_rating"), F.desc("engagement"), F.asc("product_id")]
+
+
+def _group_top(stats: DataFrame, group_col: str, k: int) -> DataFrame:
+    """Top ``k + 1`` products per ``group_col`` by (avg_rating, engagement) desc, product_id asc.
+    One more than needed: a source may drop itself from the list."""
+    w = Window.partitionBy(group_col).orderBy(*_quality_order())
+    return (stats.filter(F.col(group_col).isNotNull())
+            .withColumn("_grp_rank", F.row_number().over(w)).filter(F.col("_grp_rank") <= k + 1)
+            .drop("_grp_rank"))
+
+
+def _stats(products_with_stats: DataFrame) -> DataFrame:
+    return products_with_stats.select("product_id", "product_name", "category", "sub_category", "brand", "price",
+                                      "avg_rating", F.col("total_engagement").alias("engagement"))
+
+
+def similar_products(products_with_stats: DataFrame, k: int = C.SIMILAR_PER_PRODUCT) -> DataFrame:
+    """J4 + W2 (rewrite O1): for each product the top ``k`` other products of its sub-category by
+    avg_rating desc, engagement desc, product_id asc.
+
+    Equal to ranking the self-join (same sub-category, other id), but each group is cut to k + 1
+    before the join, so the join emits at most k + 1 rows per source instead of the group size. The
+    cut is a WindowGroupLimit (partial before the shuffle), so a sub-category holding a third of the
+    catalogue still moves only k + 1 rows per task.
+    """
+    stats = _stats(products_with_stats)
+    top = _group_top(stats, "sub_category", k).select(
+        "sub_category", F.col("product_id").alias("similar_product_id"),
+        F.col("product_name").alias("similar_product_name"), "category", "brand", "price", "avg_rating", "engagement")
+    src = stats.filter(F.col("sub_category").isNotNull()).select(
+        F.col("product_id").alias("source_product_id"), F.col("product_name").alias("source_product_name"),
+        "sub_category")
+    pairs = src.join(top, "sub_category").filter(F.col("source_product_id") != F.col("similar_product_id"))
+    w = Window.partitionBy("source_product_id").orderBy(F.desc("avg_rating"), F.desc("engagement"),
+                                                        F.asc("similar_product_id"))
+    return (pairs.withColumn("sim_rank", F.row_number().over(w)).filter(F.col("sim_rank") <= k)
+            .select("source_product_id", "source_product_name", "similar_product_id", "similar_product_name",
+                    "category", "brand", "price", "avg_rating", "engagement", "sim_rank"))
+
+
+def complementary_products(products_with_stats: DataFrame, comp_map: DataFrame,
+                           k: int = C.COMPLEMENTARY_PER_PRODUCT) -> DataFrame:
+    """J5 + J6 + W3 (rewrite O2): for each product the top ``k`` products of its complementary
+    sub-categories by avg_rating desc, engagement desc, product_id asc; the product itself is never
+    its own complement.
+
+    Each target sub-category is cut to k + 1 before the fan-out join, so a source meets at most
+    (targets x (k + 1)) candidates whatever the group sizes.
+    """
+    stats = _stats(products_with_stats)
+    top = _group_top(stats, "sub_category", k).select(
+        F.col("sub_category").alias("target_sub_category"), F.col("product_id").alias("comp_product_id"),
+        F.col("product_name").alias("comp_product_name"), "category", "sub_category", "brand", "price",
+        "avg_rating", "engagement")
+    src = stats.select(F.col("product_id").alias("source_product_id"),
+                       F.col("product_name").alias("source_product_name"),
+                       F.col("sub_category").alias("source_sub_category"))
+    targets = comp_map.select("source_sub_category", "target_sub_category").distinct()
+    expanded = src.join(targets, "source_sub_category")
+    pairs = expanded.join(top, "target_sub_category").filter(F.col("source_product_id") != F.col("comp_product_id"))
+    w = Window.partitionBy("source_product_id").orderBy(F.desc("avg_rating"), F.desc("engagement"),
+                                                        F.asc("comp_product_id"))
+    return (pairs.withColumn("comp_rank", F.row_number().over(w)).filter(F.col("comp_rank") <= k)
+            .select("source_product_id", "source_product_name", "comp_product_id", "comp_product_name",
+                    "category", "sub_category", "brand", "price", "avg_rating", "engagement", "comp_rank"))
+
+
+def top_rated(products: DataFrame, n: int = C.TOP_RATED_COUNT, min_ratings: int = C.TOP_RATED_MIN_RATINGS) -> DataFrame:
+    """W4 + P10: the ``n`` best-rated products with at least ``min_ratings`` ratings, ordered by
+    avg_rating desc, rating_count desc, product_id asc. The threshold is pushed to the scan; sort +
+    limit runs as TakeOrderedAndProject (a per-task top n, then one merge of n rows per task)."""
+    best = (products.filter(F.col("rating_count") >= min_ratings)
+            .orderBy(F.desc("avg_rating"), F.desc("rating_count"), F.asc("product_id")).limit(n)
+            .select("product_id", "product_name", "category", "brand", "price", "avg_rating", "rating_count"))
+    # The window sees the n rows left after the limit only.
+    w = Window.orderBy(F.desc("avg_rating"), F.desc("rating_count"), F.asc("product_id"))
+    return best.withColumn("rank", F.row_number().over(w))
+
+
+def product_search(products: DataFrame, query: str, categories=None) -> DataFrame:
+    """Products whose name, brand, category or sub-category contains the trimmed, lower-cased
+    query (null-safe), optionally within a list of categories. An empty query gives no rows."""
+    q = (query or "").strip().lower()
+    if not q:
+        return products.filter(F.lit(False))
+    fields = ["product_name", "brand", "category", "sub_category"]
+    hit = None
+    for f in fields:
+        c = F.coalesce(F.lower(F.col(f)).contains(F.lit(q)), F.lit(False))
+        hit = c if hit is None else (hit | c)
+    out = products.filter(hit)
+    if categories is not None:
+        out = out.filter(F.col("category").isin(list(categories)))
+    return out
+
+
+def category_listing(products: DataFrame, category: str | None = None) -> DataFrame:
+    """The products of a category (all categories when None) with the category's product count.
+    The count is an aggregate joined back (tiny per-category table), not a window over a category
+    that may hold a third of the catalogue."""
+    base = products if category is None else products.filter(F.col("category") == category)
+    counts = base.groupBy("category").agg(F.count("*").alias("category_count"))
+    return base.select("product_id", "product_name", "category", "price", "avg_rating").join(counts, "category")

@@ -77,3 +77,169 @@ SELECT category, rank, product_id, product_name, brand, price, avg_rating, popul
   total_interactions, unique_users
 FROM popular
 """)
+
+
+def R2(x: str) -> str:
+    return f"floor(({x}) * 100 + 0.5) / 100"
+
+
+MATRIX_CTE = """
+matrix AS (
+  SELECT user_id, product_id, CAST(sum(interaction_score) AS BIGINT) AS total_score, count(*) AS interaction_count,
+    max(rating) AS max_rating, list_sort(list(DISTINCT interaction_type)) AS interaction_types
+  FROM interactions GROUP BY user_id, product_id),
+matrix_f AS (
+  SELECT *, CASE WHEN max_rating IS NOT NULL THEN total_score * CAST(0.7 AS DOUBLE) + max_rating * CAST(0.3 AS DOUBLE)
+                 ELSE CAST(total_score AS DOUBLE) END AS final_score
+  FROM matrix),
+entries AS (SELECT user_id, product_id, final_score FROM matrix_f
+            WHERE user_id IS NOT NULL AND product_id IS NOT NULL AND final_score IS NOT NULL),
+split AS (
+  SELECT *, (CAST(('0x' || substr(md5(CAST(user_id AS VARCHAR) || '|' || CAST(product_id AS VARCHAR) || '|42'), 1, 8)) AS BIGINT) % 100) < 80 AS is_train
+  FROM entries)
+"""
+
+STATS_CTE = """
+eng AS (SELECT product_id, CAST(sum(interaction_score) AS BIGINT) AS total_engagement FROM interactions GROUP BY product_id),
+prod_stats AS (
+  SELECT p.*, coalesce(e.total_engagement, 0) AS total_engagement FROM products p LEFT JOIN eng e USING (product_id))
+"""
+
+COMP_MAP_CTE = """
+cm_p AS (SELECT DISTINCT p_type AS category, split_part(p_name, ' ', 2) AS noun FROM part),
+cm_cat AS (SELECT category, row_number() OVER (ORDER BY category) - 1 AS ci, count(*) OVER () AS nc
+           FROM (SELECT DISTINCT category FROM cm_p) x),
+cm_noun AS (SELECT noun, row_number() OVER (ORDER BY noun) - 1 AS ni, count(*) OVER () AS nn
+            FROM (SELECT DISTINCT noun FROM cm_p) y),
+cm_off AS (SELECT 0 AS dc, 1 AS dn UNION ALL SELECT 0, 2 UNION ALL SELECT 1, 0),
+comp_map AS (
+  SELECT c1.category || ' ' || n1.noun AS source_sub_category, c2.category || ' ' || n2.noun AS target_sub_category
+  FROM cm_p s JOIN cm_cat c1 ON s.category = c1.category JOIN cm_noun n1 ON s.noun = n1.noun CROSS JOIN cm_off o
+  JOIN cm_cat c2 ON c2.ci = (c1.ci + o.dc) % c1.nc JOIN cm_noun n2 ON n2.ni = (n1.ni + o.dn) % n1.nn)
+"""
+
+SIMILAR_CTE = """
+sim_list AS (
+  SELECT * FROM (
+    SELECT a.product_id AS source_product_id, a.product_name AS source_product_name,
+      b.product_id AS similar_product_id, b.product_name AS similar_product_name, b.category, b.brand, b.price,
+      b.avg_rating, b.total_engagement AS engagement,
+      CAST(row_number() OVER (PARTITION BY a.product_id
+                              ORDER BY b.avg_rating DESC, b.total_engagement DESC, b.product_id) AS INTEGER) AS sim_rank
+    FROM prod_stats a JOIN prod_stats b ON a.sub_category = b.sub_category AND a.product_id <> b.product_id) s
+  WHERE sim_rank <= 5)
+"""
+
+COMPLEMENTARY_CTE = """
+complementary AS (
+  SELECT * FROM (
+    SELECT a.product_id AS source_product_id, a.product_name AS source_product_name,
+      b.product_id AS comp_product_id, b.product_name AS comp_product_name, b.category, b.sub_category, b.brand,
+      b.price, b.avg_rating, b.total_engagement AS engagement,
+      CAST(row_number() OVER (PARTITION BY a.product_id
+                              ORDER BY b.avg_rating DESC, b.total_engagement DESC, b.product_id) AS INTEGER) AS comp_rank
+    FROM prod_stats a JOIN (SELECT DISTINCT source_sub_category, target_sub_category FROM comp_map) m
+      ON a.sub_category = m.source_sub_category
+    JOIN prod_stats b ON b.sub_category = m.target_sub_category AND b.product_id <> a.product_id) c
+  WHERE comp_rank <= 5)
+"""
+
+
+def ctes(*blocks: str) -> str:
+    return ",\n".join(b.strip() for b in blocks)
+
+
+ORACLE.update({
+    "clean_interactions": with_adapters("SELECT * FROM interactions"),
+    "clean_products": with_adapters("""
+SELECT product_id, product_name, category, sub_category, brand,
+  CASE WHEN price < 0 THEN 0.0 ELSE price END AS price, price_range,
+  CASE WHEN avg_rating > 5 THEN 5.0 WHEN avg_rating < 0 THEN 0.0 ELSE avg_rating END AS avg_rating,
+  rating_count, stock
+FROM products WHERE product_id IS NOT NULL AND product_name IS NOT NULL"""),
+    "clean_users": with_adapters("SELECT * FROM users WHERE user_id IS NOT NULL"),
+    "interaction_distribution": with_adapters(
+        "SELECT interaction_type, count(*) AS count FROM interactions GROUP BY interaction_type"),
+    "category_counts": with_adapters("SELECT category, count(*) AS count FROM products GROUP BY category"),
+    "membership_distribution": with_adapters(
+        "SELECT membership_type, count(*) AS count FROM users GROUP BY membership_type"),
+    "category_profile": with_adapters(f"""
+SELECT category, {R2('avg(price)')} AS avg_price, {R2('avg(avg_rating)')} AS avg_rating, count(*) AS product_count
+FROM products GROUP BY category"""),
+    "user_product_matrix": with_adapters(f"""
+WITH {ctes(MATRIX_CTE)}
+SELECT user_id, product_id, total_score, interaction_count, max_rating,
+  array_to_string(interaction_types, ',') AS interaction_types, final_score
+FROM matrix_f"""),
+    "matrix_input": with_adapters(f"WITH {ctes(MATRIX_CTE)} SELECT * FROM entries"),
+    "score_stats": with_adapters(f"""
+WITH {ctes(MATRIX_CTE)}
+SELECT min(final_score) AS min_score, max(final_score) AS max_score, {R2('avg(final_score)')} AS mean_score,
+  {R2('stddev_samp(final_score)')} AS stddev_score
+FROM matrix_f"""),
+    "product_popularity": with_adapters(f"WITH {ctes(POPULARITY_CTE)} SELECT * FROM pop"),
+    "product_engagement": with_adapters(f"WITH {ctes(STATS_CTE)} SELECT * FROM prod_stats"),
+    "run_summary": with_adapters(f"""
+WITH {ctes(MATRIX_CTE)}
+SELECT 'users' AS metric, count(*) AS value FROM users
+UNION ALL SELECT 'products', count(*) FROM products WHERE product_id IS NOT NULL AND product_name IS NOT NULL
+UNION ALL SELECT 'raw_interactions', count(*) FROM interactions_raw
+UNION ALL SELECT 'interactions', count(*) FROM interactions
+UNION ALL SELECT 'matrix_pairs', count(*) FROM matrix_f
+UNION ALL SELECT 'matrix_users', count(DISTINCT user_id) FROM matrix_f"""),
+    "matrix_shape": with_adapters(f"""
+WITH {ctes(MATRIX_CTE)}
+SELECT count(DISTINCT user_id) AS n_users, count(DISTINCT product_id) AS n_products, count(*) AS n_entries
+FROM matrix_f"""),
+    "interaction_pivot": with_adapters("""
+SELECT user_id,
+  CAST(coalesce(sum(CASE WHEN interaction_type = 'view' THEN interaction_score END), 0) AS BIGINT) AS "view",
+  CAST(coalesce(sum(CASE WHEN interaction_type = 'click' THEN interaction_score END), 0) AS BIGINT) AS "click",
+  CAST(coalesce(sum(CASE WHEN interaction_type = 'add_to_cart' THEN interaction_score END), 0) AS BIGINT) AS "add_to_cart",
+  CAST(coalesce(sum(CASE WHEN interaction_type = 'purchase' THEN interaction_score END), 0) AS BIGINT) AS "purchase"
+FROM interactions GROUP BY user_id"""),
+    "train_test_split": with_adapters(f"WITH {ctes(MATRIX_CTE)} SELECT * FROM split"),
+    "split_counts": with_adapters(f"""
+WITH {ctes(MATRIX_CTE)}
+SELECT count(*) FILTER (WHERE is_train) AS train_entries, count(*) FILTER (WHERE NOT is_train) AS test_entries
+FROM split"""),
+    "top_rated": with_adapters("""
+SELECT product_id, product_name, category, brand, price, avg_rating, rating_count,
+  CAST(row_number() OVER (ORDER BY avg_rating DESC, rating_count DESC, product_id) AS INTEGER) AS rank
+FROM products WHERE rating_count >= 50
+ORDER BY avg_rating DESC, rating_count DESC, product_id LIMIT 20"""),
+    "product_search": with_adapters("""
+SELECT product_id, product_name, category, sub_category, brand FROM products
+WHERE (coalesce(contains(lower(product_name), 'bolt'), false) OR coalesce(contains(lower(brand), 'bolt'), false)
+       OR coalesce(contains(lower(category), 'bolt'), false) OR coalesce(contains(lower(sub_category), 'bolt'), false))
+  AND category IN ('ECONOMY', 'SMALL')"""),
+    "category_listing": with_adapters("""
+SELECT p.category, product_id, product_name, price, avg_rating, c.category_count
+FROM products p JOIN (SELECT category, count(*) AS category_count FROM products GROUP BY category) c
+  ON p.category = c.category"""),
+    "interaction_weights": with_adapters("""
+SELECT interaction_type, count(*) AS n_events,
+  CASE interaction_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 WHEN 'add_to_cart' THEN 3 WHEN 'purchase' THEN 5 END AS weight
+FROM interactions_raw GROUP BY interaction_type"""),
+    "price_buckets": with_adapters("""
+SELECT product_id, price,
+  CASE WHEN price IS NULL THEN NULL WHEN price < 500 THEN 'Budget' WHEN price < 2000 THEN 'Mid-Range'
+       WHEN price < 10000 THEN 'Premium' ELSE 'Luxury' END AS price_bucket
+FROM products"""),
+    "rating_sentiment": with_adapters("""
+SELECT rating, CASE WHEN rating IS NULL THEN NULL WHEN rating >= 4 THEN 'positive' WHEN rating = 3 THEN 'neutral'
+                    ELSE 'negative' END AS review_sentiment, count(*) AS n_events
+FROM interactions_raw GROUP BY 1, 2"""),
+    "session_keys": with_adapters("""
+SELECT event_id, user_id, ts,
+  substr(md5(CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y-%m-%d-%H')), 1, 12) AS hour_session_id
+FROM interactions"""),
+    "product_names": with_adapters("""
+SELECT product_id, brand || ' ' || split_part(product_name, ' ', 1) || ' ' || regexp_replace(sub_category, 's$', '')
+  AS display_name
+FROM products"""),
+    "complementary_map": with_adapters(f"WITH {ctes(COMP_MAP_CTE)} SELECT * FROM comp_map"),
+    "similar_products": with_adapters(f"WITH {ctes(STATS_CTE, SIMILAR_CTE)} SELECT * FROM sim_list"),
+    "complementary_products": with_adapters(
+        f"WITH {ctes(STATS_CTE, COMP_MAP_CTE, COMPLEMENTARY_CTE)} SELECT * FROM complementary"),
+})

@@ -31,3 +31,171 @@ def clean_catalog(spark: SparkSession, d: str) -> DataFrame:
 @register("popular_by_category")
 def q_popular_by_category(spark, d):
     return catalog.popular_by_category(clean_catalog(spark, d), clean_log(spark, d))
+
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from shelfrank.functions import columns as fx  # noqa: E402
+from shelfrank.operators import matrix, profile  # noqa: E402
+
+
+def prod_stats(spark, d):
+    return catalog.product_engagement(clean_catalog(spark, d), clean_log(spark, d))
+
+
+def user_matrix(spark, d):
+    return matrix.user_product_matrix(clean_log(spark, d))
+
+
+@register("clean_interactions")
+def q_clean_interactions(spark, d):
+    return clean_log(spark, d)
+
+
+@register("clean_products")
+def q_clean_products(spark, d):
+    return clean_catalog(spark, d)
+
+
+@register("clean_users")
+def q_clean_users(spark, d):
+    return clean.clean_users(td.users(spark, d))
+
+
+@register("interaction_distribution")
+def q_interaction_distribution(spark, d):
+    return profile.value_counts(clean_log(spark, d), "interaction_type")
+
+
+@register("category_counts")
+def q_category_counts(spark, d):
+    return profile.value_counts(clean_catalog(spark, d), "category")
+
+
+@register("membership_distribution")
+def q_membership_distribution(spark, d):
+    return profile.value_counts(clean.clean_users(td.users(spark, d)), "membership_type")
+
+
+@register("category_profile")
+def q_category_profile(spark, d):
+    return profile.category_profile(clean_catalog(spark, d))
+
+
+@register("user_product_matrix")
+def q_user_product_matrix(spark, d):
+    m = user_matrix(spark, d)
+    return m.withColumn("interaction_types", F.array_join("interaction_types", ","))
+
+
+@register("matrix_input")
+def q_matrix_input(spark, d):
+    return matrix.matrix_input(user_matrix(spark, d))
+
+
+@register("score_stats")
+def q_score_stats(spark, d):
+    return profile.score_stats(user_matrix(spark, d))
+
+
+@register("product_popularity")
+def q_product_popularity(spark, d):
+    return catalog.product_popularity(clean_log(spark, d))
+
+
+@register("product_engagement")
+def q_product_engagement(spark, d):
+    return prod_stats(spark, d)
+
+
+@register("run_summary")
+def q_run_summary(spark, d):
+    log = clean_log(spark, d)
+    return profile.run_summary(clean.clean_users(td.users(spark, d)), clean_catalog(spark, d),
+                               td.interactions(spark, d), log, matrix.user_product_matrix(log))
+
+
+@register("matrix_shape")
+def q_matrix_shape(spark, d):
+    return matrix.matrix_shape(user_matrix(spark, d))
+
+
+@register("interaction_pivot")
+def q_interaction_pivot(spark, d):
+    return matrix.interaction_pivot(clean_log(spark, d))
+
+
+@register("train_test_split")
+def q_train_test_split(spark, d):
+    return matrix.train_test_split(matrix.matrix_input(user_matrix(spark, d)))
+
+
+@register("split_counts")
+def q_split_counts(spark, d):
+    return matrix.split_counts(matrix.train_test_split(matrix.matrix_input(user_matrix(spark, d))))
+
+
+@register("top_rated")
+def q_top_rated(spark, d):
+    return catalog.top_rated(clean_catalog(spark, d))
+
+
+SEARCH_QUERY = "  Bolt "
+SEARCH_CATEGORIES = ("ECONOMY", "SMALL")
+
+
+@register("product_search")
+def q_product_search(spark, d):
+    return catalog.product_search(clean_catalog(spark, d), SEARCH_QUERY, SEARCH_CATEGORIES).select(
+        "product_id", "product_name", "category", "sub_category", "brand")
+
+
+@register("category_listing")
+def q_category_listing(spark, d):
+    return catalog.category_listing(clean_catalog(spark, d))
+
+
+@register("interaction_weights")
+def q_interaction_weights(spark, d):
+    raw = td.interactions(spark, d)
+    return (raw.groupBy("interaction_type").agg(F.count("*").alias("n_events"))
+            .withColumn("weight", fx.interaction_weight("interaction_type")))
+
+
+@register("price_buckets")
+def q_price_buckets(spark, d):
+    return clean_catalog(spark, d).select("product_id", "price", fx.price_bucket("price").alias("price_bucket"))
+
+
+@register("rating_sentiment")
+def q_rating_sentiment(spark, d):
+    raw = td.interactions(spark, d)
+    return (raw.select("rating", fx.sentiment_from_rating("rating").alias("review_sentiment"))
+            .groupBy("rating", "review_sentiment").agg(F.count("*").alias("n_events")))
+
+
+@register("session_keys")
+def q_session_keys(spark, d):
+    return clean_log(spark, d).select("event_id", "user_id", "ts", fx.session_key("user_id", "ts").alias("hour_session_id"))
+
+
+@register("product_names")
+def q_product_names(spark, d):
+    p = clean_catalog(spark, d)
+    return p.select("product_id", fx.display_name("brand", F.split_part("product_name", F.lit(" "), F.lit(1)),
+                                                 "sub_category").alias("display_name"))
+
+
+@register("complementary_map")
+def q_complementary_map(spark, d):
+    return td.complementary_map(spark, d)
+
+
+@register("similar_products")
+def q_similar_products(spark, d):
+    return catalog.similar_products(prod_stats(spark, d))
+
+
+@register("complementary_products")
+def q_complementary_products(spark, d):
+    return catalog.complementary_products(prod_stats(spark, d), td.complementary_map(spark, d))
