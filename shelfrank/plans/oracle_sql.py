@@ -243,3 +243,187 @@ FROM products"""),
     "complementary_products": with_adapters(
         f"WITH {ctes(STATS_CTE, COMP_MAP_CTE, COMPLEMENTARY_CTE)} SELECT * FROM complementary"),
 })
+
+
+def R6(x: str) -> str:
+    return f"floor(({x}) * 1000000 + 0.5) / 1000000"
+
+
+HISTORY_CTE = """
+resets AS (SELECT user_id, max(event_id) AS reset_event_id FROM events
+           WHERE event_type = 'error' AND event_id % 50 = 0 GROUP BY user_id),
+hist_ev AS (SELECT i.* FROM interactions i LEFT JOIN resets r ON i.user_id = r.user_id
+            WHERE r.reset_event_id IS NULL OR i.event_id > r.reset_event_id),
+history AS (
+  SELECT * FROM (
+    SELECT user_id, event_id, product_id, interaction_type, ts,
+      CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS INTEGER) AS recency_rank
+    FROM hist_ev) h
+  WHERE recency_rank <= 50),
+rf AS (SELECT user_id, product_id, max(ts) AS last_ts, count(*) AS event_count FROM history GROUP BY user_id, product_id),
+nowt AS (SELECT max(ts) AS now_ts FROM interactions),
+weights AS (
+  SELECT rf.*, greatest(CAST(0 AS DOUBLE), (epoch_us(nowt.now_ts) - epoch_us(rf.last_ts)) / CAST(3600000000 AS DOUBLE)) AS hours_ago
+  FROM rf CROSS JOIN nowt),
+weights2 AS (
+  SELECT *, pow(CAST(0.5 AS DOUBLE), hours_ago / CAST(48 AS DOUBLE)) * (1 + log2(1 + event_count)) AS weight FROM weights),
+slots1 AS (
+  SELECT *, sum(weight) OVER (PARTITION BY user_id) AS total_weight,
+    CAST(row_number() OVER (PARTITION BY user_id ORDER BY weight DESC, product_id) AS INTEGER) AS weight_rank
+  FROM weights2),
+slots2 AS (SELECT *, CAST(greatest(1, floor(weight / total_weight * 14 + 0.5)) AS INTEGER) AS slots FROM slots1),
+slots AS (SELECT *, CAST((slots * 3 + 4) // 5 AS INTEGER) AS sim_slots, CAST(slots - (slots * 3 + 4) // 5 AS INTEGER) AS comp_slots
+          FROM slots2)
+"""
+
+CATEGORY_CTE = """
+cat_idx AS (SELECT category, row_number() OVER (ORDER BY category) - 1 AS ci
+            FROM (SELECT DISTINCT category FROM products WHERE category IS NOT NULL) c),
+n_cat AS (SELECT count(*) AS n FROM cat_idx),
+pref_upd AS (
+  SELECT event_id, user_id, ts, event_id % 6 AS c1, (event_id + 1 + event_id % 2) % 6 AS c2, 1 + event_id % 3 AS n_categories
+  FROM events WHERE event_type = 'error'),
+pref_valid AS (
+  SELECT p.* FROM pref_upd p LEFT JOIN resets r ON p.user_id = r.user_id
+  WHERE (r.reset_event_id IS NULL OR p.event_id > r.reset_event_id) AND p.n_categories >= 2),
+pref_last AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn_ FROM pref_valid) x
+  WHERE rn_ = 1),
+pref_slots AS (
+  SELECT user_id, event_id, 0 AS cat_order, c1 AS ci FROM pref_last
+  UNION ALL SELECT user_id, event_id, 1, c2 FROM pref_last
+  UNION ALL SELECT user_id, event_id, 2, (c2 + 1) % (SELECT n FROM n_cat) FROM pref_last WHERE n_categories >= 3),
+pref_rows AS (SELECT s.user_id, s.event_id, s.cat_order, c.category FROM pref_slots s JOIN cat_idx c ON s.ci = c.ci),
+prefs AS (SELECT user_id, event_id, string_agg(category, ',' ORDER BY cat_order) AS categories FROM pref_rows GROUP BY 1, 2),
+ucat_rows AS (
+  SELECT user_id, cat_order, category FROM pref_rows
+  UNION ALL
+  SELECT u.user_id, 0, u.preferred_category FROM users u
+  WHERE u.user_id NOT IN (SELECT user_id FROM prefs) AND u.preferred_category IS NOT NULL
+  UNION ALL
+  SELECT u.user_id, 1, nx.category FROM users u JOIN cat_idx c ON u.preferred_category = c.category
+    JOIN cat_idx nx ON nx.ci = (c.ci + 1) % (SELECT n FROM n_cat)
+  WHERE u.user_id NOT IN (SELECT user_id FROM prefs))
+"""
+
+TOGGLE_CTE = """
+toggles AS (
+  SELECT event_id, user_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS product_id,
+    CASE event_type WHEN 'click' THEN 'like_toggle' ELSE 'cart_toggle' END AS action, ts
+  FROM events WHERE event_type IN ('click', 'signup')),
+tog_valid AS (SELECT t.* FROM toggles t LEFT JOIN resets r ON t.user_id = r.user_id
+              WHERE r.reset_event_id IS NULL OR t.event_id > r.reset_event_id),
+tog_last AS (
+  SELECT user_id, product_id, action, event_id, ts,
+    count(*) OVER (PARTITION BY user_id, product_id, action) AS n_toggles,
+    row_number() OVER (PARTITION BY user_id, product_id, action ORDER BY ts DESC, event_id DESC) AS rn_
+  FROM tog_valid),
+tog_state AS (
+  SELECT user_id, product_id, action, event_id AS added_event_id, ts AS added_ts,
+    CAST(row_number() OVER (PARTITION BY user_id, action ORDER BY ts, event_id) AS INTEGER) AS position
+  FROM tog_last WHERE rn_ = 1 AND n_toggles % 2 = 1),
+pcounts AS (
+  SELECT user_id, CAST(sum(w) AS BIGINT) AS wishlist_count, CAST(sum(c) AS BIGINT) AS cart_count,
+    CAST(sum(h) AS BIGINT) AS interaction_count
+  FROM (SELECT user_id, CASE WHEN action = 'like_toggle' THEN 1 ELSE 0 END AS w,
+               CASE WHEN action = 'cart_toggle' THEN 1 ELSE 0 END AS c, 0 AS h FROM tog_state
+        UNION ALL SELECT user_id, 0, 0, 1 FROM history) u
+  GROUP BY user_id)
+"""
+
+DETAIL_CTE = """
+sim_ids AS (SELECT source_product_id AS product_id, string_agg(CAST(similar_product_id AS VARCHAR), ',' ORDER BY sim_rank) AS similar_ids
+            FROM sim_list GROUP BY 1),
+comp_ids AS (SELECT source_product_id AS product_id, string_agg(CAST(comp_product_id AS VARCHAR), ',' ORDER BY comp_rank) AS complementary_ids
+             FROM complementary GROUP BY 1)
+"""
+
+ORACLE.update({
+    "recent_interactions": with_adapters(f"WITH {ctes(HISTORY_CTE)} SELECT * FROM history"),
+    "recency_frequency": with_adapters(f"WITH {ctes(HISTORY_CTE)} SELECT * FROM rf"),
+    "time_decay_weights": with_adapters(f"""
+WITH {ctes(HISTORY_CTE)}
+SELECT user_id, product_id, last_ts, event_count, {R6('hours_ago')} AS hours_ago, {R6('weight')} AS weight FROM weights2"""),
+    "feed_slots": with_adapters(f"""
+WITH {ctes(HISTORY_CTE)}
+SELECT user_id, product_id, weight_rank, {R6('weight')} AS weight, slots, sim_slots, comp_slots FROM slots"""),
+    "top_influencers": with_adapters(f"""
+WITH {ctes(HISTORY_CTE)}
+SELECT s.product_id, s.user_id, s.weight_rank AS influence_rank, p.product_name
+FROM slots s JOIN products p ON s.product_id = p.product_id WHERE s.weight_rank <= 3"""),
+    "profile_history": with_adapters(f"""
+WITH {ctes(HISTORY_CTE)}
+SELECT h.user_id, h.recency_rank, h.event_id, h.product_id, h.interaction_type, h.ts,
+  coalesce(p.product_name, 'Product #' || CAST(h.product_id AS VARCHAR)) AS label
+FROM history h LEFT JOIN products p ON h.product_id = p.product_id WHERE h.recency_rank <= 15"""),
+    "user_top_products": with_adapters("""
+SELECT * FROM (
+  SELECT user_id, product_id, score,
+    CAST(row_number() OVER (PARTITION BY user_id ORDER BY score DESC, product_id) AS INTEGER) AS top_rank
+  FROM (SELECT user_id, product_id, CAST(sum(interaction_score) AS BIGINT) AS score FROM interactions GROUP BY 1, 2) s) t
+WHERE top_rank <= 15"""),
+    "user_top_category": with_adapters("""
+WITH top15 AS (
+  SELECT * FROM (
+    SELECT user_id, product_id, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, product_id) AS top_rank
+    FROM (SELECT user_id, product_id, sum(interaction_score) AS score FROM interactions GROUP BY 1, 2) s) t
+  WHERE top_rank <= 15),
+cc AS (SELECT t.user_id, p.category, count(*) AS category_count, min(t.top_rank) AS first_rank
+       FROM top15 t JOIN products p ON t.product_id = p.product_id GROUP BY 1, 2)
+SELECT user_id, category AS top_category, category_count FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY category_count DESC, first_rank) AS r FROM cc) x
+WHERE r = 1"""),
+    "latest_preferences": with_adapters(f"WITH {ctes(HISTORY_CTE, CATEGORY_CTE)} SELECT * FROM prefs"),
+    "user_categories": with_adapters(f"""
+WITH {ctes(HISTORY_CTE, CATEGORY_CTE)}
+SELECT user_id, string_agg(category, ',' ORDER BY cat_order) AS categories FROM ucat_rows GROUP BY user_id"""),
+    "cold_start_feed": with_adapters(f"""
+WITH {ctes(HISTORY_CTE, CATEGORY_CTE, POPULARITY_CTE)},
+cs_cand AS (
+  SELECT c.user_id, p.product_id FROM ucat_rows c JOIN popular p ON p.category = c.category AND p.rank <= 3
+  WHERE c.user_id NOT IN (SELECT user_id FROM history))
+SELECT * FROM (
+  SELECT user_id, CAST(row_number() OVER (PARTITION BY user_id
+           ORDER BY md5(CAST(user_id AS VARCHAR) || '|' || CAST(product_id AS VARCHAR)), product_id) AS INTEGER) AS position,
+    product_id
+  FROM cs_cand) x
+WHERE position <= 10"""),
+    "category_sections": with_adapters(f"""
+WITH {ctes(HISTORY_CTE, CATEGORY_CTE)},
+pos AS (
+  SELECT category, product_id, row_number() OVER (PARTITION BY category ORDER BY md5(CAST(product_id AS VARCHAR))) - 1 AS pos,
+    count(*) OVER (PARTITION BY category) AS category_count
+  FROM products WHERE category IS NOT NULL),
+sizes AS (SELECT DISTINCT category, category_count FROM pos),
+req AS (
+  SELECT r.user_id, r.cat_order, r.category, s.category_count,
+    CAST(('0x' || substr(md5(CAST(r.user_id AS VARCHAR) || '|' || r.category), 1, 8)) AS BIGINT) % s.category_count AS start_
+  FROM ucat_rows r JOIN sizes s ON r.category = s.category),
+steps AS (SELECT req.*, st.step FROM req CROSS JOIN generate_series(0, 3) AS st(step) WHERE st.step < req.category_count),
+got AS (SELECT s.*, p.product_id FROM steps s JOIN pos p
+          ON p.category = s.category AND p.pos = (s.start_ + s.step) % s.category_count)
+SELECT user_id, cat_order, category, category_count,
+  string_agg(CAST(product_id AS VARCHAR), ',' ORDER BY step) AS picks
+FROM got GROUP BY user_id, cat_order, category, category_count"""),
+    "product_detail": with_adapters(f"""
+WITH {ctes(STATS_CTE, SIMILAR_CTE, COMP_MAP_CTE, COMPLEMENTARY_CTE, DETAIL_CTE)}
+SELECT p.product_id, p.product_name, p.category, p.sub_category, p.brand, p.price, p.avg_rating,
+  coalesce(s.similar_ids, '') AS similar_ids, coalesce(c.complementary_ids, '') AS complementary_ids
+FROM products p LEFT JOIN sim_ids s ON p.product_id = s.product_id LEFT JOIN comp_ids c ON p.product_id = c.product_id"""),
+    "wishlist_state": with_adapters(f"""
+WITH {ctes(HISTORY_CTE, TOGGLE_CTE)}
+SELECT user_id, product_id, added_event_id, added_ts, position FROM tog_state WHERE action = 'like_toggle'"""),
+    "cart_state": with_adapters(f"""
+WITH {ctes(HISTORY_CTE, TOGGLE_CTE)}
+SELECT user_id, product_id, added_event_id, added_ts, position FROM tog_state WHERE action = 'cart_toggle'"""),
+    "profile_counts": with_adapters(f"WITH {ctes(HISTORY_CTE, TOGGLE_CTE)} SELECT * FROM pcounts"),
+    "state_after_reset": with_adapters(f"""
+WITH {ctes(HISTORY_CTE, TOGGLE_CTE)}
+SELECT r.user_id, r.reset_event_id, coalesce(c.wishlist_count, 0) AS wishlist_count,
+  coalesce(c.cart_count, 0) AS cart_count, coalesce(c.interaction_count, 0) AS interaction_count
+FROM resets r LEFT JOIN pcounts c ON r.user_id = c.user_id"""),
+    "hourly_sessions": with_adapters("""
+SELECT user_id, date_trunc('hour', ts) AS window_start, count(*) AS n_events,
+  substr(md5(CAST(user_id AS VARCHAR) || '-' || strftime(date_trunc('hour', ts), '%Y-%m-%d-%H')), 1, 12) AS hour_session_id
+FROM interactions GROUP BY user_id, date_trunc('hour', ts)"""),
+})

@@ -199,3 +199,125 @@ def q_similar_products(spark, d):
 @register("complementary_products")
 def q_complementary_products(spark, d):
     return catalog.complementary_products(prod_stats(spark, d), td.complementary_map(spark, d))
+
+
+from shelfrank.operators import feed, state  # noqa: E402
+
+
+def history(spark, d):
+    return feed.recent_interactions(clean_log(spark, d), td.resets(spark, d))
+
+
+def slots_of(spark, d):
+    log = clean_log(spark, d)
+    h = feed.recent_interactions(log, td.resets(spark, d))
+    return feed.feed_slots(feed.time_decay_weights(h, feed.latest_ts(log)))
+
+
+def prefs(spark, d):
+    return feed.latest_preferences(td.preference_updates(spark, d), clean_catalog(spark, d), td.resets(spark, d))
+
+
+def user_cats(spark, d):
+    return feed.user_categories(clean.clean_users(td.users(spark, d)), prefs(spark, d), clean_catalog(spark, d))
+
+
+@register("recent_interactions")
+def q_recent_interactions(spark, d):
+    return history(spark, d)
+
+
+@register("recency_frequency")
+def q_recency_frequency(spark, d):
+    return feed.recency_frequency(history(spark, d))
+
+
+@register("time_decay_weights")
+def q_time_decay_weights(spark, d):
+    log = clean_log(spark, d)
+    w = feed.time_decay_weights(history(spark, d), feed.latest_ts(log))
+    return feed.rounded(w, ["hours_ago", "weight"])
+
+
+@register("feed_slots")
+def q_feed_slots(spark, d):
+    s = slots_of(spark, d)
+    return feed.rounded(s.select("user_id", "product_id", "weight_rank", "weight", "slots", "sim_slots", "comp_slots"),
+                        ["weight"])
+
+
+@register("top_influencers")
+def q_top_influencers(spark, d):
+    return feed.top_influencers(slots_of(spark, d), clean_catalog(spark, d))
+
+
+@register("profile_history")
+def q_profile_history(spark, d):
+    return feed.profile_history(history(spark, d), clean_catalog(spark, d))
+
+
+@register("user_top_products")
+def q_user_top_products(spark, d):
+    return feed.user_top_products(clean_log(spark, d))
+
+
+@register("user_top_category")
+def q_user_top_category(spark, d):
+    return feed.user_top_category(feed.user_top_products(clean_log(spark, d)), clean_catalog(spark, d))
+
+
+@register("latest_preferences")
+def q_latest_preferences(spark, d):
+    return prefs(spark, d).withColumn("categories", F.array_join("categories", ","))
+
+
+@register("user_categories")
+def q_user_categories(spark, d):
+    return user_cats(spark, d).withColumn("categories", F.array_join("categories", ","))
+
+
+@register("cold_start_feed")
+def q_cold_start_feed(spark, d):
+    popular = catalog.popular_by_category(clean_catalog(spark, d), clean_log(spark, d))
+    return feed.cold_start_feed(user_cats(spark, d), popular, history(spark, d))
+
+
+@register("category_sections")
+def q_category_sections(spark, d):
+    return feed.category_sections(user_cats(spark, d), clean_catalog(spark, d))
+
+
+@register("product_detail")
+def q_product_detail(spark, d):
+    ps = prod_stats(spark, d)
+    det = feed.product_detail(clean_catalog(spark, d), catalog.similar_products(ps),
+                              catalog.complementary_products(ps, td.complementary_map(spark, d)))
+    return det.withColumns({"similar_ids": F.array_join("similar_ids", ","),
+                            "complementary_ids": F.array_join("complementary_ids", ",")})
+
+
+@register("wishlist_state")
+def q_wishlist_state(spark, d):
+    return state.wishlist_state(td.toggles(spark, d), td.resets(spark, d))
+
+
+@register("cart_state")
+def q_cart_state(spark, d):
+    return state.cart_state(td.toggles(spark, d), td.resets(spark, d))
+
+
+@register("profile_counts")
+def q_profile_counts(spark, d):
+    t, r = td.toggles(spark, d), td.resets(spark, d)
+    return state.profile_counts(state.wishlist_state(t, r), state.cart_state(t, r), history(spark, d))
+
+
+@register("state_after_reset")
+def q_state_after_reset(spark, d):
+    t, r = td.toggles(spark, d), td.resets(spark, d)
+    return state.state_after_reset(r, state.wishlist_state(t, r), state.cart_state(t, r), history(spark, d))
+
+
+@register("hourly_sessions")
+def q_hourly_sessions(spark, d):
+    return state.hourly_sessions(clean_log(spark, d))
