@@ -427,3 +427,20 @@ SELECT user_id, date_trunc('hour', ts) AS window_start, count(*) AS n_events,
   substr(md5(CAST(user_id AS VARCHAR) || '-' || strftime(date_trunc('hour', ts), '%Y-%m-%d-%H')), 1, 12) AS hour_session_id
 FROM interactions GROUP BY user_id, date_trunc('hour', ts)"""),
 })
+
+ORACLE.update({
+    "error_metrics": with_adapters(f"""
+WITH {ctes(MATRIX_CTE)},
+means AS (SELECT user_id, avg(final_score) AS user_mean FROM split WHERE is_train GROUP BY user_id),
+pairs AS (SELECT s.final_score AS actual, coalesce(m.user_mean, CAST(0 AS DOUBLE)) AS predicted
+          FROM split s LEFT JOIN means m ON s.user_id = m.user_id WHERE NOT s.is_train)
+SELECT {R6('sqrt(avg((actual - predicted) * (actual - predicted)))')} AS rmse, {R6('avg(abs(actual - predicted))')} AS mae,
+  count(*) AS n_test
+FROM pairs"""),
+    "unseen_pairs": with_adapters(f"""
+WITH {ctes(HISTORY_CTE, CATEGORY_CTE, POPULARITY_CTE, MATRIX_CTE)}
+SELECT c.category, c.user_id, p.product_id
+FROM ucat_rows c JOIN popular p ON p.category = c.category
+WHERE c.user_id IN (SELECT user_id FROM matrix_f)
+  AND NOT EXISTS (SELECT 1 FROM matrix_f m WHERE m.user_id = c.user_id AND m.product_id = p.product_id)"""),
+})

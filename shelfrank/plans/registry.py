@@ -321,3 +321,62 @@ def q_state_after_reset(spark, d):
 @register("hourly_sessions")
 def q_hourly_sessions(spark, d):
     return state.hourly_sessions(clean_log(spark, d))
+
+
+from shelfrank.operators import evaluate, factor, recommend  # noqa: E402
+
+
+def split_of(spark, d):
+    return matrix.train_test_split(matrix.matrix_input(user_matrix(spark, d)))
+
+
+def nmf_of(spark, d):
+    ent = split_of(spark, d)
+    return ent, factor.fit_nmf(spark, ent)
+
+
+def _factor_text(df, key):
+    return df.select(F.col(key).alias("id"), F.array_join(F.transform("factors", lambda x: F.format_number(x, 6)), ",")
+                     .alias("factors"))
+
+
+@register("nmf_factors")
+def q_nmf_factors(spark, d):
+    _, m = nmf_of(spark, d)
+    return (_factor_text(m.user_factors, "user_id").withColumn("side", F.lit("user"))
+            .unionByName(_factor_text(m.item_factors, "product_id").withColumn("side", F.lit("product"))))
+
+
+@register("recommend_top_n")
+def q_recommend_top_n(spark, d):
+    ent, m = nmf_of(spark, d)
+    return recommend.recommend_top_n(m.user_factors, m.item_factors, ent, clean_catalog(spark, d), m.k)
+
+
+@register("model_metrics")
+def q_model_metrics(spark, d):
+    ent, m = nmf_of(spark, d)
+    return evaluate.model_metrics(spark, ent, m)
+
+
+@register("als_recommendations")
+def q_als_recommendations(spark, d):
+    ent = split_of(spark, d)
+    _, uf, itf = factor.fit_als(ent)
+    return recommend.recommend_top_n(uf, itf, ent, clean_catalog(spark, d), factor.C.NUM_FACTORS)
+
+
+@register("error_metrics")
+def q_error_metrics(spark, d):
+    m = evaluate.error_metrics(evaluate.user_mean_predictions(split_of(spark, d)))
+    return feed.rounded(m, ["rmse", "mae"])
+
+
+@register("unseen_pairs")
+def q_unseen_pairs(spark, d):
+    m = user_matrix(spark, d)
+    popular = catalog.popular_by_category(clean_catalog(spark, d), clean_log(spark, d))
+    cats = user_cats(spark, d).join(m.select("user_id").distinct(), "user_id", "left_semi")
+    cand = cats.select("user_id", F.explode("categories").alias("category")).join(
+        popular.select("category", "product_id"), "category")
+    return cand.join(m.select("user_id", "product_id"), ["user_id", "product_id"], "left_anti")
