@@ -198,3 +198,78 @@ def product_detail(products: DataFrame, similar: DataFrame, complementary: DataF
 
 def rounded(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
     return df.withColumns({c: round_half_up(c, digits) for c in cols})
+
+
+# ---------------------------------------------------------------- greedy fill
+
+def _fill_candidates(slots: DataFrame, similar: DataFrame, complementary: DataFrame, products: DataFrame,
+                     user_cats: DataFrame) -> DataFrame:
+    """Per (user, anchor) the similar (src 0) and complementary (src 1) candidates with their quota
+    and whether the candidate is in the catalogue and in one of the user's categories."""
+    anchors = slots.select("user_id", F.col("product_id").alias("anchor_id"), "weight_rank", "sim_slots", "comp_slots")
+    sim = similar.select(F.col("source_product_id").alias("anchor_id"), F.lit(0).alias("src"),
+                         F.col("sim_rank").alias("cand_rank"), F.col("similar_product_id").alias("pid"))
+    comp = complementary.select(F.col("source_product_id").alias("anchor_id"), F.lit(1).alias("src"),
+                                F.col("comp_rank").alias("cand_rank"), F.col("comp_product_id").alias("pid"))
+    lists = sim.unionByName(comp)
+    cand = anchors.join(lists, "anchor_id")
+    cand = cand.join(products.select(F.col("product_id").alias("pid"), F.col("category").alias("pcat")), "pid", "left")
+    cand = cand.join(user_cats.select("user_id", "categories"), "user_id", "left")
+    ok = F.col("pcat").isNotNull() & F.coalesce(F.array_contains("categories", F.col("pcat")), F.lit(False))
+    return cand.select(
+        "user_id",
+        F.struct((F.col("weight_rank") * 2 + F.col("src")).cast("int").alias("key"),
+                 F.col("cand_rank").cast("int").alias("cand_rank"),
+                 F.col("pid").cast("bigint").alias("pid"),
+                 F.when(F.col("src") == 0, F.col("sim_slots")).otherwise(F.col("comp_slots")).cast("int").alias("quota"),
+                 ok.alias("ok")).alias("c"))
+
+
+def personal_feed(slots: DataFrame, similar: DataFrame, complementary: DataFrame, products: DataFrame,
+                  user_cats: DataFrame, popular: DataFrame, size: int = C.FEED_SIZE,
+                  pad_below: int = C.FEED_PAD_BELOW) -> DataFrame:
+    """F3 + F4: each user's feed (user_id, position, product_id).
+
+    F3: anchors in weight order; for each, up to sim_slots similar then up to comp_slots
+    complementary products are taken, skipping products already seen (the anchors and earlier
+    picks) and products outside the user's categories. F4: when fewer than ``pad_below`` were taken,
+    popular products of the user's categories (category order, then rank) are appended while the
+    feed is shorter than ``size``, skipping seen ones (slots do not apply). The result is cut to ``size``.
+
+    Both steps are ``aggregate`` folds over one bounded array per user (at most 50 anchors x 10
+    candidates, and 8 popular per category): sequential per user, parallel over users, no Python.
+    """
+    cand = _fill_candidates(slots, similar, complementary, products, user_cats)
+    per_user = cand.groupBy("user_id").agg(F.array_sort(F.collect_list("c")).alias("cands"))
+    anchors = slots.groupBy("user_id").agg(F.collect_list(F.col("product_id").cast("bigint")).alias("anchors"))
+    pop = (user_cats.select("user_id", F.posexplode("categories").alias("cat_order", "category"))
+           .join(popular.filter(F.col("category").isNotNull())
+                 .select("category", F.col("rank").alias("pop_rank"), F.col("product_id").cast("bigint").alias("pid")),
+                 "category")
+           .groupBy("user_id")
+           .agg(F.array_sort(F.collect_list(F.struct("cat_order", "pop_rank", "pid"))).alias("pops")))
+    base = (anchors.join(per_user, "user_id", "left").join(pop, "user_id", "left")
+            .withColumn("cands", F.coalesce("cands", F.array().cast(per_user.schema["cands"].dataType)))
+            .withColumn("pops", F.coalesce("pops", F.array().cast(pop.schema["pops"].dataType))))
+
+    empty = F.array().cast("array<bigint>")
+    start = F.struct(empty.alias("picked"), F.lit(-1).alias("key"), F.lit(0).alias("used"))
+
+    def take(acc, c):
+        used = F.when(c["key"] != acc["key"], F.lit(0)).otherwise(acc["used"])
+        ok = ((used < c["quota"]) & c["ok"] & ~F.array_contains(F.col("anchors"), c["pid"])
+              & ~F.array_contains(acc["picked"], c["pid"]))
+        return F.struct(F.when(ok, F.concat(acc["picked"], F.array(c["pid"]))).otherwise(acc["picked"]).alias("picked"),
+                        c["key"].alias("key"),
+                        F.when(ok, used + 1).otherwise(used).alias("used"))
+
+    def pad(acc, p):
+        ok = ((F.size(acc) < size) & ~F.array_contains(F.col("anchors"), p["pid"])
+              & ~F.array_contains(acc, p["pid"]))
+        return F.when(ok, F.concat(acc, F.array(p["pid"]))).otherwise(acc)
+
+    filled = base.withColumn("picked", F.aggregate("cands", start, take, lambda s: s["picked"]))
+    padded = filled.withColumn(
+        "picked", F.when(F.size("picked") < pad_below, F.aggregate("pops", F.col("picked"), pad)).otherwise(F.col("picked")))
+    return (padded.select("user_id", F.posexplode(F.slice("picked", 1, size)).alias("pos0", "product_id"))
+            .select("user_id", (F.col("pos0") + 1).alias("position"), "product_id"))

@@ -380,3 +380,17 @@ def q_unseen_pairs(spark, d):
     cand = cats.select("user_id", F.explode("categories").alias("category")).join(
         popular.select("category", "product_id"), "category")
     return cand.join(m.select("user_id", "product_id"), ["user_id", "product_id"], "left_anti")
+
+
+def feed_inputs(spark, d):
+    log = clean_log(spark, d)
+    cat = clean_catalog(spark, d)
+    ps = catalog.product_engagement(cat, log)
+    return dict(slots=slots_of(spark, d), similar=catalog.similar_products(ps),
+                complementary=catalog.complementary_products(ps, td.complementary_map(spark, d)),
+                products=cat, user_cats=user_cats(spark, d), popular=catalog.popular_by_category(cat, log))
+
+
+@register("personal_feed")
+def q_personal_feed(spark, d):
+    return feed.personal_feed(**feed_inputs(spark, d))
