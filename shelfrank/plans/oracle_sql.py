@@ -444,3 +444,52 @@ FROM ucat_rows c JOIN popular p ON p.category = c.category
 WHERE c.user_id IN (SELECT user_id FROM matrix_f)
   AND NOT EXISTS (SELECT 1 FROM matrix_f m WHERE m.user_id = c.user_id AND m.product_id = p.product_id)"""),
 })
+
+BASELINE_CTE = """
+b_scores AS (SELECT user_id, product_id, sum(interaction_score) AS score FROM interactions GROUP BY 1, 2),
+b_top AS (SELECT * FROM (SELECT user_id, product_id,
+            row_number() OVER (PARTITION BY user_id ORDER BY score DESC, product_id) AS top_rank FROM b_scores) t
+          WHERE top_rank <= 15),
+b_cc AS (SELECT t.user_id, p.category, count(*) AS category_count, min(t.top_rank) AS first_rank
+         FROM b_top t JOIN products p ON t.product_id = p.product_id GROUP BY 1, 2),
+b_topcat AS (SELECT user_id, category FROM (
+               SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY category_count DESC, first_rank) AS r FROM b_cc) x
+             WHERE r = 1),
+b_users AS (SELECT DISTINCT user_id FROM b_top),
+b_ucat AS (
+  SELECT u.user_id, coalesce(t.category, ci.category) AS category FROM b_users u
+  LEFT JOIN b_topcat t ON u.user_id = t.user_id
+  LEFT JOIN cat_idx ci ON ci.ci = CAST(('0x' || substr(md5(CAST(u.user_id AS VARCHAR)), 1, 8)) AS BIGINT) % (SELECT n FROM n_cat)),
+b_best AS (SELECT * FROM (SELECT category, product_id, avg_rating,
+             row_number() OVER (PARTITION BY category ORDER BY avg_rating DESC, product_id) AS r
+           FROM products WHERE category IS NOT NULL) x WHERE r <= 17),
+b_picks AS (SELECT user_id, product_id, 0 AS src, pos FROM (
+              SELECT u.user_id, b.product_id, row_number() OVER (PARTITION BY u.user_id ORDER BY b.avg_rating DESC, b.product_id) AS pos
+              FROM b_ucat u JOIN b_best b ON b.category = u.category
+              WHERE NOT EXISTS (SELECT 1 FROM b_top t WHERE t.user_id = u.user_id AND t.product_id = b.product_id)) x
+            WHERE pos <= 2),
+b_gpos AS (SELECT product_id, row_number() OVER (ORDER BY md5(CAST(product_id AS VARCHAR))) - 1 AS pos,
+             count(*) OVER () AS n FROM products),
+b_walk0 AS (
+  SELECT u.user_id, st.step, (CAST(('0x' || substr(md5(CAST(u.user_id AS VARCHAR)), 1, 8)) AS BIGINT) % g.n + st.step) % g.n AS pos
+  FROM b_users u CROSS JOIN (SELECT DISTINCT n FROM b_gpos) g CROSS JOIN generate_series(0, 19) AS st(step)
+  WHERE st.step < g.n),
+b_walk AS (SELECT w.user_id, w.step, g.product_id FROM b_walk0 w JOIN b_gpos g ON g.pos = w.pos),
+b_others AS (SELECT user_id, product_id, 1 AS src, step AS pos FROM (
+               SELECT w.*, row_number() OVER (PARTITION BY w.user_id ORDER BY w.step) AS k FROM b_walk w
+               WHERE NOT EXISTS (SELECT 1 FROM b_top t WHERE t.user_id = w.user_id AND t.product_id = w.product_id)
+                 AND NOT EXISTS (SELECT 1 FROM b_picks p WHERE p.user_id = w.user_id AND p.product_id = w.product_id)) x
+             WHERE k <= 3),
+b_chosen AS (SELECT * FROM b_picks UNION ALL SELECT * FROM b_others),
+b_pad AS (SELECT user_id, product_id, 2 AS src, step AS pos FROM b_walk w
+          WHERE NOT EXISTS (SELECT 1 FROM b_chosen c WHERE c.user_id = w.user_id AND c.product_id = w.product_id)),
+b_all AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY user_id ORDER BY src, pos) AS INTEGER) AS rec_rank
+                         FROM (SELECT * FROM b_chosen UNION ALL SELECT * FROM b_pad) u) x
+          WHERE rec_rank <= 5)
+"""
+
+ORACLE["baseline_recommender"] = with_adapters(f"""
+WITH {ctes(HISTORY_CTE, CATEGORY_CTE, BASELINE_CTE)}
+SELECT a.user_id, a.rec_rank, a.product_id, CASE a.src WHEN 0 THEN 'category' WHEN 1 THEN 'random' ELSE 'pad' END AS source,
+  p.product_name, p.category, p.avg_rating
+FROM b_all a LEFT JOIN products p ON a.product_id = p.product_id""")

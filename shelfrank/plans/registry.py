@@ -394,3 +394,11 @@ def feed_inputs(spark, d):
 @register("personal_feed")
 def q_personal_feed(spark, d):
     return feed.personal_feed(**feed_inputs(spark, d))
+
+
+from shelfrank.operators import baseline  # noqa: E402
+
+
+@register("baseline_recommender")
+def q_baseline_recommender(spark, d):
+    return baseline.baseline_recommender(clean_log(spark, d), clean_catalog(spark, d))
