@@ -493,3 +493,40 @@ WITH {ctes(HISTORY_CTE, CATEGORY_CTE, BASELINE_CTE)}
 SELECT a.user_id, a.rec_rank, a.product_id, CASE a.src WHEN 0 THEN 'category' WHEN 1 THEN 'random' ELSE 'pad' END AS source,
   p.product_name, p.category, p.avg_rating
 FROM b_all a LEFT JOIN products p ON a.product_id = p.product_id""")
+
+EXPORT_CTE = """
+sim_items AS (SELECT source_product_id, string_agg(CAST(similar_product_id AS VARCHAR), ',' ORDER BY sim_rank) AS item_ids
+              FROM sim_list GROUP BY 1),
+comp_items AS (SELECT source_product_id, string_agg(CAST(comp_product_id AS VARCHAR), ',' ORDER BY comp_rank) AS item_ids
+               FROM complementary GROUP BY 1),
+toggle_keys AS (SELECT DISTINCT TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS source_product_id
+                FROM events WHERE event_type IN ('click', 'signup'))
+"""
+
+ORACLE.update({
+    "export_popular": with_adapters(f"""
+WITH {ctes(POPULARITY_CTE)}
+SELECT category, string_agg(CAST(product_id AS VARCHAR), ',' ORDER BY rank) AS item_ids
+FROM popular WHERE category IS NOT NULL GROUP BY category"""),
+    "export_similar": with_adapters(f"""
+WITH {ctes(STATS_CTE, SIMILAR_CTE, COMP_MAP_CTE, COMPLEMENTARY_CTE, EXPORT_CTE)} SELECT * FROM sim_items"""),
+    "export_complementary": with_adapters(f"""
+WITH {ctes(STATS_CTE, SIMILAR_CTE, COMP_MAP_CTE, COMPLEMENTARY_CTE, EXPORT_CTE)} SELECT * FROM comp_items"""),
+    "export_top_rated": with_adapters("""
+SELECT CAST(row_number() OVER (ORDER BY avg_rating DESC, rating_count DESC, product_id) AS INTEGER) AS rank,
+  product_id, product_name, category, brand, coalesce(price, CAST(0 AS DOUBLE)) AS price,
+  coalesce(avg_rating, CAST(0 AS DOUBLE)) AS avg_rating, CAST(coalesce(rating_count, 0) AS BIGINT) AS rating_count
+FROM products WHERE rating_count >= 50
+ORDER BY avg_rating DESC, rating_count DESC, product_id LIMIT 20"""),
+    "catalog_export": with_adapters("""
+SELECT product_id, product_name, category, sub_category, brand, price, price_range, avg_rating, rating_count
+FROM products"""),
+    "lookup_similar": with_adapters(f"""
+WITH {ctes(STATS_CTE, SIMILAR_CTE, COMP_MAP_CTE, COMPLEMENTARY_CTE, EXPORT_CTE)}
+SELECT k.source_product_id, coalesce(s.item_ids, '') AS item_ids
+FROM toggle_keys k LEFT JOIN sim_items s ON k.source_product_id = s.source_product_id"""),
+    "lookup_complementary": with_adapters(f"""
+WITH {ctes(STATS_CTE, SIMILAR_CTE, COMP_MAP_CTE, COMPLEMENTARY_CTE, EXPORT_CTE)}
+SELECT k.source_product_id, coalesce(c.item_ids, '') AS item_ids
+FROM toggle_keys k LEFT JOIN comp_items c ON k.source_product_id = c.source_product_id"""),
+})

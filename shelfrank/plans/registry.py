@@ -402,3 +402,70 @@ from shelfrank.operators import baseline  # noqa: E402
 @register("baseline_recommender")
 def q_baseline_recommender(spark, d):
     return baseline.baseline_recommender(clean_log(spark, d), clean_catalog(spark, d))
+
+
+from shelfrank.sources import export, lookup  # noqa: E402
+
+
+def popular_of(spark, d):
+    return catalog.popular_by_category(clean_catalog(spark, d), clean_log(spark, d))
+
+
+def similar_of(spark, d):
+    return catalog.similar_products(prod_stats(spark, d))
+
+
+def complementary_of(spark, d):
+    return catalog.complementary_products(prod_stats(spark, d), td.complementary_map(spark, d))
+
+
+@register("export_recommendations")
+def q_export_recommendations(spark, d):
+    return export.item_ids(export.export_recommendations(q_recommend_top_n(spark, d)), "user_id")
+
+
+@register("export_popular")
+def q_export_popular(spark, d):
+    return export.item_ids(export.export_popular(popular_of(spark, d)), "category")
+
+
+@register("export_similar")
+def q_export_similar(spark, d):
+    return export.item_ids(export.export_similar(similar_of(spark, d)), "source_product_id")
+
+
+@register("export_complementary")
+def q_export_complementary(spark, d):
+    return export.item_ids(export.export_complementary(complementary_of(spark, d)), "source_product_id")
+
+
+@register("export_top_rated")
+def q_export_top_rated(spark, d):
+    return export.export_top_rated(catalog.top_rated(clean_catalog(spark, d)))
+
+
+@register("catalog_export")
+def q_catalog_export(spark, d):
+    return export.catalog_export(clean_catalog(spark, d))
+
+
+def toggled_products(spark, d):
+    return td.toggles(spark, d).select(F.col("product_id").alias("source_product_id"))
+
+
+@register("lookup_recommendations")
+def q_lookup_recommendations(spark, d):
+    keyed = export.export_recommendations(q_recommend_top_n(spark, d))
+    return export.item_ids(lookup.lookup(keyed, "user_id", clean.clean_users(td.users(spark, d))), "user_id")
+
+
+@register("lookup_similar")
+def q_lookup_similar(spark, d):
+    keyed = export.export_similar(similar_of(spark, d))
+    return export.item_ids(lookup.lookup(keyed, "source_product_id", toggled_products(spark, d)), "source_product_id")
+
+
+@register("lookup_complementary")
+def q_lookup_complementary(spark, d):
+    keyed = export.export_complementary(complementary_of(spark, d))
+    return export.item_ids(lookup.lookup(keyed, "source_product_id", toggled_products(spark, d)), "source_product_id")
