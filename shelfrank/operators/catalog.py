@@ -31,7 +31,12 @@ def popular_by_category(products: DataFrame, interactions: DataFrame, k: int = C
     group (trap T4); the export drops them. The popularity table has one row per product, and the
     row_number <= k filter runs as a WindowGroupLimit, partial before the shuffle on category.
     """
-    pop = product_popularity(interactions).join(
+    return rank_popular(product_popularity(interactions), products, k)
+
+
+def rank_popular(popularity: DataFrame, products: DataFrame, k: int = C.POPULAR_PER_CATEGORY) -> DataFrame:
+    """W1 + J2 on a popularity table (product_id, popularity_score, total_interactions, unique_users)."""
+    pop = popularity.join(
         products.select("product_id", "product_name", "category", "brand", "price", "avg_rating"),
         "product_id", "left")
     w = Window.partitionBy("category").orderBy(F.desc("popularity_score"), F.asc("product_id"))

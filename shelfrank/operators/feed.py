@@ -117,16 +117,21 @@ def latest_preferences(updates: DataFrame, products: DataFrame, resets: DataFram
     """ST4: per user the last valid preference update (at least ``min_categories``), last write by
     (ts, event_id) wins, updates up to a reset ignored. Categories are [c1, c2, c2 + 1] (indices into
     the sorted categories, wrapping), the first n_categories of them, as an ordered array."""
-    idx = category_index(products)
-    n_cat = idx.select(F.count("*")).scalar()
     valid = after_reset(updates, resets).filter(F.col("n_categories") >= min_categories)
     last = valid.groupBy("user_id").agg(
         F.max_by(F.struct("event_id", "c1", "c2", "n_categories"), F.struct("ts", "event_id")).alias("u"))
-    slots = F.slice(F.array(F.col("u.c1"), F.col("u.c2"), F.pmod(F.col("u.c2") + 1, n_cat)), 1,
-                    F.col("u.n_categories").cast("int"))
-    picks = last.select("user_id", F.col("u.event_id").alias("event_id"),
-                        F.posexplode(slots).alias("cat_order", "ci"))
-    named = picks.join(idx, "ci")
+    return name_categories(last.select("user_id", "u.*"), products)
+
+
+def name_categories(picks: DataFrame, products: DataFrame) -> DataFrame:
+    """(user_id, event_id, c1, c2, n_categories) -> (user_id, event_id, categories): the first
+    n_categories of [c1, c2, c2 + 1] (indices into the sorted categories, wrapping), named, in order."""
+    idx = category_index(products)
+    n_cat = idx.select(F.count("*")).scalar()
+    slots = F.slice(F.array(F.col("c1"), F.col("c2"), F.pmod(F.col("c2") + 1, n_cat)), 1,
+                    F.col("n_categories").cast("int"))
+    exploded = picks.select("user_id", "event_id", F.posexplode(slots).alias("cat_order", "ci"))
+    named = exploded.join(idx, "ci")
     return (named.groupBy("user_id", "event_id")
             .agg(F.array_sort(F.collect_list(F.struct("cat_order", "category"))).alias("_c"))
             .select("user_id", "event_id", F.transform("_c", lambda s: s["category"]).alias("categories")))

@@ -530,3 +530,13 @@ WITH {ctes(STATS_CTE, SIMILAR_CTE, COMP_MAP_CTE, COMPLEMENTARY_CTE, EXPORT_CTE)}
 SELECT k.source_product_id, coalesce(c.item_ids, '') AS item_ids
 FROM toggle_keys k LEFT JOIN comp_items c ON k.source_product_id = c.source_product_id"""),
 })
+
+# The streams process the events in order, so their final state equals the batch results.
+ORACLE.update({
+    "stream_recent_interactions": ORACLE["recent_interactions"],
+    "stream_wishlist_state": ORACLE["wishlist_state"],
+    "stream_cart_state": ORACLE["cart_state"],
+    "stream_latest_preferences": ORACLE["latest_preferences"],
+    "stream_popular_by_category": ORACLE["popular_by_category"],
+    "stream_hourly_sessions": ORACLE["hourly_sessions"],
+})

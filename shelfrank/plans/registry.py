@@ -469,3 +469,62 @@ def q_lookup_similar(spark, d):
 def q_lookup_complementary(spark, d):
     keyed = export.export_complementary(complementary_of(spark, d))
     return export.item_ids(lookup.lookup(keyed, "source_product_id", toggled_products(spark, d)), "source_product_id")
+
+
+from shelfrank.streaming import refresh, runner  # noqa: E402
+from shelfrank.streaming import user_state as us  # noqa: E402
+
+
+def stream_state(spark, d):
+    """Run the user-state stream over the events file; return the latest snapshot per user."""
+    root = runner.run_root(spark, "user-state")
+    runner.run_available(us.user_state_stream(runner.events_stream(spark, d, "events.parquet")), root)
+    return us.latest_snapshots(spark.read.parquet(f"{root}/out")), root
+
+
+@register("stream_recent_interactions")
+def q_stream_recent_interactions(spark, d):
+    return us.history_rows(stream_state(spark, d)[0])
+
+
+@register("stream_wishlist_state")
+def q_stream_wishlist_state(spark, d):
+    return us.list_rows(stream_state(spark, d)[0], "wishlist")
+
+
+@register("stream_cart_state")
+def q_stream_cart_state(spark, d):
+    return us.list_rows(stream_state(spark, d)[0], "cart")
+
+
+@register("stream_latest_preferences")
+def q_stream_latest_preferences(spark, d):
+    snap = stream_state(spark, d)[0].filter(F.col("pref_event_id").isNotNull())
+    p = feed.name_categories(snap.select("user_id", F.col("pref_event_id").alias("event_id"), "c1", "c2", "n_categories"),
+                             clean_catalog(spark, d))
+    return p.withColumn("categories", F.array_join("categories", ","))
+
+
+@register("stream_popular_by_category")
+def q_stream_popular_by_category(spark, d):
+    root = runner.run_root(spark, "popular")
+    hook = refresh.PopularRefresher(spark, clean_catalog(spark, d), f"{root}/out", f"{root}/popular")
+    runner.run_available(refresh.popularity_stream(runner.events_stream(spark, d, "events.parquet")), root, hook)
+    return spark.read.parquet(f"{root}/popular")
+
+
+@register("stream_hourly_sessions")
+def q_stream_hourly_sessions(spark, d):
+    root = runner.run_root(spark, "hourly")
+    runner.run_available(refresh.hourly_stream(runner.events_stream(spark, d, "events.parquet")), root)
+    return refresh.latest_windows(spark.read.parquet(f"{root}/out"))
+
+
+@register("stream_personal_feed")
+def q_stream_personal_feed(spark, d):
+    inp = feed_inputs(spark, d)
+    root = runner.run_root(spark, "feed")
+    hook = refresh.FeedRefresher(spark, inp["products"], inp["similar"], inp["complementary"], inp["popular"],
+                                 clean.clean_users(td.users(spark, d)), f"{root}/feed")
+    runner.run_available(us.user_state_stream(runner.events_stream(spark, d, "events.parquet")), root, hook)
+    return refresh.latest_feed(spark.read.parquet(f"{root}/feed"), spark.read.parquet(f"{root}/out"))
