@@ -540,3 +540,36 @@ ORACLE.update({
     "stream_popular_by_category": ORACLE["popular_by_category"],
     "stream_hourly_sessions": ORACLE["hourly_sessions"],
 })
+
+ORDER_LOG_CTE = """
+order_raw AS (
+  SELECT l_orderkey * 16 + l_linenumber AS event_id, o_custkey AS user_id, l_partkey AS product_id,
+    'purchase' AS interaction_type, 5 AS interaction_score, CAST(1 + (l_orderkey + l_linenumber) % 5 AS DOUBLE) AS rating,
+    o_orderdate AS ts, CAST(l_orderkey AS VARCHAR) AS session_id
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+order_log AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id, product_id, interaction_type, session_id
+                                              ORDER BY ts ASC NULLS LAST, event_id ASC NULLS LAST, rating DESC NULLS LAST) AS rn_
+                 FROM order_raw WHERE user_id IS NOT NULL AND product_id IS NOT NULL) x WHERE rn_ = 1),
+o_pop AS (SELECT product_id, CAST(sum(interaction_score) AS BIGINT) AS popularity_score, count(*) AS total_interactions,
+            count(DISTINCT user_id) AS unique_users FROM order_log GROUP BY product_id),
+o_matrix AS (SELECT user_id, product_id, CAST(sum(interaction_score) AS BIGINT) AS total_score, max(rating) AS max_rating
+             FROM order_log GROUP BY 1, 2),
+o_scores AS (SELECT CASE WHEN max_rating IS NOT NULL THEN total_score * CAST(0.7 AS DOUBLE) + max_rating * CAST(0.3 AS DOUBLE)
+                         ELSE CAST(total_score AS DOUBLE) END AS final_score FROM o_matrix)
+"""
+
+ORACLE.update({
+    "order_log_popular": with_adapters(f"""
+WITH {ctes(ORDER_LOG_CTE)}
+SELECT * FROM (
+  SELECT p.category, CAST(row_number() OVER (PARTITION BY p.category ORDER BY o.popularity_score DESC, o.product_id) AS INTEGER) AS rank,
+    o.product_id, p.product_name, p.brand, p.price, p.avg_rating, o.popularity_score, o.total_interactions, o.unique_users
+  FROM o_pop o LEFT JOIN products p ON o.product_id = p.product_id) x
+WHERE rank <= 8"""),
+    "order_log_matrix_stats": with_adapters(f"""
+WITH {ctes(ORDER_LOG_CTE)}
+SELECT min(final_score) AS min_score, max(final_score) AS max_score, {R2('avg(final_score)')} AS mean_score,
+  {R2('stddev_samp(final_score)')} AS stddev_score
+FROM o_scores"""),
+})

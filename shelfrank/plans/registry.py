@@ -528,3 +528,17 @@ def q_stream_personal_feed(spark, d):
                                  clean.clean_users(td.users(spark, d)), f"{root}/feed")
     runner.run_available(us.user_state_stream(runner.events_stream(spark, d, "events.parquet")), root, hook)
     return refresh.latest_feed(spark.read.parquet(f"{root}/feed"), spark.read.parquet(f"{root}/out"))
+
+
+def order_log(spark, d):
+    return clean.clean_interactions(td.order_interactions(spark, d))
+
+
+@register("order_log_popular")
+def q_order_log_popular(spark, d):
+    return catalog.popular_by_category(clean_catalog(spark, d), order_log(spark, d))
+
+
+@register("order_log_matrix_stats")
+def q_order_log_matrix_stats(spark, d):
+    return profile.score_stats(matrix.user_product_matrix(order_log(spark, d)))
