@@ -33,6 +33,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -117,6 +118,16 @@ class NMFModel:
     reconstruction_error: float = float("nan")
 
 
+def _keep(df: DataFrame) -> DataFrame:
+    """Materialise a factor table once and cut its plan: persist, write a reliable checkpoint (the
+    write reads the cached rows instead of recomputing the solve), then drop the cache. Cutting
+    every iteration keeps the plan from nesting all earlier iterations."""
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return kept
+
+
 def fit_nmf(spark: SparkSession, entries: DataFrame, k: int = C.NUM_FACTORS, max_iter: int = C.MAX_ITERATIONS,
             alpha_w: float = C.ALPHA_W, alpha_h: float = C.ALPHA_H, seed: int = C.RANDOM_SEED,
             tol: float = 1e-4, scale_alphas: bool = True) -> NMFModel:
@@ -134,10 +145,12 @@ def fit_nmf(spark: SparkSession, entries: DataFrame, k: int = C.NUM_FACTORS, max
     train = train.checkpoint()
     users = cells.select("user_id").distinct()
     items = cells.select("product_id").distinct()
-    stats = (cells.agg(F.countDistinct("user_id").alias("nu"), F.countDistinct("product_id").alias("ni")).first())
+    stats = cells.agg(F.countDistinct("user_id").alias("nu"), F.countDistinct("product_id").alias("ni"),
+                      F.sum(F.when(F.col("is_train") if has_split else F.lit(True), F.col("score"))).alias("s"),
+                      F.sum(F.when(F.col("is_train") if has_split else F.lit(True),
+                                   F.col("score") * F.col("score"))).alias("s2")).first()
     n_users, n_items = int(stats["nu"]), int(stats["ni"])
-    tr = train.agg(F.sum("score").alias("s"), F.sum(F.col("score") * F.col("score")).alias("s2")).first()
-    sum_r, sum_r2 = float(tr["s"] or 0.0), float(tr["s2"] or 0.0)
+    sum_r, sum_r2 = float(stats["s"] or 0.0), float(stats["s2"] or 0.0)
     lw = alpha_w * (n_items if scale_alphas else 1.0)
     lh = alpha_h * (n_users if scale_alphas else 1.0)
     scale = float(np.sqrt(max(sum_r, 1e-12) / max(n_users * n_items, 1) / k))
@@ -153,18 +166,18 @@ def fit_nmf(spark: SparkSession, entries: DataFrame, k: int = C.NUM_FACTORS, max
     for it in range(1, max_iter + 1):
         # H step: per product, b = sum_u r_up w_u; solve with W'W + lh I.
         sums_h = _weighted_sums(train, W, "user_id", "product_id")
-        H = _solve_side(sums_h, "product_id", GW, lh).select("product_id", "factors").checkpoint()
+        H = _keep(_solve_side(sums_h, "product_id", GW, lh).select("product_id", "factors"))
         GH, _ = gram(H, k)
         # W step: per user, b = sum_p r_up h_p; solve with H H' + lw I.
         sums_w = _weighted_sums(train, H, "product_id", "user_id")
-        W = _solve_side(sums_w, "user_id", GH, lw).checkpoint()
+        W = _keep(_solve_side(sums_w, "user_id", GH, lw))
         GW, wb = gram(W, k, with_wb=True)
         fit = sum_r2 - 2.0 * wb + float(np.sum(GW * GH))
         loss = 0.5 * fit + 0.5 * lw * float(np.trace(GW)) + 0.5 * lh * float(np.trace(GH))
         losses.append(loss)
-        W = W.select("user_id", "factors")
         if len(losses) > 1 and (losses[-2] - loss) <= tol * max(abs(losses[-2]), 1e-12):
             break
+    W = W.select("user_id", "factors")
     # Users / products without training cells get zero factors (their cells are all 0 in training).
     W = users.join(W, "user_id", "left").select("user_id", F.coalesce("factors", zeros).alias("factors"))
     H = items.join(H, "product_id", "left").select("product_id", F.coalesce("factors", zeros).alias("factors"))
