@@ -46,14 +46,19 @@ def nnls_rows(G: np.ndarray, B: np.ndarray, sweeps: int = 60, tol: float = 1e-10
     start from the clipped unconstrained solution, then cyclic coordinate descent on all rows at once."""
     if B.shape[0] == 0:
         return B.copy()
-    W = np.maximum(np.linalg.solve(G, B.T).T, 0.0)
+    k = G.shape[0]
+    ridge = 1e-10 * max(float(np.trace(G)) / k, 1.0)     # only for the start: G may be singular
+    W = np.maximum(np.linalg.solve(G + ridge * np.eye(k), B.T).T, 0.0)
     diag = np.diag(G)
     for _ in range(sweeps):
         delta = 0.0
-        for j in range(G.shape[0]):
+        for j in range(k):
+            if diag[j] <= 0.0:          # a factor unused by every row: its coordinate stays 0
+                W[:, j] = 0.0
+                continue
             grad = W @ G[:, j] - B[:, j]
             new = np.maximum(0.0, W[:, j] - grad / diag[j])
-            delta = max(delta, float(np.max(np.abs(new - W[:, j]))) if len(new) else 0.0)
+            delta = max(delta, float(np.max(np.abs(new - W[:, j]))))
             W[:, j] = new
         if delta < tol:
             break
