@@ -17,8 +17,13 @@ step is
 3. a k x k Gram matrix of the new factors, summed per partition and then across partitions.
 
 Only k x k matrices and scalars reach the driver. The loss comes from the Grams:
-||R - WH||^2 = sum r^2 - 2 sum_u w_u . b_u + trace((W'W)(HH')). Factor tables are checkpointed
-each iteration into the session's checkpoint folder, which cuts the lineage.
+||R - WH||^2 = sum r^2 - 2 sum_u w_u . b_u + trace((W'W)(HH')).
+
+Data movement: the training triplets are written once as two tables bucketed by user and by
+product (in the checkpoint folder), so the per-iteration joins move only the factor side (or
+broadcast it when AQE finds it small); the triplets themselves are never reshuffled. The per-key
+sums shuffle partial vectors only. Factor tables are persisted, written as a reliable checkpoint
+each iteration (the write reads the cache) and un-cached, which cuts plan and lineage.
 
 Regularisation: with ``scale_alphas`` the penalties are alpha_W * n_products and alpha_H * n_users,
 the scaling the reference's library applies to its alphas; the objective is then the same, the
@@ -27,6 +32,7 @@ solution need not be (other start, other solver).
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -123,6 +129,16 @@ class NMFModel:
     reconstruction_error: float = float("nan")
 
 
+def _bucketed(spark: SparkSession, df: DataFrame, key: str, buckets: int, tag: str) -> DataFrame:
+    """Write ``df`` once as a table bucketed by ``key`` in the checkpoint folder and read it back.
+    A bucketed scan is hash-partitioned by ``key``, so every later join on ``key`` moves only the
+    other (factor) side: the triplets are shuffled once for the whole fit, not once per iteration."""
+    name = f"shelfrank_nmf_{key}_{tag}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
+    df.write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def _keep(df: DataFrame) -> DataFrame:
     """Materialise a factor table once and cut its plan: persist, write a reliable checkpoint (the
     write reads the cached rows instead of recomputing the solve), then drop the cache. Cutting
@@ -147,7 +163,10 @@ def fit_nmf(spark: SparkSession, entries: DataFrame, k: int = C.NUM_FACTORS, max
     cells = entries.select("user_id", "product_id", F.col("final_score").alias("score"),
                            *(["is_train"] if has_split else []))
     train = (cells.filter("is_train") if has_split else cells).select("user_id", "product_id", "score")
-    train = train.checkpoint()
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tag = uuid.uuid4().hex[:12]
+    by_user = _bucketed(spark, train, "user_id", buckets, tag)
+    by_product = _bucketed(spark, train, "product_id", buckets, tag)
     users = cells.select("user_id").distinct()
     items = cells.select("product_id").distinct()
     stats = cells.agg(F.countDistinct("user_id").alias("nu"), F.countDistinct("product_id").alias("ni"),
@@ -170,11 +189,11 @@ def fit_nmf(spark: SparkSession, entries: DataFrame, k: int = C.NUM_FACTORS, max
     it = 0
     for it in range(1, max_iter + 1):
         # H step: per product, b = sum_u r_up w_u; solve with W'W + lh I.
-        sums_h = _weighted_sums(train, W, "user_id", "product_id")
+        sums_h = _weighted_sums(by_user, W, "user_id", "product_id")
         H = _keep(_solve_side(sums_h, "product_id", GW, lh).select("product_id", "factors"))
         GH, _ = gram(H, k)
         # W step: per user, b = sum_p r_up h_p; solve with H H' + lw I.
-        sums_w = _weighted_sums(train, H, "product_id", "user_id")
+        sums_w = _weighted_sums(by_product, H, "product_id", "user_id")
         W = _keep(_solve_side(sums_w, "user_id", GH, lw))
         GW, wb = gram(W, k, with_wb=True)
         fit = sum_r2 - 2.0 * wb + float(np.sum(GW * GH))
