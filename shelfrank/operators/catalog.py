@@ -156,3 +156,9 @@ def category_listing(products: DataFrame, category: str | None = None) -> DataFr
     base = products if category is None else products.filter(F.col("category") == category)
     counts = base.groupBy("category").agg(F.count("*").alias("category_count"))
     return base.select("product_id", "product_name", "category", "price", "avg_rating").join(counts, "category")
+
+
+def similar_for_ids(similar: DataFrame, ids, column: str = "source_product_id") -> DataFrame:
+    """The lists of the given source products only (an IN-list filter, pushed down when the
+    list reads from a file)."""
+    return similar.filter(F.col(column).isin(list(ids)))

@@ -278,3 +278,43 @@ def personal_feed(slots: DataFrame, similar: DataFrame, complementary: DataFrame
         "picked", F.when(F.size("picked") < pad_below, F.aggregate("pops", F.col("picked"), pad)).otherwise(F.col("picked")))
     return (padded.select("user_id", F.posexplode(F.slice("picked", 1, size)).alias("pos0", "product_id"))
             .select("user_id", (F.col("pos0") + 1).alias("position"), "product_id"))
+
+
+def feed_candidates(slots: DataFrame, similar: DataFrame, complementary: DataFrame, user_cats: DataFrame,
+                    popular: DataFrame) -> DataFrame:
+    """Every user's candidate products from several sources, first occurrence wins: similar
+    lists of the anchors (source 0), their complementary lists (source 1), then popular products of
+    the user's categories (source 2); order = (source, anchor weight rank / category order, rank).
+    The user's own anchors are not candidates."""
+    a = slots.select("user_id", F.col("product_id").alias("anchor_id"), "weight_rank")
+    sim = a.join(similar.select(F.col("source_product_id").alias("anchor_id"), F.col("sim_rank").alias("cand_rank"),
+                                F.col("similar_product_id").alias("product_id")), "anchor_id")
+    comp = a.join(complementary.select(F.col("source_product_id").alias("anchor_id"), F.col("comp_rank").alias("cand_rank"),
+                                       F.col("comp_product_id").alias("product_id")), "anchor_id")
+    pop = (user_cats.join(a.select("user_id").distinct(), "user_id", "left_semi")
+           .select("user_id", F.posexplode("categories").alias("weight_rank", "category"))
+           .join(popular.filter(F.col("category").isNotNull())
+                 .select("category", F.col("rank").alias("cand_rank"), "product_id"), "category"))
+    u = (sim.select("user_id", "product_id", F.lit(0).alias("source"), "weight_rank", "cand_rank")
+         .unionByName(comp.select("user_id", "product_id", F.lit(1).alias("source"), "weight_rank", "cand_rank"))
+         .unionByName(pop.select("user_id", "product_id", F.lit(2).alias("source"), "weight_rank", "cand_rank")))
+    u = u.join(slots.select("user_id", "product_id"), ["user_id", "product_id"], "left_anti")
+    first = Window.partitionBy("user_id", "product_id").orderBy("source", "weight_rank", "cand_rank")
+    return (u.withColumn("_f", F.row_number().over(first)).filter("_f = 1").drop("_f"))
+
+
+def feed_explanation(influencers: DataFrame) -> DataFrame:
+    """per user the names of the top influencing products, in influence order, as one text."""
+    g = influencers.groupBy("user_id").agg(
+        F.array_sort(F.collect_list(F.struct("influence_rank", "product_name"))).alias("_n"))
+    return g.select("user_id", F.array_join(F.transform("_n", lambda s: s["product_name"]), ", ").alias("influenced_by"))
+
+
+def user_product_detail(detail: DataFrame, requests: DataFrame, wishlist: DataFrame, cart: DataFrame) -> DataFrame:
+    """product detail for (user_id, product_id) requests with the user's wishlist and cart flags."""
+    wl = wishlist.select("user_id", "product_id", F.lit(True).alias("in_wishlist"))
+    ct = cart.select("user_id", "product_id", F.lit(True).alias("in_cart"))
+    return (requests.select("user_id", "product_id").distinct()
+            .join(detail, "product_id")
+            .join(wl, ["user_id", "product_id"], "left").join(ct, ["user_id", "product_id"], "left")
+            .fillna(False, subset=["in_wishlist", "in_cart"]))

@@ -573,3 +573,36 @@ SELECT min(final_score) AS min_score, max(final_score) AS max_score, {R2('avg(fi
   {R2('stddev_samp(final_score)')} AS stddev_score
 FROM o_scores"""),
 })
+
+ORACLE.update({
+    "feed_candidates": with_adapters(f"""
+WITH {ctes(HISTORY_CTE, CATEGORY_CTE, POPULARITY_CTE, STATS_CTE, SIMILAR_CTE, COMP_MAP_CTE, COMPLEMENTARY_CTE)},
+anchors AS (SELECT user_id, product_id AS anchor_id, weight_rank FROM slots),
+u AS (
+  SELECT a.user_id, s.similar_product_id AS product_id, 0 AS source, a.weight_rank, s.sim_rank AS cand_rank
+  FROM anchors a JOIN sim_list s ON s.source_product_id = a.anchor_id
+  UNION ALL
+  SELECT a.user_id, c.comp_product_id, 1, a.weight_rank, c.comp_rank
+  FROM anchors a JOIN complementary c ON c.source_product_id = a.anchor_id
+  UNION ALL
+  SELECT r.user_id, p.product_id, 2, r.cat_order, p.rank
+  FROM ucat_rows r JOIN popular p ON p.category = r.category
+  WHERE r.user_id IN (SELECT user_id FROM anchors) AND p.category IS NOT NULL),
+u2 AS (SELECT * FROM u WHERE NOT EXISTS (SELECT 1 FROM anchors a WHERE a.user_id = u.user_id AND a.anchor_id = u.product_id))
+SELECT user_id, product_id, source, weight_rank, cand_rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, product_id ORDER BY source, weight_rank, cand_rank) AS f FROM u2) x
+WHERE f = 1"""),
+    "feed_explanation": with_adapters(f"""
+WITH {ctes(HISTORY_CTE)}
+SELECT s.user_id, string_agg(p.product_name, ', ' ORDER BY s.weight_rank) AS influenced_by
+FROM slots s JOIN products p ON s.product_id = p.product_id WHERE s.weight_rank <= 3 GROUP BY s.user_id"""),
+    "user_product_detail": with_adapters(f"""
+WITH {ctes(HISTORY_CTE, TOGGLE_CTE, STATS_CTE, SIMILAR_CTE, COMP_MAP_CTE, COMPLEMENTARY_CTE, DETAIL_CTE)},
+req AS (SELECT DISTINCT user_id, product_id FROM history)
+SELECT r.user_id, r.product_id, p.product_name, coalesce(s.similar_ids, '') AS similar_ids,
+  coalesce(c.complementary_ids, '') AS complementary_ids,
+  EXISTS (SELECT 1 FROM tog_state t WHERE t.action = 'like_toggle' AND t.user_id = r.user_id AND t.product_id = r.product_id) AS in_wishlist,
+  EXISTS (SELECT 1 FROM tog_state t WHERE t.action = 'cart_toggle' AND t.user_id = r.user_id AND t.product_id = r.product_id) AS in_cart
+FROM req r JOIN products p ON r.product_id = p.product_id
+LEFT JOIN sim_ids s ON r.product_id = s.product_id LEFT JOIN comp_ids c ON r.product_id = c.product_id"""),
+})

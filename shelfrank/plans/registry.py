@@ -542,3 +542,25 @@ def q_order_log_popular(spark, d):
 @register("order_log_matrix_stats")
 def q_order_log_matrix_stats(spark, d):
     return profile.score_stats(matrix.user_product_matrix(order_log(spark, d)))
+
+
+@register("feed_candidates")
+def q_feed_candidates(spark, d):
+    inp = feed_inputs(spark, d)
+    return feed.feed_candidates(inp["slots"], inp["similar"], inp["complementary"], inp["user_cats"], inp["popular"])
+
+
+@register("feed_explanation")
+def q_feed_explanation(spark, d):
+    return feed.feed_explanation(feed.top_influencers(slots_of(spark, d), clean_catalog(spark, d)))
+
+
+@register("user_product_detail")
+def q_user_product_detail(spark, d):
+    ps = prod_stats(spark, d)
+    det = feed.product_detail(clean_catalog(spark, d), catalog.similar_products(ps),
+                              catalog.complementary_products(ps, td.complementary_map(spark, d)))
+    t, r = td.toggles(spark, d), td.resets(spark, d)
+    out = feed.user_product_detail(det, history(spark, d), state.wishlist_state(t, r), state.cart_state(t, r))
+    return out.select("user_id", "product_id", "product_name", F.array_join("similar_ids", ",").alias("similar_ids"),
+                      F.array_join("complementary_ids", ",").alias("complementary_ids"), "in_wishlist", "in_cart")

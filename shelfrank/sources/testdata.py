@@ -164,3 +164,12 @@ def load(spark: SparkSession, sf_dir: str) -> Tables:
     return Tables(users(spark, sf_dir), products(spark, sf_dir), interactions(spark, sf_dir),
                   complementary_map(spark, sf_dir), toggles(spark, sf_dir), resets(spark, sf_dir),
                   preference_updates(spark, sf_dir))
+
+
+def complementary_map_from_dict(spark: SparkSession, mapping: dict | None = None) -> DataFrame:
+    """The (source, target) sub-category relation from a literal map (by default the reference
+    catalogue's), one row per pair, in the map's order."""
+    from shelfrank.functions.constants import COMPLEMENTARY_SUBCATEGORIES
+    m = COMPLEMENTARY_SUBCATEGORIES if mapping is None else mapping
+    rows = [(src, tgt) for src, targets in m.items() for tgt in targets]
+    return spark.createDataFrame(rows, "source_sub_category string, target_sub_category string")

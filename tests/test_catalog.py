@@ -103,3 +103,11 @@ def test_search(spark):
     assert {r.product_id for r in catalog.product_search(p, "bolt", ["A"]).collect()} == {1}
     assert catalog.product_search(p, "   ").count() == 0
     assert catalog.product_search(p, "zzz").count() == 0
+
+
+def test_literal_map_and_in_list(spark):
+    m = td.complementary_map_from_dict(spark)
+    assert m.count() == 76 and m.select("source_sub_category").distinct().count() == 30
+    sim = catalog.similar_products(R.prod_stats(spark, SF01))
+    got = catalog.similar_for_ids(sim, [1, 2, 3])
+    assert {r.source_product_id for r in got.collect()} == {1, 2, 3}

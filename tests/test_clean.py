@@ -52,3 +52,14 @@ def test_csv_round_trip(spark):
     files.write_csv(raw, out)
     back = files.read_interactions(spark, out)
     assert back.exceptAll(raw).count() == 0 and raw.exceptAll(back).count() == 0
+
+
+def test_users_and_products_csv(spark):
+    users = files.read_users(spark, write("user_id,age_group,location,preferred_category,membership_type,signup_date\n"
+                                          "1,18-24,X,Books,Gold,2024-01-01\n,25-34,Y,Books,Free,2024-01-02\n"))
+    assert [r.user_id for r in clean.clean_users(users).collect()] == [1]
+    prods = files.read_products(spark, write(
+        "product_id,product_name,category,sub_category,brand,price,price_range,avg_rating,rating_count,stock\n"
+        "1,A Pro Laptop,Electronics,Laptops,A,3.3,Budget,4.5,100,5\n2,,Books,Fiction,B,1.0,Budget,4.0,10,1\n"))
+    got = clean.clean_products(prods).collect()
+    assert len(got) == 1 and got[0].price == 3.3          # read as double: no float widening (T6)
