@@ -50,6 +50,8 @@ interactions AS (
 def with_adapters(body: str) -> str:
     """Prefix a query (``<more ctes> SELECT ...``) with the adapter CTEs."""
     body = body.strip()
+    if body.upper().startswith("WITH RECURSIVE "):
+        return "WITH RECURSIVE " + ADAPTERS.strip() + ",\n" + body[15:]
     if body.upper().startswith("WITH "):
         return "WITH " + ADAPTERS.strip() + ",\n" + body[5:]
     return "WITH " + ADAPTERS.strip() + "\n" + body
@@ -606,3 +608,60 @@ SELECT r.user_id, r.product_id, p.product_name, coalesce(s.similar_ids, '') AS s
 FROM req r JOIN products p ON r.product_id = p.product_id
 LEFT JOIN sim_ids s ON r.product_id = s.product_id LEFT JOIN comp_ids c ON r.product_id = c.product_id"""),
 })
+
+# The greedy fill (F3) and the popular pad (F4) as recursive CTEs: one step per candidate.
+FEED_CTE = """
+anchors_l AS (SELECT user_id, list(product_id) AS anchors FROM slots GROUP BY user_id),
+cand0 AS (
+  SELECT s.user_id, s.weight_rank * 2 + 0 AS key, l.sim_rank AS cand_rank, l.similar_product_id AS pid, s.sim_slots AS quota
+  FROM slots s JOIN sim_list l ON l.source_product_id = s.product_id
+  UNION ALL
+  SELECT s.user_id, s.weight_rank * 2 + 1, l.comp_rank, l.comp_product_id, s.comp_slots
+  FROM slots s JOIN complementary l ON l.source_product_id = s.product_id),
+cand AS (
+  SELECT c.*, EXISTS (SELECT 1 FROM products p JOIN ucat_rows r ON r.category = p.category
+                      WHERE p.product_id = c.pid AND r.user_id = c.user_id) AS ok,
+    row_number() OVER (PARTITION BY c.user_id ORDER BY c.key, c.cand_rank) AS idx
+  FROM cand0 c),
+fold AS (
+  SELECT user_id, CAST(0 AS BIGINT) AS idx, CAST([] AS BIGINT[]) AS picked, -1 AS cur_key, 0 AS used, anchors FROM anchors_l
+  UNION ALL
+  SELECT f.user_id, f.idx + 1,
+    CASE WHEN (CASE WHEN c.key <> f.cur_key THEN 0 ELSE f.used END) < c.quota AND c.ok
+              AND NOT list_contains(f.anchors, c.pid) AND NOT list_contains(f.picked, c.pid)
+         THEN list_append(f.picked, c.pid) ELSE f.picked END,
+    c.key,
+    CASE WHEN (CASE WHEN c.key <> f.cur_key THEN 0 ELSE f.used END) < c.quota AND c.ok
+              AND NOT list_contains(f.anchors, c.pid) AND NOT list_contains(f.picked, c.pid)
+         THEN (CASE WHEN c.key <> f.cur_key THEN 0 ELSE f.used END) + 1
+         ELSE (CASE WHEN c.key <> f.cur_key THEN 0 ELSE f.used END) END,
+    f.anchors
+  FROM fold f JOIN cand c ON c.user_id = f.user_id AND c.idx = f.idx + 1),
+filled AS (SELECT user_id, picked, anchors FROM (
+             SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY idx DESC) AS r FROM fold) x WHERE r = 1),
+pops AS (
+  SELECT r.user_id, p.product_id AS pid,
+    row_number() OVER (PARTITION BY r.user_id ORDER BY r.cat_order, p.rank) AS idx
+  FROM ucat_rows r JOIN popular p ON p.category = r.category
+  WHERE p.category IS NOT NULL AND r.user_id IN (SELECT user_id FROM filled WHERE len(picked) < 6)),
+padf AS (
+  SELECT user_id, CAST(0 AS BIGINT) AS idx, picked, anchors FROM filled WHERE len(picked) < 6
+  UNION ALL
+  SELECT f.user_id, f.idx + 1,
+    CASE WHEN len(f.picked) < 14 AND NOT list_contains(f.anchors, p.pid) AND NOT list_contains(f.picked, p.pid)
+         THEN list_append(f.picked, p.pid) ELSE f.picked END,
+    f.anchors
+  FROM padf f JOIN pops p ON p.user_id = f.user_id AND p.idx = f.idx + 1),
+padded AS (SELECT user_id, picked FROM (
+             SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY idx DESC) AS r FROM padf) x WHERE r = 1),
+final_feed AS (
+  SELECT user_id, picked FROM filled WHERE len(picked) >= 6
+  UNION ALL SELECT user_id, picked FROM padded)
+"""
+
+ORACLE["personal_feed"] = with_adapters(f"""
+WITH RECURSIVE {ctes(HISTORY_CTE, CATEGORY_CTE, POPULARITY_CTE, STATS_CTE, SIMILAR_CTE, COMP_MAP_CTE, COMPLEMENTARY_CTE, FEED_CTE)}
+SELECT user_id, CAST(position AS INTEGER) AS position, product_id FROM (
+  SELECT user_id, unnest(generate_series(1, len(picked))) AS position, unnest(picked) AS product_id
+  FROM (SELECT user_id, picked[1:14] AS picked FROM final_feed) z) y""")
+ORACLE["stream_personal_feed"] = ORACLE["personal_feed"]
