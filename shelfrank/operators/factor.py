@@ -22,8 +22,9 @@ Only k x k matrices and scalars reach the driver. The loss comes from the Grams:
 Data movement: the training triplets are written once as two tables bucketed by user and by
 product (in the checkpoint folder), so the per-iteration joins move only the factor side (or
 broadcast it when AQE finds it small); the triplets themselves are never reshuffled. The per-key
-sums shuffle partial vectors only. Factor tables are persisted, written as a reliable checkpoint
-each iteration (the write reads the cache) and un-cached, which cuts plan and lineage.
+sums shuffle partial vectors only. Each solve is written as a table in the checkpoint folder and read
+back (one job per half step; cuts plan and lineage); its tasks also emit their partial Gram rows,
+so the Gram costs an aggregate over a handful of rows.
 
 Regularisation: with ``scale_alphas`` the penalties are alpha_W * n_products and alpha_H * n_users,
 the scaling the reference's library applies to its alphas; the objective is then the same, the
@@ -72,16 +73,34 @@ def nnls_rows(G: np.ndarray, B: np.ndarray, sweeps: int = 60, tol: float = 1e-10
 
 
 def _solve_side(sums: DataFrame, key: str, gram: np.ndarray, reg: float) -> DataFrame:
-    """sums: (key, b array<double>) -> (key, factors array<double>, wb double = w . b)."""
-    G = gram + reg * np.eye(gram.shape[0])
+    """sums: (key, b array<double>) -> (key, factors array<double>) rows, plus one row per task with
+    a null key whose ``factors`` hold that task's partial F'F (k*k values) and sum of w . b: the Gram
+    of the new factors comes out of the same pass."""
+    k = gram.shape[0]
+    G = gram + reg * np.eye(k)
 
     def solve(batches):
+        acc = np.zeros(k * k + 1)
         for pdf in batches:
-            B = np.array(pdf["b"].tolist(), dtype=np.float64).reshape(len(pdf), G.shape[0])
+            B = np.array(pdf["b"].tolist(), dtype=np.float64).reshape(len(pdf), k)
             W = nnls_rows(G, B)
-            yield pd.DataFrame({key: pdf[key].values, "factors": list(W), "wb": np.einsum("ij,ij->i", W, B)})
+            acc[:-1] += (W.T @ W).ravel()
+            acc[-1] += float(np.einsum("ij,ij->", W, B))
+            yield pd.DataFrame({key: pdf[key].values, "factors": list(W)})
+        yield pd.DataFrame({key: pd.array([None], dtype="Int64"), "factors": [acc]})
+
+    return sums.mapInPandas(solve, f"{key} long, factors array<double>")
 
-    return sums.mapInPandas(solve, f"{key} long, factors array<double>, wb double")
+
+def _store(spark: SparkSession, solved: DataFrame, key: str, path: str, k: int):
+    """Write one solve as a table in the checkpoint folder (one job; cuts plan and lineage) and
+    return (factor rows, Gram, sum of w . b) -- the Gram from the few partial rows only."""
+    solved.write.parquet(path)
+    stored = spark.read.parquet(path)
+    parts = stored.filter(F.col(key).isNull())
+    total = parts.agg(vector_to_array(Summarizer.sum(array_to_vector(F.col("factors")))).alias("g")).first()["g"]
+    arr = np.array(total, dtype=np.float64)
+    return stored.filter(F.col(key).isNotNull()), arr[:-1].reshape(k, k), float(arr[-1])
 
 
 def _weighted_sums(triplets: DataFrame, factors: DataFrame, join_key: str, group_key: str) -> DataFrame:
@@ -129,26 +148,15 @@ class NMFModel:
     reconstruction_error: float = float("nan")
 
 
-def _bucketed(spark: SparkSession, df: DataFrame, key: str, buckets: int, tag: str) -> DataFrame:
+def _bucketed(spark: SparkSession, df: DataFrame, key: str, buckets: int, base: str) -> DataFrame:
     """Write ``df`` once as a table bucketed by ``key`` in the checkpoint folder and read it back.
     A bucketed scan is hash-partitioned by ``key``, so every later join on ``key`` moves only the
     other (factor) side: the triplets are shuffled once for the whole fit, not once per iteration."""
-    name = f"shelfrank_nmf_{key}_{tag}"
-    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
-    df.write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    name = f"{base.rsplit('/', 1)[-1]}_by_{key}"
+    df.write.bucketBy(buckets, key).sortBy(key).option("path", f"{base}/by_{key}").saveAsTable(name)
     return spark.table(name)
 
 
-def _keep(df: DataFrame) -> DataFrame:
-    """Materialise a factor table once and cut its plan: persist, write a reliable checkpoint (the
-    write reads the cached rows instead of recomputing the solve), then drop the cache. Cutting
-    every iteration keeps the plan from nesting all earlier iterations."""
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    kept = cached.checkpoint(eager=True)
-    cached.unpersist()
-    return kept
-
-
 def fit_nmf(spark: SparkSession, entries: DataFrame, k: int = C.NUM_FACTORS, max_iter: int = C.MAX_ITERATIONS,
             alpha_w: float = C.ALPHA_W, alpha_h: float = C.ALPHA_H, seed: int = C.RANDOM_SEED,
             tol: float = 1e-4, scale_alphas: bool = True) -> NMFModel:
@@ -158,29 +166,34 @@ def fit_nmf(spark: SparkSession, entries: DataFrame, k: int = C.NUM_FACTORS, max
     sums) and the user / product still gets a factor row. Stops after ``max_iter`` iterations or
     when the relative loss decrease falls below ``tol``.
     """
-    checkpoint_dir(spark)
+    base = f"{checkpoint_dir(spark).rstrip('/')}/shelfrank_nmf_{uuid.uuid4().hex[:12]}"
     has_split = "is_train" in entries.columns
     cells = entries.select("user_id", "product_id", F.col("final_score").alias("score"),
                            *(["is_train"] if has_split else []))
+    cells = cells.persist(StorageLevel.MEMORY_AND_DISK)      # setup reads it several times
     train = (cells.filter("is_train") if has_split else cells).select("user_id", "product_id", "score")
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tag = uuid.uuid4().hex[:12]
-    by_user = _bucketed(spark, train, "user_id", buckets, tag)
-    by_product = _bucketed(spark, train, "product_id", buckets, tag)
-    users = cells.select("user_id").distinct()
-    items = cells.select("product_id").distinct()
+    by_user = _bucketed(spark, train, "user_id", buckets, base)
+    by_product = _bucketed(spark, train, "product_id", buckets, base)
+    is_train = F.col("is_train") if has_split else F.lit(True)
     stats = cells.agg(F.countDistinct("user_id").alias("nu"), F.countDistinct("product_id").alias("ni"),
-                      F.sum(F.when(F.col("is_train") if has_split else F.lit(True), F.col("score"))).alias("s"),
-                      F.sum(F.when(F.col("is_train") if has_split else F.lit(True),
-                                   F.col("score") * F.col("score"))).alias("s2")).first()
+                      F.sum(F.when(is_train, F.col("score"))).alias("s"),
+                      F.sum(F.when(is_train, F.col("score") * F.col("score"))).alias("s2")).first()
     n_users, n_items = int(stats["nu"]), int(stats["ni"])
     sum_r, sum_r2 = float(stats["s"] or 0.0), float(stats["s2"] or 0.0)
     lw = alpha_w * (n_items if scale_alphas else 1.0)
     lh = alpha_h * (n_users if scale_alphas else 1.0)
     scale = float(np.sqrt(max(sum_r, 1e-12) / max(n_users * n_items, 1) / k))
 
+    # Every user and product of the matrix gets a factor row; ids kept as tables, then the cache goes.
+    cells.select("user_id").distinct().write.parquet(f"{base}/users")
+    cells.select("product_id").distinct().write.parquet(f"{base}/items")
+    cells.unpersist()
+    users, items = spark.read.parquet(f"{base}/users"), spark.read.parquet(f"{base}/items")
+
     zeros = F.array_repeat(F.lit(0.0), k)
-    W = hashed_start(users, "user_id", k, scale, seed).checkpoint()
+    hashed_start(users, "user_id", k, scale, seed).write.parquet(f"{base}/w0")
+    W = spark.read.parquet(f"{base}/w0")
     GW, _ = gram(W, k)
     H = None
     GH = None
@@ -190,18 +203,15 @@ def fit_nmf(spark: SparkSession, entries: DataFrame, k: int = C.NUM_FACTORS, max
     for it in range(1, max_iter + 1):
         # H step: per product, b = sum_u r_up w_u; solve with W'W + lh I.
         sums_h = _weighted_sums(by_user, W, "user_id", "product_id")
-        H = _keep(_solve_side(sums_h, "product_id", GW, lh).select("product_id", "factors"))
-        GH, _ = gram(H, k)
+        H, GH, _ = _store(spark, _solve_side(sums_h, "product_id", GW, lh), "product_id", f"{base}/h{it}", k)
         # W step: per user, b = sum_p r_up h_p; solve with H H' + lw I.
         sums_w = _weighted_sums(by_product, H, "product_id", "user_id")
-        W = _keep(_solve_side(sums_w, "user_id", GH, lw))
-        GW, wb = gram(W, k, with_wb=True)
+        W, GW, wb = _store(spark, _solve_side(sums_w, "user_id", GH, lw), "user_id", f"{base}/w{it}", k)
         fit = sum_r2 - 2.0 * wb + float(np.sum(GW * GH))
         loss = 0.5 * fit + 0.5 * lw * float(np.trace(GW)) + 0.5 * lh * float(np.trace(GH))
         losses.append(loss)
         if len(losses) > 1 and (losses[-2] - loss) <= tol * max(abs(losses[-2]), 1e-12):
             break
-    W = W.select("user_id", "factors")
     # Users / products without training cells get zero factors (their cells are all 0 in training).
     W = users.join(W, "user_id", "left").select("user_id", F.coalesce("factors", zeros).alias("factors"))
     H = items.join(H, "product_id", "left").select("product_id", F.coalesce("factors", zeros).alias("factors"))
