@@ -1,13 +1,26 @@
-"""Registered queries: name -> callable(spark, sf_dir) -> DataFrame, over the adapter tables."""
+"""Registered queries: name -> callable(spark, sf_dir) -> DataFrame, over the adapter tables.
+
+Each query builds one ``Ctx``. Its inputs (clean log, catalogue, history, lists, ...) are built
+once per query and shared by every operator that needs them. The plan then holds one subtree per
+input, which Spark can reuse, not one copy per consumer.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfrank.operators import catalog, clean
+from shelfrank.functions import columns as fx
+from shelfrank.functions import constants as C
+from shelfrank.operators import (baseline, catalog, clean, evaluate, factor, feed, matrix, profile, recommend,
+                                 state)
+from shelfrank.sources import export, lookup
 from shelfrank.sources import testdata as td
+from shelfrank.streaming import refresh, runner
+from shelfrank.streaming import user_state as us
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -20,320 +33,451 @@ def register(name: str):
     return deco
 
 
-def clean_log(spark: SparkSession, d: str) -> DataFrame:
-    return clean.clean_interactions(td.interactions(spark, d))
+class Ctx:
+    """The engine tables of one sf folder, each built once (lazily) and shared."""
 
+    def __init__(self, spark: SparkSession, d: str):
+        self.spark, self.d = spark, d
 
-def clean_catalog(spark: SparkSession, d: str) -> DataFrame:
-    return clean.clean_products(td.products(spark, d))
+    @cached_property
+    def raw_log(self) -> DataFrame:
+        return td.interactions(self.spark, self.d)
 
+    @cached_property
+    def log(self) -> DataFrame:
+        return clean.clean_interactions(self.raw_log)
 
-@register("popular_by_category")
-def q_popular_by_category(spark, d):
-    return catalog.popular_by_category(clean_catalog(spark, d), clean_log(spark, d))
+    @cached_property
+    def products(self) -> DataFrame:
+        return clean.clean_products(td.products(self.spark, self.d))
 
+    @cached_property
+    def users(self) -> DataFrame:
+        return clean.clean_users(td.users(self.spark, self.d))
 
-from pyspark.sql import functions as F  # noqa: E402
+    @cached_property
+    def cmap(self) -> DataFrame:
+        return td.complementary_map(self.spark, self.d)
 
-from shelfrank.functions import columns as fx  # noqa: E402
-from shelfrank.operators import matrix, profile  # noqa: E402
+    @cached_property
+    def toggles(self) -> DataFrame:
+        return td.toggles(self.spark, self.d)
 
+    @cached_property
+    def resets(self) -> DataFrame:
+        return td.resets(self.spark, self.d)
 
-def prod_stats(spark, d):
-    return catalog.product_engagement(clean_catalog(spark, d), clean_log(spark, d))
+    @cached_property
+    def matrix(self) -> DataFrame:
+        return matrix.user_product_matrix(self.log)
 
+    @cached_property
+    def split(self) -> DataFrame:
+        return matrix.train_test_split(matrix.matrix_input(self.matrix))
 
-def user_matrix(spark, d):
-    return matrix.user_product_matrix(clean_log(spark, d))
+    @cached_property
+    def prod_stats(self) -> DataFrame:
+        return catalog.product_engagement(self.products, self.log)
 
+    @cached_property
+    def similar(self) -> DataFrame:
+        return catalog.similar_products(self.prod_stats)
 
-@register("clean_interactions")
-def q_clean_interactions(spark, d):
-    return clean_log(spark, d)
+    @cached_property
+    def complementary(self) -> DataFrame:
+        return catalog.complementary_products(self.prod_stats, self.cmap)
 
+    @cached_property
+    def popular(self) -> DataFrame:
+        return catalog.popular_by_category(self.products, self.log)
 
-@register("clean_products")
-def q_clean_products(spark, d):
-    return clean_catalog(spark, d)
+    @cached_property
+    def history(self) -> DataFrame:
+        return feed.recent_interactions(self.log, self.resets)
 
+    @cached_property
+    def weights(self) -> DataFrame:
+        return feed.time_decay_weights(self.history, feed.latest_ts(self.log))
 
-@register("clean_users")
-def q_clean_users(spark, d):
-    return clean.clean_users(td.users(spark, d))
+    @cached_property
+    def slots(self) -> DataFrame:
+        return feed.feed_slots(self.weights)
 
+    @cached_property
+    def prefs(self) -> DataFrame:
+        return feed.latest_preferences(td.preference_updates(self.spark, self.d), self.products, self.resets)
 
-@register("interaction_distribution")
-def q_interaction_distribution(spark, d):
-    return profile.value_counts(clean_log(spark, d), "interaction_type")
+    @cached_property
+    def user_cats(self) -> DataFrame:
+        return feed.user_categories(self.users, self.prefs, self.products)
 
+    @cached_property
+    def wishlist(self) -> DataFrame:
+        return state.wishlist_state(self.toggles, self.resets)
 
-@register("category_counts")
-def q_category_counts(spark, d):
-    return profile.value_counts(clean_catalog(spark, d), "category")
+    @cached_property
+    def cart(self) -> DataFrame:
+        return state.cart_state(self.toggles, self.resets)
 
+    @cached_property
+    def detail(self) -> DataFrame:
+        return feed.product_detail(self.products, self.similar, self.complementary)
 
-@register("membership_distribution")
-def q_membership_distribution(spark, d):
-    return profile.value_counts(clean.clean_users(td.users(spark, d)), "membership_type")
+    def feed_inputs(self) -> dict:
+        return dict(slots=self.slots, similar=self.similar, complementary=self.complementary,
+                    products=self.products, user_cats=self.user_cats, popular=self.popular)
 
+    @cached_property
+    def nmf(self):
+        return factor.fit_nmf(self.spark, self.split)
 
-@register("category_profile")
-def q_category_profile(spark, d):
-    return profile.category_profile(clean_catalog(spark, d))
+    @cached_property
+    def recommendations(self) -> DataFrame:
+        m = self.nmf
+        return recommend.recommend_top_n(m.user_factors, m.item_factors, self.split, self.products, m.k)
 
 
-@register("user_product_matrix")
-def q_user_product_matrix(spark, d):
-    m = user_matrix(spark, d)
-    return m.withColumn("interaction_types", F.array_join("interaction_types", ","))
+# Helpers kept for tests and scripts: each builds its own context.
+def clean_log(spark, d):
+    return Ctx(spark, d).log
 
 
-@register("matrix_input")
-def q_matrix_input(spark, d):
-    return matrix.matrix_input(user_matrix(spark, d))
+def clean_catalog(spark, d):
+    return Ctx(spark, d).products
 
 
-@register("score_stats")
-def q_score_stats(spark, d):
-    return profile.score_stats(user_matrix(spark, d))
+def prod_stats(spark, d):
+    return Ctx(spark, d).prod_stats
 
 
-@register("product_popularity")
-def q_product_popularity(spark, d):
-    return catalog.product_popularity(clean_log(spark, d))
+def user_matrix(spark, d):
+    return Ctx(spark, d).matrix
 
 
-@register("product_engagement")
-def q_product_engagement(spark, d):
-    return prod_stats(spark, d)
+def history(spark, d):
+    return Ctx(spark, d).history
 
 
-@register("run_summary")
-def q_run_summary(spark, d):
-    log = clean_log(spark, d)
-    return profile.run_summary(clean.clean_users(td.users(spark, d)), clean_catalog(spark, d),
-                               td.interactions(spark, d), log, matrix.user_product_matrix(log))
+def feed_inputs(spark, d):
+    return Ctx(spark, d).feed_inputs()
 
 
-@register("matrix_shape")
-def q_matrix_shape(spark, d):
-    return matrix.matrix_shape(user_matrix(spark, d))
+def similar_of(spark, d):
+    return Ctx(spark, d).similar
 
 
-@register("interaction_pivot")
-def q_interaction_pivot(spark, d):
-    return matrix.interaction_pivot(clean_log(spark, d))
+def joined(df: DataFrame, *cols: str) -> DataFrame:
+    """Array columns as comma-joined text (for comparisons)."""
+    return df.withColumns({c: F.array_join(c, ",") for c in cols})
 
 
-@register("train_test_split")
-def q_train_test_split(spark, d):
-    return matrix.train_test_split(matrix.matrix_input(user_matrix(spark, d)))
+# ---------------------------------------------------------------- cleaning and profiles
 
+@register("clean_interactions")
+def q_clean_interactions(spark, d):
+    return Ctx(spark, d).log
 
-@register("split_counts")
-def q_split_counts(spark, d):
-    return matrix.split_counts(matrix.train_test_split(matrix.matrix_input(user_matrix(spark, d))))
 
+@register("clean_products")
+def q_clean_products(spark, d):
+    return Ctx(spark, d).products
 
-@register("top_rated")
-def q_top_rated(spark, d):
-    return catalog.top_rated(clean_catalog(spark, d))
 
+@register("clean_users")
+def q_clean_users(spark, d):
+    return Ctx(spark, d).users
 
-SEARCH_QUERY = "  Bolt "
-SEARCH_CATEGORIES = ("ECONOMY", "SMALL")
 
+@register("interaction_distribution")
+def q_interaction_distribution(spark, d):
+    return profile.value_counts(Ctx(spark, d).log, "interaction_type")
 
-@register("product_search")
-def q_product_search(spark, d):
-    return catalog.product_search(clean_catalog(spark, d), SEARCH_QUERY, SEARCH_CATEGORIES).select(
-        "product_id", "product_name", "category", "sub_category", "brand")
 
+@register("category_counts")
+def q_category_counts(spark, d):
+    return profile.value_counts(Ctx(spark, d).products, "category")
 
-@register("category_listing")
-def q_category_listing(spark, d):
-    return catalog.category_listing(clean_catalog(spark, d))
+
+@register("membership_distribution")
+def q_membership_distribution(spark, d):
+    return profile.value_counts(Ctx(spark, d).users, "membership_type")
+
+
+@register("category_profile")
+def q_category_profile(spark, d):
+    return profile.category_profile(Ctx(spark, d).products)
+
+
+@register("run_summary")
+def q_run_summary(spark, d):
+    c = Ctx(spark, d)
+    return profile.run_summary(c.users, c.products, c.raw_log, c.log, c.matrix)
 
 
 @register("interaction_weights")
 def q_interaction_weights(spark, d):
-    raw = td.interactions(spark, d)
-    return (raw.groupBy("interaction_type").agg(F.count("*").alias("n_events"))
+    return (Ctx(spark, d).raw_log.groupBy("interaction_type").agg(F.count("*").alias("n_events"))
             .withColumn("weight", fx.interaction_weight("interaction_type")))
 
 
 @register("price_buckets")
 def q_price_buckets(spark, d):
-    return clean_catalog(spark, d).select("product_id", "price", fx.price_bucket("price").alias("price_bucket"))
+    return Ctx(spark, d).products.select("product_id", "price", fx.price_bucket("price").alias("price_bucket"))
 
 
 @register("rating_sentiment")
 def q_rating_sentiment(spark, d):
-    raw = td.interactions(spark, d)
-    return (raw.select("rating", fx.sentiment_from_rating("rating").alias("review_sentiment"))
+    return (Ctx(spark, d).raw_log.select("rating", fx.sentiment_from_rating("rating").alias("review_sentiment"))
             .groupBy("rating", "review_sentiment").agg(F.count("*").alias("n_events")))
 
 
 @register("session_keys")
 def q_session_keys(spark, d):
-    return clean_log(spark, d).select("event_id", "user_id", "ts", fx.session_key("user_id", "ts").alias("hour_session_id"))
+    return Ctx(spark, d).log.select("event_id", "user_id", "ts",
+                                    fx.session_key("user_id", "ts").alias("hour_session_id"))
 
 
 @register("product_names")
 def q_product_names(spark, d):
-    p = clean_catalog(spark, d)
+    p = Ctx(spark, d).products
     return p.select("product_id", fx.display_name("brand", F.split_part("product_name", F.lit(" "), F.lit(1)),
                                                  "sub_category").alias("display_name"))
 
 
+# ---------------------------------------------------------------- matrix
+
+@register("user_product_matrix")
+def q_user_product_matrix(spark, d):
+    return joined(Ctx(spark, d).matrix, "interaction_types")
+
+
+@register("matrix_input")
+def q_matrix_input(spark, d):
+    return matrix.matrix_input(Ctx(spark, d).matrix)
+
+
+@register("score_stats")
+def q_score_stats(spark, d):
+    return profile.score_stats(Ctx(spark, d).matrix)
+
+
+@register("matrix_shape")
+def q_matrix_shape(spark, d):
+    return matrix.matrix_shape(Ctx(spark, d).matrix)
+
+
+@register("interaction_pivot")
+def q_interaction_pivot(spark, d):
+    return matrix.interaction_pivot(Ctx(spark, d).log)
+
+
+@register("train_test_split")
+def q_train_test_split(spark, d):
+    return Ctx(spark, d).split
+
+
+@register("split_counts")
+def q_split_counts(spark, d):
+    return matrix.split_counts(Ctx(spark, d).split)
+
+
+# ---------------------------------------------------------------- catalogue lists
+
+@register("popular_by_category")
+def q_popular_by_category(spark, d):
+    return Ctx(spark, d).popular
+
+
+@register("product_popularity")
+def q_product_popularity(spark, d):
+    return catalog.product_popularity(Ctx(spark, d).log)
+
+
+@register("product_engagement")
+def q_product_engagement(spark, d):
+    return Ctx(spark, d).prod_stats
+
+
 @register("complementary_map")
 def q_complementary_map(spark, d):
-    return td.complementary_map(spark, d)
+    return Ctx(spark, d).cmap
 
 
 @register("similar_products")
 def q_similar_products(spark, d):
-    return catalog.similar_products(prod_stats(spark, d))
+    return Ctx(spark, d).similar
 
 
 @register("complementary_products")
 def q_complementary_products(spark, d):
-    return catalog.complementary_products(prod_stats(spark, d), td.complementary_map(spark, d))
+    return Ctx(spark, d).complementary
 
 
-from shelfrank.operators import feed, state  # noqa: E402
-
+@register("top_rated")
+def q_top_rated(spark, d):
+    return catalog.top_rated(Ctx(spark, d).products)
 
-def history(spark, d):
-    return feed.recent_interactions(clean_log(spark, d), td.resets(spark, d))
 
+SEARCH_QUERY = "  Bolt "
+SEARCH_CATEGORIES = ("ECONOMY", "SMALL")
 
-def slots_of(spark, d):
-    log = clean_log(spark, d)
-    h = feed.recent_interactions(log, td.resets(spark, d))
-    return feed.feed_slots(feed.time_decay_weights(h, feed.latest_ts(log)))
 
+@register("product_search")
+def q_product_search(spark, d):
+    return catalog.product_search(Ctx(spark, d).products, SEARCH_QUERY, SEARCH_CATEGORIES).select(
+        "product_id", "product_name", "category", "sub_category", "brand")
 
-def prefs(spark, d):
-    return feed.latest_preferences(td.preference_updates(spark, d), clean_catalog(spark, d), td.resets(spark, d))
 
+@register("category_listing")
+def q_category_listing(spark, d):
+    return catalog.category_listing(Ctx(spark, d).products)
 
-def user_cats(spark, d):
-    return feed.user_categories(clean.clean_users(td.users(spark, d)), prefs(spark, d), clean_catalog(spark, d))
 
+# ---------------------------------------------------------------- feed
 
 @register("recent_interactions")
 def q_recent_interactions(spark, d):
-    return history(spark, d)
+    return Ctx(spark, d).history
 
 
 @register("recency_frequency")
 def q_recency_frequency(spark, d):
-    return feed.recency_frequency(history(spark, d))
+    return feed.recency_frequency(Ctx(spark, d).history)
 
 
 @register("time_decay_weights")
 def q_time_decay_weights(spark, d):
-    log = clean_log(spark, d)
-    w = feed.time_decay_weights(history(spark, d), feed.latest_ts(log))
-    return feed.rounded(w, ["hours_ago", "weight"])
+    return feed.rounded(Ctx(spark, d).weights, ["hours_ago", "weight"])
 
 
 @register("feed_slots")
 def q_feed_slots(spark, d):
-    s = slots_of(spark, d)
+    s = Ctx(spark, d).slots
     return feed.rounded(s.select("user_id", "product_id", "weight_rank", "weight", "slots", "sim_slots", "comp_slots"),
                         ["weight"])
 
 
 @register("top_influencers")
 def q_top_influencers(spark, d):
-    return feed.top_influencers(slots_of(spark, d), clean_catalog(spark, d))
+    c = Ctx(spark, d)
+    return feed.top_influencers(c.slots, c.products)
+
+
+@register("feed_explanation")
+def q_feed_explanation(spark, d):
+    c = Ctx(spark, d)
+    return feed.feed_explanation(feed.top_influencers(c.slots, c.products))
 
 
 @register("profile_history")
 def q_profile_history(spark, d):
-    return feed.profile_history(history(spark, d), clean_catalog(spark, d))
+    c = Ctx(spark, d)
+    return feed.profile_history(c.history, c.products)
 
 
 @register("user_top_products")
 def q_user_top_products(spark, d):
-    return feed.user_top_products(clean_log(spark, d))
+    return feed.user_top_products(Ctx(spark, d).log)
 
 
 @register("user_top_category")
 def q_user_top_category(spark, d):
-    return feed.user_top_category(feed.user_top_products(clean_log(spark, d)), clean_catalog(spark, d))
+    c = Ctx(spark, d)
+    return feed.user_top_category(feed.user_top_products(c.log), c.products)
 
 
 @register("latest_preferences")
 def q_latest_preferences(spark, d):
-    return prefs(spark, d).withColumn("categories", F.array_join("categories", ","))
+    return joined(Ctx(spark, d).prefs, "categories")
 
 
 @register("user_categories")
 def q_user_categories(spark, d):
-    return user_cats(spark, d).withColumn("categories", F.array_join("categories", ","))
+    return joined(Ctx(spark, d).user_cats, "categories")
 
 
 @register("cold_start_feed")
 def q_cold_start_feed(spark, d):
-    popular = catalog.popular_by_category(clean_catalog(spark, d), clean_log(spark, d))
-    return feed.cold_start_feed(user_cats(spark, d), popular, history(spark, d))
+    c = Ctx(spark, d)
+    return feed.cold_start_feed(c.user_cats, c.popular, c.history)
 
 
 @register("category_sections")
 def q_category_sections(spark, d):
-    return feed.category_sections(user_cats(spark, d), clean_catalog(spark, d))
+    c = Ctx(spark, d)
+    return feed.category_sections(c.user_cats, c.products)
 
 
 @register("product_detail")
 def q_product_detail(spark, d):
-    ps = prod_stats(spark, d)
-    det = feed.product_detail(clean_catalog(spark, d), catalog.similar_products(ps),
-                              catalog.complementary_products(ps, td.complementary_map(spark, d)))
-    return det.withColumns({"similar_ids": F.array_join("similar_ids", ","),
-                            "complementary_ids": F.array_join("complementary_ids", ",")})
+    return joined(Ctx(spark, d).detail, "similar_ids", "complementary_ids")
+
+
+@register("user_product_detail")
+def q_user_product_detail(spark, d):
+    c = Ctx(spark, d)
+    out = feed.user_product_detail(c.detail, c.history, c.wishlist, c.cart)
+    return joined(out.select("user_id", "product_id", "product_name", "similar_ids", "complementary_ids",
+                             "in_wishlist", "in_cart"), "similar_ids", "complementary_ids")
+
+
+@register("feed_candidates")
+def q_feed_candidates(spark, d):
+    c = Ctx(spark, d)
+    return feed.feed_candidates(c.slots, c.similar, c.complementary, c.user_cats, c.popular)
+
+
+@register("personal_feed")
+def q_personal_feed(spark, d):
+    return feed.personal_feed(**Ctx(spark, d).feed_inputs())
+
+
+@register("unseen_pairs")
+def q_unseen_pairs(spark, d):
+    c = Ctx(spark, d)
+    m = c.matrix
+    cats = c.user_cats.join(m.select("user_id").distinct(), "user_id", "left_semi")
+    cand = cats.select("user_id", F.explode("categories").alias("category")).join(
+        c.popular.select("category", "product_id"), "category")
+    return cand.join(m.select("user_id", "product_id"), ["user_id", "product_id"], "left_anti")
+
 
+@register("baseline_recommender")
+def q_baseline_recommender(spark, d):
+    c = Ctx(spark, d)
+    return baseline.baseline_recommender(c.log, c.products)
+
+
+# ---------------------------------------------------------------- user state
 
 @register("wishlist_state")
 def q_wishlist_state(spark, d):
-    return state.wishlist_state(td.toggles(spark, d), td.resets(spark, d))
+    return Ctx(spark, d).wishlist
 
 
 @register("cart_state")
 def q_cart_state(spark, d):
-    return state.cart_state(td.toggles(spark, d), td.resets(spark, d))
+    return Ctx(spark, d).cart
 
 
 @register("profile_counts")
 def q_profile_counts(spark, d):
-    t, r = td.toggles(spark, d), td.resets(spark, d)
-    return state.profile_counts(state.wishlist_state(t, r), state.cart_state(t, r), history(spark, d))
+    c = Ctx(spark, d)
+    return state.profile_counts(c.wishlist, c.cart, c.history)
 
 
 @register("state_after_reset")
 def q_state_after_reset(spark, d):
-    t, r = td.toggles(spark, d), td.resets(spark, d)
-    return state.state_after_reset(r, state.wishlist_state(t, r), state.cart_state(t, r), history(spark, d))
+    c = Ctx(spark, d)
+    return state.state_after_reset(c.resets, c.wishlist, c.cart, c.history)
 
 
 @register("hourly_sessions")
 def q_hourly_sessions(spark, d):
-    return state.hourly_sessions(clean_log(spark, d))
-
-
-from shelfrank.operators import evaluate, factor, recommend  # noqa: E402
-
+    return state.hourly_sessions(Ctx(spark, d).log)
 
-def split_of(spark, d):
-    return matrix.train_test_split(matrix.matrix_input(user_matrix(spark, d)))
-
-
-def nmf_of(spark, d):
-    ent = split_of(spark, d)
-    return ent, factor.fit_nmf(spark, ent)
 
+# ---------------------------------------------------------------- model
 
 def _factor_text(df, key):
     return df.select(F.col(key).alias("id"), F.array_join(F.transform("factors", lambda x: F.format_number(x, 6)), ",")
@@ -342,138 +486,93 @@ def _factor_text(df, key):
 
 @register("nmf_factors")
 def q_nmf_factors(spark, d):
-    _, m = nmf_of(spark, d)
+    m = Ctx(spark, d).nmf
     return (_factor_text(m.user_factors, "user_id").withColumn("side", F.lit("user"))
             .unionByName(_factor_text(m.item_factors, "product_id").withColumn("side", F.lit("product"))))
 
 
 @register("recommend_top_n")
 def q_recommend_top_n(spark, d):
-    ent, m = nmf_of(spark, d)
-    return recommend.recommend_top_n(m.user_factors, m.item_factors, ent, clean_catalog(spark, d), m.k)
+    return Ctx(spark, d).recommendations
 
 
 @register("model_metrics")
 def q_model_metrics(spark, d):
-    ent, m = nmf_of(spark, d)
-    return evaluate.model_metrics(spark, ent, m)
+    c = Ctx(spark, d)
+    return evaluate.model_metrics(spark, c.split, c.nmf)
 
 
 @register("als_recommendations")
 def q_als_recommendations(spark, d):
-    ent = split_of(spark, d)
-    _, uf, itf = factor.fit_als(ent)
-    return recommend.recommend_top_n(uf, itf, ent, clean_catalog(spark, d), factor.C.NUM_FACTORS)
+    c = Ctx(spark, d)
+    _, uf, itf = factor.fit_als(c.split)
+    return recommend.recommend_top_n(uf, itf, c.split, c.products, C.NUM_FACTORS)
 
 
 @register("error_metrics")
 def q_error_metrics(spark, d):
-    m = evaluate.error_metrics(evaluate.user_mean_predictions(split_of(spark, d)))
+    m = evaluate.error_metrics(evaluate.user_mean_predictions(Ctx(spark, d).split))
     return feed.rounded(m, ["rmse", "mae"])
 
 
-@register("unseen_pairs")
-def q_unseen_pairs(spark, d):
-    m = user_matrix(spark, d)
-    popular = catalog.popular_by_category(clean_catalog(spark, d), clean_log(spark, d))
-    cats = user_cats(spark, d).join(m.select("user_id").distinct(), "user_id", "left_semi")
-    cand = cats.select("user_id", F.explode("categories").alias("category")).join(
-        popular.select("category", "product_id"), "category")
-    return cand.join(m.select("user_id", "product_id"), ["user_id", "product_id"], "left_anti")
-
-
-def feed_inputs(spark, d):
-    log = clean_log(spark, d)
-    cat = clean_catalog(spark, d)
-    ps = catalog.product_engagement(cat, log)
-    return dict(slots=slots_of(spark, d), similar=catalog.similar_products(ps),
-                complementary=catalog.complementary_products(ps, td.complementary_map(spark, d)),
-                products=cat, user_cats=user_cats(spark, d), popular=catalog.popular_by_category(cat, log))
-
-
-@register("personal_feed")
-def q_personal_feed(spark, d):
-    return feed.personal_feed(**feed_inputs(spark, d))
-
-
-from shelfrank.operators import baseline  # noqa: E402
-
-
-@register("baseline_recommender")
-def q_baseline_recommender(spark, d):
-    return baseline.baseline_recommender(clean_log(spark, d), clean_catalog(spark, d))
-
-
-from shelfrank.sources import export, lookup  # noqa: E402
-
-
-def popular_of(spark, d):
-    return catalog.popular_by_category(clean_catalog(spark, d), clean_log(spark, d))
-
-
-def similar_of(spark, d):
-    return catalog.similar_products(prod_stats(spark, d))
-
-
-def complementary_of(spark, d):
-    return catalog.complementary_products(prod_stats(spark, d), td.complementary_map(spark, d))
-
+# ---------------------------------------------------------------- exports and lookups
 
 @register("export_recommendations")
 def q_export_recommendations(spark, d):
-    return export.item_ids(export.export_recommendations(q_recommend_top_n(spark, d)), "user_id")
+    return export.item_ids(export.export_recommendations(Ctx(spark, d).recommendations), "user_id")
 
 
 @register("export_popular")
 def q_export_popular(spark, d):
-    return export.item_ids(export.export_popular(popular_of(spark, d)), "category")
+    return export.item_ids(export.export_popular(Ctx(spark, d).popular), "category")
 
 
 @register("export_similar")
 def q_export_similar(spark, d):
-    return export.item_ids(export.export_similar(similar_of(spark, d)), "source_product_id")
+    return export.item_ids(export.export_similar(Ctx(spark, d).similar), "source_product_id")
 
 
 @register("export_complementary")
 def q_export_complementary(spark, d):
-    return export.item_ids(export.export_complementary(complementary_of(spark, d)), "source_product_id")
+    return export.item_ids(export.export_complementary(Ctx(spark, d).complementary), "source_product_id")
 
 
 @register("export_top_rated")
 def q_export_top_rated(spark, d):
-    return export.export_top_rated(catalog.top_rated(clean_catalog(spark, d)))
+    return export.export_top_rated(catalog.top_rated(Ctx(spark, d).products))
 
 
 @register("catalog_export")
 def q_catalog_export(spark, d):
-    return export.catalog_export(clean_catalog(spark, d))
+    return export.catalog_export(Ctx(spark, d).products)
 
 
-def toggled_products(spark, d):
-    return td.toggles(spark, d).select(F.col("product_id").alias("source_product_id"))
+def _toggled_products(c: Ctx) -> DataFrame:
+    return c.toggles.select(F.col("product_id").alias("source_product_id"))
 
 
 @register("lookup_recommendations")
 def q_lookup_recommendations(spark, d):
-    keyed = export.export_recommendations(q_recommend_top_n(spark, d))
-    return export.item_ids(lookup.lookup(keyed, "user_id", clean.clean_users(td.users(spark, d))), "user_id")
+    c = Ctx(spark, d)
+    keyed = export.export_recommendations(c.recommendations)
+    return export.item_ids(lookup.lookup(keyed, "user_id", c.users), "user_id")
 
 
 @register("lookup_similar")
 def q_lookup_similar(spark, d):
-    keyed = export.export_similar(similar_of(spark, d))
-    return export.item_ids(lookup.lookup(keyed, "source_product_id", toggled_products(spark, d)), "source_product_id")
+    c = Ctx(spark, d)
+    keyed = export.export_similar(c.similar)
+    return export.item_ids(lookup.lookup(keyed, "source_product_id", _toggled_products(c)), "source_product_id")
 
 
 @register("lookup_complementary")
 def q_lookup_complementary(spark, d):
-    keyed = export.export_complementary(complementary_of(spark, d))
-    return export.item_ids(lookup.lookup(keyed, "source_product_id", toggled_products(spark, d)), "source_product_id")
-
+    c = Ctx(spark, d)
+    keyed = export.export_complementary(c.complementary)
+    return export.item_ids(lookup.lookup(keyed, "source_product_id", _toggled_products(c)), "source_product_id")
 
-from shelfrank.streaming import refresh, runner  # noqa: E402
-from shelfrank.streaming import user_state as us  # noqa: E402
 
+# ---------------------------------------------------------------- streams
 
 def stream_state(spark, d):
     """Run the user-state stream over the events file; return the latest snapshot per user."""
@@ -501,14 +600,14 @@ def q_stream_cart_state(spark, d):
 def q_stream_latest_preferences(spark, d):
     snap = stream_state(spark, d)[0].filter(F.col("pref_event_id").isNotNull())
     p = feed.name_categories(snap.select("user_id", F.col("pref_event_id").alias("event_id"), "c1", "c2", "n_categories"),
-                             clean_catalog(spark, d))
-    return p.withColumn("categories", F.array_join("categories", ","))
+                             Ctx(spark, d).products)
+    return joined(p, "categories")
 
 
 @register("stream_popular_by_category")
 def q_stream_popular_by_category(spark, d):
     root = runner.run_root(spark, "popular")
-    hook = refresh.PopularRefresher(spark, clean_catalog(spark, d), f"{root}/out", f"{root}/popular")
+    hook = refresh.PopularRefresher(spark, Ctx(spark, d).products, f"{root}/out", f"{root}/popular")
     runner.run_available(refresh.popularity_stream(runner.events_stream(spark, d, "events.parquet")), root, hook)
     return spark.read.parquet(f"{root}/popular")
 
@@ -522,45 +621,24 @@ def q_stream_hourly_sessions(spark, d):
 
 @register("stream_personal_feed")
 def q_stream_personal_feed(spark, d):
-    inp = feed_inputs(spark, d)
+    c = Ctx(spark, d)
     root = runner.run_root(spark, "feed")
-    hook = refresh.FeedRefresher(spark, inp["products"], inp["similar"], inp["complementary"], inp["popular"],
-                                 clean.clean_users(td.users(spark, d)), f"{root}/feed")
+    hook = refresh.FeedRefresher(spark, c.products, c.similar, c.complementary, c.popular, c.users, f"{root}/feed")
     runner.run_available(us.user_state_stream(runner.events_stream(spark, d, "events.parquet")), root, hook)
     return refresh.latest_feed(spark.read.parquet(f"{root}/feed"), spark.read.parquet(f"{root}/out"))
 
 
+# ---------------------------------------------------------------- volume (order log)
+
 def order_log(spark, d):
     return clean.clean_interactions(td.order_interactions(spark, d))
 
 
 @register("order_log_popular")
 def q_order_log_popular(spark, d):
-    return catalog.popular_by_category(clean_catalog(spark, d), order_log(spark, d))
+    return catalog.popular_by_category(Ctx(spark, d).products, order_log(spark, d))
 
 
 @register("order_log_matrix_stats")
 def q_order_log_matrix_stats(spark, d):
     return profile.score_stats(matrix.user_product_matrix(order_log(spark, d)))
-
-
-@register("feed_candidates")
-def q_feed_candidates(spark, d):
-    inp = feed_inputs(spark, d)
-    return feed.feed_candidates(inp["slots"], inp["similar"], inp["complementary"], inp["user_cats"], inp["popular"])
-
-
-@register("feed_explanation")
-def q_feed_explanation(spark, d):
-    return feed.feed_explanation(feed.top_influencers(slots_of(spark, d), clean_catalog(spark, d)))
-
-
-@register("user_product_detail")
-def q_user_product_detail(spark, d):
-    ps = prod_stats(spark, d)
-    det = feed.product_detail(clean_catalog(spark, d), catalog.similar_products(ps),
-                              catalog.complementary_products(ps, td.complementary_map(spark, d)))
-    t, r = td.toggles(spark, d), td.resets(spark, d)
-    out = feed.user_product_detail(det, history(spark, d), state.wishlist_state(t, r), state.cart_state(t, r))
-    return out.select("user_id", "product_id", "product_name", F.array_join("similar_ids", ",").alias("similar_ids"),
-                      F.array_join("complementary_ids", ",").alias("complementary_ids"), "in_wishlist", "in_cart")
