@@ -74,3 +74,22 @@ def decay_weight(hours, count, half_life: float = C.DECAY_HALF_LIFE_HOURS) -> Co
 def md5_order(*cols) -> Column:
     """Repeatable pseudo-random order key: md5 of the '|'-joined text of the columns."""
     return F.md5(F.concat_ws("|", *[col_(c).cast("string") for c in cols]))
+
+
+_EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def ntz_micros(c) -> Column:
+    """Microseconds of a TIMESTAMP_NTZ wall-clock time since 1970-01-01 00:00 (no time zone involved)."""
+    return F.timestamp_diff("MICROSECOND", F.lit(_EPOCH_NTZ).cast("timestamp_ntz"), col_(c))
+
+
+def ntz_from_micros(c) -> Column:
+    """Inverse of ``ntz_micros``: a TIMESTAMP_NTZ, whatever the session time zone."""
+    return F.timestamp_add("MICROSECOND", col_(c), F.lit(_EPOCH_NTZ).cast("timestamp_ntz"))
+
+
+def event_time(c) -> Column:
+    """A TIMESTAMP for watermarks and windows from a TIMESTAMP_NTZ, reading the wall-clock time as
+    UTC: hour windows then align to wall-clock hours in every session time zone."""
+    return F.timestamp_micros(ntz_micros(c))

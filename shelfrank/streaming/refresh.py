@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfrank.functions.columns import session_key
+from shelfrank.functions.columns import ntz_from_micros, session_key
 from shelfrank.operators import catalog, feed
 from shelfrank.streaming.user_state import history_rows, state_events
 
@@ -70,8 +70,9 @@ def hourly_stream(events: DataFrame, watermark: str = "1 day") -> DataFrame:
     cleaning step (one stream may define one) bounds the window state; update mode emits changed windows."""
     clean = clean_interaction_stream(events, watermark)
     g = clean.groupBy("user_id", F.window("ts", "1 hour").alias("w")).agg(F.count("*").alias("n_events"))
-    return g.select("user_id", F.col("w.start").cast("timestamp_ntz").alias("window_start"), "n_events",
-                    session_key("user_id", F.col("w.start")).alias("hour_session_id"))
+    start = ntz_from_micros(F.unix_micros(F.col("w.start")))
+    return g.select("user_id", start.alias("window_start"), "n_events",
+                    session_key("user_id", start).alias("hour_session_id"))
 
 
 def latest_windows(rows: DataFrame) -> DataFrame:
@@ -99,7 +100,7 @@ class FeedRefresher:
             self.now_us = m if self.now_us is None else max(self.now_us, m)
         if self.now_us is None:
             return
-        now = F.timestamp_micros(F.lit(self.now_us)).cast("timestamp_ntz")
+        now = ntz_from_micros(F.lit(self.now_us))
         hist = history_rows(snaps)
         slots = feed.feed_slots(feed.time_decay_weights(hist, now))
         prefs = feed.name_categories(snaps.filter(F.col("pref_event_id").isNotNull())

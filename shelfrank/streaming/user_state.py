@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from shelfrank.functions import constants as C
+from shelfrank.functions.columns import event_time, ntz_from_micros, ntz_micros
 
 KIND_ORDER = {"interaction": 0, "like_toggle": 1, "cart_toggle": 2, "preferences": 3, "reset": 4}
 
@@ -54,7 +55,7 @@ def state_events(events: DataFrame) -> DataFrame:
         F.when((et == "error") & (F.col("event_id") % 50 == 0), F.lit("reset")),
     ), lambda k: k.isNotNull())
     return events.select(
-        "event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"),
+        "event_id", "user_id", event_time("ts").alias("ts"), ntz_micros("ts").alias("ts_us"),
         F.explode(kinds).alias("kind"),
         F.expr("try_cast(get_json_object(props, '$.k') AS BIGINT)").alias("product_id"),
         F.when(et == "signup", "add_to_cart").otherwise(et).alias("interaction_type"),
@@ -132,8 +133,7 @@ def _update(key, chunks, state):
 
 def user_state_stream(events: DataFrame, watermark: str = "1 hour") -> DataFrame:
     """Streaming (or batch) snapshots of the touched users' state, one row per user and batch."""
-    se = (state_events(events).withWatermark("ts", watermark)
-          .withColumn("ts_us", F.unix_micros("ts")))
+    se = state_events(events).withWatermark("ts", watermark)
     cols = ["user_id", "event_id", "ts_us", "kind", "product_id", "interaction_type", "session_id", "day",
             "c1", "c2", "n_categories"]
     return (se.select(*cols).groupBy("user_id")
@@ -152,7 +152,7 @@ def history_rows(snap: DataFrame) -> DataFrame:
     h = snap.select("user_id", F.posexplode("history").alias("i", "h"), F.size("history").alias("n"))
     return h.select("user_id", F.col("h.event_id").alias("event_id"), F.col("h.product_id").alias("product_id"),
                     F.col("h.interaction_type").alias("interaction_type"),
-                    F.timestamp_micros(F.col("h.ts_us")).cast("timestamp_ntz").alias("ts"),
+                    ntz_from_micros(F.col("h.ts_us")).alias("ts"),
                     (F.col("n") - F.col("i")).cast("int").alias("recency_rank"))
 
 
@@ -161,5 +161,5 @@ def list_rows(snap: DataFrame, column: str) -> DataFrame:
     x = snap.select("user_id", F.posexplode(column).alias("i", "x"))
     return x.select("user_id", F.col("x.product_id").alias("product_id"),
                     F.col("x.added_event_id").alias("added_event_id"),
-                    F.timestamp_micros(F.col("x.added_ts_us")).cast("timestamp_ntz").alias("added_ts"),
+                    ntz_from_micros(F.col("x.added_ts_us")).alias("added_ts"),
                     (F.col("i") + 1).cast("int").alias("position"))

@@ -50,3 +50,15 @@ def test_state_carries_across_micro_batches(spark):
     t, r = td.toggles(spark, SF01), td.resets(spark, SF01)
     assert same_rows(us.list_rows(snap, "wishlist"), state.wishlist_state(t, r))
     assert same_rows(us.list_rows(snap, "cart"), state.cart_state(t, r))
+
+
+def test_streams_do_not_depend_on_session_time_zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")     # half-hour offset
+        got = R.q_stream_hourly_sessions(spark, SF01)
+        want = R.q_hourly_sessions(spark, SF01)
+        assert same_rows(got, want)
+        assert same_rows(R.q_stream_recent_interactions(spark, SF01), R.history(spark, SF01))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
