@@ -40,11 +40,15 @@ def score_top_n(user_factors: DataFrame, item_factors: DataFrame, seen: DataFram
               item_factors.select(F.count("*").alias("c")).first()["c"])
     n_ub = max(1, math.ceil(counts[0] / user_block))
     n_ib = max(1, math.ceil(counts[1] / item_block))
-    seen_lists = seen.groupBy("user_id").agg(F.collect_set("product_id").alias("seen"))
-    users = (user_factors.join(seen_lists, "user_id", "left")
-             .select("user_id", "factors", F.coalesce("seen", F.array().cast("array<bigint>")).alias("seen"))
+    # Seen products grouped by (user, item block): each copy of a user row carries only the seen
+    # products of its block, so the seen pairs are moved once in total, not once per block.
+    seen_lists = (seen.select("user_id", "product_id").withColumn("ib", _block("product_id", n_ib))
+                  .groupBy("user_id", "ib").agg(F.collect_set("product_id").alias("seen")))
+    users = (user_factors.select("user_id", "factors")
              .withColumn("ub", _block("user_id", n_ub))
-             .withColumn("ib", F.explode(F.sequence(F.lit(0), F.lit(n_ib - 1)))))
+             .withColumn("ib", F.explode(F.sequence(F.lit(0), F.lit(n_ib - 1))))
+             .join(seen_lists, ["user_id", "ib"], "left")
+             .withColumn("seen", F.coalesce("seen", F.array().cast("array<bigint>"))))
     items = (item_factors.select("product_id", "factors")
              .withColumn("ib", _block("product_id", n_ib))
              .withColumn("ub", F.explode(F.sequence(F.lit(0), F.lit(n_ub - 1)))))
