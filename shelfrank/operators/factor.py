@@ -153,7 +153,10 @@ def _bucketed(spark: SparkSession, df: DataFrame, key: str, buckets: int, base:
     A bucketed scan is hash-partitioned by ``key``, so every later join on ``key`` moves only the
     other (factor) side: the triplets are shuffled once for the whole fit, not once per iteration."""
     name = f"{base.rsplit('/', 1)[-1]}_by_{key}"
-    df.write.bucketBy(buckets, key).sortBy(key).option("path", f"{base}/by_{key}").saveAsTable(name)
+    # Repartitioning by the bucket key first makes each write task hold exactly one bucket, so the
+    # table has one file per bucket instead of one per (task, bucket).
+    (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+     .option("path", f"{base}/by_{key}").saveAsTable(name))
     return spark.table(name)
 
 
