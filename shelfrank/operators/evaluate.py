@@ -30,7 +30,7 @@ def model_metrics(spark: SparkSession, split: DataFrame, model) -> DataFrame:
     """M6: RMSE and MAE on the held-out cells, plus the training reconstruction error (A14),
     iterations run and final objective, as one row. Held-out cells were 0 in training (trap T5)."""
     m = error_metrics(test_predictions(split, model.user_factors, model.item_factors))
-    final_loss = model.losses[-1] if model.losses else float("nan")
+    final_loss = model.objective
     return m.select("rmse", "mae", "n_test",
                     F.lit(float(model.reconstruction_error)).alias("reconstruction_error"),
                     F.lit(int(model.iterations)).alias("iterations"),

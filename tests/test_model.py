@@ -29,7 +29,7 @@ def tiny(spark):
 
 
 def test_nmf_loss_falls_and_factors_nonnegative(spark):
-    m = factor.fit_nmf(spark, tiny(spark), k=2, max_iter=30, alpha_w=0.0, alpha_h=0.0, tol=0.0)
+    m = factor.fit_nmf(spark, tiny(spark), k=2, max_iter=30, alpha_w=0.0, alpha_h=0.0, tol=0.0, extrapolate=False)
     assert all(b <= a + 1e-9 for a, b in zip(m.losses, m.losses[1:]))
     for df in (m.user_factors, m.item_factors):
         assert all(x >= 0 for r in df.collect() for x in r.factors)
@@ -67,3 +67,11 @@ def test_split_is_repeatable_and_about_80_percent(spark):
     assert a.exceptAll(b).count() == 0
     frac = a.agg(F.avg(F.col("is_train").cast("double"))).first()[0]
     assert 0.75 < frac < 0.85
+
+
+def test_extrapolation_not_worse_than_plain(spark):
+    ent = matrix.train_test_split(matrix.matrix_input(R.user_matrix(spark, SF01)))
+    plain = factor.fit_nmf(spark, ent, k=8, max_iter=8, tol=0.0, extrapolate=False)
+    fast = factor.fit_nmf(spark, ent, k=8, max_iter=8, tol=0.0)
+    assert fast.objective <= plain.objective * 1.001
+    assert all(x >= 0 for r in fast.user_factors.collect() for x in r.factors)
