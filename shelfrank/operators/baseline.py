@@ -47,8 +47,8 @@ def baseline_recommender(interactions: DataFrame, products: DataFrame, n: int =
     # Source 1: a per-user walk over the catalogue in md5 order, skipping the top products and the
     # category picks (first occurrence wins), first ``other_picks``. Source 2 pads from the same walk.
     steps = category_picks + top_n + other_picks
-    positioned = md5_positions(products.select(F.lit(0).alias("_all"), "product_id"), ["_all"], "product_id")
-    walked = walk(users.withColumn("_all", F.lit(0)), positioned, ["_all"], ["user_id"], steps).select(
+    positioned = md5_positions(products.select("product_id"), [], "product_id")
+    walked = walk(users, positioned, [], ["user_id"], steps).select(
         "user_id", "product_id", "step")
     ws = Window.partitionBy("user_id").orderBy("step")
     others = (walked.join(top, ["user_id", "product_id"], "left_anti")

@@ -46,3 +46,9 @@ def test_no_row_at_a_time_python(spark):
     for name in PLANNED:
         p = plan(E.queries()[name](spark, SF01))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
+
+
+def test_no_cross_joins(spark):
+    for name in PLANNED:
+        p = plan(E.queries()[name](spark, SF01))
+        assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
