@@ -51,3 +51,28 @@ def checkpoint_dir(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a shared folder before running iterative operators")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="shelfrank-ckpt-"))
     return sc.getCheckpointDir()
+
+
+def cluster_settings(input_bytes: float, executors: int, cores_per_executor: int,
+                     target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Session settings for a run over ``input_bytes`` of parquet on a cluster (pass them to the
+    builder or spark-submit). Shuffle partitions start at about input / 256 MB, at least 3 waves of
+    tasks, so a partition fits an executor core's memory share even before AQE merges small ones;
+    AQE then coalesces toward the advisory size and splits skewed partitions (a key with a third of
+    the rows is split across tasks for joins; aggregations and top-k windows combine map-side)."""
+    slots = max(1, executors * cores_per_executor)
+    parts = max(3 * slots, int(input_bytes // target_partition_bytes) + 1)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        # Broadcast only what AQE has measured below 64 MB; never by file-size estimates of big inputs.
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+        "spark.sql.session.timeZone": "UTC",
+    }
