@@ -607,8 +607,10 @@ def q_stream_latest_preferences(spark, d):
 @register("stream_popular_by_category")
 def q_stream_popular_by_category(spark, d):
     root = runner.run_root(spark, "popular")
-    hook = refresh.PopularRefresher(spark, Ctx(spark, d).products, f"{root}/out", f"{root}/popular")
-    runner.run_available(refresh.popularity_stream(runner.events_stream(spark, d, "events.parquet")), root, hook)
+    hook = refresh.PopularRefresher(spark, Ctx(spark, d).products, root)
+    scores, users = refresh.popularity_streams(runner.events_stream(spark, d, "events.parquet"))
+    runner.run_available_with([("scores", scores, hook.hook("scores"), "complete"),
+                               ("users", users, hook.hook("users"), "complete")], root)
     return spark.read.parquet(f"{root}/popular")
 
 

@@ -1,10 +1,10 @@
 """Streams that keep batch results current (ST6, ST7, ST8).
 
-* ``popularity_stream`` (ST8): clean interactions (deduplicated within a one-day watermark: the
-  session key is a user-day) aggregated per (product, user) in update mode. After each batch the
-  changed pair aggregates are appended and the popularity lists (A8 + W1) are recomputed from the
-  latest pair table and overwritten. Which duplicate the stream keeps does not matter here: all
-  copies of a key carry the same score.
+* ``popularity_streams`` (ST8): clean interactions (deduplicated within a one-day watermark: the
+  session key is a user-day) summed per product, and distinct users per product, both in complete
+  mode; after each batch the popular lists (A8 + W1) are rebuilt from the two product tables and
+  overwritten. Which duplicate the dedup keeps does not matter: all copies of a key carry the
+  same score.
 * ``hourly_stream`` (ST6): one-hour tumbling windows per user with a watermark, update mode.
 * ``FeedRefresher`` (ST7): a ``foreachBatch`` hook that recomputes the personal feed of the users a
   batch touched, from their streamed state and the static similar / complementary / popular lists.
@@ -30,39 +30,47 @@ def clean_interaction_stream(events: DataFrame, watermark: str = "1 day") -> Dat
             .dropDuplicatesWithinWatermark(DEDUP_KEY))
 
 
-def popularity_stream(events: DataFrame) -> DataFrame:
-    """Per (product, user): summed score and event count of the clean interactions."""
-    return (clean_interaction_stream(events).groupBy("product_id", "user_id")
-            .agg(F.sum("interaction_score").cast("bigint").alias("score"), F.count("*").alias("events")))
+def popularity_streams(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Two product-level streaming aggregations (run in complete mode):
 
+    * scores: per product the summed score and count of the clean interactions;
+    * users: per product the number of distinct users (first occurrences of (product, user)).
 
-def latest_pairs(pairs: DataFrame) -> DataFrame:
-    return (pairs.groupBy("product_id", "user_id")
-            .agg(F.max_by(F.struct("score", "events"), "batch_id").alias("p"))
-            .select("product_id", "user_id", "p.*"))
-
-
-def popularity_from_pairs(pairs: DataFrame) -> DataFrame:
-    """A8 from (product, user, score, events): the per-user partials summed per product."""
-    return pairs.groupBy("product_id").agg(F.sum("score").cast("bigint").alias("popularity_score"),
-                                           F.sum("events").alias("total_interactions"),
-                                           F.count("*").alias("unique_users"))
-
-
-def popular_from_pairs(pairs: DataFrame, products: DataFrame) -> DataFrame:
-    """W1 over the popularity of ``popularity_from_pairs`` (same ranking as the batch operator)."""
-    return catalog.rank_popular(popularity_from_pairs(pairs), products)
+    State: one row per product, the clean-dedup keys of one day, and the (product, user) pairs seen
+    (what an exact distinct count needs). Each batch hands over the whole product table, so the
+    refresh never reads history."""
+    clean = clean_interaction_stream(events)
+    scores = clean.groupBy("product_id").agg(F.sum("interaction_score").cast("bigint").alias("popularity_score"),
+                                             F.count("*").alias("total_interactions"))
+    pairs = (state_events(events).filter((F.col("kind") == "interaction") & F.col("product_id").isNotNull())
+             .select("product_id", "user_id").dropDuplicates(["product_id", "user_id"]))
+    users = pairs.groupBy("product_id").agg(F.count("*").alias("unique_users"))
+    return scores, users
 
 
 class PopularRefresher:
-    """foreachBatch hook: after the pair aggregates of a batch are written, rebuild the popular lists."""
-
-    def __init__(self, spark: SparkSession, products: DataFrame, pairs_path: str, popular_path: str):
-        self.spark, self.products, self.pairs_path, self.popular_path = spark, products, pairs_path, popular_path
-
-    def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
-        pairs = latest_pairs(self.spark.read.parquet(self.pairs_path))
-        popular_from_pairs(pairs, self.products).write.mode("overwrite").parquet(self.popular_path)
+    """foreachBatch hooks of the two popularity streams: each overwrites its product table, then the
+    popular lists (A8 + W1) are rebuilt from the two tables (one row per product each)."""
+
+    def __init__(self, spark: SparkSession, products: DataFrame, root: str):
+        self.spark, self.products, self.root = spark, products, root
+        self.done: set[str] = set()
+
+    def hook(self, name: str):
+        def write(batch_df: DataFrame, batch_id: int) -> None:
+            batch_df.write.mode("overwrite").parquet(f"{self.root}/{name}")
+            self.done.add(name)
+            if {"scores", "users"} <= self.done:
+                self.refresh()
+        return write
+
+    def refresh(self) -> None:
+        scores = self.spark.read.parquet(f"{self.root}/scores")
+        users = self.spark.read.parquet(f"{self.root}/users")
+        popularity = scores.join(users, "product_id", "left").fillna(0, subset=["unique_users"])
+        popular = catalog.rank_popular(popularity.select("product_id", "popularity_score", "total_interactions",
+                                                         "unique_users"), self.products)
+        popular.write.mode("overwrite").parquet(f"{self.root}/popular")
 
 
 def hourly_stream(events: DataFrame, watermark: str = "1 day") -> DataFrame:

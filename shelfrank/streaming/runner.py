@@ -43,3 +43,15 @@ def run_available(stream: DataFrame, root: str, on_batch=None, output_mode: str
     q = (stream.writeStream.outputMode(output_mode).foreachBatch(write)
          .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
+
+
+def run_available_with(streams: list, root: str) -> None:
+    """Start several streams over the data available now and wait for all of them. Each entry is
+    (name, stream, foreachBatch hook, output mode); checkpoints go to <root>/checkpoint-<name>."""
+    queries = []
+    for name, stream, hook, mode in streams:
+        queries.append(stream.writeStream.outputMode(mode).foreachBatch(hook)
+                       .option("checkpointLocation", f"{root}/checkpoint-{name}")
+                       .trigger(availableNow=True).start())
+    for q in queries:
+        q.awaitTermination()
