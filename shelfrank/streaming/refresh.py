@@ -12,6 +12,8 @@
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,13 +57,17 @@ class PopularRefresher:
     def __init__(self, spark: SparkSession, products: DataFrame, root: str):
         self.spark, self.products, self.root = spark, products, root
         self.done: set[str] = set()
+        # Both streams call back on the driver, each from its own thread: one at a time may
+        # overwrite its table and rebuild the lists, so no reader meets a half-written table.
+        self.lock = threading.Lock()
 
     def hook(self, name: str):
         def write(batch_df: DataFrame, batch_id: int) -> None:
-            batch_df.write.mode("overwrite").parquet(f"{self.root}/{name}")
-            self.done.add(name)
-            if {"scores", "users"} <= self.done:
-                self.refresh()
+            with self.lock:
+                batch_df.write.mode("overwrite").parquet(f"{self.root}/{name}")
+                self.done.add(name)
+                if {"scores", "users"} <= self.done:
+                    self.refresh()
         return write
 
     def refresh(self) -> None:
