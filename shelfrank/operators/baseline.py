@@ -23,14 +23,15 @@ from shelfrank.operators.ordering import hashed_offset, md5_positions, walk
 def baseline_recommender(interactions: DataFrame, products: DataFrame, n: int = C.RECOMMENDATIONS_PER_USER,
                          top_n: int = C.BASELINE_TOP_PRODUCTS, category_picks: int = C.BASELINE_CATEGORY_PICKS,
                          other_picks: int = C.BASELINE_OTHER_PICKS) -> DataFrame:
-    top = user_top_products(interactions, top_n).select("user_id", "product_id")
+    top_ranked = user_top_products(interactions, top_n)
+    top = top_ranked.select("user_id", "product_id")
     users = top.select("user_id").distinct()
     # A user without a known top category gets a category picked by hash.
     idx = category_index(products)
     n_cat = idx.select(F.count("*")).scalar()
     fallback = (users.withColumn("ci", hashed_offset(["user_id"], n_cat))
                 .join(idx.select("ci", F.col("category").alias("fallback_category")), "ci", "left").drop("ci"))
-    topcat = user_top_category(user_top_products(interactions, top_n), products).select("user_id", "top_category")
+    topcat = user_top_category(top_ranked, products).select("user_id", "top_category")
     ucat = (fallback.join(topcat, "user_id", "left")
             .select("user_id", F.coalesce("top_category", "fallback_category").alias("category")))
 
