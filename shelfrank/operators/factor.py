@@ -213,6 +213,10 @@ def fit_nmf(spark: SparkSession, entries: DataFrame, k: int = C.NUM_FACTORS, max
                       F.sum(F.when(is_train, F.col("score") * F.col("score"))).alias("s2")).first()
     n_users, n_items = int(stats["nu"]), int(stats["ni"])
     sum_r, sum_r2 = float(stats["s"] or 0.0), float(stats["s2"] or 0.0)
+    if n_users == 0 or n_items == 0:
+        cells.unpersist()
+        return NMFModel(spark.createDataFrame([], "user_id long, factors array<double>"),
+                        spark.createDataFrame([], "product_id long, factors array<double>"), k, 0, [], 0.0, 0.0)
     lw = alpha_w * (n_items if scale_alphas else 1.0)
     lh = alpha_h * (n_users if scale_alphas else 1.0)
     scale = float(np.sqrt(max(sum_r, 1e-12) / max(n_users * n_items, 1) / k))
