@@ -609,7 +609,8 @@ FROM req r JOIN products p ON r.product_id = p.product_id
 LEFT JOIN sim_ids s ON r.product_id = s.product_id LEFT JOIN comp_ids c ON r.product_id = c.product_id"""),
 })
 
-# The greedy fill (F3) and the popular pad (F4) as recursive CTEs: one step per candidate.
+# The greedy fill (F3) and the popular pad (F4) as recursive CTEs: one step per candidate, one
+# row per user (USING KEY keeps only each user's latest state; candidates are read by position).
 FEED_CTE = """
 anchors_l AS (SELECT user_id, list(product_id) AS anchors FROM slots GROUP BY user_id),
 cand0 AS (
@@ -618,45 +619,54 @@ cand0 AS (
   UNION ALL
   SELECT s.user_id, s.weight_rank * 2 + 1, l.comp_rank, l.comp_product_id, s.comp_slots
   FROM slots s JOIN complementary l ON l.source_product_id = s.product_id),
-cand AS (
+cand1 AS (
   SELECT c.*, EXISTS (SELECT 1 FROM products p JOIN ucat_rows r ON r.category = p.category
-                      WHERE p.product_id = c.pid AND r.user_id = c.user_id) AS ok,
-    row_number() OVER (PARTITION BY c.user_id ORDER BY c.key, c.cand_rank) AS idx
+                      WHERE p.product_id = c.pid AND r.user_id = c.user_id) AS ok
   FROM cand0 c),
-fold AS (
-  SELECT user_id, CAST(0 AS BIGINT) AS idx, CAST([] AS BIGINT[]) AS picked, -1 AS cur_key, 0 AS used, anchors FROM anchors_l
+cand_l AS (
+  SELECT user_id, list(struct_pack(key := key, pid := pid, quota := quota, ok := ok) ORDER BY key, cand_rank) AS cands
+  FROM cand1 GROUP BY user_id),
+fold(user_id, idx, picked, cur_key, used, anchors, cands) USING KEY (user_id) AS (
+  SELECT a.user_id, 0, CAST([] AS BIGINT[]), -1, 0, a.anchors, c.cands
+  FROM anchors_l a JOIN cand_l c ON a.user_id = c.user_id
   UNION ALL
-  SELECT f.user_id, f.idx + 1,
-    CASE WHEN (CASE WHEN c.key <> f.cur_key THEN 0 ELSE f.used END) < c.quota AND c.ok
-              AND NOT list_contains(f.anchors, c.pid) AND NOT list_contains(f.picked, c.pid)
-         THEN list_append(f.picked, c.pid) ELSE f.picked END,
-    c.key,
-    CASE WHEN (CASE WHEN c.key <> f.cur_key THEN 0 ELSE f.used END) < c.quota AND c.ok
-              AND NOT list_contains(f.anchors, c.pid) AND NOT list_contains(f.picked, c.pid)
-         THEN (CASE WHEN c.key <> f.cur_key THEN 0 ELSE f.used END) + 1
-         ELSE (CASE WHEN c.key <> f.cur_key THEN 0 ELSE f.used END) END,
-    f.anchors
-  FROM fold f JOIN cand c ON c.user_id = f.user_id AND c.idx = f.idx + 1),
-filled AS (SELECT user_id, picked, anchors FROM (
-             SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY idx DESC) AS r FROM fold) x WHERE r = 1),
-pops AS (
-  SELECT r.user_id, p.product_id AS pid,
-    row_number() OVER (PARTITION BY r.user_id ORDER BY r.cat_order, p.rank) AS idx
+  SELECT user_id, idx + 1,
+    CASE WHEN (CASE WHEN struct_extract(cands[idx + 1], 'key') <> cur_key THEN 0 ELSE used END)
+                < struct_extract(cands[idx + 1], 'quota')
+              AND struct_extract(cands[idx + 1], 'ok')
+              AND NOT list_contains(anchors, struct_extract(cands[idx + 1], 'pid'))
+              AND NOT list_contains(picked, struct_extract(cands[idx + 1], 'pid'))
+         THEN list_append(picked, struct_extract(cands[idx + 1], 'pid')) ELSE picked END,
+    struct_extract(cands[idx + 1], 'key'),
+    CASE WHEN (CASE WHEN struct_extract(cands[idx + 1], 'key') <> cur_key THEN 0 ELSE used END)
+                < struct_extract(cands[idx + 1], 'quota')
+              AND struct_extract(cands[idx + 1], 'ok')
+              AND NOT list_contains(anchors, struct_extract(cands[idx + 1], 'pid'))
+              AND NOT list_contains(picked, struct_extract(cands[idx + 1], 'pid'))
+         THEN (CASE WHEN struct_extract(cands[idx + 1], 'key') <> cur_key THEN 0 ELSE used END) + 1
+         ELSE (CASE WHEN struct_extract(cands[idx + 1], 'key') <> cur_key THEN 0 ELSE used END) END,
+    anchors, cands
+  FROM fold WHERE idx < len(cands)),
+filled AS (
+  SELECT user_id, picked, anchors FROM fold
+  UNION ALL
+  SELECT user_id, CAST([] AS BIGINT[]), anchors FROM anchors_l WHERE user_id NOT IN (SELECT user_id FROM cand_l)),
+pops_l AS (
+  SELECT r.user_id, list(p.product_id ORDER BY r.cat_order, p.rank) AS pops
   FROM ucat_rows r JOIN popular p ON p.category = r.category
-  WHERE p.category IS NOT NULL AND r.user_id IN (SELECT user_id FROM filled WHERE len(picked) < 6)),
-padf AS (
-  SELECT user_id, CAST(0 AS BIGINT) AS idx, picked, anchors FROM filled WHERE len(picked) < 6
+  WHERE p.category IS NOT NULL GROUP BY r.user_id),
+padf(user_id, idx, picked, anchors, pops) USING KEY (user_id) AS (
+  SELECT f.user_id, 0, f.picked, f.anchors, l.pops
+  FROM filled f JOIN pops_l l ON f.user_id = l.user_id WHERE len(f.picked) < 6
   UNION ALL
-  SELECT f.user_id, f.idx + 1,
-    CASE WHEN len(f.picked) < 14 AND NOT list_contains(f.anchors, p.pid) AND NOT list_contains(f.picked, p.pid)
-         THEN list_append(f.picked, p.pid) ELSE f.picked END,
-    f.anchors
-  FROM padf f JOIN pops p ON p.user_id = f.user_id AND p.idx = f.idx + 1),
-padded AS (SELECT user_id, picked FROM (
-             SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY idx DESC) AS r FROM padf) x WHERE r = 1),
+  SELECT user_id, idx + 1,
+    CASE WHEN len(picked) < 14 AND NOT list_contains(anchors, pops[idx + 1]) AND NOT list_contains(picked, pops[idx + 1])
+         THEN list_append(picked, pops[idx + 1]) ELSE picked END,
+    anchors, pops
+  FROM padf WHERE idx < len(pops)),
 final_feed AS (
-  SELECT user_id, picked FROM filled WHERE len(picked) >= 6
-  UNION ALL SELECT user_id, picked FROM padded)
+  SELECT user_id, picked FROM filled WHERE len(picked) >= 6 OR user_id NOT IN (SELECT user_id FROM pops_l)
+  UNION ALL SELECT user_id, picked FROM padf)
 """
 
 ORACLE["personal_feed"] = with_adapters(f"""
