@@ -123,7 +123,7 @@ class FeedRefresher:
         touched = self.users.join(snaps.select("user_id"), "user_id", "left_semi")
         cats = feed.user_categories(touched, prefs, self.products)
         out = feed.personal_feed(slots, self.similar, self.complementary, self.products, cats, self.popular)
-        (out.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(self.feed_path))
+        out.write.mode("overwrite").parquet(f"{self.feed_path}/batch_id={batch_id}")     # idempotent per batch
 
 
 def latest_feed(feed_rows: DataFrame, snapshots: DataFrame) -> DataFrame:

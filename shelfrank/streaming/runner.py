@@ -1,8 +1,8 @@
 """Running the streams: sources, sinks and the per-batch refresh hooks (ST7, ST8).
 
 Outputs go to folders under a root that lives in the session's checkpoint folder (shared storage
-on a cluster), one subfolder per run. Each micro-batch appends its rows tagged with ``batch_id``;
-readers take the latest row per key. Sinks are written by the executors; nothing is collected.
+on a cluster), one subfolder per run. Each micro-batch writes (overwrites) its own ``batch_id=N``
+folder, so a re-run batch is idempotent; readers take the latest row per key. Sinks are written by the executors; nothing is collected.
 """
 
 from __future__ import annotations
@@ -10,7 +10,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from shelfrank.plans.session import checkpoint_dir
 
@@ -36,7 +35,9 @@ def run_available(stream: DataFrame, root: str, on_batch=None, output_mode: str
     out = f"{root}/out"
 
     def write(df: DataFrame, batch_id: int) -> None:
-        df.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out)
+        # Each batch overwrites its own folder: a batch re-run after a failure replaces its rows
+        # instead of adding them again. Readers get ``batch_id`` back from the folder names.
+        df.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
         if on_batch is not None:
             on_batch(df, batch_id)
 
