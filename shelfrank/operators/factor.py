@@ -53,6 +53,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfrank.functions import constants as C
+from shelfrank.operators.evaluate import dot
 from shelfrank.plans.session import checkpoint_dir
 
 
@@ -133,10 +134,6 @@ def _weighted_sums(triplets: DataFrame, factors: DataFrame, join_key: str, group
     return j.groupBy(group_key).agg(vector_to_array(s).alias("b"))
 
 
-def _dot(a, b) -> F.Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, v: acc + v)
-
-
 def gram(factors: DataFrame, k: int, with_wb: bool = False) -> tuple[np.ndarray, float]:
     """F'F (k x k) and, if asked, the sum of the ``wb`` column: per-partition partial sums, then one
     vector sum across partitions. The driver receives k*k + 1 doubles."""
@@ -270,7 +267,7 @@ def fit_nmf(spark: SparkSession, entries: DataFrame, k: int = C.NUM_FACTORS, max
     H_fit = H_rows.select("product_id", "factors")
     # Objective at the returned (plain) factors: one more weighted sum with H.
     wb = float(_weighted_sums(by_product, H_fit, "product_id", "user_id").join(W_fit, "user_id")
-               .agg(F.sum(_dot(F.col("b"), F.col("factors")))).first()[0] or 0.0)
+               .agg(F.sum(dot(F.col("b"), F.col("factors")))).first()[0] or 0.0)
     GW, GH = GWn, GHn
     # Users / products without training cells get zero factors (their cells are all 0 in training).
     W = users.join(W_fit, "user_id", "left").select("user_id", F.coalesce("factors", zeros).alias("factors"))
