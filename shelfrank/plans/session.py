@@ -6,6 +6,7 @@ tests, the benchmark and local runs only.
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -33,21 +34,19 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder, taking it from ``spark.checkpoint.dir``.
+    """Return the shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting names a shared folder and is used as is. Only a local session without
-    it (a test) gets a folder of its own; a cluster session without it is an error, because a
-    machine-local folder would not survive the loss of an executor.
+    That setting is used as is. Only a session in one process (``local``, ``local[n]``) without it, as
+    in tests, gets a folder of its own; any cluster session without it (``local-cluster`` too) is an
+    error, because a machine-local folder is not seen by other executors.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(configured)
+        return configured
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder before running iterative operators")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="shelfrank-ckpt-"))
     return sc.getCheckpointDir()
