@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfrank.llm import near_dup
+from shelfrank.llm import fingerprint, near_dup
 from shelfrank.llm.oracle_sql import ORACLE
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@register("op1_fingerprints")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.with_next(spark, table(spark, sf_dir, "documents"))
+
+
 @register("op6_near_duplicates")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(spark, table(spark, sf_dir, "documents"))
