@@ -26,6 +26,31 @@ FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id
 JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) c ON c.doc_id = d.doc_id
 """
 
+OP3 = f"""
+WITH doc_words AS (
+  SELECT doc_id, regexp_extract_all({_LOWER.format("text")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+item_words AS (
+  SELECT item_id, regexp_extract_all({_LOWER.format("text")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(len(ws), 10) AS n, unnest([array_to_string(ws[i:i + least(len(ws), 10) - 1], ' ')
+         FOR i IN range(1, len(ws) - least(len(ws), 10) + 2)]) AS w
+  FROM item_words WHERE len(ws) > 0),
+lengths AS (SELECT DISTINCT n FROM windows),
+places AS (
+  SELECT doc_id, n, unnest(range(1, len(ws) - n + 2)) AS i, ws FROM doc_words, lengths WHERE len(ws) >= n),
+found AS (
+  SELECT p.doc_id, p.i, p.n, w.item_id FROM places p JOIN windows w ON w.n = p.n AND w.w = array_to_string(p.ws[p.i:p.i + p.n - 1], ' ')),
+hit AS (
+  SELECT doc_id, count(DISTINCT word) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS word FROM found) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+  FROM found GROUP BY doc_id)
+SELECT d.doc_id, coalesce(len(d.ws), 0) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(i.n_items, 0) AS n_items,
+       sha256(coalesce(i.ids, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AS contaminated
+FROM doc_words d LEFT JOIN hit h ON h.doc_id = d.doc_id LEFT JOIN items i ON i.doc_id = d.doc_id
+"""
+
 ORACLE: dict[str, str] = {
+    "op3_decontaminate": OP3,
     "op6_near_duplicates": OP6,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfrank.llm import fingerprint, near_dup
+from shelfrank.llm import decontaminate, fingerprint, near_dup
 from shelfrank.llm.oracle_sql import ORACLE
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.with_next(spark, table(spark, sf_dir, "documents"))
 
 
+@register("op3_decontaminate")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find(spark, table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.report(found)
+
+
 @register("op6_near_duplicates")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(spark, table(spark, sf_dir, "documents"))
