@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from shelfrank.llm import words as W
 from shelfrank.llm.components import components
-from shelfrank.llm.tables import Scratch, groups, per_batch
+from shelfrank.llm.tables import Scratch, filter_slot, groups, key_filter, passes, per_batch
 
 SHINGLE = 5
 BANDS = 24
@@ -113,11 +113,13 @@ def _sketch(size: int, bands: int, rows: int):
     return per_batch(one)
 
 
-def _set_bytes(size: int):
+def _set_bytes(size: int, wanted):
+    """The sets of the rows whose slot passes the broadcast key filter."""
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        values, bounds = sets(batch.column(1), size)
+        batch = batch.filter(pa.array(passes(wanted.value, batch.column("slot").to_numpy())))
+        values, bounds = sets(batch.column("text"), size)
         blobs = [values[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(blobs, pa.binary())], names=["node", "shingles"])
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(blobs, pa.binary())], names=["node", "shingles"])
     return per_batch(one)
 
 
@@ -242,8 +244,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, bands: int = BANDS, ro
 
     pairs = scratch.table(hits.where("node <> center").select("center", "node").distinct(), "pairs")
     wanted = pairs.select("node").union(pairs.select(F.col("center").alias("node"))).distinct()
-    texts = base.join(wanted, base.doc_id == wanted.node, "left_semi").dropDuplicates(["doc_id"])
-    shingle_sets = scratch.table(texts.mapInArrow(_set_bytes(size), "node long, shingles binary"), "sets")
+    # The filter keeps the texts of other documents out of the shuffle; the join drops what it lets by.
+    bits = spark.sparkContext.broadcast(key_filter(wanted, "node"))
+    some = base.where("doc_id is not null").withColumn("slot", filter_slot(F.col("doc_id"))).mapInArrow(
+        _set_bytes(size, bits), "node long, shingles binary")
+    shingle_sets = scratch.table(some.join(wanted, "node", "left_semi").where("length(shingles) > 0").distinct(), "sets")
 
     shares = pairs.groupBy("center").agg(F.ceil(F.count("*") / F.lit(CENTER_SHARE)).cast("int").alias("shares"))
     members = pairs.join(shares, "center").select(

@@ -5,8 +5,10 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfrank.plans.session import checkpoint_dir
 
@@ -70,3 +72,26 @@ def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple
         yield key, part
         for _ in part:  # what the consumer left unread
             pass
+
+
+#: Bits of a key filter; its 16 MB are all that a filter ever takes, however many keys there are.
+FILTER_BITS = 27
+
+
+def filter_slot(key: Column) -> Column:
+    return F.xxhash64(key).bitwiseAND((1 << FILTER_BITS) - 1)
+
+
+def key_filter(keys: DataFrame, column: str) -> np.ndarray:
+    """A bitmap of the slots of ``column``, combined on the executors. It passes every key of the table
+    and few others; with very many keys it passes more, and only saves less."""
+    slot = filter_slot(F.col(column))
+    parts = keys.select(F.shiftright(slot, 6).alias("word"), F.expr("1L").alias("one"), slot.bitwiseAND(63).cast("int").alias("bit"))
+    got = parts.select("word", F.expr("shiftleft(one, bit)").alias("mask")).groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
+    words = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    words[got["word"].to_numpy()] = got["mask"].to_numpy()
+    return words
+
+
+def passes(words: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    return (words[slots >> 6] >> (slots & 63)) & 1 == 1
