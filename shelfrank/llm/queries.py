@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfrank.llm import bpe, decontaminate, fingerprint, near_dup
+from shelfrank.llm import bpe, decontaminate, fingerprint, near_dup, quality, toxicity
 from shelfrank.llm.oracle_sql import ORACLE
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,17 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     made = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.json"), ids=False, decoded=True)
     return made.select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@register("op9_quality")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(quality.labelled(docs, table(spark, sf_dir, "labels"), "quality"))
+    return quality.score(spark, docs, model).select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
+
+
+@register("op10_toxicity")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(quality.labelled(docs, table(spark, sf_dir, "labels"), "toxic"))
+    return toxicity.score(spark, docs, model).select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
