@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfrank.llm import bpe, decontaminate, fingerprint, near_dup, quality, toxicity
+from shelfrank.llm import bpe, decontaminate, fingerprint, near_dup, quality, secrets, toxicity
 from shelfrank.llm.oracle_sql import ORACLE
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +32,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.with_next(spark, table(spark, sf_dir, "documents"))
 
 
+@register("op2_secrets")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(secrets.find(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 @register("op3_decontaminate")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find(spark, table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
