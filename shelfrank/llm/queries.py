@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfrank.llm import bpe, decontaminate, fingerprint, near_dup, quality, secrets, toxicity
+from shelfrank.llm import bpe, decontaminate, fingerprint, language, near_dup, quality, secrets, toxicity
 from shelfrank.llm.oracle_sql import ORACLE
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,14 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(found)
 
 
+@register("op4_language")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = quality.held_out(folds=3, fold=1)
+    model = language.fit(docs.where(~held_out))
+    return language.predict(spark, docs.drop("lang"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @register("op6_near_duplicates")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(spark, table(spark, sf_dir, "documents"))
