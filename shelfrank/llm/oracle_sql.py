@@ -50,7 +50,37 @@ SELECT d.doc_id, coalesce(len(d.ws), 0) AS n_words, coalesce(h.n_hit, 0) AS n_hi
 FROM doc_words d LEFT JOIN hit h ON h.doc_id = d.doc_id LEFT JOIN items i ON i.doc_id = d.doc_id
 """
 
+# Links are the absolute ones of double-quoted attributes, which is all that SQL can read here.
+OP5 = f"""
+WITH RECURSIVE rules(h, p, action) AS (
+  VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+links AS (
+  SELECT url AS a, coalesce(nullif(regexp_extract(html, '<link[^>]*rel="canonical"[^>]*href="([^"]*)"', 1), ''),
+                            nullif(regexp_extract(html, '<link[^>]*href="([^"]*)"[^>]*rel="canonical"', 1), '')) AS b FROM pages),
+urls AS (SELECT DISTINCT url FROM (SELECT url FROM pages UNION ALL SELECT b FROM links) WHERE url IS NOT NULL),
+parsed AS (
+  SELECT url, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM urls),
+places AS (
+  SELECT url, {_LOWER.format("regexp_extract(rest, '^([^/?#]*)', 1)")} AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM parsed),
+own AS (
+  SELECT url, max_by(h || p, length(h || p)) AS rule, max_by(action, length(h || p)) AS action
+  FROM places JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY url),
+nodes AS (SELECT url, regexp_replace(url, '#.*$', '') AS node FROM urls),
+edges AS (
+  SELECT x.node AS a, y.node AS b FROM links JOIN nodes x ON x.url = links.a JOIN nodes y ON y.url = links.b WHERE x.node <> y.node),
+reach AS (
+  SELECT DISTINCT node, node AS other FROM nodes
+  UNION SELECT reach.node, e.b FROM reach JOIN (SELECT a, b FROM edges UNION SELECT b, a FROM edges) e ON e.a = reach.other),
+shared AS (
+  SELECT r.node, CASE WHEN bool_or(o.action = 'allow') THEN 'allow' ELSE 'block' END AS action
+  FROM reach r JOIN nodes n ON n.node = r.other JOIN own o ON o.url = n.url WHERE r.node IN (SELECT a FROM edges UNION SELECT b FROM edges) GROUP BY r.node)
+SELECT p.page_id, coalesce(l.host, '') AS host, coalesce(l.path, '') AS path, o.rule, coalesce(o.action, s.action, 'allow') AS verdict
+FROM pages p LEFT JOIN places l ON l.url = p.url LEFT JOIN own o ON o.url = p.url
+LEFT JOIN nodes n ON n.url = p.url LEFT JOIN shared s ON s.node = n.node
+"""
+
 ORACLE: dict[str, str] = {
     "op3_decontaminate": OP3,
+    "op5_url_filter": OP5,
     "op6_near_duplicates": OP6,
 }

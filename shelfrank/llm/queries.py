@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfrank.llm import bpe, decontaminate, fingerprint, language, near_dup, quality, secrets, toxicity
+from shelfrank.llm import bpe, decontaminate, fingerprint, language, near_dup, quality, secrets, toxicity, url_filter
 from shelfrank.llm.oracle_sql import ORACLE
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +51,15 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(spark, docs.drop("lang"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+#: The rules that op5 is asked for.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+@register("op5_url_filter")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.decide(spark, table(spark, sf_dir, "pages"), URL_RULES)
+
+
 @register("op6_near_duplicates")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(spark, table(spark, sf_dir, "documents"))
@@ -66,12 +75,12 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_quality")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = quality.fit(quality.labelled(docs, table(spark, sf_dir, "labels"), "quality"))
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), "quality")
     return quality.score(spark, docs, model).select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
 
 
 @register("op10_toxicity")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = toxicity.fit(quality.labelled(docs, table(spark, sf_dir, "labels"), "toxic"))
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), "toxic")
     return toxicity.score(spark, docs, model).select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
