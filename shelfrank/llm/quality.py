@@ -96,7 +96,7 @@ def dots(column: pa.Array, weights: np.ndarray, bias: float) -> np.ndarray:
     out = []
     for a, b in W.slices(column):
         index, rows = ngrams(column.slice(a, b - a), int(len(weights)).bit_length() - 1)
-        sums = np.concatenate([[0.0], np.cumsum(weights[index])])
+        sums = np.concatenate([[0.0], np.cumsum(weights[index], dtype=np.float64)])
         size = np.diff(rows)
         out.append(bias + SCALE * (sums[rows[1:]] - sums[rows[:-1]]) / np.maximum(size, 1))
     z = np.concatenate(out) if out else np.zeros(0)
@@ -149,12 +149,12 @@ def _train(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"weights": [weights.astype("<f4").tobytes()], "bias": [bias]})
 
 
-def fit(labelled: DataFrame, rows: int = TRAIN_ROWS) -> tuple[np.ndarray, float]:
-    """Learn from (doc_id, text, label), label 0 or 1; rows without label are left out. Of more than
-    ``rows`` rows those with the smallest hashed doc_id are taken. Without rows all scores are 0.5."""
-    sample = (labelled.where(F.col("label").isin(0, 1)).select("doc_id", F.col("text").cast("string").alias("text"), F.col("label").cast("int").alias("label"))
-              .withColumn("place", F.xxhash64(F.col("doc_id").cast("string"))).orderBy("place", "doc_id").limit(rows))
-    made = sample.select("place", "label", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
+def fit(docs: DataFrame, labels: DataFrame, label: str, rows: int = TRAIN_ROWS) -> tuple[np.ndarray, float]:
+    """Learn ``label`` (0 or 1; other rows are left out) from the texts of docs (doc_id, text) that labels
+    (doc_id, label) names and that are not held out; ``sample`` bounds them to ``rows``. Without rows all
+    scores are 0.5."""
+    made = sample(docs, labels, label, {0: rows, 1: rows}, rows).select(
+        "place", "label", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
         _examples, "place long, label int, numbers binary, vals binary")
     got = made.groupBy(F.lit(0).alias("all")).applyInPandas(_train, "weights binary, bias double").collect()
     if not got:
@@ -181,8 +181,21 @@ def held_out(doc_id: str = "doc_id", folds: int = 5, fold: int = 0):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % folds == fold, F.lit(False))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """Training rows (doc_id, text, label): labelled documents that are not held out. A document with
-    several label rows counts once for each distinct label."""
-    marks = labels.select("doc_id", F.col(label).alias("label")).where("label is not null").distinct()
-    return docs.where(~held_out()).select("doc_id", "text").join(marks, "doc_id")
+def marks(labels: DataFrame, label: str) -> DataFrame:
+    """Distinct (doc_id, label) of the rows that may be learnt from, with ``place``, the hash that orders them."""
+    return (labels.where(~held_out()).select("doc_id", F.col(label).cast("int").alias("label"))
+            .where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull()).distinct()
+            .withColumn("place", F.xxhash64(F.col("doc_id").cast("string"))))
+
+
+def sample(docs: DataFrame, labels: DataFrame, label: str, by_label: dict[int, int], rows: int) -> DataFrame:
+    """(doc_id, text, label, place) of at most ``rows`` labelled documents, ``by_label`` of each label, by
+    place. The labels alone are ordered; only the chosen ids, whose number is bounded, are broadcast to
+    the texts. Of rows that share a doc_id one is taken."""
+    known = marks(labels, label)
+    chosen = None
+    for value, most in by_label.items():
+        some = known.where(F.col("label") == value).orderBy("place", "doc_id").limit(most)
+        chosen = some if chosen is None else chosen.union(some)
+    chosen = chosen.orderBy("place", "doc_id", "label").limit(rows)
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id", "label"])

@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfrank.llm import words as W
+from shelfrank.llm.quality import marks, sample
+from shelfrank.llm.tables import Scratch
 
 #: Labelled rows of each class that are learnt from at most, those with the smallest hashed doc_id.
 TOXIC_ROWS, ORDINARY_ROWS = 4_000, 8_000
@@ -154,44 +156,41 @@ def _features(ordinary: bytes, toxic: bytes):
     return run
 
 
-def fit(labelled: DataFrame, toxic_rows: int = TOXIC_ROWS, ordinary_rows: int = ORDINARY_ROWS) -> Model:
-    """Learn from (doc_id, text, label), label 1 for toxic; rows with another label or without text are
-    left out, and of equal texts one counts. Without rows of both classes every score is the share of
-    toxic rows (0.0 without any)."""
-    known = labelled.where(F.col("label").isin(0, 1) & F.col("text").isNotNull()).select(
-        "doc_id", F.col("text").cast("string").alias("text"), F.col("label").cast("int").alias("label"))
-    counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+def fit(docs: DataFrame, labels: DataFrame, label: str, toxic_rows: int = TOXIC_ROWS, ordinary_rows: int = ORDINARY_ROWS) -> Model:
+    """Learn ``label`` (1 for toxic, 0 for ordinary; other rows are left out) from the texts of docs
+    (doc_id, text) that labels (doc_id, label) names and that are not held out, a bounded number of each;
+    rows without text are left out, and of equal texts one counts. Without rows of both classes every
+    score is the share of toxic labels (0.0 without any)."""
+    counts = {r["label"]: r["count"] for r in marks(labels, label).groupBy("label").count().collect()}
     share = counts.get(1, 0) / max(1, sum(counts.values()))
     if len(counts) < 2:
         return Model(b"", b"", np.zeros(1), np.ones(1), np.array([0.0, np.log(max(share, 1e-6) / max(1 - share, 1e-6))]))
-
-    def some(label: int, rows: int) -> DataFrame:
-        placed = known.where(F.col("label") == label).withColumn("place", F.xxhash64(F.col("doc_id").cast("string")))
-        return placed.orderBy("place", "doc_id").limit(rows).dropDuplicates(["text"])
-
-    sample = some(1, toxic_rows).union(some(0, ordinary_rows)).withColumn(
-        "role", F.pmod(F.xxhash64("place"), F.lit(3)) == 0).cache()  # a third is for calibration
-    try:
-        train = sample.where(~F.col("role")).select("label", "text")
-        sizes = {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}
-        n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
-        least = max(MIN_DOCS, int(MIN_SHARE * n1))
-        chosen = (train.mapInArrow(_words, "label int, words array<string>").select("label", F.explode("words").alias("word"))
-                  .groupBy("word").agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("ordinary"))
-                  .where((F.col("toxic") >= least) & (F.col("toxic") / max(1, n1) >= MIN_LIFT * F.col("ordinary") / max(1, n0)))
-                  .orderBy(F.desc("toxic"), "word").limit(MOST_WORDS).collect())
-        words = {r["word"] for r in chosen if r["word"]}
-        samples = train.mapInArrow(_samples(words), "label int, sample binary")
-        got = samples.groupBy(F.lit(0).alias("all")).applyInPandas(_train, "ordinary binary, toxic binary").collect()
-        ordinary, toxic = (bytes(got[0]["ordinary"]), bytes(got[0]["toxic"])) if got else (b"", b"")
-        rows = sample.where("role").select("label", "text").mapInArrow(_features(ordinary, toxic), "label int, x array<double>").collect()
-    finally:
-        sample.unpersist()
-    y = np.array([r["label"] for r in rows], float)
+    rows = sample(docs, labels, label, {1: toxic_rows, 0: ordinary_rows}, toxic_rows + ordinary_rows)
+    known = rows.where(F.col("text").isNotNull()).groupBy("text", "label").agg(F.min("place").alias("place")).withColumn(
+        "role", F.pmod(F.xxhash64("place"), F.lit(3)) == 0)  # a third is for calibration
+    chosen_rows = Scratch(docs.sparkSession, "toxicity").table(known, "sample")
+    return _fit(chosen_rows, share)
+
+
+def _fit(rows: DataFrame, share: float) -> Model:
+    train = rows.where(~F.col("role")).select("label", "text")
+    sizes = {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}
+    n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
+    least = max(MIN_DOCS, int(MIN_SHARE * n1))
+    chosen = (train.mapInArrow(_words, "label int, words array<string>").select("label", F.explode("words").alias("word"))
+              .groupBy("word").agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("ordinary"))
+              .where((F.col("toxic") >= least) & (F.col("toxic") / max(1, n1) >= MIN_LIFT * F.col("ordinary") / max(1, n0)))
+              .orderBy(F.desc("toxic"), "word").limit(MOST_WORDS).collect())
+    words = {r["word"] for r in chosen if r["word"]}
+    samples = train.mapInArrow(_samples(words), "label int, sample binary")
+    got = samples.groupBy(F.lit(0).alias("all")).applyInPandas(_train, "ordinary binary, toxic binary").collect()
+    ordinary, toxic = (bytes(got[0]["ordinary"]), bytes(got[0]["toxic"])) if got else (b"", b"")
+    held = rows.where("role").select("label", "text").mapInArrow(_features(ordinary, toxic), "label int, x array<double>").collect()
+    y = np.array([r["label"] for r in held], float)
     if not 0 < y.sum() < len(y):
         return Model(b"", b"", np.zeros(1), np.ones(1), np.array([0.0, np.log(share / (1 - share))]))
     weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
-    return Model(ordinary, toxic, *logistic(np.array([r["x"] for r in rows]), y, weight))
+    return Model(ordinary, toxic, *logistic(np.array([r["x"] for r in held]), y, weight))
 
 
 def score(spark: SparkSession, docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
