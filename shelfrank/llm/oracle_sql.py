@@ -79,8 +79,18 @@ FROM pages p LEFT JOIN places l ON l.url = p.url LEFT JOIN own o ON o.url = p.ur
 LEFT JOIN nodes n ON n.url = p.url LEFT JOIN shared s ON s.node = n.node
 """
 
+OP7 = """
+WITH payloads AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+firsts AS (SELECT payload_digest, min(page_id) AS first FROM payloads WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, p.payload_digest, CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM payloads p LEFT JOIN firsts f ON f.payload_digest = p.payload_digest
+"""
+
 ORACLE: dict[str, str] = {
     "op3_decontaminate": OP3,
     "op5_url_filter": OP5,
     "op6_near_duplicates": OP6,
+    "op7_warc": OP7,
 }

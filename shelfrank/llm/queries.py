@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfrank.llm import bpe, decontaminate, fingerprint, language, near_dup, quality, secrets, toxicity, url_filter
+from shelfrank.llm import bpe, decontaminate, fingerprint, language, near_dup, quality, secrets, toxicity, url_filter, warc
 from shelfrank.llm.oracle_sql import ORACLE
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,6 +65,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(spark, table(spark, sf_dir, "documents"))
 
 
+@register("op7_warc")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.report(warc.read(spark, warc.write(spark, table(spark, sf_dir, "pages"))))
+
+
 @register("op8_bpe")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
