@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,7 +48,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = quality.held_out(folds=3, fold=1)
-    model = language.fit(docs.where(~held_out))
+    model = language.fit(docs.where(~held_out & F.col("doc_id").isNotNull()))
     return language.predict(spark, docs.drop("lang"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
@@ -89,3 +90,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), "toxic")
     return toxicity.score(spark, docs, model).select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
+
+
+@register("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
