@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from shelfrank.functions import constants as C
+from shelfrank.functions.columns import ntz_micros
 
 DEDUP_KEY = ("user_id", "product_id", "interaction_type", "session_id")
 
@@ -49,6 +50,21 @@ def clean_interactions(df: DataFrame, ts_format: str = C.INTERACTION_TS_FORMAT)
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
+#: Event ids of one second that ``with_event_ids`` tells apart by hash.
+_IDS_PER_SECOND = 1 << 20
+
+
+def with_event_ids(log: DataFrame) -> DataFrame:
+    """A clean log in a total order: unchanged if it has ``event_id``; else with one made of the second of
+    ``ts`` and a hash of the row's key, so ids increase with time and do not depend on partitioning.
+    Rows without ``ts`` come first."""
+    if "event_id" in log.columns:
+        return log
+    second = F.floor(ntz_micros(F.col("ts").cast("timestamp_ntz")) / 1_000_000)
+    place = F.pmod(F.xxhash64(*DEDUP_KEY), F.lit(_IDS_PER_SECOND))
+    return log.withColumn("event_id", (F.coalesce(second, F.lit(0)) * _IDS_PER_SECOND + place).cast("long"))
+
+
 def clean_products(df: DataFrame) -> DataFrame:
     """Drop rows without id or name; negative price -> 0; rating clamped to 0..5.
     Nulls stay null (``greatest`` would turn them into 0)."""

@@ -577,7 +577,7 @@ def q_lookup_complementary(spark, d):
 def stream_state(spark, d):
     """Run the user-state stream over the events file; return the latest snapshot per user."""
     root = runner.run_root(spark, "user-state")
-    runner.run_available(us.user_state_stream(runner.events_stream(spark, d, "events.parquet")), root)
+    runner.run_available(us.user_state_stream(td.state_events(runner.events_stream(spark, d, "events.parquet"))), root)
     return us.latest_snapshots(spark.read.parquet(f"{root}/out")), root
 
 
@@ -608,16 +608,16 @@ def q_stream_latest_preferences(spark, d):
 def q_stream_popular_by_category(spark, d):
     root = runner.run_root(spark, "popular")
     hook = refresh.PopularRefresher(spark, Ctx(spark, d).products, root)
-    scores, users = refresh.popularity_streams(runner.events_stream(spark, d, "events.parquet"))
+    scores, users = refresh.popularity_streams(td.state_events(runner.events_stream(spark, d, "events.parquet")))
     runner.run_available_with([("scores", scores, hook.hook("scores"), "complete"),
                                ("users", users, hook.hook("users"), "complete")], root)
-    return spark.read.parquet(f"{root}/popular")
+    return refresh.current(spark, f"{root}/popular")
 
 
 @register("stream_hourly_sessions")
 def q_stream_hourly_sessions(spark, d):
     root = runner.run_root(spark, "hourly")
-    runner.run_available(refresh.hourly_stream(runner.events_stream(spark, d, "events.parquet")), root)
+    runner.run_available(refresh.hourly_stream(td.state_events(runner.events_stream(spark, d, "events.parquet"))), root)
     return refresh.latest_windows(spark.read.parquet(f"{root}/out"))
 
 
@@ -626,7 +626,7 @@ def q_stream_personal_feed(spark, d):
     c = Ctx(spark, d)
     root = runner.run_root(spark, "feed")
     hook = refresh.FeedRefresher(spark, c.products, c.similar, c.complementary, c.popular, c.users, f"{root}/feed")
-    runner.run_available(us.user_state_stream(runner.events_stream(spark, d, "events.parquet")), root, hook)
+    runner.run_available(us.user_state_stream(td.state_events(runner.events_stream(spark, d, "events.parquet"))), root, hook)
     return refresh.latest_feed(spark.read.parquet(f"{root}/feed"), spark.read.parquet(f"{root}/out"))
 
 

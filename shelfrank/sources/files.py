@@ -8,8 +8,13 @@ widen 3.3 to 3.299999952 later, trap T6). rating and timestamp stay text until c
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
+from shelfrank.functions import constants as C
+from shelfrank.functions.columns import event_time, ntz_micros
+from shelfrank.operators.clean import with_event_ids
+
 USERS_SCHEMA = StructType([
     StructField("user_id", LongType()),
     StructField("age_group", StringType()),
@@ -69,6 +74,17 @@ def read_interactions_stream(spark: SparkSession, folder: str, max_files_per_tri
     return r.csv(folder)
 
 
+def state_events(log: DataFrame, ts_format: str = C.INTERACTION_TS_FORMAT) -> DataFrame:
+    """The interaction log, batch or stream, as the typed events of ``streaming.user_state``: every row
+    with a user, a product and a time is an interaction. Event ids are made as for the batch feed."""
+    ts = F.try_to_timestamp(F.col("timestamp"), F.lit(ts_format)).cast("timestamp_ntz")
+    rows = with_event_ids(log.withColumn("ts", ts).dropna(subset=["user_id", "product_id", "ts"]))
+    none = F.lit(None).cast("long")
+    return rows.select("event_id", "user_id", event_time("ts").alias("ts"), ntz_micros("ts").alias("ts_us"),
+                       F.lit("interaction").alias("kind"), "product_id", "interaction_type", "session_id",
+                       none.alias("c1"), none.alias("c2"), none.alias("n_categories"))
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Header CSV, one file per task (a distributed write; nothing passes through the driver)."""
     df.write.mode(mode).option("header", True).csv(path)

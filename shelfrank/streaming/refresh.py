@@ -1,85 +1,102 @@
 """Streams that keep batch results current (ST6, ST7, ST8).
 
-* ``popularity_streams`` (ST8): clean interactions (deduplicated within a one-day watermark: the
-  session key is a user-day) summed per product, and distinct users per product, both in complete
-  mode; after each batch the popular lists (A8 + W1) are rebuilt from the two product tables and
-  overwritten. Which duplicate the dedup keeps does not matter: all copies of a key carry the
-  same score.
+* ``popularity_streams`` (ST8): clean interactions (deduplicated within the watermark) summed per
+  product, and distinct users per product, both of the same clean stream and in complete mode; after
+  each batch the popular lists (A8 + W1) are rebuilt from the two product tables. Which duplicate the
+  dedup keeps does not matter: all copies of a key carry the same score.
 * ``hourly_stream`` (ST6): one-hour tumbling windows per user with a watermark, update mode.
 * ``FeedRefresher`` (ST7): a ``foreachBatch`` hook that recomputes the personal feed of the users a
   batch touched, from their streamed state and the static similar / complementary / popular lists.
+
+Their input are the typed state events of ``user_state``. Rows behind the watermark are dropped by the
+stateful operators; the runner notes their number. The hooks keep nothing in memory: every table is
+written to a folder of its own version, and readers take the last one that is complete.
 """
 
 from __future__ import annotations
 
 import threading
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfrank.functions.columns import ntz_from_micros, session_key
 from shelfrank.operators import catalog, feed
-from shelfrank.streaming.user_state import history_rows, state_events
+from shelfrank.streaming.user_state import LATENESS, history_rows
 
 DEDUP_KEY = ["user_id", "product_id", "interaction_type", "session_id"]
 
 
-def clean_interaction_stream(events: DataFrame, watermark: str = "1 day") -> DataFrame:
-    se = state_events(events).filter((F.col("kind") == "interaction") & F.col("product_id").isNotNull())
+def clean_interaction_stream(events: DataFrame, watermark: str = LATENESS) -> DataFrame:
+    se = events.filter((F.col("kind") == "interaction") & F.col("product_id").isNotNull())
     score = (F.when(F.col("interaction_type") == "view", 1).when(F.col("interaction_type") == "click", 2)
              .when(F.col("interaction_type") == "add_to_cart", 3).otherwise(5))
     return (se.withColumn("interaction_score", score).withWatermark("ts", watermark)
             .dropDuplicatesWithinWatermark(DEDUP_KEY))
 
 
-def popularity_streams(events: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Two product-level streaming aggregations (run in complete mode):
+def popularity_streams(events: DataFrame, watermark: str = LATENESS) -> tuple[DataFrame, DataFrame]:
+    """Two product-level streaming aggregations (run in complete mode) over the same clean stream:
 
     * scores: per product the summed score and count of the clean interactions;
     * users: per product the number of distinct users (first occurrences of (product, user)).
 
-    State: one row per product, the clean-dedup keys of one day, and the (product, user) pairs seen
-    (what an exact distinct count needs). Each batch hands over the whole product table, so the
-    refresh never reads history."""
-    clean = clean_interaction_stream(events)
+    State: one row per product, the clean-dedup keys within the watermark, and the (product, user) pairs
+    seen. The pairs are what an exact distinct count needs: they are at most the non-zero cells of the
+    user-product matrix, spread over the state partitions. Each batch hands over the whole product
+    table, so the refresh never reads history."""
+    clean = clean_interaction_stream(events, watermark)
     scores = clean.groupBy("product_id").agg(F.sum("interaction_score").cast("bigint").alias("popularity_score"),
                                              F.count("*").alias("total_interactions"))
-    pairs = (state_events(events).filter((F.col("kind") == "interaction") & F.col("product_id").isNotNull())
-             .select("product_id", "user_id").dropDuplicates(["product_id", "user_id"]))
+    pairs = clean.select("product_id", "user_id").dropDuplicates(["product_id", "user_id"])
     users = pairs.groupBy("product_id").agg(F.count("*").alias("unique_users"))
     return scores, users
 
 
+def current(spark: SparkSession, path: str, column: str = "version") -> DataFrame | None:
+    """The rows of the highest ``column=N`` folder below ``path``, or None if there is none. A folder shows
+    rows only once its write has been committed, so a version that is being written is not read."""
+    try:
+        rows = spark.read.parquet(path)
+    except AnalysisException:
+        return None
+    last = rows.agg(F.max(column)).first()[0]
+    return None if last is None else rows.filter(F.col(column) == last).drop(column)
+
+
 class PopularRefresher:
-    """foreachBatch hooks of the two popularity streams: each overwrites its product table, then the
-    popular lists (A8 + W1) are rebuilt from the two tables (one row per product each)."""
+    """foreachBatch hooks of the two popularity streams: each writes its product table as a new version,
+    then the popular lists (A8 + W1) are rebuilt from the last versions of both (one row per product
+    each), also as a new version. After a restart everything is found again in the folders."""
 
     def __init__(self, spark: SparkSession, products: DataFrame, root: str):
         self.spark, self.products, self.root = spark, products, root
-        self.done: set[str] = set()
-        # Both streams call back on the driver, each from its own thread: one at a time may
-        # overwrite its table and rebuild the lists, so no reader meets a half-written table.
+        # Both streams call back on the driver, each from its own thread; one at a time rebuilds the lists.
         self.lock = threading.Lock()
 
     def hook(self, name: str):
         def write(batch_df: DataFrame, batch_id: int) -> None:
+            batch_df.write.mode("overwrite").parquet(f"{self.root}/{name}/version={batch_id}")
             with self.lock:
-                batch_df.write.mode("overwrite").parquet(f"{self.root}/{name}")
-                self.done.add(name)
-                if {"scores", "users"} <= self.done:
-                    self.refresh()
+                self.refresh()
         return write
 
     def refresh(self) -> None:
-        scores = self.spark.read.parquet(f"{self.root}/scores")
-        users = self.spark.read.parquet(f"{self.root}/users")
+        scores, users = current(self.spark, f"{self.root}/scores"), current(self.spark, f"{self.root}/users")
+        if scores is None or users is None:
+            return
         popularity = scores.join(users, "product_id", "left").fillna(0, subset=["unique_users"])
         popular = catalog.rank_popular(popularity.select("product_id", "popularity_score", "total_interactions",
                                                          "unique_users"), self.products)
-        popular.write.mode("overwrite").parquet(f"{self.root}/popular")
+        try:
+            last = self.spark.read.parquet(f"{self.root}/popular").agg(F.max("version")).first()[0]
+        except AnalysisException:
+            last = None
+        popular.write.mode("overwrite").parquet(f"{self.root}/popular/version={0 if last is None else last + 1}")
 
 
-def hourly_stream(events: DataFrame, watermark: str = "1 day") -> DataFrame:
+def hourly_stream(events: DataFrame, watermark: str = LATENESS) -> DataFrame:
     """ST6: events per user and one-hour window, with the hour's session key. The watermark of the
     cleaning step (one stream may define one) bounds the window state; update mode emits changed windows."""
     clean = clean_interaction_stream(events, watermark)
@@ -98,23 +115,25 @@ def latest_windows(rows: DataFrame) -> DataFrame:
 class FeedRefresher:
     """ST7 foreachBatch hook: the personal feeds of the users touched by a batch of state snapshots.
 
-    ``now`` is the latest interaction time seen so far (a running scalar on the driver). The feed
-    rows are appended with the batch id; ``latest_feed`` keeps each user's newest batch.
+    ``now`` is the latest interaction time seen so far; each batch stores it, so a restart goes on from
+    it. The feed rows are written with the batch id; ``latest_feed`` keeps each user's newest batch.
     """
 
     def __init__(self, spark: SparkSession, products: DataFrame, similar: DataFrame, complementary: DataFrame,
                  popular: DataFrame, users: DataFrame, feed_path: str):
         self.spark, self.products, self.users, self.feed_path = spark, products, users, feed_path
         self.similar, self.complementary, self.popular = similar, complementary, popular
-        self.now_us = None
 
     def __call__(self, snaps: DataFrame, batch_id: int) -> None:
-        m = snaps.agg(F.max("max_interaction_ts_us").alias("m")).first()["m"]
-        if m is not None:
-            self.now_us = m if self.now_us is None else max(self.now_us, m)
-        if self.now_us is None:
+        before = current(self.spark, f"{self.feed_path}-now")
+        known = snaps.select(F.max("max_interaction_ts_us").alias("now_us"))
+        if before is not None:
+            known = known.union(before.select("now_us"))
+        now_us = known.agg(F.max("now_us")).first()[0]
+        if now_us is None:
             return
-        now = ntz_from_micros(F.lit(self.now_us))
+        self.spark.createDataFrame([(now_us,)], "now_us long").write.mode("overwrite").parquet(f"{self.feed_path}-now/version={batch_id}")
+        now = ntz_from_micros(F.lit(now_us))
         hist = history_rows(snaps)
         slots = feed.feed_slots(feed.time_decay_weights(hist, now))
         prefs = feed.name_categories(snaps.filter(F.col("pref_event_id").isNotNull())

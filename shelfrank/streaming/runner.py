@@ -29,21 +29,33 @@ def events_stream(spark: SparkSession, folder: str, pattern: str = "events*.parq
     return r.parquet(folder)
 
 
+def _dropped(query) -> int:
+    """Rows that the stateful operators of a finished query dropped behind the watermark."""
+    return sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for op in p.get("stateOperators", []))
+
+
+def _note_late(spark: SparkSession, root: str, name: str, rows: int) -> None:
+    """One row (stream, late_rows) below <root>/late for each run of a stream."""
+    spark.createDataFrame([(name, rows)], "stream string, late_rows long").write.mode("append").parquet(f"{root}/late")
+
+
 def run_available(stream: DataFrame, root: str, on_batch=None, output_mode: str = "update") -> None:
-    """Process everything available now, appending each batch to <root>/out with its batch id and
-    calling ``on_batch(batch_df, batch_id)`` after the write (refresh hooks)."""
-    out = f"{root}/out"
+    """Process everything available now, writing each batch to its own folder below <root>/out.
+    ``on_batch(rows, batch_id)`` gets the rows as written, read back: whatever the hook computes, the
+    stateful operators run once for each batch."""
+    out, spark = f"{root}/out", stream.sparkSession
 
     def write(df: DataFrame, batch_id: int) -> None:
         # Each batch overwrites its own folder: a batch re-run after a failure replaces its rows
         # instead of adding them again. Readers get ``batch_id`` back from the folder names.
         df.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
         if on_batch is not None:
-            on_batch(df, batch_id)
+            on_batch(spark.read.schema(df.schema).parquet(f"{out}/batch_id={batch_id}"), batch_id)
 
     q = (stream.writeStream.outputMode(output_mode).foreachBatch(write)
          .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
+    _note_late(spark, root, "out", _dropped(q))
 
 
 def run_available_with(streams: list, root: str) -> None:
@@ -51,8 +63,9 @@ def run_available_with(streams: list, root: str) -> None:
     (name, stream, foreachBatch hook, output mode); checkpoints go to <root>/checkpoint-<name>."""
     queries = []
     for name, stream, hook, mode in streams:
-        queries.append(stream.writeStream.outputMode(mode).foreachBatch(hook)
-                       .option("checkpointLocation", f"{root}/checkpoint-{name}")
-                       .trigger(availableNow=True).start())
-    for q in queries:
+        queries.append((name, stream.sparkSession, stream.writeStream.outputMode(mode).foreachBatch(hook)
+                        .option("checkpointLocation", f"{root}/checkpoint-{name}")
+                        .trigger(availableNow=True).start()))
+    for name, spark, q in queries:
         q.awaitTermination()
+        _note_late(spark, root, name, _dropped(q))

@@ -1,25 +1,31 @@
 """User state as a Structured Streaming job (ST1-ST5), one ``applyInPandasWithState`` keyed by user.
 
-Raw events (batch or stream) become typed state events without state (``state_events``). Per user
-and micro-batch the events are applied in (ts, event_id, kind) order:
-
-* interaction -- dropped if its (product, type, session) key was already seen (the batch cleaning
-  keeps the earliest); else appended to the history, which keeps the newest ``HISTORY_CAP``;
-* like_toggle / cart_toggle -- the product enters the list if absent, else leaves it (parity);
-* preferences -- the last update with at least two categories wins;
-* reset -- history, lists and preferences are cleared (dedup keys are kept, as the batch cleaning
-  runs before the reset filter).
-
-State per user is bounded: 50 history rows, the current lists (at most the catalogue), and the
-dedup keys of the last two session days. A micro-batch hands the function a user's events as an
-iterator of Arrow chunks, so a hot user's batch is streamed, not materialised at once; its size is
-bounded by the trigger (maxFilesPerTrigger). After each batch the touched users' snapshots are
-emitted (update mode). With events in order, the final snapshots equal the batch operators'
-results on the same events (tests check this).
+Its input are typed state events: (event_id, user_id, ts, ts_us, kind, product_id, interaction_type,
+session_id, c1, c2, n_categories). ``sources.testdata.state_events`` makes them from the driver's events,
+``sources.files.state_events`` from the interaction log. The state of a user is a set of facts that can be merged
+in any order, so snapshots depend neither on the order of events within and across batches nor on the
+Arrow chunk size:
+
+* interaction -- per (product, type, session) the earliest (ts, event_id), as the batch cleaning keeps it;
+  the history is the newest ``HISTORY_CAP`` of them;
+* like_toggle / cart_toggle -- the toggles of a product; it is in the list if their number is odd;
+* preferences -- the updates that no other one beats both in (ts, event_id) and in event_id;
+* reset -- the greatest reset event id: a tombstone for every event up to it, also for events that come
+  after it (the dedup keys stay, as the batch cleaning runs before the reset filter).
+
+How late an event may come is the watermark delay, ``LATENESS`` by default. An event behind the watermark
+is not applied but counted in ``late_events`` of the user's snapshot; nothing else is ever dropped. Facts
+that no admissible event can change any more are cut to what can still show: the newest ``HISTORY_CAP``
+of the history (more only if event ids and times disagree), and one count for each toggled product. So
+state per user is bounded by what happened within the delay, and the current lists.
+
+After each batch the touched users' snapshots are emitted (update mode); the final snapshots equal the
+batch operators' results on the same events, in any order (tests check this).
 """
 
 from __future__ import annotations
 
+import bisect
 import json
 
 import pandas as pd
@@ -28,115 +34,122 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from shelfrank.functions import constants as C
-from shelfrank.functions.columns import event_time, ntz_from_micros, ntz_micros
+from shelfrank.functions.columns import ntz_from_micros
 
-KIND_ORDER = {"interaction": 0, "like_toggle": 1, "cart_toggle": 2, "preferences": 3, "reset": 4}
+#: How far an event may lie behind the latest one seen.
+LATENESS = "60 days"
 
 SNAPSHOT_SCHEMA = (
     "user_id long, reset_event_id long, "
     "history array<struct<event_id:long,product_id:long,interaction_type:string,ts_us:long>>, "
     "wishlist array<struct<product_id:long,added_event_id:long,added_ts_us:long>>, "
     "cart array<struct<product_id:long,added_event_id:long,added_ts_us:long>>, "
-    "pref_event_id long, c1 long, c2 long, n_categories long, max_interaction_ts_us long"
+    "pref_event_id long, c1 long, c2 long, n_categories long, max_interaction_ts_us long, late_events long"
 )
 STATE_SCHEMA = "blob string"
+DAY_US = 86_400_000_000
 
 
-def state_events(events: DataFrame) -> DataFrame:
-    """Raw events -> (event_id, user_id, ts timestamp, kind, product_id, interaction_type, session_id,
-    c1, c2, n_categories). A click is an interaction and a like toggle; a signup an add_to_cart and a
-    cart toggle; an error a preference update, and every 50th event id also a reset."""
-    et = F.col("event_type")
-    kinds = F.filter(F.array(
-        F.when(et.isin("view", "click", "signup", "purchase"), F.lit("interaction")),
-        F.when(et == "click", F.lit("like_toggle")),
-        F.when(et == "signup", F.lit("cart_toggle")),
-        F.when(et == "error", F.lit("preferences")),
-        F.when((et == "error") & (F.col("event_id") % 50 == 0), F.lit("reset")),
-    ), lambda k: k.isNotNull())
-    return events.select(
-        "event_id", "user_id", event_time("ts").alias("ts"), ntz_micros("ts").alias("ts_us"),
-        F.explode(kinds).alias("kind"),
-        F.expr("try_cast(get_json_object(props, '$.k') AS BIGINT)").alias("product_id"),
-        F.when(et == "signup", "add_to_cart").otherwise(et).alias("interaction_type"),
-        F.substring(F.md5(F.concat_ws("-", F.col("user_id").cast("string"),
-                                      F.col("ts").cast("date").cast("string"))), 1, 12).alias("session_id"),
-        F.date_format(F.col("ts"), "yyyy-MM-dd").alias("day"),
-        (F.col("event_id") % 6).alias("c1"),
-        ((F.col("event_id") + 1 + F.col("event_id") % 2) % 6).alias("c2"),
-        (F.lit(1) + F.col("event_id") % 3).alias("n_categories"),
-    )
+def _empty_state() -> dict:
+    return {"keys": {}, "final": [], "wish": {}, "cart": {}, "prefs": [], "reset": None, "max_ts": None, "late": 0}
 
 
-def _empty_state() -> dict:
-    return {"history": [], "wish": {}, "cart": {}, "dedup": {}, "pref": None, "reset": None, "max_ts": None}
+def _beaten(entries: list, times: int) -> list:
+    """Entries [ts, event_id, ...] without those that at least ``times`` others beat both in
+    (ts, event_id) and in event_id: no later reset can make such an entry one of the ``times`` newest."""
+    kept, ids = [], []
+    for e in sorted(entries, key=lambda e: (e[0], e[1]), reverse=True):
+        if len(ids) - bisect.bisect_right(ids, e[1]) < times:
+            kept.append(e)
+        bisect.insort(ids, e[1])
+    return kept[::-1]
 
 
-def apply_events(st: dict, events: pd.DataFrame, cap: int = C.HISTORY_CAP,
+def apply_events(st: dict, events: pd.DataFrame, watermark_us: int = 0,
                  min_categories: int = C.MIN_PREFERRED_CATEGORIES) -> dict:
-    """Apply one user's events (any order) to its state dict; pure Python, also used by tests."""
-    ev = events.assign(_ko=events["kind"].map(KIND_ORDER)).sort_values(["ts_us", "event_id", "_ko"])
-    for r in ev.itertuples(index=False):
-        kind = r.kind
-        if kind == "interaction":
-            if r.product_id is None or pd.isna(r.product_id):
-                continue
-            key = f"{int(r.product_id)}|{r.interaction_type}|{r.session_id}"
-            if key in st["dedup"]:
-                continue
-            st["dedup"][key] = r.day
-            st["history"].append([int(r.event_id), int(r.product_id), r.interaction_type, int(r.ts_us)])
-            st["history"] = st["history"][-cap:]
-            st["max_ts"] = int(r.ts_us) if st["max_ts"] is None else max(st["max_ts"], int(r.ts_us))
-        elif kind in ("like_toggle", "cart_toggle"):
-            if r.product_id is None or pd.isna(r.product_id):
-                continue
-            lst = st["wish"] if kind == "like_toggle" else st["cart"]
-            pid = str(int(r.product_id))
-            if pid in lst:
-                del lst[pid]
-            else:
-                lst[pid] = [int(r.ts_us), int(r.event_id)]
+    """Merge one user's events, in any order and any number of parts, into its state; also used by tests.
+    Call ``settle`` once all parts of a batch are in."""
+    names = ["kind", "ts_us", "event_id", "product_id", "interaction_type", "session_id", "c1", "c2", "n_categories"]
+    for kind, ts, eid, pid, itype, session, c1, c2, n in zip(*(events[c].tolist() for c in names)):
+        ts, eid = int(ts), int(eid)
+        if ts < watermark_us:
+            st["late"] += 1
         elif kind == "preferences":
-            if int(r.n_categories) >= min_categories:
-                st["pref"] = [int(r.event_id), int(r.c1), int(r.c2), int(r.n_categories)]
+            if n >= min_categories:
+                st["prefs"] = _beaten([p for p in st["prefs"] if p[1] != eid] + [[ts, eid, int(c1), int(c2), int(n)]], 1)
         elif kind == "reset":
-            st.update(history=[], wish={}, cart={}, pref=None, reset=int(r.event_id))
-    if st["dedup"]:
-        days = sorted(set(st["dedup"].values()))
-        keep = set(days[-2:])
-        st["dedup"] = {k: v for k, v in st["dedup"].items() if v in keep}
+            st["reset"] = eid if st["reset"] is None else max(st["reset"], eid)
+        elif pid is None or pd.isna(pid):
+            continue
+        elif kind == "interaction":
+            key = f"{int(pid)}|{itype}|{session}"
+            known = st["keys"].get(key)
+            if known is None or (ts, eid) < (known[0], known[1]):
+                st["keys"][key] = [ts, eid, int(pid), itype]
+            st["max_ts"] = ts if st["max_ts"] is None else max(st["max_ts"], ts)
+        else:
+            st["wish" if kind == "like_toggle" else "cart"].setdefault(str(int(pid)), {"old": None, "new": []})["new"].append([ts, eid])
     return st
 
 
-def snapshot_row(user_id: int, st: dict) -> dict:
-    def lst(d):
-        items = sorted(d.items(), key=lambda kv: (kv[1][0], kv[1][1]))
-        return [{"product_id": int(p), "added_event_id": v[1], "added_ts_us": v[0]} for p, v in items]
-    pref = st["pref"] or [None, None, None, None]
+def settle(st: dict, watermark_us: int = 0, cap: int = C.HISTORY_CAP) -> dict:
+    """Cut what no admissible event can change: keys of sessions (days) that ended before the watermark,
+    toggles and updates before it, and whatever a reset has cleared."""
+    reset = -1 if st["reset"] is None else st["reset"]
+    ended = [k for k, v in st["keys"].items() if (v[0] // DAY_US + 1) * DAY_US <= watermark_us]
+    st["final"] = _beaten([v for v in [*st["final"], *(st["keys"].pop(k) for k in ended)] if v[1] > reset], cap)
+    for name in ("wish", "cart"):
+        for pid, t in list(st[name].items()):
+            if t["old"] and t["old"][3] <= reset:
+                t["old"] = None
+            t["new"] = [x for x in t["new"] if x[1] > reset]
+            for ts, eid in [x for x in t["new"] if x[0] < watermark_us]:
+                n, last_ts, last_eid, top = t["old"] or [0, -1, -1, -1]
+                t["old"] = [n + 1, *max((last_ts, last_eid), (ts, eid)), max(top, eid)]
+            t["new"] = [x for x in t["new"] if x[0] >= watermark_us]
+            if not t["old"] and not t["new"]:
+                del st[name][pid]
+    st["prefs"] = [p for p in st["prefs"] if p[1] > reset]
+    return st
+
+
+def snapshot_row(user_id: int, st: dict, cap: int = C.HISTORY_CAP) -> dict:
+    reset = -1 if st["reset"] is None else st["reset"]
+
+    def lst(toggles):
+        items = []
+        for pid, t in toggles.items():
+            n, ts, eid, _ = t["old"] or [0, -1, -1, -1]
+            if (n + len(t["new"])) % 2:
+                items.append((*max([(ts, eid), *map(tuple, t["new"])]), int(pid)))
+        return [{"product_id": p, "added_event_id": e, "added_ts_us": ts} for ts, e, p in sorted(items)]
+
+    history = sorted(v for v in [*st["final"], *st["keys"].values()] if v[1] > reset)[-cap:]
+    pref = max(st["prefs"], default=[None] * 5)
     return {
         "user_id": int(user_id), "reset_event_id": st["reset"],
-        "history": [{"event_id": e, "product_id": p, "interaction_type": t, "ts_us": ts} for e, p, t, ts in st["history"]],
+        "history": [{"event_id": e, "product_id": p, "interaction_type": t, "ts_us": ts} for ts, e, p, t in history],
         "wishlist": lst(st["wish"]), "cart": lst(st["cart"]),
-        "pref_event_id": pref[0], "c1": pref[1], "c2": pref[2], "n_categories": pref[3],
-        "max_interaction_ts_us": st["max_ts"],
+        "pref_event_id": pref[1], "c1": pref[2], "c2": pref[3], "n_categories": pref[4],
+        "max_interaction_ts_us": st["max_ts"], "late_events": st["late"],
     }
 
 
 def _update(key, chunks, state):
     st = json.loads(state.get[0]) if state.exists else _empty_state()
+    watermark_us = state.getCurrentWatermarkMs() * 1000
     for pdf in chunks:
-        apply_events(st, pdf)
+        apply_events(st, pdf, watermark_us)
+    settle(st, watermark_us)
     state.update((json.dumps(st),))
     yield pd.DataFrame([snapshot_row(key[0], st)])
 
 
-def user_state_stream(events: DataFrame, watermark: str = "1 hour") -> DataFrame:
-    """Streaming (or batch) snapshots of the touched users' state, one row per user and batch."""
-    se = state_events(events).withWatermark("ts", watermark)
-    cols = ["user_id", "event_id", "ts_us", "kind", "product_id", "interaction_type", "session_id", "day",
-            "c1", "c2", "n_categories"]
-    return (se.select(*cols).groupBy("user_id")
+def user_state_stream(events: DataFrame, watermark: str = LATENESS) -> DataFrame:
+    """Snapshots of the touched users' state from a stream of typed state events (the columns of
+    the module's text), one row per user and batch."""
+    cols = ["user_id", "event_id", "ts_us", "kind", "product_id", "interaction_type", "session_id", "c1", "c2", "n_categories"]
+    return (events.withWatermark("ts", watermark).select("ts", *cols).groupBy("user_id")
             .applyInPandasWithState(_update, SNAPSHOT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout))
 
 

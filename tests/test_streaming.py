@@ -1,12 +1,19 @@
 """Streams against the batch operators on the same events."""
 
+import glob
+import os
+import random
+import shutil
 import tempfile
 
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF01
-from shelfrank.operators import feed, state
+from conftest import SF001, SF01
+from shelfrank.operators import clean, feed
 from shelfrank.plans import registry as R
+from shelfrank.sources import files
 from shelfrank.sources import testdata as td
 from shelfrank.streaming import runner
 from shelfrank.streaming import user_state as us
@@ -23,33 +30,123 @@ def test_stream_feed_equals_batch_feed(spark):
     assert same_rows(got, want)
 
 
-def test_state_carries_across_micro_batches(spark):
-    """Events split into 4 files by time, one file per trigger: final state = batch state."""
-    folder = tempfile.mkdtemp(prefix="events-split-", dir="/tmp")
-    ev = spark.read.parquet(f"{SF01}/events.parquet")
-    bounds = ev.approxQuantile("event_id", [0.25, 0.5, 0.75], 0.0)
-    edges = [-1] + [int(b) for b in bounds] + [10 ** 12]
-    for i in range(4):
-        (ev.filter((F.col("event_id") > edges[i]) & (F.col("event_id") <= edges[i + 1])).coalesce(1)
-         .write.parquet(f"{folder}/part{i}"))
-    # flatten into one folder of events-<i>.parquet files, oldest first
-    import glob
-    import os
-    import shutil
+def split_files(spark, events, parts, order):
+    """Write events to ``parts`` files that a stream reads one by one: oldest first, newest first or at random."""
     flat = tempfile.mkdtemp(prefix="events-flat-", dir="/tmp")
-    for i in range(4):
-        f = glob.glob(f"{folder}/part{i}/*.parquet")[0]
-        shutil.copy(f, f"{flat}/events-{i}.parquet")
+    rows = events.orderBy("ts", "event_id").toPandas()
+    if order == "newest":
+        rows = rows.iloc[::-1]
+    elif order == "random":
+        rows = rows.sample(frac=1, random_state=7)
+    step = -(-len(rows) // parts)
+    for i in range(parts):
+        part = spark.createDataFrame(rows.iloc[i * step:(i + 1) * step], events.schema).coalesce(1)
+        folder = tempfile.mkdtemp(prefix="events-part-", dir="/tmp")
+        part.write.parquet(f"{folder}/p")
+        shutil.copy(glob.glob(f"{folder}/p/*.parquet")[0], f"{flat}/events-{i}.parquet")
         os.utime(f"{flat}/events-{i}.parquet", (1_000_000 + i, 1_000_000 + i))
-    root = runner.run_root(spark, "split-test")
-    runner.run_available(us.user_state_stream(runner.events_stream(spark, flat, "events-*.parquet", 1)), root)
+    return flat
+
+
+def doubled(events):
+    """The events, and copies of every third one an hour and a day later or earlier under new ids (a copy
+    of the same day has the same session)."""
+    again = events.filter(F.col("event_id") % 3 == 0)
+    hour = again.withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 HOUR")).withColumn("event_id", F.col("event_id") + 100_000)
+    early = again.withColumn("ts", F.col("ts") - F.expr("INTERVAL 20 MINUTE")).withColumn("event_id", F.col("event_id") + 200_000)
+    day = again.withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 DAY")).withColumn("event_id", F.col("event_id") + 300_000)
+    return events.union(hour).union(early).union(day)
+
+
+@pytest.mark.parametrize("order,chunk", [("oldest", 10_000), ("newest", 20), ("random", 10_000), ("random", 20)])
+def test_state_does_not_depend_on_order_or_chunks(spark, monkeypatch, order, chunk):
+    events = doubled(spark.read.parquet(f"{SF001}/events.parquet"))
+    flat = split_files(spark, events, 4, order)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(chunk))
+    try:
+        root = runner.run_root(spark, "order-test")
+        runner.run_available(us.user_state_stream(td.state_events(runner.events_stream(spark, flat, "events-*.parquet", 1))), root)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
     out = spark.read.parquet(f"{root}/out")
     assert out.select("batch_id").distinct().count() == 4
     snap = us.latest_snapshots(out)
-    assert same_rows(us.history_rows(snap), R.history(spark, SF01))
-    t, r = td.toggles(spark, SF01), td.resets(spark, SF01)
-    assert same_rows(us.list_rows(snap, "wishlist"), state.wishlist_state(t, r))
-    assert same_rows(us.list_rows(snap, "cart"), state.cart_state(t, r))
+    monkeypatch.setattr(td, "_read", lambda s, d, name: events if name == "events" else s.read.parquet(f"{d}/{name}.parquet"))
+    c = R.Ctx(spark, SF001)
+    assert same_rows(us.history_rows(snap), c.history)
+    assert same_rows(us.list_rows(snap, "wishlist"), c.wishlist)
+    assert same_rows(us.list_rows(snap, "cart"), c.cart)
+    prefs = feed.name_categories(snap.filter(F.col("pref_event_id").isNotNull()).select(
+        "user_id", F.col("pref_event_id").alias("event_id"), "c1", "c2", "n_categories"), c.products)
+    assert same_rows(prefs, c.prefs)
+    assert snap.agg(F.sum("late_events")).first()[0] == 0
+
+
+def test_late_events_are_counted_not_lost_silently(spark):
+    events = spark.read.parquet(f"{SF001}/events.parquet")
+    flat = split_files(spark, events, 4, "newest")
+    root = runner.run_root(spark, "late-test")
+    runner.run_available(us.user_state_stream(td.state_events(runner.events_stream(spark, flat, "events-*.parquet", 1)), "1 hour"), root)
+    snap = us.latest_snapshots(spark.read.parquet(f"{root}/out"))
+    kinds = td.state_events(events).count()
+    assert 0 < snap.agg(F.sum("late_events")).first()[0] < kinds
+
+
+def test_settled_state_is_bounded_and_equal():
+    """Settling with an advancing watermark changes no snapshot when events come within the delay."""
+    rnd = random.Random(4)
+    rows, day = [], us.DAY_US
+    for i in range(900):
+        kind = rnd.choices(["interaction", "like_toggle", "cart_toggle", "preferences", "reset"], [60, 15, 15, 8, 1])[0]
+        ts = i * day // 20 + rnd.randrange(day // 30)
+        rows.append((kind, ts, i, rnd.randrange(12), "view", str(ts // day), 1, 2, rnd.randrange(4)))
+    names = ["kind", "ts_us", "event_id", "product_id", "interaction_type", "session_id", "c1", "c2", "n_categories"]
+    whole = us.settle(us.apply_events(us._empty_state(), pd.DataFrame(rows, columns=names)))
+    st, top = us._empty_state(), 0
+    for a in range(0, len(rows), 30):
+        part = rows[a:a + 30]
+        rnd.shuffle(part)
+        mark = max(0, top - 2 * day)
+        us.settle(us.apply_events(st, pd.DataFrame(part, columns=names), mark), mark)
+        top = max(top, *(r[1] for r in part))
+    assert us.snapshot_row(1, st) == us.snapshot_row(1, whole)
+    assert len(st["keys"]) < 120 and len(st["final"]) <= 2 * us.C.HISTORY_CAP and st["late"] == 0
+
+
+def test_csv_log_stream_equals_batch_history(spark):
+    """The reference's own log has no event ids: batch feed and stream agree on made ones."""
+    folder = tempfile.mkdtemp(prefix="csv-log-", dir="/tmp")
+    lines = ["user_id,product_id,interaction_type,interaction_score,rating,review_sentiment,timestamp,session_id"]
+    rnd = random.Random(3)
+    for i in range(400):
+        day = rnd.randrange(1, 9)
+        lines.append(f"{rnd.randrange(4)},{rnd.choice([rnd.randrange(30), ''])},{rnd.choice(['view', 'click'])},1,,,2024-03-0{day} 0{rnd.randrange(10)}:0{rnd.randrange(3)}:00,s{day}")
+    for i in range(2):
+        with open(f"{folder}/log-{i}.csv", "w") as f:
+            f.write("\n".join([lines[0], *lines[1 + i::2]]) + "\n")
+    log = clean.with_event_ids(clean.clean_interactions(files.read_interactions(spark, folder)))
+    want = feed.recent_interactions(log)
+    root = runner.run_root(spark, "csv-test")
+    runner.run_available(us.user_state_stream(files.state_events(files.read_interactions_stream(spark, folder, 1))), root)
+    got = us.history_rows(us.latest_snapshots(spark.read.parquet(f"{root}/out")))
+    cols = ["user_id", "event_id", "product_id", "interaction_type", "recency_rank"]
+    assert want.count() > 100 and same_rows(got.select(cols), want.select(cols))
+
+
+def test_hook_runs_the_state_function_once(spark):
+    """The hook reads the written rows: however often it uses them, each user's function runs once."""
+    calls = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            calls.add(len(b))
+            yield b
+    stream = td.state_events(runner.events_stream(spark, SF001, "events.parquet"))
+    snaps = us.user_state_stream(stream).mapInPandas(count, us.SNAPSHOT_SCHEMA)
+    seen = []
+    runner.run_available(snaps, runner.run_root(spark, "once"), lambda df, i: seen.extend([df.count(), df.count(), df.count()]))
+    assert calls.value == seen[0] == seen[2]
 
 
 def test_streams_do_not_depend_on_session_time_zone(spark):
