@@ -62,6 +62,6 @@ def baseline_recommender(interactions: DataFrame, products: DataFrame, n: int =
     order = Window.partitionBy("user_id").orderBy("src", "pos")
     ranked = chosen.unionByName(pad).withColumn("rec_rank", F.row_number().over(order)).filter(F.col("rec_rank") <= n)
     names = F.array(F.lit("category"), F.lit("random"), F.lit("pad"))
-    return (ranked.join(products.select("product_id", "product_name", "category", "avg_rating"), "product_id", "left")
-            .select("user_id", "rec_rank", "product_id", F.element_at(names, F.col("src") + 1).alias("source"),
-                    "product_name", "category", "avg_rating"))
+    fields = ["product_name", "category", "sub_category", "brand", "price", "avg_rating", "rating_count", "price_range"]
+    return (ranked.join(products.select("product_id", *fields), "product_id", "left")
+            .select("user_id", "rec_rank", "product_id", F.element_at(names, F.col("src") + 1).alias("source"), *fields))

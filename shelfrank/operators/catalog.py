@@ -69,6 +69,19 @@ def _stats(products_with_stats: DataFrame) -> DataFrame:
                                       "avg_rating", F.col("total_engagement").alias("engagement"))
 
 
+#: Parts of a sub-category's sources in the list joins: the few rows of a group's tops are copied to each
+#: part, so a sub-category with half of the catalogue is joined in as many tasks.
+SALTS = 16
+
+
+def _salted(sources: DataFrame) -> DataFrame:
+    return sources.withColumn("_salt", F.pmod(F.xxhash64("source_product_id"), F.lit(SALTS)).cast("int"))
+
+
+def _copied(tops: DataFrame) -> DataFrame:
+    return tops.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
 def similar_products(products_with_stats: DataFrame, k: int = C.SIMILAR_PER_PRODUCT) -> DataFrame:
     """J4 + W2 (rewrite O1): for each product the top ``k`` other products of its sub-category by
     avg_rating desc, engagement desc, product_id asc.
@@ -85,7 +98,7 @@ def similar_products(products_with_stats: DataFrame, k: int = C.SIMILAR_PER_PROD
     src = stats.filter(F.col("sub_category").isNotNull()).select(
         F.col("product_id").alias("source_product_id"), F.col("product_name").alias("source_product_name"),
         "sub_category")
-    pairs = src.join(top, "sub_category").filter(F.col("source_product_id") != F.col("similar_product_id"))
+    pairs = _salted(src).join(_copied(top), ["sub_category", "_salt"]).filter(F.col("source_product_id") != F.col("similar_product_id"))
     w = Window.partitionBy("source_product_id").orderBy(F.desc("avg_rating"), F.desc("engagement"),
                                                         F.asc("similar_product_id"))
     return (pairs.withColumn("sim_rank", F.row_number().over(w)).filter(F.col("sim_rank") <= k)
@@ -112,7 +125,7 @@ def complementary_products(products_with_stats: DataFrame, comp_map: DataFrame,
                        F.col("sub_category").alias("source_sub_category"))
     targets = comp_map.select("source_sub_category", "target_sub_category").distinct()
     expanded = src.join(targets, "source_sub_category")
-    pairs = expanded.join(top, "target_sub_category").filter(F.col("source_product_id") != F.col("comp_product_id"))
+    pairs = _salted(expanded).join(_copied(top), ["target_sub_category", "_salt"]).filter(F.col("source_product_id") != F.col("comp_product_id"))
     w = Window.partitionBy("source_product_id").orderBy(F.desc("avg_rating"), F.desc("engagement"),
                                                         F.asc("comp_product_id"))
     return (pairs.withColumn("comp_rank", F.row_number().over(w)).filter(F.col("comp_rank") <= k)
@@ -159,6 +172,8 @@ def category_listing(products: DataFrame, category: str | None = None) -> DataFr
 
 
 def similar_for_ids(similar: DataFrame, ids, column: str = "source_product_id") -> DataFrame:
-    """The lists of the given source products only (an IN-list filter, pushed down when the
-    list reads from a file)."""
+    """The lists of the given source products only. ``ids`` is a short list (an IN filter, pushed
+    down when the lists are read from a file) or a table whose first column holds them (a semi join)."""
+    if isinstance(ids, DataFrame):
+        return similar.join(ids.select(F.col(ids.columns[0]).alias(column)), column, "left_semi")
     return similar.filter(F.col(column).isin(list(ids)))

@@ -26,6 +26,21 @@ def test_predictions(split: DataFrame, user_factors: DataFrame, item_factors: Da
             .select("user_id", "product_id", "actual", dot(F.col("w"), F.col("h")).alias("predicted")))
 
 
+def reconstruction_error(split: DataFrame, user_factors: DataFrame, item_factors: DataFrame, k: int) -> DataFrame:
+    """A14 as one row: sqrt(sum over all users x products of (r - w.h)^2), r = 0 outside the training cells.
+    Only observed cells are joined; the rest comes from the k x k Grams, sum (w.h)^2 = trace(W'W H'H)."""
+    def gram(f: DataFrame) -> list:
+        return [F.sum(F.col("factors")[i] * F.col("factors")[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)]
+
+    train = split.filter("is_train").select("user_id", "product_id", F.col("final_score").alias("r"))
+    seen = (train.join(user_factors.select("user_id", F.col("factors").alias("w")), "user_id")
+            .join(item_factors.select("product_id", F.col("factors").alias("h")), "product_id")
+            .agg(F.sum(F.col("r") * F.col("r") - 2 * F.col("r") * dot(F.col("w"), F.col("h"))).alias("s")))
+    gw, gh = user_factors.agg(*gram(user_factors)).first(), item_factors.agg(*gram(item_factors)).first()
+    both = sum((1 if i == j else 2) * (gw[f"g{i}_{j}"] or 0.0) * (gh[f"g{i}_{j}"] or 0.0) for i in range(k) for j in range(i, k))
+    return seen.select(F.sqrt(F.greatest(F.lit(0.0), F.coalesce("s", F.lit(0.0)) + F.lit(both))).alias("reconstruction_error"))
+
+
 def model_metrics(spark: SparkSession, split: DataFrame, model) -> DataFrame:
     """M6: RMSE and MAE on the held-out cells, plus the training reconstruction error (A14),
     iterations run and final objective, as one row. Held-out cells were 0 in training (trap T5)."""

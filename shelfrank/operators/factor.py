@@ -10,8 +10,8 @@ b = sum over the user's observed products of r * h (sparse: zero cells add nothi
 step is
 
 1. a join of the observed triplets with the fixed factor table and a weighted vector sum per row
-   key (``Summarizer``: JVM side, partial aggregation before the shuffle, so a hot user sends one
-   partial vector per task);
+   key (k plain sums: one code-generated hash aggregate, partial before the shuffle, so a hot user
+   sends one partial vector per task);
 2. a vectorised coordinate-descent solve per row in ``mapInPandas`` (numpy on Arrow batches, G sent
    with the task);
 3. a k x k Gram matrix of the new factors, summed per partition and then across partitions.
@@ -19,12 +19,13 @@ step is
 Only k x k matrices and scalars reach the driver. The loss comes from the Grams:
 ||R - WH||^2 = sum r^2 - 2 sum_u w_u . b_u + trace((W'W)(HH')).
 
-Data movement: the training triplets are written once as two tables bucketed by user and by
-product (in the checkpoint folder), so the per-iteration joins move only the factor side (or
-broadcast it when AQE finds it small); the triplets themselves are never reshuffled. The per-key
-sums shuffle partial vectors only. Each solve is written as a table in the checkpoint folder and read
-back (one job per half step; cuts plan and lineage); its tasks also emit their partial Gram rows,
-so the Gram costs an aggregate over a handful of rows.
+Data movement: the training triplets are written once as two tables in the checkpoint folder, bucketed
+by (user, salt) and by (product, salt). The salt is a hash of the other id, so a product with half of all
+pairs lies in SALTS buckets, and the per-iteration joins move only the factor side, each row once for
+each salt (or broadcast it when it is small); the triplets are never reshuffled. The per-key sums
+shuffle partial vectors only. Each solve is written as a table in the checkpoint folder and read back
+(one job per half step; cuts plan and lineage); its tasks also emit their partial Gram rows, so the Gram
+costs an aggregate over a handful of rows.
 
 Extrapolation (Ang and Gillis 2019, "Accelerating nonnegative matrix factorization algorithms
 using extrapolation"): after each solve the factors are pushed along their last change,
@@ -57,26 +58,29 @@ from shelfrank.operators.evaluate import dot
 from shelfrank.plans.session import checkpoint_dir
 
 
-def nnls_rows(G: np.ndarray, B: np.ndarray, sweeps: int = 60, tol: float = 1e-10) -> np.ndarray:
+def nnls_rows(G: np.ndarray, B: np.ndarray, sweeps: int = 1000, tol: float = 1e-10) -> np.ndarray:
     """Rows w >= 0 minimising 0.5 w'Gw - b'w for each row b of B (G symmetric positive definite):
-    start from the clipped unconstrained solution, then cyclic coordinate descent on all rows at once."""
+    start from the clipped unconstrained solution, then cyclic coordinate descent on the rows that still
+    change, until no coordinate moves by more than ``tol`` (relative to the largest); ``sweeps`` only ends
+    a row that rounding keeps in motion."""
     if B.shape[0] == 0:
         return B.copy()
     k = G.shape[0]
     ridge = 1e-10 * max(float(np.trace(G)) / k, 1.0)     # only for the start: G may be singular
     W = np.maximum(np.linalg.solve(G + ridge * np.eye(k), B.T).T, 0.0)
     diag = np.diag(G)
+    W[:, diag <= 0.0] = 0.0          # a factor unused by every row: its coordinate stays 0
+    open_rows = np.arange(len(W))
     for _ in range(sweeps):
-        delta = 0.0
-        for j in range(k):
-            if diag[j] <= 0.0:          # a factor unused by every row: its coordinate stays 0
-                W[:, j] = 0.0
-                continue
-            grad = W @ G[:, j] - B[:, j]
-            new = np.maximum(0.0, W[:, j] - grad / diag[j])
-            delta = max(delta, float(np.max(np.abs(new - W[:, j]))))
-            W[:, j] = new
-        if delta < tol:
+        X, C_ = W[open_rows], B[open_rows]
+        moved = np.zeros(len(X))
+        for j in np.flatnonzero(diag > 0.0):
+            new = np.maximum(0.0, X[:, j] - (X @ G[:, j] - C_[:, j]) / diag[j])
+            moved = np.maximum(moved, np.abs(new - X[:, j]))
+            X[:, j] = new
+        W[open_rows] = X
+        open_rows = open_rows[moved > tol * np.maximum(1.0, X.max(axis=1))]
+        if not len(open_rows):
             break
     return W
 
@@ -127,31 +131,31 @@ def _store(spark: SparkSession, solved: DataFrame, key: str, path: str, k: int):
             float(arr[-1]))
 
 
-def _weighted_sums(triplets: DataFrame, factors: DataFrame, join_key: str, group_key: str) -> DataFrame:
-    """Per ``group_key``: sum over its triplets of score * factor vector of the ``join_key`` side."""
-    j = triplets.join(factors.select(join_key, "factors"), join_key)
-    s = Summarizer.metrics("sum").summary(array_to_vector(F.col("factors")), F.col("score")).getField("sum")
-    return j.groupBy(group_key).agg(vector_to_array(s).alias("b"))
+#: Parts of a user's or product's pairs; and the most buckets of a table, below Spark's own limit.
+SALTS = 16
+MOST_BUCKETS = 50_000
+
 
+def _weighted_sums(triplets: DataFrame, factors: DataFrame, join_key: str, group_key: str, k: int) -> DataFrame:
+    """Per ``group_key``: sum over its triplets of score * factor vector of the ``join_key`` side."""
+    copies = factors.select(join_key, "factors", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    j = triplets.join(copies, [join_key, "salt"])
+    sums = [F.sum(F.col("score") * F.col("factors")[i]).alias(f"b{i}") for i in range(k)]
+    return j.groupBy(group_key).agg(*sums).select(group_key, F.array(*[f"b{i}" for i in range(k)]).alias("b"))
 
-def gram(factors: DataFrame, k: int, with_wb: bool = False) -> tuple[np.ndarray, float]:
-    """F'F (k x k) and, if asked, the sum of the ``wb`` column: per-partition partial sums, then one
-    vector sum across partitions. The driver receives k*k + 1 doubles."""
-    cols = ["factors"] + (["wb"] if with_wb else [])
 
+def gram(factors: DataFrame, k: int) -> np.ndarray:
+    """F'F (k x k): per-partition partial sums, then one vector sum across partitions."""
     def partial(batches):
-        acc = np.zeros(k * k + 1)
+        acc = np.zeros(k * k)
         for pdf in batches:
             M = np.array(pdf["factors"].tolist(), dtype=np.float64).reshape(len(pdf), k)
-            acc[:-1] += (M.T @ M).ravel()
-            if with_wb:
-                acc[-1] += float(pdf["wb"].sum())
+            acc += (M.T @ M).ravel()
         yield pd.DataFrame({"g": [acc.tolist()]})
 
-    part = factors.select(*cols).mapInPandas(partial, "g array<double>")
+    part = factors.select("factors").mapInPandas(partial, "g array<double>")
     total = part.agg(vector_to_array(Summarizer.sum(array_to_vector(F.col("g")))).alias("g")).first()["g"]
-    arr = np.array(total, dtype=np.float64)
-    return arr[:-1].reshape(k, k), float(arr[-1])
+    return np.array(total, dtype=np.float64).reshape(k, k)
 
 
 def hashed_start(ids: DataFrame, key: str, k: int, scale, seed: int) -> DataFrame:
@@ -173,14 +177,14 @@ class NMFModel:
     objective: float = float("nan")                   # the full objective at the returned factors
 
 
-def _bucketed(spark: SparkSession, df: DataFrame, key: str, buckets: int, base: str) -> DataFrame:
-    """Write ``df`` once as a table bucketed by ``key`` in the checkpoint folder and read it back.
-    A bucketed scan is hash-partitioned by ``key``, so every later join on ``key`` moves only the
-    other (factor) side: the triplets are shuffled once for the whole fit, not once per iteration."""
+def _bucketed(spark: SparkSession, df: DataFrame, key: str, other: str, buckets: int, base: str) -> DataFrame:
+    """Write ``df`` once as a table bucketed by (key, salt) in the checkpoint folder and read it back.
+    Later joins on both columns move only the factor side."""
     name = f"{base.rsplit('/', 1)[-1]}_by_{key}"
-    # Repartitioning by the bucket key first makes each write task hold exactly one bucket, so the
+    # Repartitioning by the bucket columns first makes each write task hold exactly one bucket, so the
     # table has one file per bucket instead of one per (task, bucket).
-    (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+    (df.withColumn("salt", F.pmod(F.xxhash64(other), F.lit(SALTS)).cast("int"))
+     .repartition(buckets, key, "salt").write.bucketBy(buckets, key, "salt").sortBy(key, "salt")
      .option("path", f"{base}/by_{key}").saveAsTable(name))
     return spark.table(name)
 
@@ -201,9 +205,9 @@ def fit_nmf(spark: SparkSession, entries: DataFrame, k: int = C.NUM_FACTORS, max
                            *(["is_train"] if has_split else []))
     cells = cells.persist(StorageLevel.MEMORY_AND_DISK)      # setup reads it several times
     train = (cells.filter("is_train") if has_split else cells).select("user_id", "product_id", "score")
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    by_user = _bucketed(spark, train, "user_id", buckets, base)
-    by_product = _bucketed(spark, train, "product_id", buckets, base)
+    buckets = min(MOST_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    by_user = _bucketed(spark, train, "user_id", "product_id", buckets, base)
+    by_product = _bucketed(spark, train, "product_id", "user_id", buckets, base)
     is_train = F.col("is_train") if has_split else F.lit(True)
     stats = cells.agg(F.countDistinct("user_id").alias("nu"), F.countDistinct("product_id").alias("ni"),
                       F.sum(F.when(is_train, F.col("score"))).alias("s"),
@@ -227,7 +231,7 @@ def fit_nmf(spark: SparkSession, entries: DataFrame, k: int = C.NUM_FACTORS, max
     zeros = F.array_repeat(F.lit(0.0), k)
     hashed_start(users, "user_id", k, scale, seed).write.parquet(f"{base}/w0")
     W_use = spark.read.parquet(f"{base}/w0")          # the W the next H step solves against
-    G_use, _ = gram(W_use, k)
+    G_use = gram(W_use, k)
     W_prev, H_prev = W_use, None
     beta, beta_bar = (beta0, 1.0) if extrapolate else (0.0, 0.0)
     losses: list[float] = []
@@ -236,12 +240,12 @@ def fit_nmf(spark: SparkSession, entries: DataFrame, k: int = C.NUM_FACTORS, max
     GWn = GHn = None
     for it in range(1, max_iter + 1):
         # H step: per product, b = sum_u r_up w_u; solve with W'W + lh I; extrapolate from the last H.
-        sums_h = _weighted_sums(by_user, W_use, "user_id", "product_id")
+        sums_h = _weighted_sums(by_user, W_use, "user_id", "product_id", k)
         H_rows, GH_hat, GHn, _ = _store(spark, _solve_side(sums_h, "product_id", G_use, lh, H_prev, beta),
                                         "product_id", f"{base}/h{it}", k)
         H_hat = H_rows.select("product_id", F.col("hat").alias("factors"))
         # W step: per user, b = sum_p r_up h_p (extrapolated H); solve with H H' + lw I.
-        sums_w = _weighted_sums(by_product, H_hat, "product_id", "user_id")
+        sums_w = _weighted_sums(by_product, H_hat, "product_id", "user_id", k)
         W_rows, GW_hat, GWn, wb = _store(spark, _solve_side(sums_w, "user_id", GH_hat, lw, W_prev, beta),
                                          "user_id", f"{base}/w{it}", k)
         loss = (0.5 * (sum_r2 - 2.0 * wb + float(np.sum(GWn * GH_hat)))
@@ -266,7 +270,7 @@ def fit_nmf(spark: SparkSession, entries: DataFrame, k: int = C.NUM_FACTORS, max
     W_fit = W_rows.select("user_id", "factors")
     H_fit = H_rows.select("product_id", "factors")
     # Objective at the returned (plain) factors: one more weighted sum with H.
-    wb = float(_weighted_sums(by_product, H_fit, "product_id", "user_id").join(W_fit, "user_id")
+    wb = float(_weighted_sums(by_product, H_fit, "product_id", "user_id", k).join(W_fit, "user_id")
                .agg(F.sum(dot(F.col("b"), F.col("factors")))).first()[0] or 0.0)
     GW, GH = GWn, GHn
     # Users / products without training cells get zero factors (their cells are all 0 in training).
@@ -284,12 +288,21 @@ def fit_als(entries: DataFrame, k: int = C.NUM_FACTORS, max_iter: int = 10, reg:
     from pyspark.ml.recommendation import ALS
 
     train = entries.filter("is_train") if "is_train" in entries.columns else entries
+    # The library takes 32-bit ids: number the users and products of the training cells.
+    users, items = _numbered(train, "user_id", "u"), _numbered(train, "product_id", "p")
     als = ALS(rank=k, maxIter=max_iter, regParam=reg, nonnegative=True, implicitPrefs=implicit, seed=seed,
-              userCol="user_id", itemCol="product_id", ratingCol="final_score", coldStartStrategy="drop",
-              checkpointInterval=5)
-    model = als.fit(train.select(F.col("user_id").cast("int"), F.col("product_id").cast("int"), "final_score"))
-    uf = model.userFactors.select(F.col("id").cast("bigint").alias("user_id"),
-                                  F.col("features").cast("array<double>").alias("factors"))
-    itf = model.itemFactors.select(F.col("id").cast("bigint").alias("product_id"),
-                                   F.col("features").cast("array<double>").alias("factors"))
-    return model, uf, itf
+              userCol="u", itemCol="p", ratingCol="final_score", coldStartStrategy="drop", checkpointInterval=5)
+    model = als.fit(train.join(users, "user_id").join(items, "product_id").select("u", "p", "final_score"))
+    uf = model.userFactors.select(F.col("id").alias("u"), F.col("features").cast("array<double>").alias("factors")).join(users, "u")
+    itf = model.itemFactors.select(F.col("id").alias("p"), F.col("features").cast("array<double>").alias("factors")).join(items, "p")
+    return model, uf.select("user_id", "factors"), itf.select("product_id", "factors")
+
+
+def _numbered(entries: DataFrame, key: str, name: str) -> DataFrame:
+    """Distinct ids with dense int numbers in their order, written once so that they stay the same."""
+    spark = entries.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/shelfrank_ids_{uuid.uuid4().hex[:12]}"
+    ids = entries.select(key).distinct()
+    numbers = ids.rdd.map(lambda r: r[0]).sortBy(lambda x: x).zipWithIndex()
+    spark.createDataFrame(numbers, f"{key} long, {name} long").select(key, F.col(name).cast("int").alias(name)).write.parquet(path)
+    return spark.read.parquet(path)

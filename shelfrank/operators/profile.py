@@ -33,15 +33,18 @@ def score_stats(matrix: DataFrame, column: str = "final_score") -> DataFrame:
 def run_summary(users: DataFrame, products: DataFrame, raw_interactions: DataFrame,
                 interactions: DataFrame, matrix: DataFrame) -> DataFrame:
     """A10: the row counts of a run as (metric, value) rows; one aggregate per table, no driver loop."""
-    parts = [
-        users.agg(F.count("*").alias("value")).select(F.lit("users").alias("metric"), "value"),
-        products.agg(F.count("*").alias("value")).select(F.lit("products").alias("metric"), "value"),
-        raw_interactions.agg(F.count("*").alias("value")).select(F.lit("raw_interactions").alias("metric"), "value"),
-        interactions.agg(F.count("*").alias("value")).select(F.lit("interactions").alias("metric"), "value"),
-        matrix.agg(F.count("*").alias("value")).select(F.lit("matrix_pairs").alias("metric"), "value"),
-        matrix.agg(F.countDistinct("user_id").alias("value")).select(F.lit("matrix_users").alias("metric"), "value"),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    def count(df: DataFrame, name: str) -> DataFrame:
+        return df.agg(F.count("*").alias("value")).select(F.lit(name).alias("metric"), "value")
+
+    pairs = matrix.agg(F.count("*").alias("matrix_pairs"), F.countDistinct("user_id").alias("matrix_users"))
+    return (count(users, "users").unionByName(count(products, "products"))
+            .unionByName(count(raw_interactions, "raw_interactions")).unionByName(count(interactions, "interactions"))
+            .unionByName(pairs.unpivot([], ["matrix_pairs", "matrix_users"], "metric", "value")))
+
+
+def model_summary(metrics: DataFrame, recommendations: DataFrame) -> DataFrame:
+    """A10, the model's rows: RMSE and MAE (6 decimals) of one metrics row, and the users with recommendations."""
+    served = recommendations.agg(F.countDistinct("user_id").cast("double").alias("users_served"))
+    errors = metrics.select(round_half_up("rmse", 6).alias("rmse"), round_half_up("mae", 6).alias("mae"))
+    return errors.unpivot([], ["rmse", "mae"], "metric", "value").unionByName(
+        served.unpivot([], ["users_served"], "metric", "value"))

@@ -6,8 +6,8 @@ blocks; a ``cogroup`` on (bucket, block) hands one task a bounded W block and H
 multiplies them, masks the pairs the user has seen and keeps each user's top n. Only n candidates
 per user per block leave the task; a final row_number <= n per user merges the blocks.
 
-Block sizes bound the work of one task (user_block x item_block scores); each W row is sent once
-per item block and each H row once per user bucket.
+A task holds one user block and one item block and scores CHUNK users at a time, so large blocks cost
+little memory: each W row is sent once per item block, each H row once per user bucket.
 """
 
 from __future__ import annotations
@@ -22,6 +22,9 @@ from pyspark.sql import functions as F
 from shelfrank.functions import constants as C
 from shelfrank.functions.columns import round_half_up
 
+#: Users scored together (times the item block, a matrix of doubles).
+CHUNK = 256
+
 CANDIDATE_SCHEMA = "user_id long, product_id long, score double"
 
 
@@ -30,7 +33,7 @@ def _block(col: str, n: int) -> F.Column:
 
 
 def score_top_n(user_factors: DataFrame, item_factors: DataFrame, seen: DataFrame, k: int,
-                n: int = C.RECOMMENDATIONS_PER_USER, user_block: int = 1024, item_block: int = 2048) -> DataFrame:
+                n: int = C.RECOMMENDATIONS_PER_USER, user_block: int = 16_384, item_block: int = 16_384) -> DataFrame:
     """Per user the ``n`` best products not in ``seen`` (user_id, product_id), by score desc, product_id asc.
 
     user_factors: (user_id, factors); item_factors: (product_id, factors). Returns (user_id,
@@ -54,29 +57,34 @@ def score_top_n(user_factors: DataFrame, item_factors: DataFrame, seen: DataFram
              .withColumn("ub", F.explode(F.sequence(F.lit(0), F.lit(n_ub - 1)))))
 
     def top_block(u: pd.DataFrame, it: pd.DataFrame) -> pd.DataFrame:
-        if len(u) == 0 or len(it) == 0:
-            return pd.DataFrame({"user_id": [], "product_id": [], "score": []})
-        Wm = np.array(u["factors"].tolist(), dtype=np.float64).reshape(len(u), k)
-        Hm = np.array(it["factors"].tolist(), dtype=np.float64).reshape(len(it), k)
-        pids = it["product_id"].to_numpy(dtype=np.int64)
-        order = np.argsort(pids, kind="stable")      # ties then resolve to the smaller product id
-        pids, Hm = pids[order], Hm[order]
-        S = Wm @ Hm.T
-        col_of = {int(p): i for i, p in enumerate(pids)}
-        for r, s in enumerate(u["seen"]):
-            idx = [col_of[int(p)] for p in (s if s is not None else []) if int(p) in col_of]
-            if idx:
-                S[r, idx] = -np.inf
-        m = min(n, S.shape[1])
-        # stable sort on -score keeps product-id order among equal scores
-        top = np.argsort(-S, axis=1, kind="stable")[:, :m]
-        rows_u, rows_p, rows_s = [], [], []
-        uids = u["user_id"].to_numpy(dtype=np.int64)
-        for r in range(S.shape[0]):
-            for c in top[r]:
-                if np.isfinite(S[r, c]):
-                    rows_u.append(uids[r]); rows_p.append(pids[c]); rows_s.append(S[r, c])
-        return pd.DataFrame({"user_id": rows_u, "product_id": rows_p, "score": rows_s})
+        out = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+        if len(u) and len(it):
+            it = it.sort_values("product_id")
+            pids, H = it["product_id"].to_numpy(np.int64), np.vstack(it["factors"].to_numpy())
+            uids, W = u["user_id"].to_numpy(np.int64), np.vstack(u["factors"].to_numpy())
+            lengths = u["seen"].map(len).to_numpy()
+            seen = np.concatenate([np.asarray(x, np.int64) for x in u["seen"]]) if lengths.sum() else np.zeros(0, np.int64)
+            row = np.repeat(np.arange(len(u)), lengths)
+            col = np.searchsorted(pids, seen)
+            col[col == len(pids)] = 0
+            known = pids[col] == seen
+            row, col = row[known], col[known]
+            parts = []
+            for at in range(0, len(u), CHUNK):
+                S = W[at:at + CHUNK] @ H.T
+                mine = (row >= at) & (row < at + CHUNK)
+                S[row[mine] - at, col[mine]] = -np.inf
+                m = min(n, S.shape[1])
+                # Everything at least as good as the m-th best, ties too; the cut below takes the smaller ids.
+                least = -np.partition(-S, m - 1, axis=1)[:, m - 1:m]
+                r, c = np.nonzero((S >= least) & np.isfinite(S))
+                order = np.lexsort((c, -S[r, c], r))
+                r, c = r[order], c[order]
+                place = np.arange(len(r)) - np.searchsorted(r, r)
+                r, c = r[place < m], c[place < m]
+                parts.append((uids[at + r], pids[c], S[r, c]))
+            out = [np.concatenate(x) for x in zip(*parts)]
+        return pd.DataFrame({"user_id": out[0], "product_id": out[1], "score": out[2]})
 
     cand = (users.groupBy("ub", "ib").cogroup(items.groupBy("ub", "ib"))
             .applyInPandas(top_block, CANDIDATE_SCHEMA))

@@ -32,6 +32,22 @@ def cart_state(toggles: DataFrame, resets: DataFrame | None = None) -> DataFrame
     return toggle_state(toggles, "cart_toggle", resets)
 
 
+def additions(toggles: DataFrame, resets: DataFrame | None = None) -> DataFrame:
+    """The toggles that add a product to a list: the odd ones of each user, product and list after the
+    last reset. Each is an event of the log, a ``like`` or an ``add_to_cart``; a removal is none."""
+    t = after_reset(toggles, resets)
+    w = Window.partitionBy("user_id", "product_id", "action").orderBy("ts", "event_id")
+    kind = F.when(F.col("action") == "like_toggle", "like").otherwise("add_to_cart")
+    return (t.withColumn("_n", F.row_number().over(w)).filter((F.col("_n") % 2 == 1) & F.col("product_id").isNotNull())
+            .select("event_id", "user_id", "product_id", kind.alias("interaction_type"), "ts"))
+
+
+def with_additions(interactions: DataFrame, toggles: DataFrame, resets: DataFrame | None = None) -> DataFrame:
+    """The clean log together with the additions of the toggles, as the re-ranker sees it."""
+    cols = ["event_id", "user_id", "product_id", "interaction_type", "ts"]
+    return interactions.select(cols).unionByName(additions(toggles, resets))
+
+
 def profile_counts(wishlist: DataFrame, cart: DataFrame, history: DataFrame) -> DataFrame:
     """Per user the wishlist, cart and history sizes (users with any of them). One union and one
     aggregation (partial before the shuffle) instead of two full outer joins."""

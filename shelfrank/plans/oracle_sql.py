@@ -464,7 +464,7 @@ b_ucat AS (
   LEFT JOIN cat_idx ci ON ci.ci = CAST(('0x' || substr(md5(CAST(u.user_id AS VARCHAR)), 1, 8)) AS BIGINT) % (SELECT n FROM n_cat)),
 b_best AS (SELECT * FROM (SELECT category, product_id, avg_rating,
              row_number() OVER (PARTITION BY category ORDER BY avg_rating DESC, product_id) AS r
-           FROM products WHERE category IS NOT NULL) x WHERE r <= 17),
+           FROM products WHERE category IS NOT NULL) x),
 b_picks AS (SELECT user_id, product_id, 0 AS src, pos FROM (
               SELECT u.user_id, b.product_id, row_number() OVER (PARTITION BY u.user_id ORDER BY b.avg_rating DESC, b.product_id) AS pos
               FROM b_ucat u JOIN b_best b ON b.category = u.category
@@ -474,8 +474,7 @@ b_gpos AS (SELECT product_id, row_number() OVER (ORDER BY md5(CAST(product_id AS
              count(*) OVER () AS n FROM products),
 b_walk0 AS (
   SELECT u.user_id, st.step, (CAST(('0x' || substr(md5(CAST(u.user_id AS VARCHAR)), 1, 8)) AS BIGINT) % g.n + st.step) % g.n AS pos
-  FROM b_users u CROSS JOIN (SELECT DISTINCT n FROM b_gpos) g CROSS JOIN generate_series(0, 19) AS st(step)
-  WHERE st.step < g.n),
+  FROM b_users u CROSS JOIN (SELECT DISTINCT n FROM b_gpos) g CROSS JOIN LATERAL (SELECT unnest(range(g.n)) AS step) st),
 b_walk AS (SELECT w.user_id, w.step, g.product_id FROM b_walk0 w JOIN b_gpos g ON g.pos = w.pos),
 b_others AS (SELECT user_id, product_id, 1 AS src, step AS pos FROM (
                SELECT w.*, row_number() OVER (PARTITION BY w.user_id ORDER BY w.step) AS k FROM b_walk w
@@ -493,7 +492,7 @@ b_all AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY user_id
 ORACLE["baseline_recommender"] = with_adapters(f"""
 WITH {ctes(HISTORY_CTE, CATEGORY_CTE, BASELINE_CTE)}
 SELECT a.user_id, a.rec_rank, a.product_id, CASE a.src WHEN 0 THEN 'category' WHEN 1 THEN 'random' ELSE 'pad' END AS source,
-  p.product_name, p.category, p.avg_rating
+  p.product_name, p.category, p.sub_category, p.brand, p.price, p.avg_rating, p.rating_count, p.price_range
 FROM b_all a LEFT JOIN products p ON a.product_id = p.product_id""")
 
 EXPORT_CTE = """
@@ -501,8 +500,8 @@ sim_items AS (SELECT source_product_id, string_agg(CAST(similar_product_id AS VA
               FROM sim_list GROUP BY 1),
 comp_items AS (SELECT source_product_id, string_agg(CAST(comp_product_id AS VARCHAR), ',' ORDER BY comp_rank) AS item_ids
                FROM complementary GROUP BY 1),
-toggle_keys AS (SELECT DISTINCT TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS source_product_id
-                FROM events WHERE event_type IN ('click', 'signup'))
+asked_keys AS (SELECT product_id AS source_product_id FROM products
+                UNION ALL SELECT product_id + 1000000000 FROM products)
 """
 
 ORACLE.update({
@@ -526,11 +525,11 @@ FROM products"""),
     "lookup_similar": with_adapters(f"""
 WITH {ctes(STATS_CTE, SIMILAR_CTE, COMP_MAP_CTE, COMPLEMENTARY_CTE, EXPORT_CTE)}
 SELECT k.source_product_id, coalesce(s.item_ids, '') AS item_ids
-FROM toggle_keys k LEFT JOIN sim_items s ON k.source_product_id = s.source_product_id"""),
+FROM asked_keys k LEFT JOIN sim_items s ON k.source_product_id = s.source_product_id"""),
     "lookup_complementary": with_adapters(f"""
 WITH {ctes(STATS_CTE, SIMILAR_CTE, COMP_MAP_CTE, COMPLEMENTARY_CTE, EXPORT_CTE)}
 SELECT k.source_product_id, coalesce(c.item_ids, '') AS item_ids
-FROM toggle_keys k LEFT JOIN comp_items c ON k.source_product_id = c.source_product_id"""),
+FROM asked_keys k LEFT JOIN comp_items c ON k.source_product_id = c.source_product_id"""),
 })
 
 # The streams process the events in order, so their final state equals the batch results.
@@ -675,3 +674,119 @@ SELECT user_id, CAST(position AS INTEGER) AS position, product_id FROM (
   SELECT user_id, unnest(generate_series(1, len(picked))) AS position, unnest(picked) AS product_id
   FROM (SELECT user_id, picked[1:14] AS picked FROM final_feed) z) y""")
 ORACLE["stream_personal_feed"] = ORACLE["personal_feed"]
+
+
+# Fixed factors: md5 text, the same numbers as ``factor.hashed_start`` with 20 factors and seed 42.
+def _fixed(ids: str, key: str) -> str:
+    value = f"CAST(('0x' || substr(md5(CAST({key} AS VARCHAR) || '|' || CAST(f AS VARCHAR) || '|42'), 1, 8)) AS BIGINT) / 4294967296.0::DOUBLE"
+    return f"(SELECT {key}, list({value} ORDER BY f) AS factors FROM {ids}, range(20) r(f) GROUP BY {key})"
+
+
+FIXED_CTE = f"""
+uf AS {_fixed("(SELECT DISTINCT user_id FROM split)", "user_id")},
+pf AS {_fixed("(SELECT DISTINCT product_id FROM split)", "product_id")},
+fixed_all AS (
+  SELECT uf.user_id, pf.product_id, list_dot_product(uf.factors, pf.factors) AS score FROM uf, pf
+  WHERE NOT EXISTS (SELECT 1 FROM split s WHERE s.user_id = uf.user_id AND s.product_id = pf.product_id)),
+fixed_top AS (
+  SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY user_id ORDER BY score DESC, product_id) AS INTEGER) AS rec_rank
+                 FROM fixed_all) x WHERE rec_rank <= 5),
+fixed_test AS (
+  SELECT s.final_score AS actual, list_dot_product(uf.factors, pf.factors) AS predicted
+  FROM split s JOIN uf ON uf.user_id = s.user_id JOIN pf ON pf.product_id = s.product_id WHERE NOT s.is_train),
+fixed_items AS (SELECT user_id, string_agg(CAST(product_id AS VARCHAR), ',' ORDER BY rec_rank) AS item_ids FROM fixed_top GROUP BY user_id)
+"""
+
+ORACLE.update({
+    "fixed_factor_top_n": with_adapters(f"""
+WITH {ctes(MATRIX_CTE, FIXED_CTE)}
+SELECT t.user_id, t.rec_rank, t.product_id, p.product_name, p.category, p.sub_category, p.brand, p.price, p.avg_rating,
+  floor(t.score * 1000 + 0.5) / 1000 AS predicted_score
+FROM fixed_top t LEFT JOIN products p ON p.product_id = t.product_id"""),
+    "fixed_factor_metrics": with_adapters(f"""
+WITH {ctes(MATRIX_CTE, FIXED_CTE)}
+SELECT {R6('sqrt(avg((actual - predicted) * (actual - predicted)))')} AS rmse, {R6('avg(abs(actual - predicted))')} AS mae, count(*) AS n_test
+FROM fixed_test"""),
+    "nmf_half_step": with_adapters(f"""
+WITH {ctes(MATRIX_CTE, FIXED_CTE)},
+dims AS (SELECT i, j FROM range(20) a(i), range(20) b(j))
+SELECT s.product_id, CAST(d.i AS INTEGER) AS f, {R6('sum(s.final_score * uf.factors[d.i + 1])')} AS value
+FROM split s JOIN uf ON uf.user_id = s.user_id CROSS JOIN (SELECT DISTINCT i FROM dims) d WHERE s.is_train GROUP BY s.product_id, d.i
+UNION ALL
+SELECT NULL, CAST(d.i * 20 + d.j AS INTEGER), {R6('sum(uf.factors[d.i + 1] * uf.factors[d.j + 1])')} FROM uf, dims d GROUP BY d.i, d.j"""),
+    "reconstruction_error": with_adapters(f"""
+WITH {ctes(MATRIX_CTE, FIXED_CTE)}
+SELECT {R6('sqrt(sum((coalesce(s.final_score, 0) - list_dot_product(uf.factors, pf.factors)) ** 2))')} AS reconstruction_error
+FROM uf CROSS JOIN pf LEFT JOIN (SELECT * FROM split WHERE is_train) s ON s.user_id = uf.user_id AND s.product_id = pf.product_id"""),
+    "export_fixed_recommendations": with_adapters(f"WITH {ctes(MATRIX_CTE, FIXED_CTE)} SELECT * FROM fixed_items"),
+    "lookup_fixed_recommendations": with_adapters(f"""
+WITH {ctes(MATRIX_CTE, FIXED_CTE)}
+SELECT u.user_id, coalesce(i.item_ids, '') AS item_ids FROM users u LEFT JOIN fixed_items i ON i.user_id = u.user_id"""),
+    "run_summary_model": with_adapters(f"""
+WITH {ctes(MATRIX_CTE, FIXED_CTE)}
+SELECT 'rmse' AS metric, {R6('sqrt(avg((actual - predicted) * (actual - predicted)))')} AS value FROM fixed_test
+UNION ALL SELECT 'mae', {R6('avg(abs(actual - predicted))')} FROM fixed_test
+UNION ALL SELECT 'users_served', CAST(count(DISTINCT user_id) AS DOUBLE) FROM fixed_top"""),
+    "order_log_recommend": with_adapters(f"""
+WITH log AS (
+  SELECT DISTINCT o_custkey AS user_id, l_partkey AS product_id FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  WHERE o_custkey IS NOT NULL AND l_partkey IS NOT NULL),
+uf AS {_fixed("(SELECT DISTINCT user_id FROM log)", "user_id")},
+pf AS {_fixed("products", "product_id")},
+scores AS (
+  SELECT uf.user_id, pf.product_id, list_dot_product(uf.factors, pf.factors) AS score FROM uf, pf
+  WHERE NOT EXISTS (SELECT 1 FROM log WHERE log.user_id = uf.user_id AND log.product_id = pf.product_id)),
+top AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY user_id ORDER BY score DESC, product_id) AS INTEGER) AS rec_rank
+                       FROM scores) x WHERE rec_rank <= 5)
+SELECT t.user_id, t.rec_rank, t.product_id, p.product_name, floor(t.score * 1000 + 0.5) / 1000 AS predicted_score
+FROM top t JOIN products p ON p.product_id = t.product_id"""),
+    "clean_text_interactions": with_adapters("""
+WITH texts AS (
+  SELECT event_id, CASE WHEN event_id % 13 <> 0 THEN user_id END AS user_id, product_id, interaction_type, interaction_score,
+    CASE WHEN event_id % 7 <> 0 THEN rating END AS rating, review_sentiment,
+    CASE WHEN event_id % 11 <> 0 THEN date_trunc('second', ts) END AS ts, session_id
+  FROM interactions_raw)
+SELECT event_id, user_id, product_id, interaction_type, interaction_score, rating, review_sentiment, ts, session_id
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id, product_id, interaction_type, session_id
+                                   ORDER BY ts ASC NULLS LAST, event_id ASC NULLS LAST, rating DESC NULLS LAST) AS rn_
+      FROM texts WHERE user_id IS NOT NULL AND product_id IS NOT NULL) x
+WHERE rn_ = 1"""),
+    "clean_odd_products": with_adapters("""
+SELECT product_id, product_name, category, sub_category, brand,
+  CASE WHEN product_id % 5 = 0 THEN CAST(0 AS DOUBLE) WHEN product_id % 7 <> 0 THEN price END AS price, price_range,
+  CASE WHEN product_id % 3 = 0 THEN least(CAST(5 AS DOUBLE), avg_rating * 2) WHEN product_id % 4 = 0 THEN CAST(0 AS DOUBLE)
+       WHEN product_id % 11 <> 0 THEN avg_rating END AS avg_rating, rating_count, stock
+FROM products WHERE product_id % 13 <> 0 AND product_id % 17 <> 0"""),
+    "clean_odd_users": with_adapters("SELECT * FROM users WHERE user_id % 4 <> 0"),
+    "similar_for_ids": with_adapters(f"""
+WITH {ctes(HISTORY_CTE, TOGGLE_CTE, STATS_CTE, SIMILAR_CTE)}
+SELECT * FROM sim_list WHERE source_product_id IN (SELECT product_id FROM tog_state WHERE action = 'like_toggle')"""),
+})
+
+ADDITIONS_CTE = """
+additions AS (
+  SELECT event_id, user_id, product_id, CASE action WHEN 'like_toggle' THEN 'like' ELSE 'add_to_cart' END AS interaction_type, ts
+  FROM (SELECT *, row_number() OVER (PARTITION BY user_id, product_id, action ORDER BY ts, event_id) AS n FROM tog_valid) x
+  WHERE n % 2 = 1 AND product_id IS NOT NULL),
+full_log AS (
+  SELECT event_id, user_id, product_id, interaction_type, ts FROM interactions WHERE interaction_type IN ('view', 'purchase')
+  UNION ALL SELECT * FROM additions),
+full_history AS (
+  SELECT * FROM (
+    SELECT l.user_id, l.event_id, l.product_id, l.interaction_type, l.ts,
+      CAST(row_number() OVER (PARTITION BY l.user_id ORDER BY l.ts DESC, l.event_id DESC) AS INTEGER) AS recency_rank
+    FROM full_log l LEFT JOIN resets r ON r.user_id = l.user_id WHERE r.reset_event_id IS NULL OR l.event_id > r.reset_event_id) x
+  WHERE recency_rank <= 50)
+"""
+
+ORACLE.update({
+    "toggle_history": with_adapters(f"WITH {ctes(HISTORY_CTE, TOGGLE_CTE, ADDITIONS_CTE)} SELECT * FROM full_history"),
+    "toggle_feed_weights": with_adapters(f"""
+WITH {ctes(HISTORY_CTE, TOGGLE_CTE, ADDITIONS_CTE)},
+w AS (
+  SELECT user_id, product_id, max(ts) AS last_ts, count(*) AS event_count FROM full_history GROUP BY user_id, product_id),
+h AS (SELECT *, greatest(CAST(0 AS DOUBLE), (epoch_us((SELECT max(ts) FROM full_log)) - epoch_us(last_ts)) / CAST(3600000000 AS DOUBLE)) AS hours FROM w)
+SELECT user_id, product_id, last_ts, event_count, {R6('hours')} AS hours_ago,
+  {R6('pow(CAST(0.5 AS DOUBLE), hours / CAST(48 AS DOUBLE)) * (1 + log2(1 + event_count))')} AS weight
+FROM h"""),
+})

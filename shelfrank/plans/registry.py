@@ -131,6 +131,17 @@ class Ctx:
     def nmf(self):
         return factor.fit_nmf(self.spark, self.split)
 
+    @cached_property
+    def fixed_factors(self) -> tuple[DataFrame, DataFrame]:
+        """Factors of md5 text for every user and product of the matrix: SQL can make the same ones."""
+        return (factor.hashed_start(self.split.select("user_id").distinct(), "user_id", C.NUM_FACTORS, 1.0, C.RANDOM_SEED),
+                factor.hashed_start(self.split.select("product_id").distinct(), "product_id", C.NUM_FACTORS, 1.0, C.RANDOM_SEED))
+
+    @cached_property
+    def fixed_recommendations(self) -> DataFrame:
+        uf, itf = self.fixed_factors
+        return recommend.recommend_top_n(uf, itf, self.split, self.products, C.NUM_FACTORS, item_block=32)
+
     @cached_property
     def recommendations(self) -> DataFrame:
         m = self.nmf
@@ -183,6 +194,23 @@ def q_clean_products(spark, d):
     return Ctx(spark, d).products
 
 
+@register("clean_text_interactions")
+def q_clean_text_interactions(spark, d):
+    """P1-P5 on a log whose rating, sentiment and time are text, with empty, broken and missing values."""
+    return clean.clean_interactions(td.text_interactions(spark, d), "yyyy-MM-dd HH:mm:ss").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@register("clean_odd_products")
+def q_clean_odd_products(spark, d):
+    """P4, P6, P7 on values that each rule changes."""
+    return clean.clean_products(td.odd_products(spark, d))
+
+
+@register("clean_odd_users")
+def q_clean_odd_users(spark, d):
+    return clean.clean_users(td.odd_users(spark, d))
+
+
 @register("clean_users")
 def q_clean_users(spark, d):
     return Ctx(spark, d).users
@@ -313,6 +341,13 @@ def q_complementary_products(spark, d):
     return Ctx(spark, d).complementary
 
 
+@register("similar_for_ids")
+def q_similar_for_ids(spark, d):
+    """The lists of the products that some user has on the wishlist."""
+    c = Ctx(spark, d)
+    return catalog.similar_for_ids(c.similar, c.wishlist.select("product_id"))
+
+
 @register("top_rated")
 def q_top_rated(spark, d):
     return catalog.top_rated(Ctx(spark, d).products)
@@ -460,6 +495,23 @@ def q_cart_state(spark, d):
     return Ctx(spark, d).cart
 
 
+@register("toggle_history")
+def q_toggle_history(spark, d):
+    """ST2, ST3, W7: likes and additions to the cart join the history, removals do not."""
+    c = Ctx(spark, d)
+    log = c.log.filter(F.col("interaction_type").isin("view", "purchase"))
+    return feed.recent_interactions(state.with_additions(log, c.toggles, c.resets), c.resets)
+
+
+@register("toggle_feed_weights")
+def q_toggle_feed_weights(spark, d):
+    """F1 over the history with additions."""
+    c = Ctx(spark, d)
+    log = state.with_additions(c.log.filter(F.col("interaction_type").isin("view", "purchase")), c.toggles, c.resets)
+    w = feed.time_decay_weights(feed.recent_interactions(log, c.resets), feed.latest_ts(log))
+    return feed.rounded(w, ["hours_ago", "weight"])
+
+
 @register("profile_counts")
 def q_profile_counts(spark, d):
     c = Ctx(spark, d)
@@ -509,6 +561,59 @@ def q_als_recommendations(spark, d):
     return recommend.recommend_top_n(uf, itf, c.split, c.products, C.NUM_FACTORS)
 
 
+@register("fixed_factor_top_n")
+def q_fixed_factor_top_n(spark, d):
+    """M5, J1, J12, W5 on fixed factors, over several item blocks."""
+    return Ctx(spark, d).fixed_recommendations
+
+
+@register("fixed_factor_metrics")
+def q_fixed_factor_metrics(spark, d):
+    """M6, A12, A13 on fixed factors."""
+    c = Ctx(spark, d)
+    return feed.rounded(evaluate.error_metrics(evaluate.test_predictions(c.split, *c.fixed_factors)), ["rmse", "mae"])
+
+
+@register("nmf_half_step")
+def q_nmf_half_step(spark, d):
+    """M2: what one half step of the fit solves with: per product the weighted factor sums of its training
+    cells, and (as product null) the Gram matrix of the user factors, row by row."""
+    c = Ctx(spark, d)
+    k, (uf, _) = C.NUM_FACTORS, c.fixed_factors
+    train = c.split.filter("is_train").select("user_id", "product_id", F.col("final_score").alias("score")).withColumn(
+        "salt", F.pmod(F.xxhash64("product_id"), F.lit(factor.SALTS)).cast("int"))
+    b = factor._weighted_sums(train, uf, "user_id", "product_id", k).select("product_id", F.posexplode("b").alias("f", "value"))
+    g = factor.gram(uf, k)
+    rows = [(None, i * k + j, float(g[i, j])) for i in range(k) for j in range(k)]
+    return feed.rounded(b.unionByName(spark.createDataFrame(rows, "product_id long, f int, value double")), ["value"])
+
+
+@register("reconstruction_error")
+def q_reconstruction_error(spark, d):
+    """A14 on fixed factors: ||R_train - W H|| over the whole matrix, unobserved cells 0."""
+    c = Ctx(spark, d)
+    return feed.rounded(evaluate.reconstruction_error(c.split, *c.fixed_factors, C.NUM_FACTORS), ["reconstruction_error"])
+
+
+@register("export_fixed_recommendations")
+def q_export_fixed_recommendations(spark, d):
+    return export.item_ids(export.export_recommendations(Ctx(spark, d).fixed_recommendations), "user_id")
+
+
+@register("lookup_fixed_recommendations")
+def q_lookup_fixed_recommendations(spark, d):
+    c = Ctx(spark, d)
+    return export.item_ids(lookup.lookup(export.export_recommendations(c.fixed_recommendations), "user_id", c.users), "user_id")
+
+
+@register("run_summary_model")
+def q_run_summary_model(spark, d):
+    """A10 with the model's rows, on fixed factors."""
+    c = Ctx(spark, d)
+    metrics = evaluate.error_metrics(evaluate.test_predictions(c.split, *c.fixed_factors))
+    return profile.model_summary(metrics, c.fixed_recommendations)
+
+
 @register("error_metrics")
 def q_error_metrics(spark, d):
     m = evaluate.error_metrics(evaluate.user_mean_predictions(Ctx(spark, d).split))
@@ -547,8 +652,10 @@ def q_catalog_export(spark, d):
     return export.catalog_export(Ctx(spark, d).products)
 
 
-def _toggled_products(c: Ctx) -> DataFrame:
-    return c.toggles.select(F.col("product_id").alias("source_product_id"))
+def _asked_products(c: Ctx) -> DataFrame:
+    """Every product of the catalogue, and as many unknown ids."""
+    ids = c.products.select(F.col("product_id").alias("source_product_id"))
+    return ids.union(ids.select(F.col("source_product_id") + 1_000_000_000))
 
 
 @register("lookup_recommendations")
@@ -562,14 +669,14 @@ def q_lookup_recommendations(spark, d):
 def q_lookup_similar(spark, d):
     c = Ctx(spark, d)
     keyed = export.export_similar(c.similar)
-    return export.item_ids(lookup.lookup(keyed, "source_product_id", _toggled_products(c)), "source_product_id")
+    return export.item_ids(lookup.lookup(keyed, "source_product_id", _asked_products(c)), "source_product_id")
 
 
 @register("lookup_complementary")
 def q_lookup_complementary(spark, d):
     c = Ctx(spark, d)
     keyed = export.export_complementary(c.complementary)
-    return export.item_ids(lookup.lookup(keyed, "source_product_id", _toggled_products(c)), "source_product_id")
+    return export.item_ids(lookup.lookup(keyed, "source_product_id", _asked_products(c)), "source_product_id")
 
 
 # ---------------------------------------------------------------- streams
@@ -644,3 +751,14 @@ def q_order_log_popular(spark, d):
 @register("order_log_matrix_stats")
 def q_order_log_matrix_stats(spark, d):
     return profile.score_stats(matrix.user_product_matrix(order_log(spark, d)))
+
+
+@register("order_log_recommend")
+def q_order_log_recommend(spark, d):
+    """M5 on the whole order log (every customer and part) from fixed factors, over many item blocks."""
+    c = Ctx(spark, d)
+    log = order_log(spark, d).select("user_id", "product_id").distinct()
+    uf = factor.hashed_start(log.select("user_id").distinct(), "user_id", C.NUM_FACTORS, 1.0, C.RANDOM_SEED)
+    itf = factor.hashed_start(c.products.select("product_id"), "product_id", C.NUM_FACTORS, 1.0, C.RANDOM_SEED)
+    return recommend.recommend_top_n(uf, itf, log, c.products, C.NUM_FACTORS, user_block=4096, item_block=512).select(
+        "user_id", "rec_rank", "product_id", "product_name", "predicted_score")

@@ -80,6 +80,36 @@ def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def text_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The interaction log as a CSV would hold it, rating, sentiment and time as text: every 7th rating is
+    no number, missing ones are '' or blank, every 11th time is broken, every 13th user is missing."""
+    log, n = interactions(spark, sf_dir), F.col("event_id")
+    blank = F.when(n % 2 == 0, "").otherwise("  ")
+    return log.withColumns({
+        "rating": F.when(n % 7 == 0, "n/a").otherwise(F.coalesce(F.col("rating").cast("string"), blank)),
+        "review_sentiment": F.coalesce("review_sentiment", F.lit("")),
+        "ts": F.when(n % 11 == 0, "yesterday").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")),
+        "user_id": F.when(n % 13 != 0, F.col("user_id")),
+    })
+
+
+def odd_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalogue with values out of range: negative prices, ratings below 0 and above 5, missing prices,
+    ratings, names and ids."""
+    n = F.col("product_id")
+    return products(spark, sf_dir).withColumns({
+        "price": F.when(n % 5 == 0, -F.col("price")).when(n % 7 != 0, F.col("price")),
+        "avg_rating": F.when(n % 3 == 0, F.col("avg_rating") * 2).when(n % 4 == 0, -F.col("avg_rating")).when(n % 11 != 0, F.col("avg_rating")),
+        "product_name": F.when(n % 13 != 0, F.col("product_name")),
+        "product_id": F.when(n % 17 != 0, n),
+    })
+
+
+def odd_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The user table with every 4th id missing."""
+    return users(spark, sf_dir).withColumn("user_id", F.when(F.col("user_id") % 4 != 0, F.col("user_id")))
+
+
 def order_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The larger order log as purchases (volume input): lineitem JOIN orders."""
     li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
