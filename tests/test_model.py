@@ -41,8 +41,7 @@ def test_nmf_loss_falls_and_factors_nonnegative(spark):
 def test_scores_exclude_seen_and_saturated_user(spark):
     uf = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], "user_id long, factors array<double>")
     itf = spark.createDataFrame([(p, [float(p), float(10 - p)]) for p in range(1, 8)], "product_id long, factors array<double>")
-    seen = spark.createDataFrame([(1, 7), (1, 6), (2, p)] for p in []) if False else \
-        spark.createDataFrame([(1, 7), (1, 6)] + [(2, p) for p in range(1, 6)], "user_id long, product_id long")
+    seen = spark.createDataFrame([(1, 7), (1, 6)] + [(2, p) for p in range(1, 6)], "user_id long, product_id long")
     got = recommend.score_top_n(uf, itf, seen, k=2, n=5, user_block=1, item_block=3).orderBy("user_id", "rec_rank").collect()
     u1 = [r.product_id for r in got if r.user_id == 1]
     u2 = [r.product_id for r in got if r.user_id == 2]
@@ -75,3 +74,57 @@ def test_extrapolation_not_worse_than_plain(spark):
     fast = factor.fit_nmf(spark, ent, k=8, max_iter=8, tol=0.0)
     assert fast.objective <= plain.objective * 1.001
     assert all(x >= 0 for r in fast.user_factors.collect() for x in r.factors)
+
+
+def test_starts_at_cluster_settings(spark):
+    """The bucket count stays within Spark's limit however many shuffle partitions a cluster has."""
+    from shelfrank.plans.session import cluster_settings
+    parts = int(cluster_settings(100e12, 1000, 4)["spark.sql.shuffle.partitions"])
+    assert parts > 100_000 >= 2 * factor.MOST_BUCKETS
+    before, most = spark.conf.get("spark.sql.shuffle.partitions"), factor.MOST_BUCKETS
+    try:
+        factor.MOST_BUCKETS = 16  # as many tasks as a test can run
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "8")
+        table = factor._bucketed(spark, tiny(spark).withColumnRenamed("final_score", "score").drop("is_train"), "user_id", "product_id",
+                                 min(factor.MOST_BUCKETS, parts), f"{factor.checkpoint_dir(spark)}/shelfrank_nmf_limits")
+        assert table.count() == 20
+    finally:
+        factor.MOST_BUCKETS = most
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+
+
+def test_product_with_half_of_all_pairs_is_spread(spark):
+    import glob
+    import os
+    n = 40_000
+    df = spark.range(n).select((F.col("id") % 7919).alias("user_id"),
+                               F.when(F.col("id") % 2 == 0, F.lit(-1)).otherwise(F.col("id") % 211).cast("long").alias("product_id"),
+                               F.lit(1.0).alias("score"))
+    base = f"{factor.checkpoint_dir(spark)}/shelfrank_nmf_hot"
+    table = factor._bucketed(spark, df, "product_id", "user_id", 8, base)
+    sizes = [os.path.getsize(f) for f in glob.glob(f"{base.removeprefix('file:')}/by_product_id/*.parquet")]
+    rows = [r["count"] for r in table.groupBy(F.input_file_name()).count().collect()]
+    assert len(rows) == 8 and max(rows) < 0.4 * n and sum(rows) == n, (rows, sizes)
+
+
+def test_als_takes_ids_beyond_32_bits(spark):
+    big = tiny(spark).withColumn("user_id", F.col("user_id") + (1 << 40)).withColumn("product_id", F.col("product_id") - (1 << 50))
+    _, uf, itf = factor.fit_als(big, k=2, max_iter=2)
+    assert {r.user_id for r in uf.collect()} == {(1 << 40) + i for i in range(4)} and itf.count() == 5
+
+
+def test_scores_do_not_depend_on_blocks(spark):
+    rng = np.random.default_rng(3)
+    uf = spark.createDataFrame([(u, [float(x) for x in rng.integers(0, 3, 3)]) for u in range(40)], "user_id long, factors array<double>")
+    itf = spark.createDataFrame([(p, [float(x) for x in rng.integers(0, 3, 3)]) for p in range(60)], "product_id long, factors array<double>")
+    seen = spark.createDataFrame([(u, p) for u in range(40) for p in range(60) if (u + p) % 3 == 0], "user_id long, product_id long")
+    W = {r.user_id: np.array(r.factors) for r in uf.collect()}
+    H = {r.product_id: np.array(r.factors) for r in itf.collect()}
+    want = {(u, rank + 1, p) for u in W for rank, p in enumerate(sorted((p for p in H if (u + p) % 3), key=lambda p: (-W[u] @ H[p], p))[:5])}
+    for ub, ib, chunk in ((100, 100, 256), (7, 11, 256), (16, 13, 3)):
+        recommend.CHUNK, old = chunk, recommend.CHUNK
+        got = recommend.score_top_n(uf, itf, seen, 3, 5, user_block=ub, item_block=ib).collect()
+        recommend.CHUNK = old
+        assert {(r.user_id, r.rec_rank, r.product_id) for r in got} == want
