@@ -13,7 +13,6 @@ from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +21,7 @@ from pyspark.sql import Window
 from shelfrank.llm import words as W
 
 ORDERS = (4, 3, 2, 1)
-#: Labelled rows of each language that are learnt from at most, those with the smallest hashed doc_id.
+#: Labelled rows of each language that are learnt from, about, those with the smallest hashed doc_id.
 TRAIN_ROWS = 4_000
 #: Entries of all tables together, shared out among the languages; it bounds what is broadcast (20 bytes
 #: an entry and 4 a language). Orders get these parts of a language's share; 0 is whole words.
@@ -157,16 +156,14 @@ def fit(labelled: DataFrame, rows: int = TRAIN_ROWS, entries: int = ENTRIES) ->
     """Learn from (doc_id, text, lang); rows without text or lang are left out."""
     known = labelled.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select(
         F.col("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    place = known.select("lang", F.xxhash64(F.col("doc_id").cast("string")).alias("place"))
-    first = Window.partitionBy("lang").orderBy("place")
-    cut = (place.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= rows)
-           .groupBy("lang").agg(F.max("place").alias("most")).collect())
-    languages = sorted(r["lang"] for r in cut)
+    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    languages = sorted(sizes)
     empty = np.zeros(0, np.uint64)
     if not languages:
         return Model([], {o: empty for o in (0, *ORDERS)}, {o: np.zeros((0, 0), np.float32) for o in (0, *ORDERS)})
-    spark = labelled.sparkSession
-    limits = spark.createDataFrame([(r["lang"], r["most"]) for r in cut], "lang string, most long")
+    # Hashes are uniform, so this threshold passes about ``rows`` of a language, or all if it has fewer.
+    limits = labelled.sparkSession.createDataFrame(
+        [(g, (1 << 63) - 1 if n <= rows else -(1 << 63) + rows * (1 << 64) // n) for g, n in sizes.items()], "lang string, most long")
     sample = known.withColumn("place", F.xxhash64(F.col("doc_id").cast("string"))).join(
         F.broadcast(limits), "lang").where(F.col("place") <= F.col("most")).select("lang", "text")
     counts = sample.mapInArrow(_counts, "lang string, size int, key long, n long").groupBy("lang", "size", "key").agg(F.sum("n").alias("n"))
@@ -197,21 +194,18 @@ def predict(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
     language that comes first in order."""
     held = spark.sparkContext.broadcast(tuple(model))
 
-    @F.pandas_udf("lang_pred string, score double")
-    def guess(texts):
+    @F.arrow_udf("lang_pred string, score double")
+    def guess(texts: pa.Array) -> pa.Array:
         m = Model(*held.value)
-        values = [t or "" for t in texts]
-        if not m.languages:
-            return pd.DataFrame({"lang_pred": [UNKNOWN] * len(values), "score": [0.0] * len(values)})
-        parts = [scores(m, values[a:b]) for a, b in W.slices(pa.array(values, pa.large_string()))]
-        s = np.concatenate(parts) if parts else np.zeros((0, len(m.languages) + 1))
-        size, s = s[:, -1], s[:, :-1]
-        z = (s - s.max(axis=1, keepdims=True)) * np.minimum(size, EVIDENCE)[:, None]
-        p = np.exp(z)
-        best = s.argmax(axis=1) if len(s) else np.zeros(0, int)
-        top = p[np.arange(len(p)), best] / p.sum(axis=1)
-        none = size == 0
-        return pd.DataFrame({"lang_pred": np.where(none, UNKNOWN, np.array(m.languages, object)[best]), "score": np.where(none, 0.0, top)})
+        names, values = [UNKNOWN] * len(texts), np.zeros(len(texts))
+        for lo, hi in W.slices(texts) if m.languages else ():
+            s = scores(m, [t or "" for t in texts.slice(lo, hi - lo).to_pylist()])
+            size, s = s[:, -1], s[:, :-1]
+            p = np.exp((s - s.max(axis=1, keepdims=True)) * np.minimum(size, EVIDENCE)[:, None])
+            best = s.argmax(axis=1)
+            for i in np.flatnonzero(size).tolist():
+                names[lo + i], values[lo + i] = m.languages[best[i]], p[i, best[i]] / p[i].sum()
+        return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(values)], names=["lang_pred", "score"])
 
     return docs.withColumn("guess_", guess(F.col("text").cast("string"))).withColumns(
         {"lang_pred": F.col("guess_.lang_pred"), "score": F.col("guess_.score")}).drop("guess_")
