@@ -24,6 +24,12 @@ def product_popularity(interactions: DataFrame) -> DataFrame:
                  F.countDistinct("user_id").alias("unique_users")))
 
 
+def engagement_of(products: DataFrame, popularity: DataFrame) -> DataFrame:
+    """J3, P13 from a popularity table: the catalogue with ``total_engagement`` (0 without interactions)."""
+    eng = popularity.select("product_id", F.col("popularity_score").alias("total_engagement"))
+    return products.join(eng, "product_id", "left").fillna(0, subset=["total_engagement"])
+
+
 def popular_by_category(products: DataFrame, interactions: DataFrame, k: int = C.POPULAR_PER_CATEGORY) -> DataFrame:
     """W1 with J2: top ``k`` products by popularity per category.
 

@@ -5,7 +5,8 @@
     write_results(sets, "<shared folder>/results")       # executors write; nothing is collected
     run_summary(inputs, sets).show()
 
-Each result is a lazy DataFrame; the fitted factors are stored tables in the checkpoint folder.
+What several results read (the clean log, the split matrix, the per-product aggregate) is computed once
+and stored in the checkpoint folder, as are the fitted factors; the results themselves are lazy.
 """
 
 from __future__ import annotations
@@ -15,7 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfrank.functions import constants as C
-from shelfrank.operators import catalog, clean, evaluate, factor, matrix, profile, recommend
+from shelfrank.operators import catalog, clean, evaluate, factor, feed, matrix, profile, recommend
+from shelfrank.plans.store import Store
 from shelfrank.sources import export, files
 from shelfrank.sources import testdata as td
 
@@ -56,26 +58,32 @@ class Results:
     complementary: DataFrame
     top_rated: DataFrame
     metrics: DataFrame
+    feed: DataFrame
 
 
 def build_results(spark: SparkSession, inputs: Inputs, k: int = C.NUM_FACTORS, max_iter: int = C.MAX_ITERATIONS,
                   n: int = C.RECOMMENDATIONS_PER_USER, **nmf_args) -> Results:
-    users = clean.clean_users(inputs.users)
-    products = clean.clean_products(inputs.products)
-    log = clean.clean_interactions(inputs.interactions)
-    m = matrix.user_product_matrix(log)
-    split = matrix.train_test_split(matrix.matrix_input(m))
+    store = Store(spark, "batch-run")
+    users = store.table(clean.clean_users(inputs.users), "users")
+    products = store.table(clean.clean_products(inputs.products), "products")
+    log = store.table(clean.with_event_ids(clean.clean_interactions(inputs.interactions)), "log")
+    m = store.table(matrix.user_product_matrix(log), "matrix")
+    split = store.table(matrix.train_test_split(matrix.matrix_input(m)), "split")
+    popularity = store.table(catalog.product_popularity(log), "popularity")
+    stats = catalog.engagement_of(products, popularity)
+    popular = store.table(catalog.rank_popular(popularity, products), "popular")
+    similar = store.table(catalog.similar_products(stats), "similar")
+    complementary = store.table(catalog.complementary_products(stats, inputs.complementary_map), "complementary")
     model = factor.fit_nmf(spark, split, k=k, max_iter=max_iter, **nmf_args)
-    recs = recommend.recommend_top_n(model.user_factors, model.item_factors, split, products, k, n)
-    stats = catalog.product_engagement(products, log)
+    none = spark.createDataFrame([], "user_id long, categories array<string>")
+    slots = feed.feed_slots(feed.time_decay_weights(feed.recent_interactions(log), feed.latest_ts(log)))
     return Results(
         users=users, products=products, interactions=log, matrix=m, split=split, model=model,
-        recommendations=recs,
-        popular=catalog.popular_by_category(products, log),
-        similar=catalog.similar_products(stats),
-        complementary=catalog.complementary_products(stats, inputs.complementary_map),
+        recommendations=recommend.recommend_top_n(model.user_factors, model.item_factors, split, products, k, n),
+        popular=popular, similar=similar, complementary=complementary,
         top_rated=catalog.top_rated(products),
         metrics=evaluate.model_metrics(spark, split, model),
+        feed=feed.personal_feed(slots, similar, complementary, products, feed.user_categories(users, none, products), popular),
     )
 
 
@@ -91,5 +99,6 @@ def write_results(r: Results, out_dir: str) -> None:
 
 
 def run_summary(inputs: Inputs, r: Results) -> DataFrame:
-    """A10: row counts of the run (metrics of the model are in ``r.metrics``)."""
-    return profile.run_summary(r.users, r.products, inputs.interactions, r.interactions, r.matrix)
+    """A10: row counts of the run and the model's rows, all as doubles."""
+    counts = profile.run_summary(r.users, r.products, inputs.interactions, r.interactions, r.matrix)
+    return counts.withColumn("value", counts["value"].cast("double")).unionByName(profile.model_summary(r.metrics, r.recommendations))

@@ -61,3 +61,19 @@ def test_batch_run_end_to_end(spark):
     assert m.iterations >= 1 and m.rmse >= 0
     counts = {x.metric: x.value for x in batch_run.run_summary(inputs, r).collect()}
     assert counts["users"] == 8 and counts["products"] == 24 and counts["raw_interactions"] == 120
+
+
+def test_shared_inputs_are_computed_once(spark):
+    """Every result reads stored rows: none scans the CSV log or dedups it again. The CSV log has no event
+    ids, and the feed runs on it."""
+    import contextlib
+    import io
+    r = batch_run.build_results(spark, batch_run.from_csv(spark, *fixture()), k=2, max_iter=2)
+    for name in ("recommendations", "popular", "similar", "complementary", "metrics", "feed", "interactions"):
+        text = io.StringIO()
+        with contextlib.redirect_stdout(text):
+            getattr(r, name).explain("formatted")
+        assert "Scan csv" not in text.getvalue(), name
+    rows = r.feed.collect()
+    assert rows and all(1 <= x.position <= 14 for x in rows)
+    assert r.interactions.groupBy("event_id").count().filter("count > 1").count() == 0

@@ -7,10 +7,11 @@ import tempfile
 import __spark_entry__ as E
 from conftest import SF01
 from shelfrank.operators import catalog, clean
+from shelfrank.plans.registry import QUERIES
 from shelfrank.sources import testdata as td
 
 # Queries whose construction runs no job (model and stream queries run theirs while building).
-PLANNED = [n for n in E.queries() if not (n.startswith("stream_") or n in {
+PLANNED = [n for n in QUERIES if not (n.startswith("stream_") or n in {
     "nmf_factors", "recommend_top_n", "model_metrics", "als_recommendations", "export_recommendations",
     "lookup_recommendations"})]
 
