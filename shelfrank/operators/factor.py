@@ -166,6 +166,89 @@ def hashed_start(ids: DataFrame, key: str, k: int, scale, seed: int) -> DataFram
     return ids.select(key, F.transform(F.sequence(F.lit(0), F.lit(k - 1)), val).alias("factors"))
 
 
+def _times(rows: DataFrame, key: str, matrix: np.ndarray, column: str = "b") -> DataFrame:
+    """Every row vector times a small matrix: (key, factors)."""
+    def multiply(batches):
+        for pdf in batches:
+            if len(pdf):
+                yield pd.DataFrame({key: pdf[key], "factors": list(np.vstack(pdf[column].to_numpy()) @ matrix)})
+    return rows.select(key, column).mapInPandas(multiply, f"{key} long, factors array<double>")
+
+
+def _whiten(g: np.ndarray) -> np.ndarray:
+    """T with (Y T)'(Y T) = I on the space that Y spans, from the Gram matrix of Y; null directions give 0."""
+    values, vectors = np.linalg.eigh(g)
+    keep = values > 1e-12 * max(values.max(), 1e-300)
+    return vectors * np.where(keep, 1 / np.sqrt(np.where(keep, values, 1.0)), 0.0)
+
+
+@dataclass
+class SVD:
+    users: DataFrame      # (user_id, factors): left singular vectors, a column for each value
+    items: DataFrame      # (product_id, factors): right singular vectors
+    values: np.ndarray    # descending
+
+
+def truncated_svd(spark: SparkSession, by_user: DataFrame, by_product: DataFrame, items: DataFrame, k: int, base: str,
+                  seed: int = C.RANDOM_SEED, oversample: int = 8, rounds: int = 4) -> SVD:
+    """The ``k`` largest singular triplets by randomised subspace iteration (Halko, Martinsson and Tropp,
+    2011). Each half round is one weighted sum over the stored triplets; only the small Gram matrices
+    reach the driver, and the vectors stay tables."""
+    n = k + oversample
+    step = 0
+
+    def stored(df: DataFrame) -> DataFrame:
+        nonlocal step
+        step += 1
+        df.write.parquet(f"{base}/svd{step}")
+        return spark.read.schema(df.schema).parquet(f"{base}/svd{step}")
+
+    centred = hashed_start(items, "product_id", n, 2.0, seed).select(
+        "product_id", F.transform("factors", lambda x: x - 1.0).alias("factors"))
+    right = stored(centred)
+    for _ in range(rounds):
+        y = stored(_weighted_sums(by_product, right, "product_id", "user_id", n))
+        left = stored(_times(y, "user_id", _whiten(gram(y.select(F.col("b").alias("factors")), n))))
+        z = stored(_weighted_sums(by_user, left, "user_id", "product_id", n))
+        g = gram(z.select(F.col("b").alias("factors")), n)
+        right = stored(_times(z, "product_id", _whiten(g)))
+    # left is orthonormal and z = A' left: the SVD of z is that of A on the space found.
+    values, vectors = np.linalg.eigh(g)
+    order = np.argsort(-values)[:k]
+    sizes = np.sqrt(np.maximum(values[order], 0.0))
+    inverse = np.where(sizes > 1e-12 * max(sizes.max(), 1e-300), 1 / np.where(sizes > 0, sizes, 1.0), 0.0)
+    return SVD(stored(_times(left, "user_id", vectors[:, order], "factors")),
+               stored(_times(z, "product_id", vectors[:, order] * inverse)), sizes)
+
+
+def svd_start(svd: SVD, users: DataFrame, items: DataFrame, k: int, mean: float) -> tuple[DataFrame, DataFrame]:
+    """M3: non-negative factors from an SVD (NNDSVD, Boutsidis and Gallopoulos, 2008), zeros filled with the
+    matrix mean: of each component the heavier pair of positive or of negative parts, the first whole."""
+    def norms(f: DataFrame) -> np.ndarray:
+        parts = [F.sum(F.pow(F.greatest(sign * F.col("factors")[i], F.lit(0.0)), 2)) for sign in (1, -1) for i in range(k)]
+        return np.sqrt(np.array([x or 0.0 for x in f.agg(*parts).first()])).reshape(2, k)
+
+    u, v = norms(svd.users), norms(svd.items)
+    side = np.where(u[0] * v[0] >= u[1] * v[1], 0, 1)
+    weight = np.sqrt(svd.values * (u * v).max(axis=0))
+    pick = np.arange(k)
+
+    def part(f: DataFrame, ids: DataFrame, key: str, size: np.ndarray) -> DataFrame:
+        sizes = size[side, pick]
+        columns = []
+        for i in range(k):
+            x = F.col("factors")[i]
+            if i == 0:
+                x = F.abs(x) * float(np.sqrt(svd.values[0]))
+            else:
+                x = F.greatest((1 - 2 * int(side[i])) * x, F.lit(0.0)) * float(weight[i] / sizes[i] if sizes[i] > 0 else 0.0)
+            columns.append(F.when(x > 0, x).otherwise(F.lit(float(mean))))
+        rows = f.select(key, F.array(*columns).alias("start"))
+        return ids.join(rows, key, "left").select(key, F.coalesce("start", F.array_repeat(F.lit(float(mean)), k)).alias("factors"))
+
+    return part(svd.users, users, "user_id", u), part(svd.items, items, "product_id", v)
+
+
 @dataclass
 class NMFModel:
     user_factors: DataFrame   # (user_id, factors)
@@ -192,12 +275,15 @@ def _bucketed(spark: SparkSession, df: DataFrame, key: str, other: str, buckets:
 def fit_nmf(spark: SparkSession, entries: DataFrame, k: int = C.NUM_FACTORS, max_iter: int = C.MAX_ITERATIONS,
             alpha_w: float = C.ALPHA_W, alpha_h: float = C.ALPHA_H, seed: int = C.RANDOM_SEED,
             tol: float = 1e-4, scale_alphas: bool = True, extrapolate: bool = True, patience: int = 2,
-            beta0: float = 0.5, eta: float = 1.5, gamma: float = 1.01, gamma_bar: float = 1.005) -> NMFModel:
+            beta0: float = 0.5, eta: float = 1.5, gamma: float = 1.01, gamma_bar: float = 1.005,
+            start: str = "hash") -> NMFModel:
     """Fit W (users x k) and H (k x products) on ``entries``: (user_id, product_id, score[, is_train]).
 
     Rows with is_train = false are test cells: they stay in the matrix as 0 (they add nothing to the
     sums) and the user / product still gets a factor row. Stops after ``max_iter`` iterations or
-    when the relative loss decrease falls below ``tol``.
+    when the relative loss decrease falls below ``tol``. ``start`` is "hash" (factors from md5, no pass
+    over the data) or "svd" (M3: NNDSVD, zeros filled with the mean; some passes before the first
+    iteration, and fewer iterations).
     """
     base = f"{checkpoint_dir(spark).rstrip('/')}/shelfrank_nmf_{uuid.uuid4().hex[:12]}"
     has_split = "is_train" in entries.columns
@@ -229,7 +315,12 @@ def fit_nmf(spark: SparkSession, entries: DataFrame, k: int = C.NUM_FACTORS, max
     users, items = spark.read.parquet(f"{base}/users"), spark.read.parquet(f"{base}/items")
 
     zeros = F.array_repeat(F.lit(0.0), k)
-    hashed_start(users, "user_id", k, scale, seed).write.parquet(f"{base}/w0")
+    if start == "svd":
+        svd = truncated_svd(spark, by_user, by_product, items, k, base, seed)
+        first, _ = svd_start(svd, users, items, k, sum_r / (n_users * n_items))
+    else:
+        first = hashed_start(users, "user_id", k, scale, seed)
+    first.write.parquet(f"{base}/w0")
     W_use = spark.read.parquet(f"{base}/w0")          # the W the next H step solves against
     G_use = gram(W_use, k)
     W_prev, H_prev = W_use, None

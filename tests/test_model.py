@@ -128,3 +128,38 @@ def test_scores_do_not_depend_on_blocks(spark):
         got = recommend.score_top_n(uf, itf, seen, 3, 5, user_block=ub, item_block=ib).collect()
         recommend.CHUNK = old
         assert {(r.user_id, r.rec_rank, r.product_id) for r in got} == want
+
+
+def stored_triplets(spark, df, name):
+    base = f"{factor.checkpoint_dir(spark)}/shelfrank_nmf_{name}"
+    cells = df.select("user_id", "product_id", F.col("final_score").alias("score"))
+    return (factor._bucketed(spark, cells, "user_id", "product_id", 8, base), factor._bucketed(spark, cells, "product_id", "user_id", 8, base), base)
+
+
+def test_svd_matches_numpy(spark):
+    rng = np.random.default_rng(5)
+    A = rng.random((60, 8)) @ np.diag([9, 7, 5, 4, 3, 2, 1, 0.5]) @ rng.random((8, 40)) * (rng.random((60, 40)) < 0.7)
+    df = spark.createDataFrame([(u, p, float(A[u, p])) for u in range(60) for p in range(40) if A[u, p]],
+                               "user_id long, product_id long, final_score double")
+    by_user, by_product, base = stored_triplets(spark, df, "svd")
+    svd = factor.truncated_svd(spark, by_user, by_product, df.select("product_id").distinct(), 4, base, rounds=6)
+    U, s, V = np.linalg.svd(A)
+    assert np.allclose(svd.values, s[:4], rtol=1e-3)
+    got = np.zeros((60, 4))
+    for r in svd.users.collect():
+        got[r.user_id] = r.factors
+    assert np.allclose(np.abs(got.T @ U[:, :4]).max(axis=1), 1, atol=0.02)
+    w, h = factor.svd_start(svd, df.select("user_id").distinct(), df.select("product_id").distinct(), 4, float(A.mean()))
+    W = np.array([r.factors for r in w.orderBy("user_id").collect()])
+    H = np.array([r.factors for r in h.orderBy("product_id").collect()])
+    assert W.shape == (60, 4) and (W > 0).all() and (H > 0).all()
+    assert np.allclose(W[:, 0], np.abs(U[:, 0]) * np.sqrt(s[0]), rtol=0.05, atol=0.02)
+
+
+def test_svd_start_reaches_the_objective(spark):
+    ent = matrix.train_test_split(matrix.matrix_input(R.user_matrix(spark, SF01)))
+    hashed = factor.fit_nmf(spark, ent, k=4, max_iter=40)
+    svd = factor.fit_nmf(spark, ent, k=4, max_iter=40, start="svd")
+    print("iterations: hash", hashed.iterations, "svd", svd.iterations)
+    assert svd.objective <= hashed.objective * 1.02 and svd.iterations <= hashed.iterations
+    assert all(x >= 0 for r in svd.user_factors.collect() for x in r.factors)
