@@ -1,9 +1,9 @@
 """Repeatable pseudo-random orders without all-pairs work.
 
 ``md5_positions`` numbers the rows of each group 0..n-1 in md5 order. The numbering runs per
-(group, first two hex digits of the md5) -- 256 sub-buckets of even size, because md5 is uniform --
+(group, first hex digits of the md5) -- 16 ** DIGITS sub-buckets of even size, because md5 is uniform --
 and a small per-group table of bucket sizes turns the local numbers into global ones. So a group
-holding a third of all rows is still numbered by 256 tasks, never by one.
+holding a third of all rows is still numbered by as many tasks, never by one.
 
 ``walk`` gives a row (user) ``steps`` consecutive positions of a group, starting at an offset
 derived from md5(user|group), wrapping around: a per-user shuffle of a group read by an equi-join.
@@ -15,15 +15,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Hex digits of the md5 that choose a sub-bucket: 4,096 sub-buckets, and rows in the table of their sizes.
+DIGITS = 3
+
+
 def md5_positions(df: DataFrame, group_cols: list[str], id_col: str, pos_col: str = "pos",
                   size_col: str = "group_size") -> DataFrame:
     """Number the rows of each group (of the whole table when ``group_cols`` is empty) 0..n-1 in
     md5 order of ``id_col``; ``size_col`` is the group's row count."""
     key = F.md5(F.col(id_col).cast("string"))
-    keyed = df.withColumn("_k", key).withColumn("_b", F.substring("_k", 1, 2))
+    keyed = df.withColumn("_k", key).withColumn("_b", F.substring("_k", 1, DIGITS))
     local = keyed.withColumn("_lr", F.row_number().over(Window.partitionBy(*group_cols, "_b").orderBy("_k")) - 1)
     sizes = keyed.groupBy(*group_cols, "_b").agg(F.count("*").alias("_bn"))
-    # At most 256 rows per group: the running sum of bucket sizes gives each bucket's first position.
+    # At most 16 ** DIGITS rows per group: the running sum of bucket sizes gives each bucket's first position.
     wb = Window.partitionBy(*group_cols).orderBy("_b")
     offsets = (sizes.withColumn("_off", F.coalesce(F.sum("_bn").over(wb.rowsBetween(Window.unboundedPreceding, -1)),
                                                    F.lit(0)))

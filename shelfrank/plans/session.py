@@ -71,6 +71,7 @@ def cluster_settings(input_bytes: float, executors: int, cores_per_executor: int
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         # Broadcast only what AQE has measured below 64 MB; never by file-size estimates of big inputs.
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
         "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
         "spark.sql.session.timeZone": "UTC",
