@@ -24,7 +24,6 @@ from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -40,7 +39,7 @@ SETTLE = 3
 #: Characters that the splitter takes at a time, and from which a piece becomes an open run.
 CHUNK = 1 << 16
 #: Pieces whose ids a worker remembers at most, of PIECE characters at most.
-MEMORY = 300_000
+MEMORY = 200_000
 PIECE = 64
 
 _SPLIT = regex.compile(PATTERN)
@@ -330,17 +329,17 @@ def encode(docs: DataFrame, path: str, ids: bool = True, decoded: bool = False)
 
 def decode(frame: DataFrame, path: str, ids: str = "ids", to: str = "text") -> DataFrame:
     """``frame`` with the text of the array<int> column ``ids``; null ids give null."""
-    @F.pandas_udf("string")
-    def texts(column):
+    @F.arrow_udf("string")
+    def texts(column: pa.Array) -> pa.Array:
         vocab = vocabulary(path)
         out = []
         for numbers in column:
-            if numbers is None:
+            if not numbers.is_valid:
                 out.append(None)
                 continue
-            decoder = Decoder(vocab)
-            parts = [decoder.feed(numbers[at:at + CHUNK].tolist()) for at in range(0, len(numbers), CHUNK)]
+            decoder, known = Decoder(vocab), numbers.values
+            parts = [decoder.feed(known.slice(at, CHUNK).to_pylist()) for at in range(0, len(known), CHUNK)]
             out.append("".join([*parts, decoder.finish()]))
-        return pd.Series(out, dtype=object)
+        return pa.array(out, pa.string())
 
     return frame.withColumn(to, texts(F.col(ids)))

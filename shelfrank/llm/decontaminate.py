@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfrank.llm import words as W
-from shelfrank.llm.tables import Scratch
+from shelfrank.llm.tables import Scratch, replaced
 
 WINDOW = 10
 #: Item words in one automaton at most; it bounds what is built in one task and broadcast (about 40 MB).
@@ -144,7 +144,7 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def scan(a: Automaton, column: pa.Array) -> Iterator[tuple[int, list[tuple[int, int]], list[tuple[int, int]], list]]:
-    """For every text: number of words, hit word ranges, the same as byte ranges, items hit.
+    """For every text: number of words, hit word ranges, the same in code points, items hit.
 
     Only runs of words that occur in the items, as long as the shortest window, reach the automaton."""
     for lo, hi in W.slices(column):
@@ -166,8 +166,15 @@ def scan(a: Automaton, column: pa.Array) -> Iterator[tuple[int, list[tuple[int,
                 items |= hit
             spans = merged(spans)
             first = int(w.rows[r])
-            in_bytes = [(int(w.starts[first + x] - offsets[r]), int(w.ends[first + y - 1] - offsets[r])) for x, y in spans]
-            yield int(w.rows[r + 1] - first), spans, in_bytes, sorted(items, key=str)
+            places, at, points = [], int(offsets[r]), 0
+            for x, y in spans:  # code points from one bound to the next: all bytes but continuation bytes
+                bounds = []
+                for bound in (int(w.starts[first + x]), int(w.ends[first + y - 1])):
+                    points += int(np.count_nonzero(w.data[at:bound] & 0xC0 != 0x80))
+                    at = bound
+                    bounds.append(points)
+                places.append((bounds[0], bounds[1]))
+            yield int(w.rows[r + 1] - first), spans, places, sorted(items, key=str)
 
 
 def _build_shards(window: int, most: int):
@@ -239,7 +246,7 @@ def find(spark: SparkSession, docs: DataFrame, items: DataFrame, window: int = W
     n_words: number of words (runs of ASCII letters, digits and non-ASCII characters; A-Z lower-cased);
     hits: word ranges covered by windows of the items, end exclusive; a window is ``window`` consecutive
     words of an item, or a whole shorter item that has words;
-    cuts: the same ranges in UTF-8 bytes of the text;
+    cuts: the same ranges in code points of the text;
     items: the item_ids with a window here, as sorted strings. Items without item_id count as hits only.
 
     A null text has no words. Without items, or without words in them, nothing is hit.
@@ -269,20 +276,7 @@ def remove(found: DataFrame, max_coverage: float = 0.5, max_span: int = WINDOW)
                       lambda x: x["cuts"])
     rows = found.where((covered == 0) | (covered <= max_coverage * F.col("n_words")))
 
-    @F.pandas_udf("string")
-    def without(texts, spans):
-        import pandas as pd
-        out = []
-        for text, ranges in zip(texts, spans):
-            raw, at, parts = text.encode(), 0, []
-            for s in ranges:
-                parts.append(raw[at:s["a"]])
-                at = s["b"]
-            out.append(b"".join([*parts, raw[at:]]).decode())
-        return pd.Series(out)
-
-    touched = F.size(cut) > 0
-    rows = rows.withColumn("text", F.when(touched, without(F.when(touched, F.col("text")).otherwise(""), cut)).otherwise(F.col("text")))
+    rows = rows.withColumn("text", replaced(F.col("text"), cut, "a", "b", ""))
     if "n_chars" in rows.columns:
         rows = rows.withColumn("n_chars", F.length("text").cast(rows.schema["n_chars"].dataType))
     return rows.drop("n_words", "hits", "cuts", "items")

@@ -168,15 +168,14 @@ def with_next(spark: SparkSession, docs: DataFrame) -> DataFrame:
     ranges = len(starts) + bool(got["nulls"])
     below = np.array([~x for x in starts], np.int64)  # ascending: ~ turns the order round
 
-    @F.pandas_udf("array<int>")
-    def places(ids, known):
+    @F.arrow_udf("array<int>")
+    def places(ids: pa.Array, known: pa.Array) -> pa.Array:
         """The range of a row, then the range before it where the row is the first of its range (every
         row without doc_id may be the first of the last range; the sort picks one)."""
-        import pandas as pd
-        turned = ~ids.to_numpy()
-        at = np.where(known, np.searchsorted(below, turned, side="right") - 1, len(below))
-        first = ~known.to_numpy() | np.isin(turned, below)
-        return pd.Series([[p, (p - 1) % ranges] if f else [p] for p, f in zip(at.tolist(), first.tolist())])
+        turned, has = ~ids.to_numpy(), known.to_numpy(zero_copy_only=False)
+        at = np.where(has, np.searchsorted(below, turned, side="right") - 1, len(below))
+        first = ~has | np.isin(turned, below)
+        return pa.array([[p, (p - 1) % ranges] if f else [p] for p, f in zip(at.tolist(), first.tolist())], pa.list_(pa.int32()))
 
     # A copy in the range before (or, for a single range, in the same one) is marked as tail.
     spread = base.withColumn(

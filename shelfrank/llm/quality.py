@@ -24,7 +24,7 @@ from shelfrank.llm import words as W
 HASH_BITS = 18
 #: Labelled rows that are learnt from at most, those with the smallest hashed doc_id; it bounds the one
 #: training task (a row has at most 2 ** HASH_BITS features).
-TRAIN_ROWS = 8_000
+TRAIN_ROWS = 6_000
 #: Passes over the rows: EPOCHS, or as many as make UPDATES updates of few rows, MOST_EPOCHS at most.
 EPOCHS, UPDATES, MOST_EPOCHS = 4, 16_000, 60
 #: FTRL-Proximal: learning rate, its smoothing, L1 and L2.
@@ -143,7 +143,7 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _train(frame: pd.DataFrame) -> pd.DataFrame:
     frame = frame.sort_values(["place", "numbers", "vals", "label"])
-    examples = [(np.frombuffer(a, "<i4").astype(np.int64), np.frombuffer(b, "<f4").astype(float), float(y))
+    examples = [(np.frombuffer(a, "<i4"), np.frombuffer(b, "<f4"), float(y))
                 for a, b, y in zip(frame.numbers, frame.vals, frame.label)]
     weights, bias = ftrl(examples, 1 << HASH_BITS)
     return pd.DataFrame({"weights": [weights.astype("<f4").tobytes()], "bias": [bias]})
@@ -167,10 +167,10 @@ def score(spark: SparkSession, docs: DataFrame, model: tuple[np.ndarray, float],
     Null texts score as empty ones."""
     held = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def scores(texts):
+    @F.arrow_udf("double")
+    def scores(texts: pa.Array) -> pa.Array:
         weights, bias = held.value
-        return pd.Series(dots(pa.array(texts, pa.large_string(), from_pandas=True), weights, bias))
+        return pa.array(dots(texts, weights, bias))
 
     return docs.withColumn("score", scores(F.col("text").cast("string"))).withColumn(
         "predicted", (F.col("score") >= threshold).cast("int"))

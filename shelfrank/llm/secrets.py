@@ -20,12 +20,12 @@ import struct
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfrank.llm import words as W
+from shelfrank.llm.tables import replaced
 
 #: In the order of equal starts.
 KINDS = ("assign", "access", "hex", "jwt", "der", "openssh", "pem")
@@ -200,21 +200,7 @@ def find(docs: DataFrame) -> DataFrame:
 def redact(found: DataFrame, mask: str = "[SECRET]") -> DataFrame:
     """The rows of ``find`` with every span (overlapping ones together) replaced by ``mask``, and n_chars,
     if there is such a column, the new length."""
-    @F.pandas_udf("string")
-    def masked(texts, spans):
-        out = []
-        for text, ranges in zip(texts, spans):
-            parts, at = [], 0
-            for s in ranges:
-                if s["start"] >= at:
-                    parts += [text[at:s["start"]], mask]
-                at = max(at, s["end"])
-            out.append("".join([*parts, text[at:]]))
-        return pd.Series(out)
-
-    hit = F.size("spans") > 0
-    none = F.array().cast(found.schema["spans"].dataType)
-    rows = found.withColumn("text", F.when(hit, masked(F.when(hit, F.col("text")).otherwise(""), F.when(hit, F.col("spans")).otherwise(none))).otherwise(F.col("text")))
+    rows = found.withColumn("text", replaced(F.col("text"), F.col("spans"), "start", "end", mask))
     if "n_chars" in rows.columns:
         rows = rows.withColumn("n_chars", F.length("text").cast(rows.schema["n_chars"].dataType))
     return rows.drop("spans")

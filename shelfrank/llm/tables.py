@@ -74,6 +74,19 @@ def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple
             pass
 
 
+def replaced(text: Column, spans: Column, start: str, end: str, mask: str) -> Column:
+    """``text`` with every span (code points, end exclusive, sorted by start) replaced by ``mask``, overlapping
+    ones together. Without spans the text stays as it is."""
+    first = F.struct(F.lit("").alias("done"), F.lit(0).cast("long").alias("at"))
+
+    def step(state: Column, span: Column) -> Column:
+        piece = F.concat(state["done"], F.substr(text, state["at"] + 1, span[start] - state["at"]), F.lit(mask))
+        return F.struct(F.when(span[start] >= state["at"], piece).otherwise(state["done"]).alias("done"),
+                        F.greatest(state["at"], span[end]).alias("at"))
+
+    return F.when(F.size(spans) > 0, F.aggregate(spans, first, step, lambda s: F.concat(s["done"], F.substr(text, s["at"] + 1)))).otherwise(text)
+
+
 #: Bits of a key filter; its 16 MB are all that a filter ever takes, however many keys there are.
 FILTER_BITS = 27
 

@@ -198,15 +198,15 @@ def score(spark: SparkSession, docs: DataFrame, model: Model, threshold: float =
     all windows of the whole text. A null or blank text has no windows; its features are zeros."""
     held = spark.sparkContext.broadcast(tuple(model))
 
-    @F.pandas_udf("double")
-    def scores(texts):
+    @F.arrow_udf("double")
+    def scores(texts: pa.Array) -> pa.Array:
         m = Model(*held.value)
         if len(m.mean) == 1:
-            return pd.Series(np.full(len(texts), 1 / (1 + np.exp(-m.weights[-1]))))
+            return pa.array(np.full(len(texts), 1 / (1 + np.exp(-m.weights[-1]))))
         a, b = compressor(m.ordinary), compressor(m.toxic + m.ordinary)
-        x = np.array([features(gains(t or "", a, b)) for t in texts])
+        x = np.array([features(gains(t or "", a, b)) for lo, hi in W.slices(texts) for t in texts.slice(lo, hi - lo).to_pylist()])
         z = ((x - m.mean) / m.scale) @ m.weights[:-1] + m.weights[-1]
-        return pd.Series(1 / (1 + np.exp(-np.clip(z, -35, 35))))
+        return pa.array(1 / (1 + np.exp(-np.clip(z, -35, 35))))
 
     return docs.withColumn("score", scores(F.col("text").cast("string"))).withColumn(
         "predicted", (F.col("score") >= threshold).cast("int"))

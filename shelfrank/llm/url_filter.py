@@ -13,7 +13,6 @@ import re
 from collections.abc import Iterator, Sequence
 from urllib.parse import urljoin
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,17 +56,18 @@ def judge(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     for h, p, action in sorted(rules, key=lambda r: (-len(r[0] + r[1]), r)):
         by_host.setdefault(h, []).append((p, h + p, action))
 
-    @F.pandas_udf("rule string, action string")
-    def fits(hosts, paths):
-        out = []
-        for host, path in zip(hosts, paths):
+    @F.arrow_udf("rule string, action string")
+    def fits(hosts: pa.Array, paths: pa.Array) -> pa.Array:
+        names, actions = [], []
+        for host, path in zip(hosts.to_pylist(), paths.to_pylist()):
             labels, best = host.split("."), (None, None)
             for i in range(len(labels)):  # the whole host first, then ever shorter domains
                 for prefix, name, action in by_host.get(".".join(labels[i:]), ()):
                     if path.startswith(prefix) and (best[0] is None or len(name) > len(best[0])):
                         best = (name, action)
-            out.append(best)
-        return pd.DataFrame(out, columns=["rule", "action"], dtype=object)
+            names.append(best[0])
+            actions.append(best[1])
+        return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(actions, pa.string())], names=["rule", "action"])
 
     return fits(host, path)
 

@@ -16,8 +16,8 @@ import numpy as np
 import pyarrow as pa
 
 LONG_WORD = 256
-#: Texts of one slice are hashed together; the temporary arrays are some 30 bytes for each text byte.
-SLICE_BYTES = 4 << 20
+#: Texts of one slice are hashed together; the temporary arrays take some 50 bytes for each text byte, and stay in the CPU cache.
+SLICE_BYTES = 1 << 20
 
 # The constants of the splitmix64 finaliser and of the 64-bit golden ratio.
 _M1 = np.uint64(0xBF58476D1CE4E5B9)
