@@ -56,6 +56,7 @@ from pyspark.sql import functions as F
 from shelfrank.functions import constants as C
 from shelfrank.operators.evaluate import dot
 from shelfrank.plans.session import checkpoint_dir
+from shelfrank.plans.store import drop
 
 
 def nnls_rows(G: np.ndarray, B: np.ndarray, sweeps: int = 1000, tol: float = 1e-10) -> np.ndarray:
@@ -358,11 +359,16 @@ def fit_nmf(spark: SparkSession, entries: DataFrame, k: int = C.NUM_FACTORS, max
                 calm = 0
             prev_loss = loss
         W_prev, H_prev = W_rows.select("user_id", "factors"), H_rows.select("product_id", "factors")
+        for old in (f"h{it - 1}", f"w{it - 1}", *["w0"] * (it == 1)):  # nothing reads these any more
+            drop(spark, f"{base}/{old}")
     W_fit = W_rows.select("user_id", "factors")
     H_fit = H_rows.select("product_id", "factors")
     # Objective at the returned (plain) factors: one more weighted sum with H.
     wb = float(_weighted_sums(by_product, H_fit, "product_id", "user_id", k).join(W_fit, "user_id")
                .agg(F.sum(dot(F.col("b"), F.col("factors")))).first()[0] or 0.0)
+    for key in ("user_id", "product_id"):
+        spark.sql(f"DROP TABLE IF EXISTS {base.rsplit('/', 1)[-1]}_by_{key}")
+        drop(spark, f"{base}/by_{key}")
     GW, GH = GWn, GHn
     # Users / products without training cells get zero factors (their cells are all 0 in training).
     W = users.join(W_fit, "user_id", "left").select("user_id", F.coalesce("factors", zeros).alias("factors"))

@@ -9,6 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfrank.plans.session import checkpoint_dir
 
 
+def drop(spark: SparkSession, path: str) -> None:
+    """Delete a folder that nothing reads any more, on whatever file system it lies."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 class Store:
     """A folder of its own below the checkpoint folder. ``table`` writes a DataFrame there and reads it
     back: whatever reads it later starts from the stored rows, also after the loss of an executor."""

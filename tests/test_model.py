@@ -1,5 +1,7 @@
 """Factor model, scoring and evaluation on small inputs."""
 
+import uuid
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -20,6 +22,10 @@ def test_nnls_rows_meets_kkt():
     assert grad[W <= 1e-9].min() > -1e-6                  # no descent direction into the bound
 
 
+def fresh(spark, name):
+    return f"{factor.checkpoint_dir(spark)}/shelfrank_nmf_{name}_{uuid.uuid4().hex[:8]}"
+
+
 def tiny(spark):
     rng = np.random.default_rng(1)
     U, V = rng.random((4, 2)), rng.random((2, 5))
@@ -87,7 +93,7 @@ def test_starts_at_cluster_settings(spark):
         spark.conf.set("spark.sql.shuffle.partitions", str(parts))
         spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "8")
         table = factor._bucketed(spark, tiny(spark).withColumnRenamed("final_score", "score").drop("is_train"), "user_id", "product_id",
-                                 min(factor.MOST_BUCKETS, parts), f"{factor.checkpoint_dir(spark)}/shelfrank_nmf_limits")
+                                 min(factor.MOST_BUCKETS, parts), fresh(spark, "limits"))
         assert table.count() == 20
     finally:
         factor.MOST_BUCKETS = most
@@ -102,7 +108,7 @@ def test_product_with_half_of_all_pairs_is_spread(spark):
     df = spark.range(n).select((F.col("id") % 7919).alias("user_id"),
                                F.when(F.col("id") % 2 == 0, F.lit(-1)).otherwise(F.col("id") % 211).cast("long").alias("product_id"),
                                F.lit(1.0).alias("score"))
-    base = f"{factor.checkpoint_dir(spark)}/shelfrank_nmf_hot"
+    base = fresh(spark, "hot")
     table = factor._bucketed(spark, df, "product_id", "user_id", 8, base)
     sizes = [os.path.getsize(f) for f in glob.glob(f"{base.removeprefix('file:')}/by_product_id/*.parquet")]
     rows = [r["count"] for r in table.groupBy(F.input_file_name()).count().collect()]
@@ -131,7 +137,7 @@ def test_scores_do_not_depend_on_blocks(spark):
 
 
 def stored_triplets(spark, df, name):
-    base = f"{factor.checkpoint_dir(spark)}/shelfrank_nmf_{name}"
+    base = fresh(spark, name)
     cells = df.select("user_id", "product_id", F.col("final_score").alias("score"))
     return (factor._bucketed(spark, cells, "user_id", "product_id", 8, base), factor._bucketed(spark, cells, "product_id", "user_id", 8, base), base)
 
