@@ -45,7 +45,9 @@ def components(scratch: Scratch, edges: DataFrame, a: str = "a", b: str = "b") -
         parents = nxt.select(F.col("v").alias("p")).distinct()
         open_rows = nxt.groupBy("u").count().where("count > 1").select("u").union(
             nxt.join(parents, nxt.u == parents.p, "left_semi").select("u"))
-        if open_rows.isEmpty():
+        done = open_rows.isEmpty()
+        scratch.drop(f"edges-{k - 1}", f"edges-{k}-large", f"large-{k}-least", f"small-{k}-least")
+        if done:
             break
         current = nxt
     stars = nxt.select(F.col("u").alias("node"), F.col("v").alias("component"))

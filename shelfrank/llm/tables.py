@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfrank.plans.session import checkpoint_dir
+from shelfrank.plans.store import drop
 
 
 class Scratch:
@@ -29,6 +30,11 @@ class Scratch:
         df.write.parquet(f"{self.path}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
 
+    def drop(self, *names: str) -> None:
+        """Delete tables that no later stage reads."""
+        for name in names:
+            drop(self.spark, f"{self.path}/{name}")
+
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -10,9 +10,9 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline as C
 from shelfrank.llm import quality
-from test_decontaminate import brute as brute_hits
-from test_near_dup import brute as brute_components
-from test_quality import corpus, word
+from .test_decontaminate import brute as brute_hits
+from .test_near_dup import brute as brute_components
+from .test_quality import corpus, word
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
