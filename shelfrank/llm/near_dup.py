@@ -237,9 +237,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, bands: int = BANDS, ro
 
     known = sketch.where("doc_id is not null and set_key is not null")
     classes = scratch.table(known.groupBy("set_key").agg(F.min("doc_id").alias("node")), "classes")
-    reps = known.join(classes, "set_key").where("doc_id = node").select("node", "buckets").dropDuplicates(["node"])
-    buckets = reps.select("node", F.explode("buckets").alias("bucket"))
-    heads = buckets.groupBy("bucket").agg(F.min("node").alias("center"), F.count("*").alias("n")).where("n > 1")
+    reps = known.join(classes, "set_key").where("doc_id = node").select("node", "n_shingles", "buckets").dropDuplicates(["node"])
+    buckets = reps.select("node", "n_shingles", F.explode("buckets").alias("bucket"))
+    # Aggregates that are joined back are stored first: Spark splits a hot key of a join only between plain inputs.
+    heads = scratch.table(buckets.groupBy("bucket").agg(F.min("node").alias("center"), F.count("*").alias("n")).where("n > 1"), "heads")
     hits = scratch.table(buckets.join(heads, "bucket"), "hits")
 
     pairs = scratch.table(hits.where("node <> center").select("center", "node").distinct(), "pairs")
@@ -262,15 +263,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, bands: int = BANDS, ro
         .select("center", "share", "node", "shingles")
         .mapInArrow(_with_center(percent), "center long, node long, linked boolean"), "checked")
 
-    seeded = hits.join(checked, ["center", "node"], "left").select(
-        "bucket", "node", "n", F.coalesce("linked", F.lit(True)).alias("seed"))  # a center itself has no pair
-    unsure = seeded.where("n > 2").groupBy("bucket").agg(
-        F.count_if(~F.col("seed")).alias("loose")).where("loose > 0").select("bucket")
-    open_rows = seeded.join(unsure, "bucket").join(
-        shingle_sets.select("node", F.length("shingles").alias("bytes")), "node")
-    blocks = open_rows.groupBy("bucket").agg(
-        F.greatest(F.ceil(F.count("*") / F.lit(BLOCK_NODES)), F.ceil(F.sum("bytes") / F.lit(BLOCK_BYTES))).cast("int").alias("g"))
-    placed = open_rows.join(blocks, "bucket").select(
+    seeded = scratch.table(hits.join(checked, ["center", "node"], "left").where("n > 2").select(
+        "bucket", "node", "n_shingles", F.coalesce("linked", F.lit(True)).alias("seed")), "seeded")  # a center itself has no pair
+    size_of = F.ceil(F.sum(F.col("n_shingles") * 8) / F.lit(BLOCK_BYTES))
+    blocks = scratch.table(seeded.groupBy("bucket").agg(
+        F.count_if(~F.col("seed")).alias("loose"),
+        F.greatest(F.ceil(F.count("*") / F.lit(BLOCK_NODES)), size_of).cast("int").alias("g")).where("loose > 0").select("bucket", "g"), "blocks")
+    placed = seeded.join(blocks, "bucket").select(
         "bucket", "node", "seed", "g", F.pmod(F.xxhash64("node", "bucket"), "g").cast("int").alias("block"))
     units = placed.select("bucket", "node", "seed", "block", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("other")).select(
         "bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "seed")
@@ -286,6 +285,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, bands: int = BANDS, ro
     parts = components(scratch, edges)
     ids = scratch.table(classes.join(parts, "node", "left").select(
         "set_key", F.coalesce("component", "node").alias("component")), "class-components")
+    scratch.drop("classes", "heads", "hits", "pairs", "sets", "checked", "seeded", "blocks", "links")
     rows = sketch.join(ids, "set_key", "left").select(
         "doc_id", "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
