@@ -17,6 +17,7 @@ from shelfrank.functions import columns as fx
 from shelfrank.functions import constants as C
 from shelfrank.operators import (baseline, catalog, clean, evaluate, factor, feed, matrix, profile, recommend,
                                  state)
+from shelfrank.plans.store import Store
 from shelfrank.sources import export, lookup
 from shelfrank.sources import testdata as td
 from shelfrank.streaming import refresh, runner
@@ -34,10 +35,16 @@ def register(name: str):
 
 
 class Ctx:
-    """The engine tables of one sf folder, each built once (lazily) and shared."""
+    """The engine tables of one sf folder, each built once (lazily) and shared. With ``stored``, what many
+    parts of a query read (the clean log, the per-product aggregate) is written once to the shared folder,
+    so the log is cleaned and shuffled once however often it is used."""
 
-    def __init__(self, spark: SparkSession, d: str):
+    def __init__(self, spark: SparkSession, d: str, stored: bool = False):
         self.spark, self.d = spark, d
+        self.store = Store(spark, "query") if stored else None
+
+    def _kept(self, df: DataFrame, name: str) -> DataFrame:
+        return self.store.table(df, name) if self.store else df
 
     @cached_property
     def raw_log(self) -> DataFrame:
@@ -45,7 +52,11 @@ class Ctx:
 
     @cached_property
     def log(self) -> DataFrame:
-        return clean.clean_interactions(self.raw_log)
+        return self._kept(clean.clean_interactions(self.raw_log), "log")
+
+    @cached_property
+    def popularity(self) -> DataFrame:
+        return self._kept(catalog.product_popularity(self.log), "popularity")
 
     @cached_property
     def products(self) -> DataFrame:
@@ -77,6 +88,8 @@ class Ctx:
 
     @cached_property
     def prod_stats(self) -> DataFrame:
+        if self.store:
+            return catalog.engagement_of(self.products, self.popularity)
         return catalog.product_engagement(self.products, self.log)
 
     @cached_property
@@ -89,7 +102,7 @@ class Ctx:
 
     @cached_property
     def popular(self) -> DataFrame:
-        return catalog.popular_by_category(self.products, self.log)
+        return catalog.rank_popular(self.popularity, self.products)
 
     @cached_property
     def history(self) -> DataFrame:
@@ -464,7 +477,7 @@ def q_feed_candidates(spark, d):
 
 @register("personal_feed")
 def q_personal_feed(spark, d):
-    return feed.personal_feed(**Ctx(spark, d).feed_inputs())
+    return feed.personal_feed(**Ctx(spark, d, stored=True).feed_inputs())
 
 
 @register("unseen_pairs")
