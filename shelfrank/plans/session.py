@@ -34,21 +34,20 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared folder named by ``spark.checkpoint.dir``.
+    """Return the session's folder below the shared one that ``spark.checkpoint.dir`` names.
 
     That setting is used as is. Only a session in one process (``local``, ``local[n]``) without it, as
     in tests, gets a folder of its own; any cluster session without it (``local-cluster`` too) is an
     error, because a machine-local folder is not seen by other executors.
     """
     sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if configured:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(configured)
-        return configured
-    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder before running iterative operators")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="shelfrank-ckpt-"))
+    if not sc.getCheckpointDir():
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+                raise RuntimeError("set spark.checkpoint.dir to a shared folder before running iterative operators")
+            configured = tempfile.mkdtemp(prefix="shelfrank-ckpt-")
+        sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
