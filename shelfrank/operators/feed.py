@@ -123,6 +123,17 @@ def latest_preferences(updates: DataFrame, products: DataFrame, resets: DataFram
     return name_categories(last.select("user_id", "u.*"), products)
 
 
+def latest_preference_lists(updates: DataFrame, resets: DataFrame | None = None,
+                            min_categories: int = C.MIN_PREFERRED_CATEGORIES) -> DataFrame:
+    """ST4 on updates that hold the chosen categories themselves: (event_id, user_id, ts, categories
+    array<string>). Per user the last update by (ts, event_id) with at least ``min_categories`` entries, nulls
+    not counted, in the order chosen; updates up to a reset are ignored."""
+    known = updates.withColumn("categories", F.filter("categories", lambda c: c.isNotNull()))
+    valid = after_reset(known, resets).filter(F.size("categories") >= min_categories)
+    return valid.groupBy("user_id").agg(
+        F.max_by(F.struct("event_id", "categories"), F.struct("ts", "event_id")).alias("u")).select("user_id", "u.*")
+
+
 def name_categories(picks: DataFrame, products: DataFrame) -> DataFrame:
     """(user_id, event_id, c1, c2, n_categories) -> (user_id, event_id, categories): the first
     n_categories of [c1, c2, c2 + 1] (indices into the sorted categories, wrapping), named, in order."""

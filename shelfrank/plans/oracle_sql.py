@@ -790,3 +790,5 @@ SELECT user_id, product_id, last_ts, event_count, {R6('hours')} AS hours_ago,
   {R6('pow(CAST(0.5 AS DOUBLE), hours / CAST(48 AS DOUBLE)) * (1 + log2(1 + event_count))')} AS weight
 FROM h"""),
 })
+
+ORACLE["latest_preference_lists"] = ORACLE["latest_preferences"]

@@ -439,6 +439,12 @@ def q_latest_preferences(spark, d):
     return joined(Ctx(spark, d).prefs, "categories")
 
 
+@register("latest_preference_lists")
+def q_latest_preference_lists(spark, d):
+    """ST4 on updates that hold category lists."""
+    return joined(feed.latest_preference_lists(td.preference_lists(spark, d), Ctx(spark, d).resets), "categories")
+
+
 @register("user_categories")
 def q_user_categories(spark, d):
     return joined(Ctx(spark, d).user_cats, "categories")

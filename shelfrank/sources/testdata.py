@@ -179,6 +179,14 @@ def preference_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.lit(1) + F.col("event_id") % 3).alias("n_categories"))
 
 
+def preference_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The preference updates with their categories by name, in the order chosen."""
+    cats = F.array(*[F.lit(c) for c in ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")])
+    u = preference_updates(spark, sf_dir)
+    picks = F.slice(F.array("c1", "c2", (F.col("c2") + 1) % 6), 1, F.col("n_categories").cast("int"))
+    return u.select("event_id", "user_id", "ts", F.transform(picks, lambda i: F.element_at(cats, (i + 1).cast("int"))).alias("categories"))
+
+
 def state_events(events: DataFrame) -> DataFrame:
     """Raw events -> (event_id, user_id, ts timestamp, kind, product_id, interaction_type, session_id,
     c1, c2, n_categories). A click is an interaction and a like toggle; a signup an add_to_cart and a
