@@ -30,8 +30,8 @@ from shelfrank.llm.tables import Scratch
 #: Labelled rows of each class that are learnt from at most, those with the smallest hashed doc_id.
 TOXIC_ROWS, ORDINARY_ROWS = 4_000, 8_000
 #: Characters of a window; it ends at a space where one is near.
-WINDOW = 64
-ORDINARY_BYTES, TOXIC_BYTES = 32_768, 4_096
+WINDOW = 80
+ORDINARY_BYTES, TOXIC_BYTES = 16_384, 6_144
 #: Toxic words: in this share of the toxic documents (and MIN_DOCS at least), and so many times more
 #: often than in ordinary ones; MOST_WORDS at most, by documents.
 MIN_SHARE, MIN_DOCS, MIN_LIFT, MOST_WORDS = 0.015, 3, 30.0, 5_000
@@ -69,9 +69,10 @@ def windows(text: str, size: int = WINDOW) -> list[str]:
 
 
 def compressor(content: bytes) -> zstandard.ZstdCompressor:
-    """Raw-content dictionary; lazy matching over the whole of it, no frame extras."""
+    """Raw-content dictionary; lazy matching over the whole of it, no frame extras. The tables have room for
+    every place of the dictionary: in smaller ones its end would push out its start, the toxic part."""
     params = zstandard.ZstdCompressionParameters(
-        window_log=17, hash_log=15, chain_log=15, search_log=6, min_match=4, target_length=16, strategy=zstandard.STRATEGY_LAZY2,
+        window_log=17, hash_log=17, chain_log=17, search_log=6, min_match=4, target_length=16, strategy=zstandard.STRATEGY_LAZY2,
         write_content_size=0, write_checksum=0, write_dict_id=0)
     known = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     return zstandard.ZstdCompressor(dict_data=known, compression_params=params)
@@ -144,7 +145,7 @@ def _train(frame: pd.DataFrame) -> pd.DataFrame:
             return b"".join(dict.fromkeys(parts))[:size]
 
     return pd.DataFrame({"ordinary": [trained(list(frame["sample"][frame.label == 0]), ORDINARY_BYTES, 256, 64)],
-                         "toxic": [trained(list(frame["sample"][frame.label == 1]), TOXIC_BYTES, 128, 24)]})
+                         "toxic": [trained(list(frame["sample"][frame.label == 1]), TOXIC_BYTES, 128, 32)]})
 
 
 def _features(ordinary: bytes, toxic: bytes):
