@@ -123,7 +123,7 @@ def _store(spark: SparkSession, solved: DataFrame, key: str, path: str, k: int):
     return (rows, Gram of hat, Gram of the factors, sum of f . b) -- the Grams from the few partial
     rows only."""
     solved.write.parquet(path)
-    stored = spark.read.parquet(path)
+    stored = spark.read.schema(solved.schema).parquet(path)  # no job to find the schema
     parts = stored.filter(F.col(key).isNull())
     total = parts.agg(vector_to_array(Summarizer.sum(array_to_vector(F.col("factors")))).alias("g")).first()["g"]
     arr = np.array(total, dtype=np.float64)
@@ -137,10 +137,19 @@ SALTS = 16
 MOST_BUCKETS = 50_000
 
 
-def _weighted_sums(triplets: DataFrame, factors: DataFrame, join_key: str, group_key: str, k: int) -> DataFrame:
-    """Per ``group_key``: sum over its triplets of score * factor vector of the ``join_key`` side."""
-    copies = factors.select(join_key, "factors", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    j = triplets.join(copies, [join_key, "salt"])
+#: Factor rows (of some 170 bytes with 20 factors) up to which a side is sent whole to every task.
+SMALL_SIDE = 20_000
+
+
+def _weighted_sums(triplets: DataFrame, factors: DataFrame, join_key: str, group_key: str, k: int,
+                   rows: int | None = None) -> DataFrame:
+    """Per ``group_key``: sum over its triplets of score * factor vector of the ``join_key`` side. ``rows`` is
+    the number of factor rows, if known: a small side is broadcast, a larger one copied to each salt."""
+    if rows is not None and rows <= SMALL_SIDE:
+        j = triplets.join(F.broadcast(factors.select(join_key, "factors")), join_key)
+    else:
+        copies = factors.select(join_key, "factors", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+        j = triplets.join(copies, [join_key, "salt"])
     sums = [F.sum(F.col("score") * F.col("factors")[i]).alias(f"b{i}") for i in range(k)]
     return j.groupBy(group_key).agg(*sums).select(group_key, F.array(*[f"b{i}" for i in range(k)]).alias("b"))
 
@@ -332,12 +341,12 @@ def fit_nmf(spark: SparkSession, entries: DataFrame, k: int = C.NUM_FACTORS, max
     GWn = GHn = None
     for it in range(1, max_iter + 1):
         # H step: per product, b = sum_u r_up w_u; solve with W'W + lh I; extrapolate from the last H.
-        sums_h = _weighted_sums(by_user, W_use, "user_id", "product_id", k)
+        sums_h = _weighted_sums(by_user, W_use, "user_id", "product_id", k, n_users)
         H_rows, GH_hat, GHn, _ = _store(spark, _solve_side(sums_h, "product_id", G_use, lh, H_prev, beta),
                                         "product_id", f"{base}/h{it}", k)
         H_hat = H_rows.select("product_id", F.col("hat").alias("factors"))
         # W step: per user, b = sum_p r_up h_p (extrapolated H); solve with H H' + lw I.
-        sums_w = _weighted_sums(by_product, H_hat, "product_id", "user_id", k)
+        sums_w = _weighted_sums(by_product, H_hat, "product_id", "user_id", k, n_items)
         W_rows, GW_hat, GWn, wb = _store(spark, _solve_side(sums_w, "user_id", GH_hat, lw, W_prev, beta),
                                          "user_id", f"{base}/w{it}", k)
         loss = (0.5 * (sum_r2 - 2.0 * wb + float(np.sum(GWn * GH_hat)))
@@ -364,7 +373,7 @@ def fit_nmf(spark: SparkSession, entries: DataFrame, k: int = C.NUM_FACTORS, max
     W_fit = W_rows.select("user_id", "factors")
     H_fit = H_rows.select("product_id", "factors")
     # Objective at the returned (plain) factors: one more weighted sum with H.
-    wb = float(_weighted_sums(by_product, H_fit, "product_id", "user_id", k).join(W_fit, "user_id")
+    wb = float(_weighted_sums(by_product, H_fit, "product_id", "user_id", k, n_items).join(W_fit, "user_id")
                .agg(F.sum(dot(F.col("b"), F.col("factors")))).first()[0] or 0.0)
     for key in ("user_id", "product_id"):
         spark.sql(f"DROP TABLE IF EXISTS {base.rsplit('/', 1)[-1]}_by_{key}")
