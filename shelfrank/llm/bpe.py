@@ -39,7 +39,7 @@ SETTLE = 3
 #: Characters that the splitter takes at a time, and from which a piece becomes an open run.
 CHUNK = 1 << 16
 #: Pieces whose ids a worker remembers at most, of PIECE characters at most.
-MEMORY = 200_000
+MEMORY = 250_000
 PIECE = 64
 
 _SPLIT = regex.compile(PATTERN)
@@ -83,7 +83,9 @@ class Vocabulary:
         ids = {raw(t): i for t, i in spec["model"]["vocab"].items() if all(c in alphabet for c in t)}
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in spec["model"]["merges"]]
         self.merges = [(raw(a), raw(b)) for a, b in merges]
-        self.pairs = {(ids[a], ids[b]): (rank, ids[a + b]) for rank, (a, b) in enumerate(self.merges)}
+        self.base = max(ids.values()) + 1
+        self.ranks = {ids[a] * self.base + ids[b]: rank for rank, (a, b) in enumerate(self.merges)}
+        self.made = [ids[a + b] for a, b in self.merges]  # by rank
         self.byte_ids = [ids.get(bytes([b])) for b in range(256)]
         self.lookahead = sufficient_lookahead(self.merges)
         self.specials = {t["content"]: t["id"] for t in spec.get("added_tokens") or []}
@@ -101,41 +103,44 @@ class Vocabulary:
         ids = [self.byte_ids[b] for b in piece]
         if len(ids) > 48:
             return self._merge_long(ids)
-        pairs = self.pairs
-        while len(ids) > 1:
-            best, at = None, -1
-            for i, pair in enumerate(zip(ids, ids[1:])):
-                found = pairs.get(pair)
-                if found is not None and (best is None or found[0] < best[0]):
-                    best, at = found, i
-            if best is None:
+        get, base, none = self.ranks.get, self.base, len(self.made)
+        ranks = [get(a * base + b, none) for a, b in zip(ids, ids[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == none:
                 break
-            ids[at:at + 2] = [best[1]]
+            at = ranks.index(best)
+            ids[at] = new = self.made[best]
+            del ids[at + 1], ranks[at]
+            if at < len(ranks):
+                ranks[at] = get(new * base + ids[at + 1], none)
+            if at:
+                ranks[at - 1] = get(ids[at - 1] * base + new, none)
         return ids
 
     def _merge_long(self, ids: list) -> list[int]:
-        n, pairs = len(ids), self.pairs
+        n, get, base = len(ids), self.ranks.get, self.base
         left, right = list(range(-1, n - 1)), list(range(1, n + 1))
         heap = []
         for i in range(n - 1):
-            found = pairs.get((ids[i], ids[i + 1]))
-            if found is not None:
-                heap.append((found[0], i, ids[i], ids[i + 1], found[1]))
+            rank = get(ids[i] * base + ids[i + 1])
+            if rank is not None:
+                heap.append((rank, i, ids[i], ids[i + 1]))
         heapq.heapify(heap)
         while heap:
-            _, i, a, b, new = heapq.heappop(heap)
+            rank, i, a, b = heapq.heappop(heap)
             j = right[i]
             if ids[i] != a or j >= n or ids[j] != b:
                 continue
-            ids[i], ids[j] = new, None
+            ids[i], ids[j] = self.made[rank], None
             right[i] = right[j]
             if right[j] < n:
                 left[right[j]] = i
             for p, q in ((left[i], i), (i, right[i])):
                 if p >= 0 and q < n:
-                    found = pairs.get((ids[p], ids[q]))
-                    if found is not None:
-                        heapq.heappush(heap, (found[0], p, ids[p], ids[q], found[1]))
+                    rank = get(ids[p] * base + ids[q])
+                    if rank is not None:
+                        heapq.heappush(heap, (rank, p, ids[p], ids[q]))
         return [i for i in ids if i is not None]
 
 
@@ -185,6 +190,12 @@ class _Memory(dict):
         return ids
 
 
+@lru_cache(maxsize=2)
+def memory(path: str) -> _Memory:
+    """One for each worker process: later tasks find the pieces of earlier ones."""
+    return _Memory(vocabulary(path))
+
+
 class Encoder:
     """feed() text in parts of any size, then finish(); both yield little-endian 32-bit ids as bytes.
 
@@ -282,15 +293,14 @@ class Decoder:
 
 def _transcode(path: str, keep: list[str], want: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab = vocabulary(path)
-        memory = _Memory(vocab)
+        vocab, known = vocabulary(path), memory(path)
         for whole in batches:
             for lo, hi in W.slices(whole.column("text")):
                 batch = whole.slice(lo, hi - lo)
                 counts, digests, ids, texts = [], [], [], []
                 for text in batch.column("text").to_pylist():
                     digest, decoder, n, parts, out = hashlib.sha256(), Decoder(vocab), 0, [], []
-                    for part in Encoder(vocab, memory).encode(text or ""):
+                    for part in Encoder(vocab, known).encode(text or ""):
                         numbers = np.frombuffer(part, "<u4")
                         n += len(numbers)
                         digest.update(part)
