@@ -39,12 +39,12 @@ ROWS = 5
 PERCENT = 85
 #: A block of step 3 holds about so many nodes and bytes of sets at most (a larger single set is one block).
 BLOCK_NODES = 512
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: Members that are compared with one copy of their center's set.
 CENTER_SHARE = 256
 
 _SHIFT = 0x01000193
-_COLUMNS = 8192
+_COLUMNS = 4096
 
 
 def sets(column: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:

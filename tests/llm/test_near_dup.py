@@ -85,7 +85,7 @@ def test_signature_estimates_similarity():
         assert abs((sig[0] == sig[1]).mean() - true) < 0.06
 
 
-@pytest.mark.parametrize("columns", [7, 8192])
+@pytest.mark.parametrize("columns", [7, 4096])
 def test_common_counts(columns, monkeypatch):
     monkeypatch.setattr(N, "_COLUMNS", columns)
     rnd = np.random.default_rng(3)
