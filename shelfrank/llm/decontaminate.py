@@ -143,6 +143,17 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def merged_cuts(spans: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
+    """Word ranges with their code point ranges, merged where the word ranges touch."""
+    out: list[tuple[int, int, int, int]] = []
+    for a, b, x, y in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]), out[-1][2], max(y, out[-1][3]))
+        else:
+            out.append((a, b, x, y))
+    return out
+
+
 def scan(a: Automaton, column: pa.Array) -> Iterator[tuple[int, list[tuple[int, int]], list[tuple[int, int]], list]]:
     """For every text: number of words, hit word ranges, the same in code points, items hit.
 
@@ -225,8 +236,10 @@ def _scan_batches(blob, keep: list[str]):
                 items = [[str(i) for i in x[3] if i is not None] for x in found]
                 if "hits" in keep:  # what earlier automata have found
                     was = [batch.column(c).to_pylist() for c in ("hits", "cuts", "items")]
-                    hits = [[{"a": a, "b": b} for a, b in merged([(s["a"], s["b"]) for s in [*x, *y]])] for x, y in zip(was[0], hits)]
-                    cuts = [[{"a": a, "b": b} for a, b in merged([(s["a"], s["b"]) for s in [*x, *y]])] for x, y in zip(was[1], cuts)]
+                    both = [merged_cuts([(h["a"], h["b"], c["a"], c["b"]) for h, c in (*zip(x, y), *zip(hit, cut))])
+                            for x, y, hit, cut in zip(was[0], was[1], hits, cuts)]
+                    hits = [[{"a": s[0], "b": s[1]} for s in spans] for spans in both]
+                    cuts = [[{"a": s[2], "b": s[3]} for s in spans] for spans in both]
                     items = [sorted({*x, *y}) for x, y in zip(was[2], items)]
                 span = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
                 own = [c for c in keep if c not in ("n_words", "hits", "cuts", "items")]

@@ -59,6 +59,20 @@ def test_removal_and_coverage(spark, docs):
     assert got[2].text == f"{filler} , {filler}" and got[2].n_chars == len(got[2].text)
 
 
+@pytest.mark.parametrize("max_span", [1, 15])
+def test_removal_of_touching_spans_of_several_automata(spark, docs, max_span):
+    parts = [" ".join(f"{c}{i}" for i in range(12)) for c in "pqr"]
+    bench = spark.createDataFrame(list(enumerate(parts)), "item_id long, text string")
+    filler = " ".join(f"é{i}" for i in range(60))
+    rows = [f"{filler} {parts[0]}, {parts[1]} {filler} {parts[2]} {filler}", f"{filler} {parts[2]} {parts[0]} {parts[1]}"]
+    want = [f"{filler}  {filler}  {filler}" if max_span == 1 else f"{filler}  {filler} {parts[2]} {filler}", f"{filler} "]
+    assert len(list(D.automata(bench, most=12))) == 3
+    for most in (12, D.SHARD_WORDS):
+        found = D.find(spark, docs(rows), bench, most=most)
+        assert all(len(r.hits) == len(r.cuts) for r in found.collect())
+        assert [r.text for r in D.remove(found, 0.5, max_span).orderBy("doc_id").collect()] == want
+
+
 def test_empty_tables(spark, docs):
     none = spark.createDataFrame([], "item_id long, text string")
     bench = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
