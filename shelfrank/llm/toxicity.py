@@ -5,8 +5,9 @@ Training, on a bounded sample of labelled rows:
 
 * ordinary dictionary: trained by zstandard on windows of ordinary documents;
 * toxic dictionary: trained by zstandard on what toxic documents say beyond ordinary ones, that is on
-  their words that many toxic and hardly any ordinary documents hold. It is compressed with in front
-  of the ordinary one, so ordinary windows come out alike under both;
+  their words that significantly more toxic than ordinary documents hold; chosen words that the trainer
+  leaves out are added, so it holds all. It is compressed with in front of the ordinary one, so ordinary
+  windows come out alike under both;
 * thresholds: on sample rows that no dictionary was trained on, the gains of a document's windows are
   calibrated by a logistic regression, weighted back to the classes' shares in the sample's source.
 """
@@ -20,7 +21,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfrank.llm import words as W
@@ -32,9 +33,9 @@ TOXIC_ROWS, ORDINARY_ROWS = 4_000, 8_000
 #: Characters of a window; it ends at a space where one is near.
 WINDOW = 80
 ORDINARY_BYTES, TOXIC_BYTES = 16_384, 6_144
-#: Toxic words: in this share of the toxic documents (and MIN_DOCS at least), and so many times more
-#: often than in ordinary ones; MOST_WORDS at most, by documents.
-MIN_SHARE, MIN_DOCS, MIN_LIFT, MOST_WORDS = 0.015, 3, 30.0, 5_000
+#: Toxic words: in so many toxic documents at least, whatever their number, so many times more often than in
+#: ordinary ones, and with this log-likelihood ratio (G2, p = 1e-5) against equal shares; MOST_WORDS at most, by documents.
+MIN_DOCS, MIN_LIFT, MIN_G2, MOST_WORDS = 3, 30.0, 19.51, 5_000
 #: Bytes of one document that dictionaries are trained on at most, spread over the whole document.
 SAMPLE_BYTES = 4_096
 THRESHOLD = 0.5
@@ -71,8 +72,9 @@ def windows(text: str, size: int = WINDOW) -> list[str]:
 def compressor(content: bytes) -> zstandard.ZstdCompressor:
     """Raw-content dictionary; lazy matching over the whole of it, no frame extras. The tables have room for
     every place of the dictionary: in smaller ones its end would push out its start, the toxic part."""
+    log = max(17, (len(content) + 4 * WINDOW).bit_length())
     params = zstandard.ZstdCompressionParameters(
-        window_log=17, hash_log=17, chain_log=17, search_log=6, min_match=4, target_length=16, strategy=zstandard.STRATEGY_LAZY2,
+        window_log=log, hash_log=log, chain_log=log, search_log=6, min_match=4, target_length=16, strategy=zstandard.STRATEGY_LAZY2,
         write_content_size=0, write_checksum=0, write_dict_id=0)
     known = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     return zstandard.ZstdCompressor(dict_data=known, compression_params=params)
@@ -173,19 +175,33 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, toxic_rows: int = TOXIC_
     return _fit(chosen_rows, share)
 
 
+def significance(toxic: Column, ordinary: Column, n1: int, n0: int) -> Column:
+    """G2 of a word in so many of n1 toxic and n0 ordinary documents against equal shares of both."""
+    def part(count: Column, n: int) -> Column:
+        return F.when(count > 0, count * F.log(count * (n1 + n0) / ((toxic + ordinary) * max(1, n)))).otherwise(0.0)
+    return 2 * (part(toxic, n1) + part(ordinary, n0))
+
+
+def with_all(trained: bytes, words: list[str]) -> bytes:
+    """A dictionary that holds every word: those that the trained one lacks go in front of it."""
+    parts = [w[:WINDOW].encode("utf-8", "surrogatepass") for w in words]
+    return b"".join(b" " + p for p in dict.fromkeys(parts) if p not in trained) + trained
+
+
 def _fit(rows: DataFrame, share: float) -> Model:
     train = rows.where(~F.col("role")).select("label", "text")
     sizes = {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
-    least = max(MIN_DOCS, int(MIN_SHARE * n1))
     chosen = (train.mapInArrow(_words, "label int, words array<string>").select("label", F.explode("words").alias("word"))
               .groupBy("word").agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("ordinary"))
-              .where((F.col("toxic") >= least) & (F.col("toxic") / max(1, n1) >= MIN_LIFT * F.col("ordinary") / max(1, n0)))
+              .where((F.col("toxic") >= MIN_DOCS) & (F.col("toxic") / max(1, n1) >= MIN_LIFT * F.col("ordinary") / max(1, n0))
+                     & (significance(F.col("toxic"), F.col("ordinary"), n1, n0) >= MIN_G2))
               .orderBy(F.desc("toxic"), "word").limit(MOST_WORDS).collect())
-    words = {r["word"] for r in chosen if r["word"]}
-    samples = train.mapInArrow(_samples(words), "label int, sample binary")
+    words = [r["word"] for r in chosen if r["word"]]
+    samples = train.mapInArrow(_samples(set(words)), "label int, sample binary")
     got = samples.groupBy(F.lit(0).alias("all")).applyInPandas(_train, "ordinary binary, toxic binary").collect()
     ordinary, toxic = (bytes(got[0]["ordinary"]), bytes(got[0]["toxic"])) if got else (b"", b"")
+    toxic = with_all(toxic, words)
     held = rows.where("role").select("label", "text").mapInArrow(_features(ordinary, toxic), "label int, x array<double>").collect()
     y = np.array([r["label"] for r in held], float)
     if not 0 < y.sum() < len(y):

@@ -57,3 +57,19 @@ def test_nulls_ties_and_empty_tables(spark, docs):
     got = X.score(spark, frame, X.fit(frame, few, "toxic")).collect()
     assert len(got) == 6 and all(0 <= r.score <= 1 for r in got)
     assert X.score(spark, docs([]), X.fit(docs([]), few, "toxic")).collect() == []
+
+
+def test_rare_marks_count_at_any_sample_size(spark, docs):
+    """A word of some 1 % of the toxic documents, and of no ordinary one, is learnt from many rows too."""
+    rows = corpus(9000)
+    clean = {w: "on" for w in INSULTS}
+    rare = [(i, " ".join(clean.get(w, w) for w in t.split()) + " zounderkite" * 4 if y and i % 540 == 0 else t, y) for i, t, y in rows]
+    labels = spark.createDataFrame([(i, y) for i, _, y in rare], "doc_id long, toxic int")
+    model = X.fit(docs([(i, t) for i, t, _ in rare]), labels, "toxic")
+    assert b"zounderkite" in model.toxic
+
+
+def test_toxic_dictionary_holds_every_word():
+    words = [f"blockhead{i}mark###" for i in range(3000)] + ["é" * 500]
+    made = X.with_all(b"blockhead7mark### trained", words)
+    assert all(w[:X.WINDOW].encode() in made for w in words) and made.endswith(b"blockhead7mark### trained") and made.count(b"blockhead7mark###") == 1
