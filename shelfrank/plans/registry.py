@@ -488,6 +488,8 @@ def q_personal_feed(spark, d):
 
 @register("unseen_pairs")
 def q_unseen_pairs(spark, d):
+    """J7 on the popular candidates only (at most 8 of each category); over all pairs the mask of seen ones is
+    covered by fixed_factor_top_n and order_log_recommend."""
     c = Ctx(spark, d)
     m = c.matrix
     cats = c.user_cats.join(m.select("user_id").distinct(), "user_id", "left_semi")
