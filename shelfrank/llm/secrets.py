@@ -36,10 +36,12 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 ACCESS = 20
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")  # maximal runs: shorter ones are dropped anyway
 # Shortest encoded runs of a private key: 44 bytes (32 of the key itself, and the elements around it).
-_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{58,}={0,2}")
+# The letter of an escaped line break is none of a run's; no private key begins with it.
+_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:(?<=\\)[nr])?([A-Za-z0-9+/_-]{58,}={0,2})")
 _HEXKEY = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-f]{88,}|[0-9A-F]{88,})(?![0-9A-Za-z])")
 _JWT = re.compile(r"(?<![A-Za-z0-9_-])(e[A-Za-z0-9_-]{10,})\.(e[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
 _PEM = re.compile(r"-----BEGIN ((?:[A-Z]+ )*PRIVATE KEY)-----([^-]*)-----END \1-----")
+_ESCAPED = re.compile(r"\\+[nr]")  # line breaks in JSON and .env text
 #: Every access, hex and encoded span holds a run of so many of these characters.
 _RUN = 20
 _RUNS = np.zeros(256, bool)
@@ -145,6 +147,17 @@ def signed_token(header: str, payload: str) -> bool:
     return isinstance(found[0], dict) and isinstance(found[0].get("alg"), str) and isinstance(found[1], dict)
 
 
+def signed_tokens(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of signed tokens; where three segments are none, the search goes on at the next segment."""
+    at = 0
+    while m := _JWT.search(text, at):
+        if signed_token(m[1], m[2]):
+            yield m.start(), m.end()
+            at = m.end()
+        else:
+            at = m.start(2)
+
+
 def scan(text: str, runs: bool = True) -> list[tuple[str, int, int]]:
     """All spans of a text as (kind, start, end), code points, end exclusive, by start and then kind.
 
@@ -158,16 +171,16 @@ def scan(text: str, runs: bool = True) -> list[tuple[str, int, int]]:
             out += [("access", m.start(), m.end()) for m in _ACCESS.finditer(text) if m.end() - m.start() >= ACCESS]
         out += [("hex", m.start(), m.end()) for m in _HEX.finditer(text)]
         if "." in text:
-            out += [("jwt", m.start(), m.end()) for m in _JWT.finditer(text) if signed_token(m[1], m[2])]
+            out += [("jwt", a, b) for a, b in signed_tokens(text)]
         for m in _BASE64.finditer(text):
-            raw = decode64(m[0])
+            raw = decode64(m[1])
             if raw is not None:
-                out += [("der", m.start(), m.end())] * private_key(raw) + [("openssh", m.start(), m.end())] * openssh_key(raw)
+                out += [("der", m.start(1), m.end())] * private_key(raw) + [("openssh", m.start(1), m.end())] * openssh_key(raw)
         out += [("der", m.start(), m.end()) for m in _HEXKEY.finditer(text)
                 if (m.end() - m.start()) % 2 == 0 and private_key(bytes.fromhex(m[0]))]
         if "-----BEGIN " in text:
             for m in _PEM.finditer(text):
-                raw = decode64("".join(m[2].split()))
+                raw = decode64("".join(_ESCAPED.sub("", m[2]).split()))
                 if raw is not None and (private_key(raw) or openssh_key(raw)):
                     out.append(("pem", m.start(), m.end()))
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))

@@ -50,6 +50,20 @@ def test_structures_are_confirmed():
     assert kinds(f"see {token} there") == ["jwt"]
 
 
+def test_escaped_key_blocks_and_tokens_behind_a_failed_one():
+    for raw, kind in ((RSA, "der"), (PKCS8, "der"), (SSH, "openssh")):
+        for line in ("\\n", "\\r\\n", "\\\\n"):
+            body = line.join(re.findall(".{1,64}", b64(raw)))
+            pem = f"-----BEGIN PRIVATE KEY-----{line}{body}{line}-----END PRIVATE KEY-----"
+            text = f'{{"private_key": "{pem}{line}"}}'
+            assert [text[a:b] for k, a, b in S.scan(text) if k == "pem"] == [pem]
+            one = f"x{line}{b64(raw)}{line}y"
+            assert [(k, one[a:b]) for k, a, b in S.scan(one) if k in ("der", "openssh")] == [(kind, b64(raw))]
+    token = f"{url({'alg': 'HS256'})}.{url({'sub': 'x'})}.c2lnbmF0dXJl"
+    for text in (f"example-service.{token} x", f"example-service.elsewhere.{token}", f"{token} example-service.{token}"):
+        assert [text[a:b] for k, a, b in S.scan(text) if k == "jwt"] == [token] * text.count(token)
+
+
 def test_wrong_structures_are_not():
     rnd = random.Random(1)
     for raw in (RSA[:-1], RSA + b"\0", PKCS8[:-2], SSH[:-1], SSH + b"x", bytes(rnd.randrange(256) for _ in range(200)),
