@@ -7,7 +7,7 @@ on 32 bits, so no table is kept. Bands of the signature give buckets; links are
 
 Work on a bucket does not grow with the square of its size in emitted rows:
 
-1. documents with equal sets form one class, its node is their smallest doc_id;
+1. documents with equal sets form one class, which is one node; its doc is their smallest doc_id;
 2. every node of a bucket is compared with the bucket's smallest node (its center): one distinct pair
    for each (center, node), whatever number of bands they share;
 3. buckets in which some node is not linked to the center are finished exactly: blocks of nodes are
@@ -119,7 +119,9 @@ def _set_bytes(size: int, wanted):
         batch = batch.filter(pa.array(passes(wanted.value, batch.column("slot").to_numpy())))
         values, bounds = sets(batch.column("text"), size)
         blobs = [values[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(blobs, pa.binary())], names=["node", "shingles"])
+        digests = [hashlib.blake2b(blob, digest_size=16).digest() for blob in blobs]
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(digests, pa.binary()), pa.array(blobs, pa.binary())],
+                                          names=["doc", "set_key", "shingles"])
     return per_batch(one)
 
 
@@ -135,22 +137,24 @@ def _with_center(percent: int):
     """Rows sorted by (center, share, is_member): the center's set comes first, then members stream by."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (center, _), parts in groups(batches, ["center", "share"]):
-            mine = None
+            mine = own = None
             for part in parts:
-                nodes, found = [], []
-                for node, blob in zip(part.column("node").to_pylist(), part.column("shingles")):
+                nodes, docs, found = [], [], []
+                for node, doc, blob in zip(part.column("node").to_pylist(), part.column("doc").to_pylist(), part.column("shingles")):
                     other = _array(blob)
                     if mine is None:
-                        mine = other
+                        mine, own = other, doc
                         continue
                     at = np.searchsorted(mine, other)
                     at[at == len(mine)] = 0
                     common = int(np.count_nonzero(mine[at] == other))
                     nodes.append(node)
+                    docs.append(doc)
                     found.append(bool(linked(common, len(mine), len(other), percent)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([center] * len(nodes), pa.int64()), pa.array(nodes, pa.int64()), pa.array(found, pa.bool_())],
-                    names=["center", "node", "linked"])
+                    [pa.array([center] * len(nodes), pa.int64()), pa.array(nodes, pa.int64()), pa.array(found, pa.bool_()),
+                     pa.array([own] * len(nodes), pa.int64()), pa.array(docs, pa.int64())],
+                    names=["center", "node", "linked", "a", "b"])
     return run
 
 
@@ -202,7 +206,9 @@ def _block_links(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (_, i, j), parts in groups(batches, ["bucket", "i", "j"]):
             side: dict[int, list[tuple[int, bool, np.ndarray]]] = {i: [], j: []}
+            docs: dict[int, int] = {}
             for part in parts:
+                docs.update(zip(part.column("node").to_pylist(), part.column("doc").to_pylist()))
                 for block, node, seed, blob in zip(part.column("block").to_pylist(), part.column("node").to_pylist(),
                                                    part.column("seed").to_pylist(), part.column("shingles")):
                     side[block].append((node, seed, _array(blob).copy()))
@@ -217,7 +223,7 @@ def _block_links(percent: int):
             known = {x[0] for x in left + right if x[1]}
             edges = forest([x[0] for x in left], [x[0] for x in right], known, np.argwhere(good))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([e[0] for e in edges], pa.int64()), pa.array([e[1] for e in edges], pa.int64())], names=["a", "b"])
+                [pa.array([docs[e[0]] for e in edges], pa.int64()), pa.array([docs[e[1]] for e in edges], pa.int64())], names=["a", "b"])
     return run
 
 
@@ -236,34 +242,38 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, bands: int = BANDS, ro
         _sketch(size, bands, rows), "doc_id long, n_shingles long, set_key binary, buckets array<long>"), "sketch")
 
     known = sketch.where("doc_id is not null and set_key is not null")
-    classes = scratch.table(known.groupBy("set_key").agg(F.min("doc_id").alias("node")), "classes")
-    reps = known.join(classes, "set_key").where("doc_id = node").select("node", "n_shingles", "buckets").dropDuplicates(["node"])
+    # Classes may share their smallest doc_id, so the node is a number of the stored class.
+    classes = scratch.table(known.groupBy("set_key").agg(F.min("doc_id").alias("doc")).withColumn(
+        "node", F.monotonically_increasing_id()), "classes")
+    reps = known.join(classes, "set_key").where("doc_id = doc").select("node", "n_shingles", "buckets").dropDuplicates(["node"])
     buckets = reps.select("node", "n_shingles", F.explode("buckets").alias("bucket"))
     # Aggregates that are joined back are stored first: Spark splits a hot key of a join only between plain inputs.
     heads = scratch.table(buckets.groupBy("bucket").agg(F.min("node").alias("center"), F.count("*").alias("n")).where("n > 1"), "heads")
     hits = scratch.table(buckets.join(heads, "bucket"), "hits")
 
     pairs = scratch.table(hits.where("node <> center").select("center", "node").distinct(), "pairs")
-    wanted = pairs.select("node").union(pairs.select(F.col("center").alias("node"))).distinct()
+    wanted = scratch.table(pairs.select("node").union(pairs.select(F.col("center").alias("node"))).distinct().join(
+        classes, "node").select("node", "doc", "set_key"), "wanted")
     # The filter keeps the texts of other documents out of the shuffle; the join drops what it lets by.
-    bits = spark.sparkContext.broadcast(key_filter(wanted, "node"))
+    bits = spark.sparkContext.broadcast(key_filter(wanted, "doc"))
     some = base.where("doc_id is not null").withColumn("slot", filter_slot(F.col("doc_id"))).mapInArrow(
-        _set_bytes(size, bits), "node long, shingles binary")
-    shingle_sets = scratch.table(some.join(wanted, "node", "left_semi").where("length(shingles) > 0").distinct(), "sets")
+        _set_bytes(size, bits), "doc long, set_key binary, shingles binary")
+    shingle_sets = scratch.table(some.join(wanted, ["doc", "set_key"]).where("length(shingles) > 0").select(
+        "node", "doc", "shingles").distinct(), "sets")
 
     shares = pairs.groupBy("center").agg(F.ceil(F.count("*") / F.lit(CENTER_SHARE)).cast("int").alias("shares"))
     members = pairs.join(shares, "center").select(
         "center", F.pmod(F.xxhash64("node"), "shares").cast("int").alias("share"), "node").join(shingle_sets, "node")
     centers = shares.join(shingle_sets, shares.center == shingle_sets.node).select(
-        "center", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), "node", "shingles")
+        "center", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), "node", "doc", "shingles")
     checked = scratch.table(
-        members.select("center", "share", "node", "shingles").withColumn("member", F.lit(1))
+        members.select("center", "share", "node", "doc", "shingles").withColumn("member", F.lit(1))
         .union(centers.withColumn("member", F.lit(0)))
         .repartition("center", "share").sortWithinPartitions("center", "share", "member")
-        .select("center", "share", "node", "shingles")
-        .mapInArrow(_with_center(percent), "center long, node long, linked boolean"), "checked")
+        .select("center", "share", "node", "doc", "shingles")
+        .mapInArrow(_with_center(percent), "center long, node long, linked boolean, a long, b long"), "checked")
 
-    seeded = scratch.table(hits.join(checked, ["center", "node"], "left").where("n > 2").select(
+    seeded = scratch.table(hits.join(checked.select("center", "node", "linked"), ["center", "node"], "left").where("n > 2").select(
         "bucket", "node", "n_shingles", F.coalesce("linked", F.lit(True)).alias("seed")), "seeded")  # a center itself has no pair
     size_of = F.ceil(F.sum(F.col("n_shingles") * 8) / F.lit(BLOCK_BYTES))
     blocks = scratch.table(seeded.groupBy("bucket").agg(
@@ -274,18 +284,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, bands: int = BANDS, ro
     units = placed.select("bucket", "node", "seed", "block", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("other")).select(
         "bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "seed")
     late = units.join(shingle_sets, "node").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").select(
-        "bucket", "i", "j", "block", "node", "seed", "shingles").mapInArrow(_block_links(percent), "a long, b long")
+        "bucket", "i", "j", "block", "node", "seed", "doc", "shingles").mapInArrow(_block_links(percent), "a long, b long")
 
     # Rows that share a doc_id but not their text are one document: their classes are linked.
-    owned = known.join(classes, "set_key").select("doc_id", "node").distinct()
-    split_ids = owned.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z")
-    same_id = owned.join(split_ids, "doc_id").select("a", F.col("node").alias("b")).where("a <> b")
-    edges = scratch.table(checked.where("linked").select(F.col("center").alias("a"), F.col("node").alias("b"))
-                          .union(late).union(same_id).distinct(), "links")
-    parts = components(scratch, edges)
-    ids = scratch.table(classes.join(parts, "node", "left").select(
-        "set_key", F.coalesce("component", "node").alias("component")), "class-components")
-    scratch.drop("classes", "heads", "hits", "pairs", "sets", "checked", "seeded", "blocks", "links")
+    owned = known.join(classes, "set_key").select("doc_id", "doc").distinct()
+    split_ids = owned.groupBy("doc_id").agg(F.min("doc").alias("a"), F.max("doc").alias("z")).where("a <> z")
+    same_id = owned.join(split_ids, "doc_id").select("a", F.col("doc").alias("b")).where("a <> b")
+    edges = scratch.table(checked.where("linked").select("a", "b").union(late).union(same_id).where("a <> b").distinct(), "links")
+    parts = components(scratch, edges).withColumnRenamed("node", "doc")
+    ids = scratch.table(classes.join(parts, "doc", "left").select(
+        "set_key", F.coalesce("component", "doc").alias("component")), "class-components")
+    scratch.drop("classes", "heads", "hits", "pairs", "wanted", "sets", "checked", "seeded", "blocks", "links")
     rows = sketch.join(ids, "set_key", "left").select(
         "doc_id", "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))

@@ -75,6 +75,17 @@ def test_nulls_short_long_ties_empty(spark, docs):
     assert N.near_duplicates(spark, docs([])).collect() == []
 
 
+def test_texts_that_share_a_doc_id_keep_all_their_near_copies(spark, docs):
+    rnd = random.Random(6)
+    rows = []
+    for i in range(20):
+        for k in range(3):  # three texts under one doc_id, a near copy of each under its own
+            base = [f"w{rnd.randrange(5000)}" for _ in range(200)]
+            rows += [(i, " ".join(base)), (100 * (k + 1) + i, " ".join(edited(rnd, base, 1)))]
+    check(spark, docs(rows), rows)
+    assert sum(keep for _, _, _, keep in brute(rows)) == 60  # the 60 rows of the 20 shared doc_ids
+
+
 def test_signature_estimates_similarity():
     rnd = np.random.default_rng(1)
     x = rnd.integers(0, 2**63, 1000).astype(np.uint64)
