@@ -88,9 +88,30 @@ SELECT page_id, payload_bytes, p.payload_digest, CASE WHEN page_id <> first THEN
 FROM payloads p LEFT JOIN firsts f ON f.payload_digest = p.payload_digest
 """
 
+OP11 = """
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS other_id, a.label = r.label AS same, list_inner_product(a.v, r.v)::BIGINT AS score
+  FROM usable a JOIN usable r ON a.vec_id <> r.vec_id WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+negatives AS (
+  SELECT p.anchor_id, p.positive_id, s.other_id AS negative_id, p.positive_score, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id)::INTEGER AS rank
+  FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND NOT s.same
+  WHERE 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 3
+"""
+
 ORACLE: dict[str, str] = {
     "op3_decontaminate": OP3,
     "op5_url_filter": OP5,
     "op6_near_duplicates": OP6,
     "op7_warc": OP7,
+    "op11_hard_negatives": OP11,
 }

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfrank.llm import bpe, decontaminate, fingerprint, language, near_dup, quality, secrets, toxicity, url_filter, warc
+from shelfrank.llm import bpe, decontaminate, fingerprint, hard_negatives, language, near_dup, quality, secrets, toxicity, url_filter, warc
 from shelfrank.llm.oracle_sql import ORACLE
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,6 +92,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(spark, docs, model).select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
 
 
+@register("op11_hard_negatives")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(spark, rows, F.col("vec_id") % 50 == 0)
+
+
 @register("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
