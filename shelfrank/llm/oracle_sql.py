@@ -108,10 +108,35 @@ negatives AS (
 SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 3
 """
 
+OP12 = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM pieces),
+totals AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM words GROUP BY lang),
+grams AS (
+  SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM words, range(1, 6) sizes(k) WHERE len(ws) >= k)),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+cuts AS (
+  SELECT lang, phrase, f AS a, c AS cut, array_to_string(ws[1:c], ' ') AS first, array_to_string(ws[c + 1:], ' ') AS rest
+  FROM (SELECT lang, phrase, f, string_split(phrase, ' ') AS ws, unnest(range(1, k)) AS c FROM f WHERE k > 1)),
+scored AS (
+  SELECT c.lang, c.phrase, a, cut, x.f AS l, y.f AS r, n, ((1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = c.first JOIN f y ON y.lang = c.lang AND y.phrase = c.rest JOIN totals t ON t.lang = c.lang),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+left_over AS (
+  SELECT * FROM lowest p WHERE NOT EXISTS (
+    SELECT 1 FROM f q WHERE q.lang = p.lang AND 100 * q.f >= 100 * p.a AND len(q.phrase) > len(p.phrase) AND contains(' ' || q.phrase || ' ', ' ' || p.phrase || ' '))),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM left_over)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
+
 ORACLE: dict[str, str] = {
     "op3_decontaminate": OP3,
     "op5_url_filter": OP5,
     "op6_near_duplicates": OP6,
     "op7_warc": OP7,
     "op11_hard_negatives": OP11,
+    "op12_collocations": OP12,
 }

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfrank.llm import bpe, decontaminate, fingerprint, hard_negatives, language, near_dup, quality, repeats, secrets, toxicity, url_filter, warc
+from shelfrank.llm import bpe, collocations, decontaminate, fingerprint, hard_negatives, language, near_dup, quality, repeats, secrets, toxicity, url_filter, warc
 from shelfrank.llm.oracle_sql import ORACLE
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,6 +99,11 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(spark, rows, F.col("vec_id") % 50 == 0)
 
 
+@register("op12_collocations")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.phrases(spark, table(spark, sf_dir, "documents").select("text", "lang"))
+
+
 @register("op13_repeated_passages")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.report(repeats.without_repeats(spark, table(spark, sf_dir, "documents").select("doc_id", "text")))
