@@ -737,16 +737,15 @@ def q_stream_popular_by_category(spark, d):
     root = runner.run_root(spark, "popular")
     hook = refresh.PopularRefresher(spark, Ctx(spark, d).products, root)
     scores, users = refresh.popularity_streams(td.state_events(runner.events_stream(spark, d, "events.parquet")))
-    runner.run_available_with([("scores", scores, hook.hook("scores"), "complete"),
-                               ("users", users, hook.hook("users"), "complete")], root)
+    runner.run_available_with([("scores", scores, hook.hook("scores"), "update"),
+                               ("users", users, hook.hook("users"), "update")], root)
     return refresh.current(spark, f"{root}/popular")
 
 
 @register("stream_hourly_sessions")
 def q_stream_hourly_sessions(spark, d):
-    root = runner.run_root(spark, "hourly")
-    runner.run_available(refresh.hourly_stream(td.state_events(runner.events_stream(spark, d, "events.parquet"))), root)
-    return refresh.latest_windows(spark.read.parquet(f"{root}/out"))
+    events = td.state_events(runner.events_stream(spark, d, "events.parquet"))
+    return refresh.run_hourly(events, runner.run_root(spark, "hourly"))
 
 
 @register("stream_personal_feed")

@@ -1,10 +1,12 @@
 """Streams that keep batch results current (ST6, ST7, ST8).
 
 * ``popularity_streams`` (ST8): clean interactions (deduplicated within the watermark) summed per
-  product, and distinct users per product, both of the same clean stream and in complete mode; after
-  each batch the popular lists (A8 + W1) are rebuilt from the two product tables. Which duplicate the
-  dedup keeps does not matter: all copies of a key carry the same score.
-* ``hourly_stream`` (ST6): one-hour tumbling windows per user with a watermark, update mode.
+  product, and distinct users per product, both of the same clean stream. Each batch hands over the
+  products that it touched and no others; ``PopularRefresher`` merges them into the popular lists (A8 + W1). Which
+  duplicate the dedup keeps does not matter here: all copies of a key have one type, so one score.
+* ``run_hourly`` (ST6): one-hour windows per user. Here it does matter which copy counts, and the earliest may
+  come last: the dedup keeps the earliest (ts, event_id) of each key as state and, when a better copy comes, takes the old
+  one back (-1 in its window, +1 in the new one). A second keyed sum applies these changes.
 * ``FeedRefresher`` (ST7): a ``foreachBatch`` hook that recomputes the personal feed of the users a
   batch touched, from their streamed state and the static similar / complementary / popular lists.
 
@@ -15,37 +17,46 @@ written to a folder of its own version, and readers take the last one that is co
 
 from __future__ import annotations
 
+import json
 import threading
+from collections import Counter
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from shelfrank.functions.columns import ntz_from_micros, session_key
+from shelfrank.functions.columns import interaction_weight, ntz_from_micros, session_key
 from shelfrank.operators import catalog, feed
+from shelfrank.streaming import runner
 from shelfrank.streaming.user_state import LATENESS, history_rows
 
 DEDUP_KEY = ["user_id", "product_id", "interaction_type", "session_id"]
+HOUR_US = 3_600_000_000
+
+
+def _interactions(events: DataFrame, watermark: str) -> DataFrame:
+    se = events.filter((F.col("kind") == "interaction") & F.col("user_id").isNotNull() & F.col("product_id").isNotNull())
+    return se.withWatermark("ts", watermark)
 
 
 def clean_interaction_stream(events: DataFrame, watermark: str = LATENESS) -> DataFrame:
-    se = events.filter((F.col("kind") == "interaction") & F.col("product_id").isNotNull())
-    score = (F.when(F.col("interaction_type") == "view", 1).when(F.col("interaction_type") == "click", 2)
-             .when(F.col("interaction_type") == "add_to_cart", 3).otherwise(5))
-    return (se.withColumn("interaction_score", score).withWatermark("ts", watermark)
-            .dropDuplicatesWithinWatermark(DEDUP_KEY))
+    """The interactions with their score (P17; an unknown type has none), one of each dedup key."""
+    scored = _interactions(events, watermark).withColumn("interaction_score", interaction_weight())
+    return scored.dropDuplicatesWithinWatermark(DEDUP_KEY)
 
 
 def popularity_streams(events: DataFrame, watermark: str = LATENESS) -> tuple[DataFrame, DataFrame]:
-    """Two product-level streaming aggregations (run in complete mode) over the same clean stream:
+    """Two product-level streaming aggregations (run in update mode) over the same clean stream:
 
     * scores: per product the summed score and count of the clean interactions;
     * users: per product the number of distinct users (first occurrences of (product, user)).
 
     State: one row per product, the clean-dedup keys within the watermark, and the (product, user) pairs
     seen. The pairs are what an exact distinct count needs: they are at most the non-zero cells of the
-    user-product matrix, spread over the state partitions. Each batch hands over the whole product
-    table, so the refresh never reads history."""
+    user-product matrix, spread over the state partitions. Each batch hands over the rows of the products that it touched."""
     clean = clean_interaction_stream(events, watermark)
     scores = clean.groupBy("product_id").agg(F.sum("interaction_score").cast("bigint").alias("popularity_score"),
                                              F.count("*").alias("total_interactions"))
@@ -65,51 +76,146 @@ def current(spark: SparkSession, path: str, column: str = "version") -> DataFram
     return None if last is None else rows.filter(F.col(column) == last).drop(column)
 
 
+def last_version(spark: SparkSession, path: str, column: str = "version") -> int | None:
+    """The highest ``column=N`` below ``path``, or None."""
+    try:
+        return spark.read.parquet(path).agg(F.max(column)).first()[0]
+    except AnalysisException:
+        return None
+
+
+class Totals:
+    """The latest row of each product from batches that hold the touched products only.
+
+    ``<path>/rows/batch_id=N`` has the rows of batch N, and every ``every`` batches the latest rows of all
+    products go to ``<path>/base/upto=N``; a reader takes the last base and the batches after it."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: str, every: int = 64):
+        self.spark, self.path, self.schema, self.every = spark, path, schema, every
+
+    def write(self, rows: DataFrame, batch_id: int) -> DataFrame:
+        """Store a batch (a repeated one replaces itself), and return its rows as stored."""
+        path = f"{self.path}/rows/batch_id={batch_id}"
+        rows.write.mode("overwrite").parquet(path)
+        if batch_id % self.every == self.every - 1:
+            self.latest().write.mode("overwrite").parquet(f"{self.path}/base/upto={batch_id}")
+        return self.spark.read.schema(self.schema).parquet(path)
+
+    def latest(self) -> DataFrame:
+        upto = last_version(self.spark, f"{self.path}/base", "upto")
+        names = [c.split()[0] for c in self.schema.split(", ")]
+        rows = self.spark.createDataFrame([], f"{self.schema}, batch_id long")
+        try:
+            batches = self.spark.read.parquet(f"{self.path}/rows").select(*names, F.col("batch_id").cast("long").alias("batch_id"))
+            rows = batches if upto is None else batches.filter(F.col("batch_id") > upto)
+        except AnalysisException:
+            pass
+        if upto is not None:
+            base = self.spark.read.parquet(f"{self.path}/base").filter(F.col("upto") == upto)
+            rows = rows.unionByName(base.select(*names, F.col("upto").cast("long").alias("batch_id")))
+        last = F.max_by(F.struct(*names), "batch_id").alias("r")
+        return rows.groupBy("product_id").agg(last).select("r.*")
+
+
 class PopularRefresher:
-    """foreachBatch hooks of the two popularity streams: each writes its product table as a new version,
-    then the popular lists (A8 + W1) are rebuilt from the last versions of both (one row per product
-    each), also as a new version. After a restart everything is found again in the folders."""
+    """foreachBatch hooks of the two popularity streams. A hook stores the rows of the products that the batch touched
+    and merges them into the lists: the new top of a category is among its listed products and the touched ones,
+    unless a listed product has fallen below its own score; only then is its category ranked anew from all
+    totals. Each change is a new version of the lists; after a restart everything is found again in the folders."""
 
     def __init__(self, spark: SparkSession, products: DataFrame, root: str):
         self.spark, self.products, self.root = spark, products, root
-        # Both streams call back on the driver, each from its own thread; one at a time rebuilds the lists.
+        self.totals = {"scores": Totals(spark, f"{root}/scores", "product_id long, popularity_score long, total_interactions long"),
+                       "users": Totals(spark, f"{root}/users", "product_id long, unique_users long")}
+        # Both streams call back on the driver, each from its own thread; one at a time merges into the lists.
         self.lock = threading.Lock()
 
     def hook(self, name: str):
         def write(batch_df: DataFrame, batch_id: int) -> None:
-            batch_df.write.mode("overwrite").parquet(f"{self.root}/{name}/version={batch_id}")
             with self.lock:
-                self.refresh()
+                self.merge(self.totals[name].write(batch_df, batch_id).select("product_id"))
         return write
 
-    def refresh(self) -> None:
-        scores, users = current(self.spark, f"{self.root}/scores"), current(self.spark, f"{self.root}/users")
-        if scores is None or users is None:
-            return
+    def merge(self, touched: DataFrame) -> None:
+        path = f"{self.root}/popular"
+        last = last_version(self.spark, path)
+        scores = self.totals["scores"].latest()
+        if last is not None:
+            listed = self.spark.read.parquet(path).filter(F.col("version") == last)
+            before = listed.select("product_id", "category", F.col("popularity_score").alias("before"))
+            fallen = scores.join(before, "product_id").filter(F.coalesce("popularity_score", F.lit(0)) < F.coalesce("before", F.lit(0)))
+            again = self.products.join(fallen.select("category").distinct(), "category", "left_semi").select("product_id")
+            asked = listed.select("product_id").union(touched).union(again).distinct()
+            scores = scores.join(asked, "product_id", "left_semi")
+        users = self.totals["users"].latest()
         popularity = scores.join(users, "product_id", "left").fillna(0, subset=["unique_users"])
-        popular = catalog.rank_popular(popularity.select("product_id", "popularity_score", "total_interactions",
-                                                         "unique_users"), self.products)
-        try:
-            last = self.spark.read.parquet(f"{self.root}/popular").agg(F.max("version")).first()[0]
-        except AnalysisException:
-            last = None
-        popular.write.mode("overwrite").parquet(f"{self.root}/popular/version={0 if last is None else last + 1}")
+        popular = catalog.rank_popular(popularity.select("product_id", "popularity_score", "total_interactions", "unique_users"), self.products)
+        popular.write.mode("overwrite").parquet(f"{path}/version={0 if last is None else last + 1}")
 
 
-def hourly_stream(events: DataFrame, watermark: str = LATENESS) -> DataFrame:
-    """ST6: events per user and one-hour window, with the hour's session key. The watermark of the
-    cleaning step (one stream may define one) bounds the window state; update mode emits changed windows."""
-    clean = clean_interaction_stream(events, watermark)
-    g = clean.groupBy("user_id", F.window("ts", "1 hour").alias("w")).agg(F.count("*").alias("n_events"))
-    start = ntz_from_micros(F.unix_micros(F.col("w.start")))
-    return g.select("user_id", start.alias("window_start"), "n_events",
-                    session_key("user_id", start).alias("hour_session_id"))
+CHANGES = "user_id long, window_us long, delta long"
+
+
+def _delay_ms(watermark: str) -> int:
+    return int(pd.Timedelta(watermark).total_seconds() * 1000)
+
+
+def _first_copies(watermark: str):
+    """State of a (user, session): for each product and type the earliest (ts, event_id). A session goes once the watermark has
+    passed its last event by the delay: copies that come later than that count again, as in the stateful dedup."""
+    def update(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        firsts, top = json.loads(state.get[0]) if state.exists else ({}, 0)
+        changes: Counter = Counter()
+        for rows in chunks:
+            for product, kind, ts, event in zip(*(rows[c].tolist() for c in ("product_id", "interaction_type", "ts_us", "event_id"))):
+                place, new = f"{int(product)}|{kind}", [int(ts), int(event)]
+                old = firsts.get(place)
+                if old is None or new < old:
+                    firsts[place] = new
+                    changes[new[0] // HOUR_US] += 1
+                    if old is not None:
+                        changes[old[0] // HOUR_US] -= 1
+                top = max(top, new[0])
+        state.update((json.dumps((firsts, top)),))
+        state.setTimeoutTimestamp(max(top // 1000, state.getCurrentWatermarkMs()) + _delay_ms(watermark) + 1)
+        out = [(key[0], hour * HOUR_US, n) for hour, n in changes.items() if n]
+        yield pd.DataFrame(out, columns=["user_id", "window_us", "delta"])
+    return update
+
+
+def window_changes(events: DataFrame, watermark: str = LATENESS) -> DataFrame:
+    """Changes (+1, -1) of the hourly windows of each user, from a dedup that takes back what an earlier copy replaces."""
+    rows = _interactions(events, watermark).select("ts", "user_id", "session_id", "product_id", "interaction_type", "ts_us", "event_id")
+    return rows.groupBy("user_id", "session_id").applyInPandasWithState(_first_copies(watermark), CHANGES, "blob string", "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def window_counts(changes: DataFrame, watermark: str = LATENESS) -> DataFrame:
+    """ST6: events per user and one-hour window, with the hour's session key, from a stream of changes. No change lies further
+    back than the delay of its own watermark and an hour, so none is late here. Update mode emits changed windows."""
+    delay = f"{_delay_ms(watermark) // 1000 + 7200} seconds"
+    w = changes.withColumn("w", F.timestamp_micros("window_us")).withWatermark("w", delay)
+    g = w.groupBy("user_id", "w", "window_us").agg(F.sum("delta").alias("n_events"))
+    start = ntz_from_micros(F.col("window_us"))
+    return g.select("user_id", start.alias("window_start"), "n_events", session_key("user_id", start).alias("hour_session_id"))
+
+
+def run_hourly(events: DataFrame, root: str, watermark: str = LATENESS) -> DataFrame:
+    """Both steps over the events available now, and the windows. The changes go through a file sink, whose log of committed
+    batches lets the second query read each exactly once, also after a restart."""
+    runner.run_to_files(window_changes(events, watermark), root, "changes")
+    changes = events.sparkSession.readStream.schema(CHANGES).parquet(f"{root}/changes")
+    runner.run_available(window_counts(changes, watermark), f"{root}/windows")
+    return latest_windows(events.sparkSession.read.parquet(f"{root}/windows/out"))
 
 
 def latest_windows(rows: DataFrame) -> DataFrame:
+    """The last row of each window; windows that have lost all their events are none."""
     return (rows.groupBy("user_id", "window_start")
             .agg(F.max_by(F.struct("n_events", "hour_session_id"), "batch_id").alias("r"))
-            .select("user_id", "window_start", "r.*"))
+            .select("user_id", "window_start", "r.*").filter("n_events > 0"))
 
 
 class FeedRefresher:

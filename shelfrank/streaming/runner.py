@@ -29,9 +29,16 @@ def events_stream(spark: SparkSession, folder: str, pattern: str = "events*.parq
     return r.parquet(folder)
 
 
-def _dropped(query) -> int:
-    """Rows that the stateful operators of a finished query dropped behind the watermark."""
-    return sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for op in p.get("stateOperators", []))
+def _late_rows(query) -> int:
+    """Wait for a query; the rows that its stateful operators dropped behind the watermark. Progress is read while
+    the query runs, as Spark keeps that of the last batches only."""
+    dropped: dict[int, int] = {}
+    while True:
+        ended = query.awaitTermination(1)
+        for p in query.recentProgress:
+            dropped[p["batchId"]] = max(dropped.get(p["batchId"], 0), sum(op.get("numRowsDroppedByWatermark", 0) for op in p.get("stateOperators", [])))
+        if ended:
+            return sum(dropped.values())
 
 
 def _note_late(spark: SparkSession, root: str, name: str, rows: int) -> None:
@@ -52,10 +59,7 @@ def run_available(stream: DataFrame, root: str, on_batch=None, output_mode: str
         if on_batch is not None:
             on_batch(spark.read.schema(df.schema).parquet(f"{out}/batch_id={batch_id}"), batch_id)
 
-    q = (stream.writeStream.outputMode(output_mode).foreachBatch(write)
-         .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
-    q.awaitTermination()
-    _note_late(spark, root, "out", _dropped(q))
+    run_available_with([("out", stream, write, output_mode)], root)
 
 
 def run_available_with(streams: list, root: str) -> None:
@@ -67,5 +71,12 @@ def run_available_with(streams: list, root: str) -> None:
                         .option("checkpointLocation", f"{root}/checkpoint-{name}")
                         .trigger(availableNow=True).start()))
     for name, spark, q in queries:
-        q.awaitTermination()
-        _note_late(spark, root, name, _dropped(q))
+        _note_late(spark, root, name, _late_rows(q))
+
+
+def run_to_files(stream: DataFrame, root: str, name: str) -> None:
+    """Append a stream's rows, available now, to Parquet files below <root>/<name>: another stream that reads the folder
+    sees the files of committed batches, each once."""
+    q = (stream.writeStream.outputMode("append").format("parquet").option("path", f"{root}/{name}")
+         .option("checkpointLocation", f"{root}/checkpoint-{name}").trigger(availableNow=True).start())
+    _note_late(stream.sparkSession, root, name, _late_rows(q))

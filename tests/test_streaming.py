@@ -11,11 +11,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001, SF01
-from shelfrank.operators import clean, feed
+from shelfrank.operators import catalog, clean, feed, state
 from shelfrank.plans import registry as R
 from shelfrank.sources import files
 from shelfrank.sources import testdata as td
-from shelfrank.streaming import runner
+from shelfrank.streaming import refresh, runner
 from shelfrank.streaming import user_state as us
 
 
@@ -83,6 +83,83 @@ def test_state_does_not_depend_on_order_or_chunks(spark, monkeypatch, order, chu
     assert snap.agg(F.sum("late_events")).first()[0] == 0
 
 
+@pytest.mark.parametrize("order", ["oldest", "newest", "random"])
+def test_hourly_and_popularity_streams_in_any_order(spark, monkeypatch, order):
+    """The earliest copy of a dedup key counts, whenever it comes; scores and users do not depend on the order either."""
+    events = doubled(spark.read.parquet(f"{SF001}/events.parquet"))
+    flat = split_files(spark, events, 4, order)
+    monkeypatch.setattr(td, "_read", lambda s, d, name: events if name == "events" else s.read.parquet(f"{d}/{name}.parquet"))
+    c = R.Ctx(spark, SF001)
+    stream = lambda: td.state_events(runner.events_stream(spark, flat, "events-*.parquet", 1))
+    root = runner.run_root(spark, "hourly-order")
+    assert same_rows(refresh.run_hourly(stream(), root), state.hourly_sessions(c.log))
+    late = spark.read.parquet(f"{root}/late").union(spark.read.parquet(f"{root}/windows/late"))
+    assert late.agg(F.sum("late_rows")).first()[0] == 0
+    if order != "oldest":  # something was taken back
+        assert spark.read.parquet(f"{root}/changes").filter("delta < 0").count() > 0
+    root = runner.run_root(spark, "popular-order")
+    hook = refresh.PopularRefresher(spark, c.products, root)
+    scores, users = refresh.popularity_streams(stream())
+    runner.run_available_with([("scores", scores, hook.hook("scores"), "update"), ("users", users, hook.hook("users"), "update")], root)
+    assert same_rows(refresh.current(spark, f"{root}/popular"), c.popular)
+
+
+def test_unknown_types_have_no_score(spark):
+    rows = [("interaction", 1, 7, "like", "s"), ("interaction", 1, 7, "view", "s"), ("interaction", 2, 7, "typo", "s"), ("interaction", 2, 8, "typo", "s")]
+    folder = tempfile.mkdtemp(prefix="types-", dir="/tmp")
+    df = spark.createDataFrame(rows, "kind string, user_id long, product_id long, interaction_type string, session_id string")
+    df.withColumn("ts", F.timestamp_seconds(F.lit(1_700_000_000))).write.parquet(f"{folder}/e")
+    stream = spark.readStream.schema(spark.read.parquet(f"{folder}/e").schema).parquet(f"{folder}/e")
+    root = runner.run_root(spark, "types")
+    runner.run_available(refresh.popularity_streams(stream)[0], root)
+    got = {tuple(r) for r in spark.read.parquet(f"{root}/out").select("product_id", "popularity_score", "total_interactions").collect()}
+    assert got == {(7, 1, 3), (8, None, 1)}
+
+
+def totals(spark, rows):
+    return spark.createDataFrame(rows, "product_id long, popularity_score long, total_interactions long")
+
+
+def test_popular_lists_are_merged_from_touched_products(spark):
+    products = spark.createDataFrame([(i, f"p{i}", "AB"[i % 2], "b", 1.0, 4.0) for i in range(60)],
+                                     "product_id long, product_name string, category string, brand string, price double, avg_rating double")
+    root = runner.run_root(spark, "merge")
+    hook = refresh.PopularRefresher(spark, products, root)
+    hook.totals["scores"].every = 3  # a base is written on the way
+    write, known = hook.hook("scores"), {}
+    rnd = random.Random(2)
+    for batch in range(7):
+        ids = range(60) if batch == 0 else rnd.sample(range(60), 5)
+        for i in ids:  # sometimes a listed product falls: its category is ranked anew
+            known[i] = (i, known.get(i, (i, 0, 0))[1] + rnd.choice([1, 5, 40, -60]), batch)
+        write(totals(spark, [known[i] for i in ids]), batch)
+        assert spark.read.parquet(f"{root}/scores/rows/batch_id={batch}").count() == len(ids)
+        assert same_rows(hook.totals["scores"].latest(), totals(spark, list(known.values())))
+        want = catalog.rank_popular(totals(spark, list(known.values())).withColumn("unique_users", F.lit(0).cast("long")), products)
+        assert same_rows(refresh.current(spark, f"{root}/popular"), want)
+    write(totals(spark, [known[i] for i in ids]), 6)  # a batch that is run again replaces itself
+    assert same_rows(refresh.current(spark, f"{root}/popular"), want)
+
+
+def test_late_rows_of_many_batches_are_counted(spark):
+    """Spark keeps the progress of a few batches only; the count covers all."""
+    before = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "8")
+    try:
+        rows = [(i, 10_000_000 - i * 100_000) for i in range(24)]
+        flat = tempfile.mkdtemp(prefix="late-many-", dir="/tmp")
+        for i, ts in rows:
+            path = f"{flat}/events-{i}.parquet"
+            pd.DataFrame({"id": [i], "ts": [pd.Timestamp(ts, unit="s")]}).to_parquet(path, coerce_timestamps="us")
+            os.utime(path, (1_000_000 + i, 1_000_000 + i))
+        stream = spark.readStream.schema("id long, ts timestamp").option("maxFilesPerTrigger", 1).parquet(flat)
+        root = runner.run_root(spark, "late-many")
+        runner.run_available(stream.withWatermark("ts", "1 hour").groupBy("ts").count(), root)
+        assert spark.read.parquet(f"{root}/late").first()["late_rows"] == 22  # the watermark holds from the third batch on
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", before)
+
+
 def test_late_events_are_counted_not_lost_silently(spark):
     events = spark.read.parquet(f"{SF001}/events.parquet")
     flat = split_files(spark, events, 4, "newest")
