@@ -792,3 +792,5 @@ FROM h"""),
 })
 
 ORACLE["latest_preference_lists"] = ORACLE["latest_preferences"]
+ORACLE["stream_toggle_history"] = ORACLE["toggle_history"]
+ORACLE["stream_preference_lists"] = ORACLE["latest_preference_lists"]

@@ -21,6 +21,7 @@ from shelfrank.plans.store import Store
 from shelfrank.sources import export, lookup
 from shelfrank.sources import testdata as td
 from shelfrank.streaming import refresh, runner
+from shelfrank.streaming import keyed_state as ks
 from shelfrank.streaming import user_state as us
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -732,6 +733,25 @@ def q_stream_latest_preferences(spark, d):
     return joined(p, "categories")
 
 
+def keyed_state(spark, d):
+    """Run the keyed user state over the events file; return the latest snapshot per user."""
+    root = runner.run_root(spark, "keyed-state")
+    runner.run_available(ks.user_state_stream(td.list_events(runner.events_stream(spark, d, "events.parquet"))), root, state_store=ks.PROVIDER)
+    return us.latest_snapshots(spark.read.parquet(f"{root}/out"))
+
+
+@register("stream_toggle_history")
+def q_stream_toggle_history(spark, d):
+    """ST1-ST3, W7 from keyed state: additions to the lists are events of the history."""
+    return us.history_rows(keyed_state(spark, d))
+
+
+@register("stream_preference_lists")
+def q_stream_preference_lists(spark, d):
+    """ST4 on category lists from keyed state."""
+    return joined(ks.preference_rows(keyed_state(spark, d)), "categories")
+
+
 @register("stream_popular_by_category")
 def q_stream_popular_by_category(spark, d):
     root = runner.run_root(spark, "popular")

@@ -181,10 +181,23 @@ def preference_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def preference_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The preference updates with their categories by name, in the order chosen."""
-    cats = F.array(*[F.lit(c) for c in ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")])
     u = preference_updates(spark, sf_dir)
-    picks = F.slice(F.array("c1", "c2", (F.col("c2") + 1) % 6), 1, F.col("n_categories").cast("int"))
-    return u.select("event_id", "user_id", "ts", F.transform(picks, lambda i: F.element_at(cats, (i + 1).cast("int"))).alias("categories"))
+    return u.select("event_id", "user_id", "ts", _named(F.col("c1"), F.col("c2"), F.col("n_categories")).alias("categories"))
+
+
+def _named(c1: F.Column, c2: F.Column, n: F.Column) -> F.Column:
+    cats = F.array(*[F.lit(c) for c in ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")])
+    picks = F.slice(F.array(c1, c2, (c2 + 1) % 6), 1, n.cast("int"))
+    return F.transform(picks, lambda i: F.element_at(cats, (i + 1).cast("int")))
+
+
+def list_events(events: DataFrame) -> DataFrame:
+    """``state_events`` as ``streaming.keyed_state`` takes them: preference updates hold their categories, and what a toggle stands for
+    (clicks, additions to the cart) is no interaction of its own."""
+    rows = state_events(events)
+    own = (F.col("kind") != "interaction") | F.col("interaction_type").isin("view", "purchase")
+    categories = F.when(F.col("kind") == "preferences", _named(F.col("c1"), F.col("c2"), F.col("n_categories")))
+    return rows.filter(own).withColumn("categories", categories).drop("c1", "c2", "n_categories")
 
 
 def state_events(events: DataFrame) -> DataFrame:

@@ -46,10 +46,10 @@ def _note_late(spark: SparkSession, root: str, name: str, rows: int) -> None:
     spark.createDataFrame([(name, rows)], "stream string, late_rows long").write.mode("append").parquet(f"{root}/late")
 
 
-def run_available(stream: DataFrame, root: str, on_batch=None, output_mode: str = "update") -> None:
+def run_available(stream: DataFrame, root: str, on_batch=None, output_mode: str = "update", state_store: str | None = None) -> None:
     """Process everything available now, writing each batch to its own folder below <root>/out.
     ``on_batch(rows, batch_id)`` gets the rows as written, read back: whatever the hook computes, the
-    stateful operators run once for each batch."""
+    stateful operators run once for each batch. ``state_store`` is the provider of this query's state store."""
     out, spark = f"{root}/out", stream.sparkSession
 
     def write(df: DataFrame, batch_id: int) -> None:
@@ -59,7 +59,14 @@ def run_available(stream: DataFrame, root: str, on_batch=None, output_mode: str
         if on_batch is not None:
             on_batch(spark.read.schema(df.schema).parquet(f"{out}/batch_id={batch_id}"), batch_id)
 
-    run_available_with([("out", stream, write, output_mode)], root)
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    if state_store is not None:
+        spark.conf.set(name, state_store)
+    try:
+        run_available_with([("out", stream, write, output_mode)], root)
+    finally:
+        spark.conf.set(name, before)
 
 
 def run_available_with(streams: list, root: str) -> None:
