@@ -31,36 +31,43 @@ from shelfrank.llm.tables import Scratch
 
 LENGTH = 100
 #: Bytes of a gram. Longer grams recur less by chance, but make more and shorter runs.
-GRAM = 32
+GRAM = 24
 #: Keys of at least so many places (and its square) get a second (and third) minimizer.
 HOT = 10_000
 #: Bytes of runs that a task holds before it drops repeated ones, and that it sorts at once.
-BUFFER, CHUNK = 16 << 20, 2 << 20
+BUFFER, CHUNK = 32 << 20, 2 << 20
 
-_BASE = int(W.GOLDEN) | 1
-_BYTES = W.mix(np.arange(1, 257, dtype=np.uint64) * W.GOLDEN)
+#: Texts of one slice are hashed together; the arrays of a quarter of a MB stay in the CPU cache.
+SLICE = 1 << 18
 
+#: The low bits of a key stay free for its level.
+_KEY = ~np.uint64(3)
+_FACTORS = W.mix(np.arange(1, 33, dtype=np.uint64) * W.GOLDEN) | np.uint64(1)
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(max(1, n), base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
 
-
-def grams(data: np.ndarray, size: int) -> np.ndarray:
-    """64-bit hashes of all ``size``-byte grams; equal grams have equal hashes wherever they stand."""
+def grams(data: np.ndarray, size: int, seed: int) -> np.ndarray:
+    """64-bit hashes of all ``size``-byte grams, eight bytes at a time; equal grams have equal hashes wherever they stand."""
     n = len(data)
-    up, down = _powers(_BASE, n), _powers(pow(_BASE, -1, 1 << 64), n)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTES[data] * up, out=sums[1:])
-    return (sums[size:] - sums[:-size]) * down[:n - size + 1]
+    padded = np.zeros(n + 8, np.uint8)
+    padded[:n] = data
+    eights = np.ndarray((n + 1,), dtype="<u8", buffer=padded, strides=(1,)).astype(np.uint64)
+    if size < 8:
+        eights &= np.uint64((1 << 8 * size) - 1)
+    eights ^= eights >> np.uint64(32)
+    m = n - size + 1
+    out = eights[:m] * _FACTORS[0]
+    for k, at in enumerate(range(8, size, 8), 1):
+        out += eights[min(at, size - 8):][:m] * _FACTORS[k % 32]
+    out ^= out >> np.uint64(32)
+    out *= W.GOLDEN
+    return W.mix(out + np.uint64(seed)) if seed else out
 
 
 def minima(data: np.ndarray, length: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """The least gram hash of each string of ``length`` bytes, and whether its first gram has it; ``seed`` chooses the
     order of the hashes."""
     size = min(GRAM, length)
-    hashes = low = W.mix(grams(data, size) + np.uint64(seed) * W.GOLDEN)
+    hashes = low = grams(data, size, seed)
     width, span = length - size + 1, 1
     while 2 * span <= width:
         low = np.minimum(low[:-span], low[span:])
@@ -81,7 +88,7 @@ class Runs:
         if len(self.data) >= length:
             least, self.leads = minima(self.data, length, 0)
             inside = np.repeat(self.offsets[1:], lens)[:len(least)] >= np.arange(length, len(least) + length)
-            self.places, self.keys = np.flatnonzero(inside), least[inside]
+            self.places, self.keys = np.flatnonzero(inside), least[inside] & _KEY
         self._cut()
 
     def _cut(self) -> None:
@@ -99,14 +106,14 @@ class Runs:
         return np.add.reduceat(again, np.cumsum(self.counts) - self.counts) > 0
 
     def among(self, lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
-        """For each run, whether its key is in its row's list of structs (key, level), and the level (0: not there)."""
+        """For each run, whether its key is in its row's list of keys | level, and the level (0: not there)."""
         flat, sizes = lists.flatten(), _sizes(lists)
-        wanted = flat.field("key").to_numpy().astype(np.int64).view(np.uint64)
-        ids = np.unique(np.concatenate([self.key, wanted]), return_inverse=True)[1].astype(np.int64)
+        wanted = flat.to_numpy().astype(np.int64).view(np.uint64)
+        ids = np.unique(np.concatenate([self.key, wanted & _KEY]), return_inverse=True)[1].astype(np.int64)
         mine = self.rows << 32 | ids[:len(self.key)]
         theirs = np.repeat(np.arange(len(lists)), sizes) << 32 | ids[len(self.key):]
         order = np.argsort(theirs)
-        theirs, level = theirs[order], flat.field("level").to_numpy()[order]
+        theirs, level = theirs[order], (wanted & ~_KEY).astype(np.int64)[order]
         place = np.minimum(np.searchsorted(theirs, mine), max(0, len(theirs) - 1))
         found = theirs[place] == mine if len(theirs) else np.zeros(len(mine), bool)
         return found, np.where(found, level[place], 0) if len(theirs) else np.zeros(len(mine), np.int64)
@@ -140,7 +147,7 @@ def gather(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> pa.Array:
 
 def _sliced(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for lo, hi in W.slices(batch.column(text)):
+        for lo, hi in W.slices(batch.column(text), SLICE):
             yield batch.slice(lo, hi - lo)
 
 
@@ -211,7 +218,7 @@ def first_places(rows: pa.Table, length: int) -> pa.RecordBatch:
     for k in range(length):
         whole[ends - k] = False
     words = suffixes.words_at(text)
-    order = suffixes.suffix_array(text, length, words)
+    order = suffixes.suffix_array(text, length, words, whole)
     order = order[whole[order]]
     shared = suffixes.common_prefixes(words, order, length)
     heads = np.flatnonzero(shared < length)
@@ -305,14 +312,15 @@ def without_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH)
 
     places = docs.select("text", "doc_").mapInArrow(_keys(length), "key long, doc_ long, n int")
     counts = places.groupBy("key").agg(F.sum("n").alias("total")).where("total > 1")
-    level = F.when(F.col("total") >= HOT * HOT, 3).when(F.col("total") >= HOT, 2).otherwise(1).cast("byte")
-    listed = places.select("key", "doc_").join(counts, "key").groupBy("doc_").agg(F.collect_set(F.struct("key", level.alias("level"))).alias("keys"))
+    level = F.when(F.col("total") >= HOT * HOT, 3).when(F.col("total") >= HOT, 2).otherwise(1).cast("long")
+    listed = places.select("key", "doc_").join(counts, "key").groupBy("doc_").agg(F.collect_set(F.col("key").bitwiseOR(level)).alias("keys"))
     listed = scratch.table(listed, "keys")
 
     runs = docs.select("doc_", "text", "id_", "last_").join(listed, "doc_").mapInArrow(_runs(length), RUNS)
     runs = runs.repartition("key").sortWithinPartitions("key", "last_", "id_", "doc_", "start")
     firsts = runs.mapInArrow(_firsts(length), FIRSTS).groupBy("doc_").agg(F.collect_list(F.struct("id_", "start", "n")).alias("firsts"))
     listed = scratch.table(listed.join(firsts, "doc_", "left"), "firsts")
+    scratch.drop("keys")
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(columns).schema.fields)
     return docs.join(listed, "doc_", "left").mapInArrow(_remaining(length, columns), f"{kinds}, {FOUND}")

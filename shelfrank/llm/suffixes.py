@@ -7,7 +7,8 @@ suffixes are dealt out to their buckets, in order; within a bucket a round for e
 of that symbol.
 
 A text is an array of bytes in which 0 ends a string. Suffixes are ordered up to ``depth`` symbols or the first 0,
-whichever comes first; beyond that, equal ones stand in any order.
+whichever comes first; beyond that, equal ones stand in any order. Where only some suffixes are asked for, those
+that they are induced from are added, and no others are sorted.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ def smaller_than_next(text: np.ndarray) -> np.ndarray:
 def sort_directly(words: np.ndarray, suffixes: np.ndarray, depth: int) -> np.ndarray:
     """``suffixes`` in order: by their first eight symbols, then those still equal by the next eight, and so on."""
     first = words[suffixes]
-    order = np.argsort(first, kind="stable")
+    order = np.argsort(first)
     out, key = suffixes[order], first[order]
     at, group = np.arange(len(out)), np.zeros(len(out), np.int64)
     for offset in range(8, depth + 8, 8):
@@ -56,12 +57,24 @@ def sort_directly(words: np.ndarray, suffixes: np.ndarray, depth: int) -> np.nda
     return out
 
 
-def induce(text: np.ndarray, small: np.ndarray, directly: np.ndarray) -> np.ndarray:
-    """All suffixes in order, from those of type S (``small``) in order."""
+def with_sources(wanted: np.ndarray, small: np.ndarray) -> np.ndarray:
+    """``wanted``, and for each suffix of type L there its successors up to the first of type S."""
+    ends = np.flatnonzero(wanted & ~np.append(wanted[1:], False))  # the last of each run of wanted suffixes
+    stops = np.append(np.flatnonzero(small), len(wanted) - 1)
+    steps = np.zeros(len(wanted) + 1, np.int64)
+    np.add.at(steps, ends, 1)
+    np.add.at(steps, stops[np.searchsorted(stops, ends)] + 1, -1)
+    return wanted | (np.cumsum(steps[:-1]) > 0)
+
+
+def induce(text: np.ndarray, small: np.ndarray, directly: np.ndarray, wanted: np.ndarray | None = None) -> np.ndarray:
+    """All suffixes (or all ``wanted`` ones) in order, from those of type S (``small``) in order."""
     n = len(text)
+    large = ~small if wanted is None else wanted & ~small
     bounds = np.searchsorted(text[directly], np.arange(257))
     pending: list[list[np.ndarray]] = [[] for _ in range(256)]
-    pending[text[n - 1]].append(np.array([n - 1]))  # its successor, the empty suffix, is the smallest
+    if large[n - 1]:
+        pending[text[n - 1]].append(np.array([n - 1]))  # its successor, the empty suffix, is the smallest
     out = []
     for c in range(256):
         scanned, front = [], np.concatenate(pending[c]) if pending[c] else np.zeros(0, np.int64)
@@ -69,30 +82,33 @@ def induce(text: np.ndarray, small: np.ndarray, directly: np.ndarray) -> np.ndar
         while len(front):
             scanned.append(front)
             before = front[front > 0] - 1
-            front = before[(text[before] == c) & ~small[before]]
+            front = before[(text[before] == c) & large[before]]
         scanned.append(directly[bounds[c]:bounds[c + 1]])
         bucket = np.concatenate(scanned)
         if not len(bucket):
             continue
         out.append(bucket)
         before = bucket[bucket > 0] - 1
-        before = before[(text[before] > c) & ~small[before]]
+        before = before[(text[before] > c) & large[before]]
         symbols = text[before]
         order = np.argsort(symbols, kind="stable")
         before, symbols = before[order], symbols[order]
         heads = np.flatnonzero(np.append(True, symbols[1:] != symbols[:-1])) if len(symbols) else []
         for a, b in zip(heads, [*heads[1:], len(symbols)]):
             pending[symbols[a]].append(before[a:b])
-    return np.concatenate(out)
+    return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
-def suffix_array(text: np.ndarray, depth: int, words: np.ndarray | None = None) -> np.ndarray:
-    """The suffixes of ``text`` in order, up to ``depth`` symbols."""
+def suffix_array(text: np.ndarray, depth: int, words: np.ndarray | None = None, wanted: np.ndarray | None = None) -> np.ndarray:
+    """The suffixes of ``text`` in order, up to ``depth`` symbols: all, or the ``wanted`` ones and what they are induced from."""
     if not len(text):
         return np.zeros(0, np.int64)
     words = words_at(text) if words is None else words
     small = smaller_than_next(text)
-    return induce(text, small, sort_directly(words, np.flatnonzero(small), depth))
+    if wanted is not None:
+        wanted = with_sources(wanted, small)
+    direct = np.flatnonzero(small if wanted is None else small & wanted)
+    return induce(text, small, sort_directly(words, direct, depth), wanted)
 
 
 def common_prefixes(words: np.ndarray, order: np.ndarray, limit: int) -> np.ndarray:

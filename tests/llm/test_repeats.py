@@ -107,6 +107,11 @@ def test_suffix_arrays_and_common_prefixes():
         assert sorted(order.tolist()) == list(range(len(text)))
         keys = [text[i:i + depth].tobytes().partition(b"\0") for i in order]
         assert [a + z for a, z, _ in keys] == sorted(a + z for a, z, _ in keys)
+        wanted = rng.random(len(text)) < 0.2
+        some = S.suffix_array(text, depth, wanted=wanted)
+        assert set(np.flatnonzero(wanted)) <= set(some.tolist()) and len(set(some.tolist())) == len(some)
+        keys = [text[i:i + depth].tobytes().partition(b"\0") for i in some]
+        assert [a + z for a, z, _ in keys] == sorted(a + z for a, z, _ in keys)
         long = order[order < len(text) - 16]
         shared = S.common_prefixes(S.words_at(text), long, 16)
         for k in range(1, len(long)):
