@@ -79,6 +79,11 @@ FROM pages p LEFT JOIN places l ON l.url = p.url LEFT JOIN own o ON o.url = p.ur
 LEFT JOIN nodes n ON n.url = p.url LEFT JOIN shared s ON s.node = n.node
 """
 
+# The same with redirects from each page but every fourth to the one before.
+URL_ALIASES = OP5.replace("urls AS (", """more AS (
+  SELECT a, b FROM links UNION ALL SELECT p.url, q.url FROM pages p JOIN pages q ON q.page_id = p.page_id - 1 WHERE p.page_id % 4 <> 0),
+urls AS (""").replace("SELECT b FROM links)", "SELECT b FROM more)").replace("FROM links JOIN nodes x ON x.url = links.a JOIN nodes y ON y.url = links.b", "FROM more JOIN nodes x ON x.url = more.a JOIN nodes y ON y.url = more.b")
+
 OP7 = """
 WITH payloads AS (
   SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
@@ -135,6 +140,7 @@ SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
 ORACLE: dict[str, str] = {
     "op3_decontaminate": OP3,
     "op5_url_filter": OP5,
+    "url_aliases": URL_ALIASES,
     "op6_near_duplicates": OP6,
     "op7_warc": OP7,
     "op11_hard_negatives": OP11,

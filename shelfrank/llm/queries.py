@@ -61,6 +61,15 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.decide(spark, table(spark, sf_dir, "pages"), URL_RULES)
 
 
+@register("url_aliases")
+def url_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op 5 with redirects, which the pages themselves don't hold: each page but every fourth redirects to the one before."""
+    pages = table(spark, sf_dir, "pages")
+    before = pages.select((F.col("page_id") + 1).alias("page_id"), F.col("url").alias("dst"))
+    redirects = pages.where("page_id % 4 <> 0").select("page_id", F.col("url").alias("src")).join(before, "page_id").select("src", "dst")
+    return url_filter.decide(spark, pages, URL_RULES, redirects)
+
+
 @register("op6_near_duplicates")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(spark, table(spark, sf_dir, "documents"))

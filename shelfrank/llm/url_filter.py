@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfrank.llm import words as W
 from shelfrank.llm.components import components
 from shelfrank.llm.tables import Scratch
 
@@ -52,36 +53,47 @@ def judge(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     """struct<rule, action> of the longest rule that fits, null fields if none does. A rule fits its host
     and the host's subdomains if the path starts with the rule's. The rules are a list in the program, so
     they are small; of equally long ones the first in order wins."""
-    by_host: dict[str, list[tuple[str, str, str]]] = {}
-    for h, p, action in sorted(rules, key=lambda r: (-len(r[0] + r[1]), r)):
-        by_host.setdefault(h, []).append((p, h + p, action))
-
-    @F.arrow_udf("rule string, action string")
-    def fits(hosts: pa.Array, paths: pa.Array) -> pa.Array:
-        names, actions = [], []
-        for host, path in zip(hosts.to_pylist(), paths.to_pylist()):
-            labels, best = host.split("."), (None, None)
-            for i in range(len(labels)):  # the whole host first, then ever shorter domains
-                for prefix, name, action in by_host.get(".".join(labels[i:]), ()):
-                    if path.startswith(prefix) and (best[0] is None or len(name) > len(best[0])):
-                        best = (name, action)
-            names.append(best[0])
-            actions.append(best[1])
-        return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(actions, pa.string())], names=["rule", "action"])
-
-    return fits(host, path)
-
-
-_SKIP = re.compile(r"<!--.*?-->|<(script|style|noscript|template)\b.*?</\1\s*>", re.S | re.I)
+    rule, action = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for h, p, said in sorted(rules, key=lambda r: (-len(r[0] + r[1]), r), reverse=True):
+        fits = ((host == h) | host.endswith("." + h)) & path.startswith(p)
+        rule, action = F.when(fits, F.lit(h + p)).otherwise(rule), F.when(fits, F.lit(said)).otherwise(action)
+    return F.struct(rule.alias("rule"), action.alias("action"))
+
+
+_HIDDEN = re.compile(r"<(?:!--|(script|style|noscript|template)\b)", re.I)
 _TAG = re.compile(r"<(link|meta)\b((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>", re.I)
-_ATTR = re.compile(r"([A-Za-z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
-_REFRESH = re.compile(r"^\s*[\d.]*\s*[;,]?\s*url\s*=\s*[\"']?([^\"']+)", re.I)
+# Possessive, and names only from their first letter on, so that no input takes quadratic time.
+_ATTR = re.compile(r"(?<![A-Za-z-])([A-Za-z-]++)\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+_REFRESH = re.compile(r"^\s*+[\d.]*+\s*+[;,]?+\s*+url\s*+=\s*+[\"']?+([^\"']+)", re.I)
+
+
+def shown(page: str) -> str:
+    """The page without comments and the bodies of scripts, styles, noscripts and templates, in one forward scan. What is
+    never closed goes to the end of the page, as in a browser."""
+    low = page.lower() if page.isascii() else re.sub("[A-Z]", lambda m: chr(ord(m[0]) + 32), page)  # positions stay
+    out, at = [], 0
+    while (m := _HIDDEN.search(page, at)) is not None:
+        out.append(page[at:m.start()])
+        closing = f"</{m[1].lower()}" if m[1] else "-->"
+        at = low.find(closing, m.end())
+        while at >= 0 and m[1]:  # the name ends there, but for blanks
+            end = at + len(closing)
+            while page[end:end + 1].isspace():
+                end += 1
+            if page[end:end + 1] == ">":
+                at = end + 1
+                break
+            at = low.find(closing, at + 1 if end == at + len(closing) else end)
+        if at < 0:
+            return "".join(out)
+        at += 0 if m[1] else 3
+    return "".join(out) + page[at:]
 
 
 def targets(url: str, page: str) -> list[str]:
     """Absolute targets of a page's canonical links and refresh redirects, outside comments and scripts."""
     out = []
-    for tag, inside in _TAG.findall(_SKIP.sub("", page)):
+    for tag, inside in _TAG.findall(shown(page)):
         attrs = {k.lower(): entities.unescape(a or b or c) for k, a, b, c in _ATTR.findall(inside)}
         found = None
         if tag.lower() == "link" and "canonical" in attrs.get("rel", "").lower().split():
@@ -98,10 +110,12 @@ def targets(url: str, page: str) -> list[str]:
 
 
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        pairs = [(u, t) for u, h in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist()) for t in targets(u, h)]
-        yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.string()), pa.array([p[1] for p in pairs], pa.string())],
-                                         names=["src", "dst"])
+    for whole in batches:
+        for lo, hi in W.slices(whole.column("html")):
+            batch = whole.slice(lo, hi - lo)
+            pairs = [(u, t) for u, h in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist()) for t in targets(u, h)]
+            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.string()), pa.array([p[1] for p in pairs], pa.string())],
+                                             names=["src", "dst"])
 
 
 def links(pages: DataFrame) -> DataFrame:
@@ -117,7 +131,8 @@ def decide(spark: SparkSession, pages: DataFrame, rules: Sequence[Rule], redirec
     ``redirects`` (src, dst urls), for example of HTTP answers, joins the links found in the pages. A null
     url, or one without "://", has empty host and path, no aliases, and is allowed. Rows that repeat a url
     share its component; rows stay one for one. Targets that are no page pass decisions on, and count with
-    the rules that fit them.
+    the rules that fit them. Targets that are no url at all (such as an open IPv6 bracket) are no links. A very long
+    page is scanned once, in time linear in its length.
     """
     scratch = Scratch(spark, "url-filter")
     found = links(pages)
@@ -139,5 +154,6 @@ def decide(spark: SparkSession, pages: DataFrame, rules: Sequence[Rule], redirec
     decided = actions.join(parts, "node").groupBy("component").agg(
         F.when(F.bool_or(F.col("action") == "allow"), "allow").otherwise("block").alias("shared"))
     by_node = scratch.table(parts.join(decided, "component").select("node", "shared"), "decisions")
+    scratch.drop("components", "links")
     return judged.join(by_node, "node", "left").select(
         "page_id", "host", "path", "rule", F.coalesce("action", "shared", F.lit("allow")).alias("verdict"))

@@ -93,3 +93,29 @@ def test_parsing_nulls_and_empty(spark):
     rows = [(i, u, None if i % 2 else "") for i, u in enumerate(urls)] + [(None, "http://b.net/", None), (3, "http://b.net/", "x"), (3, "http://b.net/", "x")]
     assert run(spark, rows, None) == brute(rows, [])
     assert run(spark, [], None) == []
+
+
+def test_hostile_pages_take_linear_time():
+    import time
+    mb = 1 << 20
+    link = '<link rel="canonical" href="http://a.com/x">'
+    for piece in ("<script>", "<!--", "<script></scrip", "<style>a</style ", "<link ", "<link a", "<link '", '<link "', "<meta content= '", "</script"):
+        start = time.time()
+        U.targets("http://b.com/", piece * (mb // len(piece)))
+        assert time.time() - start < 1, piece
+    for page in ("<link " + "a" * mb + ">", "<link " + "a-" * (mb // 2) + "= >", f'<meta http-equiv="refresh" content="{" " * mb}">', "<script>" + "</script" + " " * mb + "x",
+                 f"<script>{'</script' + ' ' * 10 + 'x'}" * (mb // 30)):
+        start = time.time()
+        U.targets("http://b.com/", page)
+        assert time.time() - start < 1, page[:40]
+    start = time.time()
+    assert U.targets("http://b.com/", "<p>" + "x" * mb + "<SCRIPT>" + "y" * mb + "</Script >" + link) == ["http://a.com/x"]
+    assert time.time() - start < 1
+
+
+def test_what_is_hidden():
+    link = '<link rel="canonical" href="http://a.com/x">'
+    for page, found in ((f"<!-- {link} -->", 0), (f"<!-- {link}", 0), (f"<!-- --> {link}", 1), (f"<script>{link}</script>", 0), (f"<script>{link}</scripts>{link}", 0),
+                        (f"<ScRiPt a=b>{link}</SCRIPT\n>{link}", 1), (f"<scripts>{link}", 1), (f"<style><!--</style>{link}", 1), (f"é<template>İ</template>{link}", 1),
+                        (f"<noscript></script></noscript>{link}", 1), (f"<!--><script>--> {link}", 1), ("", 0)):
+        assert len(U.targets("http://b.com/", page)) == found, page
