@@ -3,7 +3,7 @@
 Every stage but the last returns the columns of ``documents`` for the rows that it keeps:
 
 1. quality: rows that the classifier (op 9), learnt from the labels, predicts as 0 go;
-2. near_duplicates: one row of each component of near copies (op 6) stays, that with the smallest doc_id;
+2. near_duplicates: one row of each component of near copies (op 6, from a similarity of 0.8 on) stays, that with the smallest doc_id;
    rows that share a doc_id are one document, rows without one are no copies of anything;
 3. decontaminate: every benchmark span (op 3) is cut out of its text, and documents of which such spans
    cover more than half of the words go;
@@ -26,6 +26,8 @@ from shelfrank.llm.tables import Scratch
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Documents of which more than this share of the words is benchmark text go.
 MOST_COVERED = 0.5
+#: Near copies share this much of their five-word shingles (percent of the union); op6 itself is asked for 85.
+NEAR_PERCENT = 80
 
 
 def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +37,7 @@ def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = near_dup.near_duplicates(spark, docs).where("kept and doc_id is not null").select("doc_id").distinct()
+    kept = near_dup.near_duplicates(spark, docs, percent=NEAR_PERCENT).where("kept and doc_id is not null").select("doc_id").distinct()
     first = Window.partitionBy("doc_id").orderBy("text", "lang", "source", "n_chars")
     rows = docs.select(COLUMNS).where("doc_id is not null").withColumn("row_", F.row_number().over(first)).where("row_ = 1")
     return rows.join(kept, "doc_id", "left_semi").select(COLUMNS).union(docs.where("doc_id is null").select(COLUMNS))

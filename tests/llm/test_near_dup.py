@@ -12,7 +12,7 @@ def shingles(text):
     return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set())
 
 
-def brute(rows):
+def brute(rows, percent=85):
     sets = [(d, shingles(t)) for d, t in rows]
     parent = {d: d for d, _ in rows if d is not None}
 
@@ -22,7 +22,7 @@ def brute(rows):
         return x
     for i, (a, x) in enumerate(sets):
         for b, y in sets[:i]:
-            if a is not None and b is not None and x and y and 100 * len(x & y) >= 85 * len(x | y):
+            if a is not None and b is not None and x and y and 100 * len(x & y) >= percent * len(x | y):
                 p, q = find(a), find(b)
                 parent[max(p, q)] = min(p, q)
     return sorted(((d, len(s), None if d is None else find(d), d is None or find(d) == d) for d, s in sets), key=str)

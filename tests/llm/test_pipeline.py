@@ -23,6 +23,11 @@ def tables(spark, tmp_path_factory):
     rows = [(i, t) for i, t, _ in corpus(200, 4)]
     labels = [(i, y, 0) for i, _, y in corpus(200, 4)]
     items = [(i, " ".join(word(rnd) + "x" for _ in range(rnd.choice([6, 15, 30])))) for i in range(8)]
+    long = " ".join(word(rnd) for _ in range(200)).split()
+    for i, cut in enumerate((15, 17, 30)):  # of one text: similarity with it 0.82, 0.81, 0.70
+        at = 90 - cut // 2
+        rows.append((720 + i, " ".join([*long[:at], *(f"{x}{'qrz'[i]}" for x in long[at:at + cut]), *long[at + cut:]])))
+    rows.append((719, " ".join(long)))
     for i in range(20):
         rows.append((300 + i, rows[i * 7 + 1][1]))  # exact copies
         words = rows[i * 3 + 1][1].split()
@@ -56,7 +61,9 @@ def test_stages_and_run(spark, tables, tmp_path):
             want = [(r.doc_id, r.text) for r in quality.score(spark, docs, model).where(F.col("score") >= 0.3).collect()]
             assert sorted(new, key=str) == sorted(want, key=str) and 200 < len(new) < len(old)
         elif name == "near_duplicates":
-            kept = {d for d, _, _, keep in brute_components(old) if keep and d is not None}
+            kept = {d for d, _, _, keep in brute_components(old, 80) if keep and d is not None}
+            there = {719, 720, 721, 722} & {d for d, _ in old}  # copies between 0.80 and 0.85 go, below 0.80 they stay
+            assert len(there) >= 3 and (min(there) == 719 and there & kept == there - {720, 721})
             assert sorted(d for d, _ in new if d is not None) == sorted(kept) and len(kept) < len(old) - 20
             assert sum(d is None for d, _ in new) == sum(d is None for d, _ in old)
         elif name == "decontaminate":
