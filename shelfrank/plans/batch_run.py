@@ -2,7 +2,7 @@
 
     inputs = from_csv(spark, "users.csv", "products.csv", "interactions.csv")
     sets = build_results(spark, inputs)
-    write_results(sets, "<shared folder>/results")       # executors write; nothing is collected
+    write_results(spark, sets, "<shared folder>/results")       # executors write; nothing is collected
     run_summary(inputs, sets).show()
 
 What several results read (the clean log, the split matrix, the per-product aggregate) is computed once
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfrank.functions import constants as C
 from shelfrank.operators import catalog, clean, evaluate, factor, feed, matrix, profile, recommend
 from shelfrank.plans.store import Store
-from shelfrank.sources import export, files
+from shelfrank.sources import export, files, results
 from shelfrank.sources import testdata as td
 
 
@@ -87,15 +87,17 @@ def build_results(spark: SparkSession, inputs: Inputs, k: int = C.NUM_FACTORS, m
     )
 
 
-def write_results(r: Results, out_dir: str) -> None:
-    """S7-S12 + S14: the six result sets as JSON lines under out_dir/<name> (overwrite)."""
-    out = out_dir.rstrip("/")
-    files.write_json(export.export_recommendations(r.recommendations), f"{out}/recommendations")
-    files.write_json(export.export_popular(r.popular), f"{out}/popular_by_category")
-    files.write_json(export.export_similar(r.similar), f"{out}/similar_products")
-    files.write_json(export.export_complementary(r.complementary), f"{out}/complementary_products")
-    files.write_json(export.export_top_rated(r.top_rated), f"{out}/top_rated")
-    files.write_json(export.catalog_export(r.products), f"{out}/products")
+def write_results(spark: SparkSession, r: Results, out_dir: str) -> int:
+    """S7-S12 + S14: the six result sets as a new version below ``out_dir``; returns its number. Readers see it when all six
+    are written."""
+    return results.write_version(spark, out_dir, {
+        "recommendations": export.export_recommendations(r.recommendations),
+        "popular_by_category": export.export_popular(r.popular),
+        "similar_products": export.export_similar(r.similar),
+        "complementary_products": export.export_complementary(r.complementary),
+        "top_rated": export.export_top_rated(r.top_rated),
+        "products": export.catalog_export(r.products),
+    })
 
 
 def run_summary(inputs: Inputs, r: Results) -> DataFrame:

@@ -43,9 +43,9 @@ def test_batch_run_end_to_end(spark):
     inputs = batch_run.from_csv(spark, *fixture())
     r = batch_run.build_results(spark, inputs, k=3, max_iter=8)
     out = tempfile.mkdtemp(prefix="results-", dir="/tmp")
-    batch_run.write_results(r, out)
+    assert batch_run.write_results(spark, r, out) == 1
     store = lookup.ResultStore(spark, out)
-    assert store.load("products").count() == 24
+    assert store.load("products").count() == 24 and len(store.names()) == 6
     recs = store.load("recommendations").collect()
     seen = {(x.user_id, x.product_id) for x in r.split.collect()}
     assert recs and all(len(x["items"]) <= 5 for x in recs)
