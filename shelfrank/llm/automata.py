@@ -6,7 +6,7 @@ that differs from the one before in its first d symbols opens a new state at dep
 the prefix range that ends with the next one. States with equal arcs (symbols, weights and targets) are then merged
 from the deepest level up, so common tails are stored once.
 
-Many automata are made at a time, one for each range of rows; the arrays of a range are lists of one row, as they
+Many automata are made at a time, one for each range of rows; the arrays of a range are the bytes of one row, as they
 travel through Spark.
 """
 
@@ -102,12 +102,24 @@ def build(rows: np.ndarray, groups: np.ndarray, counts: np.ndarray) -> tuple[np.
 
 def schema(depth: int) -> str:
     """Columns of the rows of ``pack``."""
-    levels = ", ".join(f"sizes{d} array<int>, symbols{d} array<int>, weights{d} array<int>, targets{d} array<int>" for d in range(depth))
-    return f"range long, names array<binary>, {levels}"
+    levels = ", ".join(f"sizes{d} binary, symbols{d} binary, weights{d} binary, targets{d} binary" for d in range(depth))
+    return f"range long, names binary, lengths binary, {levels}"
 
 
-def _lists(values: np.ndarray, bounds: np.ndarray) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values.astype(np.int32)))
+def _coded(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Numbers from 0 on, range by range, in as few bytes each as a range's largest needs; their width comes first."""
+    out = []
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        part = values[a:b]
+        kind = np.min_scalar_type(int(part.max(initial=0)))
+        out.append(bytes([kind.itemsize]) + part.astype(kind).tobytes())
+    return pa.array(out, pa.binary())
+
+
+def _decoded(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all rows, and how many each row has."""
+    parts = [np.frombuffer(x, dtype=f"<u{x[0]}", offset=1) for x in column.to_pylist()]
+    return np.concatenate(parts).astype(np.int64), np.array([len(x) for x in parts], np.int64)
 
 
 def pack(rows: np.ndarray, ranges: np.ndarray, counts: np.ndarray, names: pa.Array) -> pa.RecordBatch:
@@ -120,40 +132,40 @@ def pack(rows: np.ndarray, ranges: np.ndarray, counts: np.ndarray, names: pa.Arr
     used, place = np.unique(owner << 32 | np.concatenate([x.symbols for x in levels]).astype(np.int64), return_inverse=True)
     bounds = np.searchsorted(used, index << 32)
     place = np.split(place - bounds[owner], np.cumsum([len(x.symbols) for x in levels])[:-1])
-    own = names.take(pa.array(used & 0xFFFFFFFF))
-    columns, titles = [pa.array(roots.astype(np.int64)), pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), own.cast(pa.binary()))], ["range", "names"]
+    own = names.take(pa.array(used & 0xFFFFFFFF)).cast(pa.large_binary())
+    offsets = np.frombuffer(own.buffers()[1], np.int64)[own.offset:own.offset + len(own) + 1]
+    text = own.buffers()[2].to_pybytes() if len(own) else b""
+    spelled = [text[offsets[a]:offsets[b]] for a, b in zip(bounds[:-1], bounds[1:])]
+    columns, titles = [pa.array(roots.astype(np.int64)), pa.array(spelled, pa.binary()), _coded(np.diff(offsets), bounds)], ["range", "names", "lengths"]
     for d, level in enumerate(levels):
-        inside = level.targets.copy()
+        entered = level.targets + 1
         if d + 1 < len(levels):
             base = np.repeat(leaves[d + 1][:-1], np.diff(arcs[d]))
-            inside = np.where(inside >= 0, inside - base, -1)
-        last = d + 1 == len(levels)
-        columns += [_lists(level.sizes, leaves[d]), _lists(place[d], arcs[d]), _lists(level.weights, arcs[d]),
-                    _lists(inside[:0], np.zeros_like(arcs[d])) if last else _lists(inside, arcs[d])]
+            entered = np.where(level.targets >= 0, entered - base, 0)
+        else:
+            entered = entered[:0]
+        columns += [_coded(level.sizes, leaves[d]), _coded(place[d], arcs[d]), _coded(level.weights, arcs[d]), _coded(entered, arcs[d] if len(entered) else np.zeros_like(arcs[d]))]
         titles += [f"{x}{d}" for x in ("sizes", "symbols", "weights", "targets")]
     return pa.RecordBatch.from_arrays(columns, titles)
 
 
 def paths(batch: pa.RecordBatch, depth: int) -> tuple[pa.Array, list[tuple[np.ndarray, np.ndarray]]]:
     """All paths of the packed automata of a batch: names, and for each depth the sequences (indices of names) and weights."""
-    def flat(title: str) -> tuple[np.ndarray, np.ndarray]:
-        column = batch[title]
-        return column.flatten().to_numpy().astype(np.int64), pc.list_value_length(column).to_numpy().astype(np.int64)
-
-    names = batch["names"].flatten()
-    sizes_of_names = pc.list_value_length(batch["names"]).to_numpy().astype(np.int64)
-    first_name = np.cumsum(sizes_of_names) - sizes_of_names
-    out, arcs, sequence = [], None, None
+    lengths, names_of_row = _decoded(batch["lengths"])
+    ends = np.concatenate([[0], np.cumsum(lengths)])
+    names = pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(ends), pa.py_buffer(b"".join(batch["names"].to_pylist()))])
+    first_name = np.cumsum(names_of_row) - names_of_row
+    out = []
     for d in range(depth):
-        size, per_row = flat(f"sizes{d}")
-        symbol, arcs_of_row = flat(f"symbols{d}")
-        symbol = symbol + np.repeat(first_name, arcs_of_row)
-        weight = flat(f"weights{d}")[0]
+        size, states_of_row = _decoded(batch[f"sizes{d}"])
+        symbol, arcs_of_row = _decoded(batch[f"symbols{d}"])
+        symbol = (symbol + np.repeat(first_name, arcs_of_row)).astype(np.int32)
+        weight = _decoded(batch[f"weights{d}"])[0]
         if d == 0:
             arcs = np.arange(len(symbol))
             sequence = symbol[:, None]
         else:
-            base = np.cumsum(per_row) - per_row
+            base = np.cumsum(states_of_row) - states_of_row
             row = np.repeat(np.arange(batch.num_rows), before_arcs_of_row)[arcs]
             go = target[arcs] >= 0
             state = target[arcs][go] + base[row[go]]
@@ -161,7 +173,7 @@ def paths(batch: pa.RecordBatch, depth: int) -> tuple[pa.Array, list[tuple[np.nd
             arcs = _spread((np.cumsum(size) - size)[state], size[state])
             sequence = np.column_stack([sequence, symbol[arcs]])
         out.append((sequence, weight[arcs]))
-        target, before_arcs_of_row = flat(f"targets{d}")[0] if d + 1 < depth else None, arcs_of_row
+        target, before_arcs_of_row = _decoded(batch[f"targets{d}"])[0] - 1, arcs_of_row
     return names, out
 
 
@@ -179,8 +191,8 @@ def encoded(names: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """Distinct names in byte order, and the index of each name there."""
     coded = names.cast(pa.large_binary()).dictionary_encode()
     order = pc.sort_indices(coded.dictionary)
-    rank = np.empty(len(order), np.int64)
-    rank[order.to_numpy()] = np.arange(len(order))
+    rank = np.empty(len(order), np.int32)
+    rank[order.to_numpy()] = np.arange(len(order), dtype=np.int32)
     return coded.dictionary.take(order), rank[coded.indices.to_numpy()]
 
 
@@ -190,7 +202,7 @@ class Union:
     def __init__(self, depth: int, most: int = 1 << 21):
         self.depth, self.most = depth, most
         self.names = pa.array([], pa.large_binary())
-        self.levels = [(np.zeros((0, d + 1), np.int64), np.zeros(0, np.int64)) for d in range(depth)]
+        self.levels = [(np.zeros((0, d + 1), np.int32), np.zeros(0, np.int64)) for d in range(depth)]
         self.held: list[tuple[pa.Array, list[tuple[np.ndarray, np.ndarray]]]] = []
         self.size = 0
 

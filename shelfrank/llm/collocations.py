@@ -69,21 +69,19 @@ def shard_rows(texts: pa.Array, langs: pa.Array, least: int, most: int, bitmap:
     data, offsets = W.flat(texts)
     data = _LOWER[data]
     starts, ends, rows = W.split(data, offsets, _WORD)
-    inside = _WORD[data]
-    sizes = ends - starts
-    bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-    words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(data[inside].tobytes())])
+    bounds = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
+    words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(data[_WORD[data]])])
     vocabulary, ids = A.encoded(words)
+    del words, bounds, ends
     row = np.repeat(np.arange(len(texts)), np.diff(rows))
     kinds, lang = A.encoded(pc.fill_null(langs.cast(pa.string()), UNKNOWN).cast(pa.large_binary()))
     lang = lang[row]
     names = pa.concat_arrays([vocabulary, kinds])
     n = len(ids)
     # joins[i]: words i and i + 1 are of one piece.
-    cuts = np.cumsum(_CUT[data])
+    piece = np.searchsorted(np.flatnonzero(_CUT[data]), starts)
     joins = np.zeros(n, bool)
-    if n:
-        joins[:-1] = (row[1:] == row[:-1]) & (cuts[starts[1:]] == cuts[starts[:-1]])
+    joins[:-1] = (row[1:] == row[:-1]) & (piece[1:] == piece[:-1])
     good = np.ones(n, bool)
     if bitmap is not None:
         word, kind = _hashes(vocabulary)[ids], _hashes(kinds)[lang]
@@ -92,7 +90,7 @@ def shard_rows(texts: pa.Array, langs: pa.Array, least: int, most: int, bitmap:
             joins &= good & np.append(good[1:], False)
         else:
             joins[:-1] &= bitmap_passes(bitmap, _slot([kind[:-1], word[:-1], word[1:]]))
-    out = np.full((n, most + 1), -1, np.int64)
+    out = np.full((n, most + 1), -1, np.int32)
     out[:, 0], out[:, 1] = len(vocabulary) + lang, ids
     reach, length = np.ones(n, bool), np.ones(n, np.int64)
     for k in range(1, most):
