@@ -24,8 +24,8 @@ by (user, salt) and by (product, salt). The salt is a hash of the other id, so a
 pairs lies in SALTS buckets, and the per-iteration joins move only the factor side, each row once for
 each salt (or broadcast it when it is small); the triplets are never reshuffled. The per-key sums
 shuffle partial vectors only. Each solve is written as a table in the checkpoint folder and read back
-(one job per half step; cuts plan and lineage); its tasks also emit their partial Gram rows, so the Gram
-costs an aggregate over a handful of rows.
+(cuts plan and lineage); its tasks also emit their partial Gram rows, which an observation of the write sums up, so
+a half step is one job.
 
 Extrapolation (Ang and Gillis 2019, "Accelerating nonnegative matrix factorization algorithms
 using extrapolation"): after each solve the factors are pushed along their last change,
@@ -42,15 +42,16 @@ solution need not be (other start, other solver).
 
 from __future__ import annotations
 
+import json
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfrank.functions import constants as C
@@ -119,19 +120,67 @@ def _solve_side(sums: DataFrame, key: str, gram: np.ndarray, reg: float, prev: D
 
 
 def _store(spark: SparkSession, solved: DataFrame, key: str, path: str, k: int):
-    """Write one solve as a table in the checkpoint folder (one job; cuts plan and lineage) and
-    return (rows, Gram of hat, Gram of the factors, sum of f . b) -- the Grams from the few partial
-    rows only."""
-    solved.write.parquet(path)
-    stored = spark.read.schema(solved.schema).parquet(path)  # no job to find the schema
-    parts = stored.filter(F.col(key).isNull())
-    total = parts.agg(vector_to_array(Summarizer.sum(array_to_vector(F.col("factors")))).alias("g")).first()["g"]
-    arr = np.array(total, dtype=np.float64)
+    """Write one solve as a table in the checkpoint folder and return (rows, Gram of hat, Gram of the factors, sum of
+    f . b). The write itself sums the partial rows (an observation), so a half step is one job; it also cuts plan and
+    lineage."""
+    seen = Observation()
+    partial = F.when(F.col(key).isNull(), 1.0).otherwise(0.0)  # rows of weight 0 are not looked at
+    total = vector_to_array(Summarizer.sum(array_to_vector(F.coalesce("factors", F.array().cast("array<double>"))), partial))
+    # As text: a double's shortest text reads back as the same double.
+    solved.observe(seen, F.array_join(F.transform(total, lambda x: x.cast("string")), ",").alias("sums")).write.mode("overwrite").parquet(path)
+    arr = np.array([float(x) for x in seen.get["sums"].split(",")])
     kk = k * k
+    stored = spark.read.schema(solved.schema).parquet(path)  # no job to find the schema
     return (stored.filter(F.col(key).isNotNull()), arr[:kk].reshape(k, k), arr[kk:2 * kk].reshape(k, k),
             float(arr[-1]))
 
 
+#: A factor is unused if its column's square sum is below this share of the largest one's.
+UNUSED = 1e-12
+
+
+@dataclass
+class _Progress:
+    """What the iterations carry from one to the next, besides the factor tables; a manifest in the fit's folder."""
+    it: int = 0
+    beta: float = 0.0
+    beta_bar: float = 1.0
+    prev_loss: float | None = None
+    calm: int = 0
+    done: bool = False
+    plain: bool = False                              # the next step uses the plain factors, not the extrapolated ones
+    losses: list = field(default_factory=list)
+    reseeded: list = field(default_factory=list)     # factors that have had a second start
+    grams: dict = field(default_factory=dict)        # G_use, GWn, GHn as nested lists
+
+    def write(self, spark: SparkSession, base: str, setup: str) -> None:
+        row = spark.createDataFrame([(setup, json.dumps(asdict(self)))], "setup string, state string").coalesce(1)
+        row.write.mode("overwrite").parquet(f"{base}/state/it={self.it}")
+
+    @staticmethod
+    def last(spark: SparkSession, base: str, setup: str) -> "_Progress | None":
+        """The last finished iteration of the folder, or None; one of another setup is an error."""
+        try:
+            rows = spark.read.parquet(f"{base}/state")
+        except AnalysisException:
+            return None
+        row = rows.orderBy(F.desc("it")).first()
+        if row is None:
+            return None
+        if row["setup"] != setup:
+            raise ValueError(f"{base} holds a fit with other parameters: {row['setup']}")
+        return _Progress(**json.loads(row["state"]))
+
+
+def _with_seed(rows: DataFrame, dead: list[int], scale: float, seed: int) -> DataFrame:
+    """Factor rows (user_id, factors) with small hashed values in the columns of unused factors."""
+    fresh = F.array(*[F.conv(F.substring(F.md5(F.concat_ws("|", F.col("user_id").cast("string"), F.lit(f"{j}|{seed}"))), 1, 8), 16, 10).cast("double")
+                      / F.lit(4294967296.0) * F.lit(float(scale)) for j in dead])
+    at = {j: i for i, j in enumerate(dead)}
+    pick = F.transform("factors", lambda x, i: F.coalesce(*[F.when(i == j, fresh[n]) for j, n in at.items()], x))
+    return rows.select("user_id", pick.alias("factors"))
+
+
 #: Parts of a user's or product's pairs; and the most buckets of a table, below Spark's own limit.
 SALTS = 16
 MOST_BUCKETS = 50_000
@@ -276,8 +325,9 @@ def _bucketed(spark: SparkSession, df: DataFrame, key: str, other: str, buckets:
     name = f"{base.rsplit('/', 1)[-1]}_by_{key}"
     # Repartitioning by the bucket columns first makes each write task hold exactly one bucket, so the
     # table has one file per bucket instead of one per (task, bucket).
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
     (df.withColumn("salt", F.pmod(F.xxhash64(other), F.lit(SALTS)).cast("int"))
-     .repartition(buckets, key, "salt").write.bucketBy(buckets, key, "salt").sortBy(key, "salt")
+     .repartition(buckets, key, "salt").write.mode("overwrite").bucketBy(buckets, key, "salt").sortBy(key, "salt")
      .option("path", f"{base}/by_{key}").saveAsTable(name))
     return spark.table(name)
 
@@ -286,7 +336,7 @@ def fit_nmf(spark: SparkSession, entries: DataFrame, k: int = C.NUM_FACTORS, max
             alpha_w: float = C.ALPHA_W, alpha_h: float = C.ALPHA_H, seed: int = C.RANDOM_SEED,
             tol: float = 1e-4, scale_alphas: bool = True, extrapolate: bool = True, patience: int = 2,
             beta0: float = 0.5, eta: float = 1.5, gamma: float = 1.01, gamma_bar: float = 1.005,
-            start: str = "hash") -> NMFModel:
+            start: str = "hash", run: str | None = None) -> NMFModel:
     """Fit W (users x k) and H (k x products) on ``entries``: (user_id, product_id, score[, is_train]).
 
     Rows with is_train = false are test cells: they stay in the matrix as 0 (they add nothing to the
@@ -294,12 +344,18 @@ def fit_nmf(spark: SparkSession, entries: DataFrame, k: int = C.NUM_FACTORS, max
     when the relative loss decrease falls below ``tol``. ``start`` is "hash" (factors from md5, no pass
     over the data) or "svd" (M3: NNDSVD, zeros filled with the mean; some passes before the first
     iteration, and fewer iterations).
+
+    ``run`` names the fit: after each iteration a manifest goes to its folder below ``spark.checkpoint.dir``, and a fit of the same
+    name, entries and parameters (but for ``max_iter``) goes on from the last one, also in a new session. A factor that no user
+    or no product uses any more gets a second start, once.
     """
-    base = f"{checkpoint_dir(spark).rstrip('/')}/shelfrank_nmf_{uuid.uuid4().hex[:12]}"
+    base = f"{checkpoint_dir(spark).rstrip('/')}/shelfrank_nmf_{run or uuid.uuid4().hex[:12]}"
+    setup = json.dumps([k, alpha_w, alpha_h, seed, tol, scale_alphas, extrapolate, patience, beta0, eta, gamma, gamma_bar, start])
     has_split = "is_train" in entries.columns
     cells = entries.select("user_id", "product_id", F.col("final_score").alias("score"),
                            *(["is_train"] if has_split else []))
-    cells = cells.persist(StorageLevel.MEMORY_AND_DISK)      # setup reads it several times
+    cells.write.mode("overwrite").parquet(f"{base}/cells")   # setup reads it several times
+    cells = spark.read.schema(cells.schema).parquet(f"{base}/cells")
     train = (cells.filter("is_train") if has_split else cells).select("user_id", "product_id", "score")
     buckets = min(MOST_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
     by_user = _bucketed(spark, train, "user_id", "product_id", buckets, base)
@@ -311,65 +367,82 @@ def fit_nmf(spark: SparkSession, entries: DataFrame, k: int = C.NUM_FACTORS, max
     n_users, n_items = int(stats["nu"]), int(stats["ni"])
     sum_r, sum_r2 = float(stats["s"] or 0.0), float(stats["s2"] or 0.0)
     if n_users == 0 or n_items == 0:
-        cells.unpersist()
         return NMFModel(spark.createDataFrame([], "user_id long, factors array<double>"),
                         spark.createDataFrame([], "product_id long, factors array<double>"), k, 0, [], 0.0, 0.0)
     lw = alpha_w * (n_items if scale_alphas else 1.0)
     lh = alpha_h * (n_users if scale_alphas else 1.0)
     scale = float(np.sqrt(max(sum_r, 1e-12) / max(n_users * n_items, 1) / k))
 
-    # Every user and product of the matrix gets a factor row; ids kept as tables, then the cache goes.
-    cells.select("user_id").distinct().write.parquet(f"{base}/users")
-    cells.select("product_id").distinct().write.parquet(f"{base}/items")
-    cells.unpersist()
+    # Every user and product of the matrix gets a factor row; ids kept as tables, then the cells go.
+    cells.select("user_id").distinct().write.mode("overwrite").parquet(f"{base}/users")
+    cells.select("product_id").distinct().write.mode("overwrite").parquet(f"{base}/items")
+    drop(spark, f"{base}/cells")
     users, items = spark.read.parquet(f"{base}/users"), spark.read.parquet(f"{base}/items")
 
     zeros = F.array_repeat(F.lit(0.0), k)
-    if start == "svd":
-        svd = truncated_svd(spark, by_user, by_product, items, k, base, seed)
-        first, _ = svd_start(svd, users, items, k, sum_r / (n_users * n_items))
+    p = _Progress.last(spark, base, setup) if run is not None else None
+    if p is None:
+        p = _Progress(beta=beta0 if extrapolate else 0.0, beta_bar=1.0 if extrapolate else 0.0)
+        if start == "svd":
+            svd = truncated_svd(spark, by_user, by_product, items, k, base, seed)
+            first, _ = svd_start(svd, users, items, k, sum_r / (n_users * n_items))
+        else:
+            first = hashed_start(users, "user_id", k, scale, seed)
+        first.write.mode("overwrite").parquet(f"{base}/w0")
+        W_use = spark.read.parquet(f"{base}/w0")          # the W the next H step solves against
+        G_use = gram(W_use, k)
+        W_prev, H_prev, W_rows, H_rows, GWn, GHn = W_use, None, None, None, None, None
     else:
-        first = hashed_start(users, "user_id", k, scale, seed)
-    first.write.parquet(f"{base}/w0")
-    W_use = spark.read.parquet(f"{base}/w0")          # the W the next H step solves against
-    G_use = gram(W_use, k)
-    W_prev, H_prev = W_use, None
-    beta, beta_bar = (beta0, 1.0) if extrapolate else (0.0, 0.0)
-    losses: list[float] = []
-    prev_loss, calm, it = None, 0, 0
-    W_rows = H_rows = None
-    GWn = GHn = None
-    for it in range(1, max_iter + 1):
+        G_use, GWn, GHn = (np.array(p.grams[name]) for name in ("use", "w", "h"))
+        kind = "{} long, factors array<double>, hat array<double>"
+        W_rows = spark.read.schema(kind.format("user_id")).parquet(f"{base}/w{p.it}").filter("user_id is not null")
+        H_rows = spark.read.schema(kind.format("product_id")).parquet(f"{base}/h{p.it}").filter("product_id is not null")
+        W_use = W_rows.select("user_id", F.col("factors" if p.plain else "hat").alias("factors"))
+        W_prev, H_prev = W_rows.select("user_id", "factors"), H_rows.select("product_id", "factors")
+        if p.reseeded and p.grams["seeded"]:
+            W_use = spark.read.schema("user_id long, factors array<double>").parquet(f"{base}/seeded{p.it}")
+    for it in range(p.it + 1, max_iter + 1):
+        if p.done:
+            break
         # H step: per product, b = sum_u r_up w_u; solve with W'W + lh I; extrapolate from the last H.
         sums_h = _weighted_sums(by_user, W_use, "user_id", "product_id", k, n_users)
-        H_rows, GH_hat, GHn, _ = _store(spark, _solve_side(sums_h, "product_id", G_use, lh, H_prev, beta),
+        H_rows, GH_hat, GHn, _ = _store(spark, _solve_side(sums_h, "product_id", G_use, lh, H_prev, p.beta),
                                         "product_id", f"{base}/h{it}", k)
         H_hat = H_rows.select("product_id", F.col("hat").alias("factors"))
         # W step: per user, b = sum_p r_up h_p (extrapolated H); solve with H H' + lw I.
         sums_w = _weighted_sums(by_product, H_hat, "product_id", "user_id", k, n_items)
-        W_rows, GW_hat, GWn, wb = _store(spark, _solve_side(sums_w, "user_id", GH_hat, lw, W_prev, beta),
+        W_rows, GW_hat, GWn, wb = _store(spark, _solve_side(sums_w, "user_id", GH_hat, lw, W_prev, p.beta),
                                          "user_id", f"{base}/w{it}", k)
         loss = (0.5 * (sum_r2 - 2.0 * wb + float(np.sum(GWn * GH_hat)))
                 + 0.5 * lw * float(np.trace(GWn)) + 0.5 * lh * float(np.trace(GH_hat)))
-        losses.append(loss)
-        if extrapolate and prev_loss is not None and loss > prev_loss:
+        p.losses.append(loss)
+        p.plain = bool(extrapolate and p.prev_loss is not None and loss > p.prev_loss)
+        if p.plain:
             # Restart: the next step uses the plain factors and a smaller step.
             W_use, G_use = W_rows.select("user_id", "factors"), GWn
-            beta_bar, beta, calm = beta, beta / eta, 0
+            p.beta_bar, p.beta, p.calm = p.beta, p.beta / eta, 0
         else:
             W_use, G_use = W_rows.select("user_id", F.col("hat").alias("factors")), GW_hat
             if extrapolate:
-                beta, beta_bar = min(beta_bar, gamma * beta), min(1.0, gamma_bar * beta_bar)
-            if prev_loss is not None and prev_loss - loss <= tol * max(abs(prev_loss), 1e-12):
-                calm += 1
-                if calm >= patience:
-                    break
-            else:
-                calm = 0
-            prev_loss = loss
+                p.beta, p.beta_bar = min(p.beta_bar, gamma * p.beta), min(1.0, gamma_bar * p.beta_bar)
+            calm = p.prev_loss is not None and p.prev_loss - loss <= tol * max(abs(p.prev_loss), 1e-12)
+            p.calm = p.calm + 1 if calm else 0
+            p.prev_loss = loss
+        used = np.minimum(np.diag(GWn) / max(np.diag(GWn).max(), 1e-300), np.diag(GHn) / max(np.diag(GHn).max(), 1e-300))
+        dead = [j for j in range(k) if used[j] <= UNUSED and j not in p.reseeded]
+        if dead:
+            _with_seed(W_use, dead, scale, seed + it).write.mode("overwrite").parquet(f"{base}/seeded{it}")
+            W_use = spark.read.schema("user_id long, factors array<double>").parquet(f"{base}/seeded{it}")
+            G_use = gram(W_use, k)
+            p.reseeded, p.calm = p.reseeded + dead, 0
+        p.it, p.done = it, p.calm >= patience
+        p.grams = {"use": G_use.tolist(), "w": GWn.tolist(), "h": GHn.tolist(), "seeded": bool(dead)}
+        if run is not None:
+            p.write(spark, base, setup)
         W_prev, H_prev = W_rows.select("user_id", "factors"), H_rows.select("product_id", "factors")
         for old in (f"h{it - 1}", f"w{it - 1}", *["w0"] * (it == 1)):  # nothing reads these any more
             drop(spark, f"{base}/{old}")
+    it, losses = p.it, p.losses
     W_fit = W_rows.select("user_id", "factors")
     H_fit = H_rows.select("product_id", "factors")
     # Objective at the returned (plain) factors: one more weighted sum with H.
@@ -387,6 +460,10 @@ def fit_nmf(spark: SparkSession, entries: DataFrame, k: int = C.NUM_FACTORS, max
     return NMFModel(W, H, k, it, losses, float(np.sqrt(fit)), objective)
 
 
+#: Buckets of the two-level numbering; their counts are one small table.
+NUMBER_BUCKETS = 4_096
+
+
 def fit_als(entries: DataFrame, k: int = C.NUM_FACTORS, max_iter: int = 10, reg: float = C.ALPHA_W,
             seed: int = C.RANDOM_SEED, implicit: bool = False):
     """M4: spark.ml ALS with non-negative factors on the training cells, as the comparison model.
@@ -405,10 +482,15 @@ def fit_als(entries: DataFrame, k: int = C.NUM_FACTORS, max_iter: int = 10, reg:
 
 
 def _numbered(entries: DataFrame, key: str, name: str) -> DataFrame:
-    """Distinct ids with dense int numbers in their order, written once so that they stay the same."""
+    """Distinct ids with dense int numbers, written once so that they stay the same: the place among the ids of a hash bucket, after
+    the ids of the buckets before (a small table of counts)."""
     spark = entries.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/shelfrank_ids_{uuid.uuid4().hex[:12]}"
-    ids = entries.select(key).distinct()
-    numbers = ids.rdd.map(lambda r: r[0]).sortBy(lambda x: x).zipWithIndex()
-    spark.createDataFrame(numbers, f"{key} long, {name} long").select(key, F.col(name).cast("int").alias(name)).write.parquet(path)
-    return spark.read.parquet(path)
+    ids = entries.select(key).distinct().withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(NUMBER_BUCKETS)))
+    sizes = ids.groupBy("_bucket").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_bucket").orderBy(key)) - 1
+    numbers = ids.withColumn("_place", place).join(offsets, "_bucket").select(key, (F.col("_before") + F.col("_place")).cast("int").alias(name))
+    numbers.write.parquet(path)
+    return spark.read.schema(numbers.schema).parquet(path)

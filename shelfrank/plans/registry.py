@@ -85,7 +85,7 @@ class Ctx:
 
     @cached_property
     def split(self) -> DataFrame:
-        return matrix.train_test_split(matrix.matrix_input(self.matrix))
+        return self._kept(matrix.train_test_split(matrix.matrix_input(self.matrix)), "split")
 
     @cached_property
     def prod_stats(self) -> DataFrame:
@@ -567,7 +567,7 @@ def q_nmf_factors(spark, d):
 
 @register("recommend_top_n")
 def q_recommend_top_n(spark, d):
-    return Ctx(spark, d).recommendations
+    return Ctx(spark, d, stored=True).recommendations
 
 
 @register("model_metrics")
