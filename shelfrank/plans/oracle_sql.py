@@ -215,6 +215,16 @@ SELECT product_id, product_name, category, sub_category, brand FROM products
 WHERE (coalesce(contains(lower(product_name), 'bolt'), false) OR coalesce(contains(lower(brand), 'bolt'), false)
        OR coalesce(contains(lower(category), 'bolt'), false) OR coalesce(contains(lower(sub_category), 'bolt'), false))
   AND category IN ('ECONOMY', 'SMALL')"""),
+    "product_search_table": with_adapters("""
+WITH queries AS (
+  SELECT s_suppkey AS query_id, lower(trim(substr(product_name, 1 + s_suppkey % 9, 1 + s_suppkey % 11))) AS q,
+    CASE WHEN s_suppkey % 2 = 0 THEN category END AS only_category
+  FROM supplier JOIN products ON product_id = s_suppkey)
+SELECT query_id, product_id FROM queries JOIN products ON (
+    contains(lower(coalesce(product_name, '')), q) OR contains(lower(coalesce(brand, '')), q)
+    OR contains(lower(coalesce(category, '')), q) OR contains(lower(coalesce(sub_category, '')), q))
+  AND (only_category IS NULL OR category = only_category)
+WHERE q <> ''"""),
     "category_listing": with_adapters("""
 SELECT p.category, product_id, product_name, price, avg_rating, c.category_count
 FROM products p JOIN (SELECT category, count(*) AS category_count FROM products GROUP BY category) c
@@ -740,6 +750,15 @@ top AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY user_id OR
                        FROM scores) x WHERE rec_rank <= 5)
 SELECT t.user_id, t.rec_rank, t.product_id, p.product_name, floor(t.score * 1000 + 0.5) / 1000 AS predicted_score
 FROM top t JOIN products p ON p.product_id = t.product_id"""),
+    "rejected_rows": with_adapters("""
+WITH marks AS (
+  SELECT event_id, unnest(['any row', CASE WHEN event_id % 13 = 0 OR user_id IS NULL THEN 'user_id: missing' END,
+      CASE WHEN product_id IS NULL THEN 'product_id: missing' WHEN event_id % 5 = 0 THEN 'product_id: not a number' END,
+      CASE WHEN event_id % 7 = 0 THEN 'rating: not a number' END,
+      CASE WHEN event_id % 11 = 0 THEN 'timestamp: not a time' WHEN ts IS NULL THEN 'timestamp: missing' END]) AS reason,
+    event_id % 13 = 0 OR event_id % 5 = 0 OR user_id IS NULL OR product_id IS NULL AS refused
+  FROM interactions_raw)
+SELECT reason, count(*) AS rows, count(*) FILTER (WHERE refused) AS dropped FROM marks WHERE reason IS NOT NULL GROUP BY reason"""),
     "clean_text_interactions": with_adapters("""
 WITH texts AS (
   SELECT event_id, CASE WHEN event_id % 13 <> 0 THEN user_id END AS user_id, product_id, interaction_type, interaction_score,

@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from shelfrank.functions import columns as fx
 from shelfrank.functions import constants as C
 from shelfrank.operators import (baseline, catalog, clean, evaluate, factor, feed, matrix, profile, recommend,
-                                 state)
+                                 search, state)
 from shelfrank.plans.store import Store
-from shelfrank.sources import export, lookup
+from shelfrank.sources import export, lookup, rejects
 from shelfrank.sources import testdata as td
 from shelfrank.streaming import refresh, runner
 from shelfrank.streaming import keyed_state as ks
@@ -208,6 +208,14 @@ def q_clean_products(spark, d):
     return Ctx(spark, d).products
 
 
+@register("rejected_rows")
+def q_rejected_rows(spark, d):
+    """S3: rows by reason of a log whose fields are text, with broken and missing values; ids of every 5th event are broken too."""
+    log = td.text_interactions(spark, d).withColumnRenamed("ts", "timestamp")
+    log = log.withColumn("product_id", F.when(F.col("event_id") % 5 == 0, F.concat(F.lit("p"), "product_id")).otherwise(F.col("product_id").cast("string")))
+    return rejects.counts(rejects.checked(log, "interactions"))
+
+
 @register("clean_text_interactions")
 def q_clean_text_interactions(spark, d):
     """P1-P5 on a log whose rating, sentiment and time are text, with empty, broken and missing values."""
@@ -377,6 +385,12 @@ def q_product_search(spark, d):
         "product_id", "product_name", "category", "sub_category", "brand")
 
 
+@register("product_search_table")
+def q_product_search_table(spark, d):
+    """P14 for a table of queries, each within its own categories."""
+    return search.product_search_table(Ctx(spark, d).products, td.search_queries(spark, d)).select("query_id", "product_id")
+
+
 @register("category_listing")
 def q_category_listing(spark, d):
     return catalog.category_listing(Ctx(spark, d).products)

@@ -156,6 +156,17 @@ def complementary_map(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("source_sub_category", F.concat_ws(" ", "tcat", "tnoun").alias("target_sub_category")))
 
 
+def search_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(query_id, query, categories): for each supplier a part of the name of the product with its number, upper-cased and padded;
+    every other one within that product's category."""
+    i = F.col("s_suppkey")
+    p = products(spark, sf_dir).select("product_id", "product_name", "category")
+    s = _read(spark, sf_dir, "supplier").select("s_suppkey").join(p, i == F.col("product_id"))
+    part = F.substring(F.col("product_name"), (F.lit(1) + i % 9).cast("int"), (F.lit(1) + i % 11).cast("int"))
+    return s.select(i.alias("query_id"), F.concat(F.lit(" "), F.upper(part), F.lit(" ")).alias("query"),
+                    F.when(i % 2 == 0, F.array("category")).alias("categories"))
+
+
 def toggles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wishlist / cart toggle events: clicks toggle the like, signups toggle the cart."""
     e = _read(spark, sf_dir, "events").filter(F.col("event_type").isin("click", "signup"))
