@@ -65,6 +65,12 @@ def popularity_streams(events: DataFrame, watermark: str = LATENESS) -> tuple[Da
     return scores, users
 
 
+def approximate_popularity_stream(events: DataFrame, watermark: str = LATENESS) -> DataFrame:
+    """The option with bounded state: one aggregation for both, with an HLL sketch of the users in place of the (product, user) pairs, so
+    state is one row of some KB at most for each product. unique_users is an estimate; ``popularity_streams`` stays the exact form."""
+    return catalog.estimated_users(catalog.popularity_sketches(clean_interaction_stream(events, watermark)))
+
+
 def current(spark: SparkSession, path: str, column: str = "version") -> DataFrame | None:
     """The rows of the highest ``column=N`` folder below ``path``, or None if there is none. A folder shows
     rows only once its write has been committed, so a version that is being written is not read."""
@@ -136,6 +142,15 @@ class PopularRefresher:
                 self.merge(self.totals[name].write(batch_df, batch_id).select("product_id"))
         return write
 
+    def hook_both(self, batch_df: DataFrame, batch_id: int) -> None:
+        """For a stream that has all columns, as ``approximate_popularity_stream``."""
+        with self.lock:
+            batch_df = batch_df.persist()
+            self.totals["users"].write(batch_df.select("product_id", "unique_users"), batch_id)
+            rows = self.totals["scores"].write(batch_df.select("product_id", "popularity_score", "total_interactions"), batch_id)
+            batch_df.unpersist()
+            self.merge(rows.select("product_id"))
+
     def merge(self, touched: DataFrame) -> None:
         path = f"{self.root}/popular"
         last = last_version(self.spark, path)
