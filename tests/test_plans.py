@@ -23,6 +23,16 @@ def plan(df):
     return buf.getvalue()
 
 
+PLANS: dict[str, str] = {}
+
+
+def planned(spark, name):
+    """The plan of a query, built once for all tests."""
+    if name not in PLANS:
+        PLANS[name] = plan(E.queries()[name](spark, SF01))
+    return PLANS[name]
+
+
 def test_topk_runs_as_window_group_limit(spark):
     for name in ["popular_by_category", "similar_products", "complementary_products", "recent_interactions"]:
         assert "WindowGroupLimit" in plan(E.queries()[name](spark, SF01)), name
@@ -45,11 +55,11 @@ def test_event_type_filter_is_pushed(spark):
 
 def test_no_row_at_a_time_python(spark):
     for name in PLANNED:
-        p = plan(E.queries()[name](spark, SF01))
+        p = planned(spark, name)
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
 
 
 def test_no_cross_joins(spark):
     for name in PLANNED:
-        p = plan(E.queries()[name](spark, SF01))
+        p = planned(spark, name)
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
