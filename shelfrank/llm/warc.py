@@ -275,24 +275,39 @@ def write(spark: SparkSession, pages: DataFrame) -> DataFrame:
 
 # ---- reading
 
+def tiles(places: list[tuple[int, int]], size: int) -> bool:
+    """Whether sorted (offset, length) places cover a member from end to end without gaps and overlaps."""
+    at = 0
+    for offset, length in places:
+        if offset != at or length <= 0:
+            return False
+        at += length
+    return at == size
+
+
 def _plan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Ranges of neighbouring records: place in the package, and the records' places within the range."""
     for batch in batches:
         for uri in batch.column("package").to_pylist():
             system, path = open_fs(uri)
             with system.open_input_file(path) as file:
-                stored = [m for m in members(file) if m.method == 0 and not m.encrypted]
-                indexed: dict[str, list[tuple[int, int]]] = {}
-                for m in stored:
-                    if m.name.startswith("indexes/") and m.name.endswith(".cdxj"):
+                indexed: dict[str, set[tuple[int, int]]] = {}
+                archives = []
+                for m in members(file):
+                    archive = m.name.startswith("archive/") and m.name.endswith((".warc", ".warc.gz"))
+                    if archive and (m.encrypted or m.method != 0):
+                        raise ValueError(f"{uri}: {m.name} is {'encrypted' if m.encrypted else 'compressed'} in the package, its records can't be read in ranges")
+                    if archive:
+                        archives.append(m)
+                    elif m.name.startswith("indexes/") and m.name.endswith(".cdxj") and m.method == 0 and not m.encrypted:
                         for line in io.BytesIO(read_at(file, data_start(file, m), m.size)):
                             entry = json.loads(line[line.index(b"{"):])
-                            indexed.setdefault(entry["filename"], []).append((int(entry["offset"]), int(entry["length"])))
-                for m in stored:
-                    if not (m.name.startswith("archive/") and m.name.endswith((".warc", ".warc.gz"))):
-                        continue
+                            indexed.setdefault(entry["filename"], set()).add((int(entry["offset"]), int(entry["length"])))
+                for m in archives:
                     start = data_start(file, m)
-                    places = sorted(indexed[m.name]) if m.name in indexed else bounds(file, start, m.size)
+                    places = sorted(indexed.get(m.name, ()))
+                    if not tiles(places, m.size):  # no index, or one that leaves records out
+                        places = bounds(file, start, m.size)
                     held: list[tuple[int, int]] = []
 
                     def out() -> pa.RecordBatch:
@@ -339,8 +354,9 @@ def _read_batches(payloads: bool):
 def read(spark: SparkSession, packages: DataFrame, payloads: bool = True) -> DataFrame:
     """All records of the packages (a column ``package`` of URIs): package, member, place of the record in
     the package, record_type, record_id, target_uri, refers_to, payload_digest and http_length (of the
-    HTTP head) as the record has them, and payload. Members that are compressed or encrypted within the
-    package are not read. A package without records gives none; a broken one raises an error."""
+    HTTP head) as the record has them, and payload. Entries that indexes repeat count once; a member whose index
+    leaves records out, or is itself compressed, is scanned from its start. A package without records gives none; a
+    broken one, and one with an archive member that is compressed or encrypted, raises an error."""
     n = shuffle_partitions(spark)
     ranges = packages.select("package").repartition(n).mapInArrow(
         _plan_batches, "package string, member string, start long, size long, offsets array<long>, lengths array<long>")

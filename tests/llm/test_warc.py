@@ -84,7 +84,7 @@ def test_packages_of_others(spark, tmp_path, monkeypatch, case):
     monkeypatch.setattr(A, "RANGE_BYTES", 5000)
     blob = package(parts, gz=case != "plain", index=case in ("index", "zip64"), prefix=b"#!stub\n" * (case == "prefix"),
                    comment=b"PK\x05\x06 not the end" * (case == "comment"),
-                   extra=[("é.txt", b"hello" * 100, zipfile.ZIP_DEFLATED), ("archive/z.warc.gz", b"abc", zipfile.ZIP_DEFLATED)] if case == "others" else ())
+                   extra=[("é.txt", b"hello" * 100, zipfile.ZIP_DEFLATED), ("archive/z.txt.gz", b"abc", zipfile.ZIP_DEFLATED), ("indexes/z.cdxj", b"x" * 99, zipfile.ZIP_DEFLATED)] if case == "others" else ())
     (tmp_path / "p.zip").write_bytes(blob)
     df = spark.createDataFrame([(f"file://{tmp_path}/p.zip",)], "package string")
     got = sorted((int(r.record_id[11:]), bytes(r.payload)) for r in A.read(spark, df).collect())
@@ -108,3 +108,36 @@ def test_cut_package_is_an_error():
         with pytest.raises(ValueError):
             file = pa.BufferReader(bad)
             [A.data_start(file, m) for m in A.members(file)]
+
+
+def written(spark, tmp_path, blob):
+    (tmp_path / "p.zip").write_bytes(blob)
+    df = spark.createDataFrame([(f"file://{tmp_path}/p.zip",)], "package string")
+    return sorted((int(r.record_id[11:]), bytes(r.payload)) for r in A.read(spark, df).collect())
+
+
+@pytest.mark.parametrize("fault", ["gap", "double", "overlap", "two"])
+def test_indexes_that_do_not_fit_lose_and_double_nothing(spark, tmp_path, fault):
+    parts = records(12)
+    lines, at = [], 0
+    for raw in parts:
+        lines.append(f'x 2000 {{"filename": "archive/b.warc", "offset": {at}, "length": {len(raw)}}}\n')
+        at += len(raw)
+    more = {"gap": lines[:5] + lines[6:], "double": lines + lines, "overlap": [*lines, lines[3].replace('"length": ', '"length": 1')], "two": lines}[fault]
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        z.writestr("archive/b.warc", b"".join(parts))
+        z.writestr("indexes/i.cdxj", "".join(more))
+        if fault == "two":
+            z.writestr("indexes/j.cdxj", "".join(lines[:4]))
+    assert written(spark, tmp_path, out.getvalue()) == [(i, A.parse(p).payload) for i, p in enumerate(parts)]
+
+
+@pytest.mark.parametrize("fault", ["compressed", "encrypted"])
+def test_members_that_cannot_be_read_are_an_error(spark, tmp_path, fault):
+    blob = package(records(3), extra=[("archive/z.warc", b"".join(records(2)), zipfile.ZIP_DEFLATED if fault == "compressed" else zipfile.ZIP_STORED)])
+    if fault == "encrypted":  # the flag of the first member, in its central entry
+        at = blob.index(b"PK\x01\x02")
+        blob = blob[:at + 8] + bytes([blob[at + 8] | 1]) + blob[at + 9:]
+    with pytest.raises(Exception, match=f"archive/z.warc is {fault}"):
+        written(spark, tmp_path, blob)
