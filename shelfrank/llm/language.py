@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from shelfrank.llm import words as W
+from shelfrank.llm.tables import Scratch
 
 ORDERS = (4, 3, 2, 1)
 #: Labelled rows of each language that are learnt from, about, those with the smallest hashed doc_id.
@@ -167,12 +168,15 @@ def fit(labelled: DataFrame, rows: int = TRAIN_ROWS, entries: int = ENTRIES) ->
     sample = known.withColumn("place", F.xxhash64(F.col("doc_id").cast("string"))).join(
         F.broadcast(limits), "lang").where(F.col("place") <= F.col("most")).select("lang", "text")
     counts = sample.mapInArrow(_counts, "lang string, size int, key long, n long").groupBy("lang", "size", "key").agg(F.sum("n").alias("n"))
+    scratch = Scratch(labelled.sparkSession, "language")
+    counts = scratch.table(counts, "counts")  # read three times below
     share = {o: max(50, int(entries * p / len(languages))) for o, p in PARTS.items()}
     best = Window.partitionBy("lang", "size").orderBy(F.desc("n"), "key")
     keep = F.coalesce(*(F.when(F.col("size") == o, F.lit(s)) for o, s in share.items()))
     chosen = (counts.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= keep).select("size", "key").distinct())
     totals = {(r["lang"], r["size"]): r["n"] for r in counts.groupBy("lang", "size").agg(F.sum("n").alias("n")).collect()}
     got = counts.join(chosen, ["size", "key"], "left_semi").select("lang", "size", "key", "n").toArrow()
+    scratch.drop("counts")
     number = {g: i for i, g in enumerate(languages)}
     lang = np.array([number[g] for g in got["lang"].to_pylist()], np.int64)
     size, key, n = (got[c].to_numpy() for c in ("size", "key", "n"))
@@ -191,7 +195,7 @@ def predict(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with lang_pred and score, the probability of that language (0 to 1) at the mean evidence
     of a word, taken as many times as there are words, EVIDENCE at most. A null text, and one without a
     letter, is ``und`` with score 0; so is every text if no language was learnt. Equal scores go to the
-    language that comes first in order."""
+    language that comes first in order. Columns of these two names are replaced, others pass through."""
     held = spark.sparkContext.broadcast(tuple(model))
 
     @F.arrow_udf("lang_pred string, score double")
@@ -207,5 +211,6 @@ def predict(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
                 names[lo + i], values[lo + i] = m.languages[best[i]], p[i, best[i]] / p[i].sum()
         return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(values)], names=["lang_pred", "score"])
 
-    return docs.withColumn("guess_", guess(F.col("text").cast("string"))).withColumns(
-        {"lang_pred": F.col("guess_.lang_pred"), "score": F.col("guess_.score")}).drop("guess_")
+    own = next(f"guess_{i}" for i in range(len(docs.columns) + 1) if f"guess_{i}" not in docs.columns)
+    return docs.withColumn(own, guess(F.col("text").cast("string"))).withColumns(
+        {"lang_pred": F.col(own)["lang_pred"], "score": F.col(own)["score"]}).drop(own)
