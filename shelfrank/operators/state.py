@@ -8,9 +8,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfrank.functions.columns import session_key
+from shelfrank.functions.columns import ntz_micros, session_key
 from shelfrank.operators.feed import after_reset
 
+HOUR_US = 3_600_000_000
+
 
 def toggle_state(toggles: DataFrame, action: str, resets: DataFrame | None = None) -> DataFrame:
     """ST2/ST3: a product is in the list when its number of toggles (after the last reset) is odd;
@@ -20,8 +22,21 @@ def toggle_state(toggles: DataFrame, action: str, resets: DataFrame | None = Non
                                                  F.max(F.struct("ts", "event_id")).alias("_last"))
     kept = per.filter(F.col("n_toggles") % 2 == 1).select(
         "user_id", "product_id", F.col("_last.event_id").alias("added_event_id"), F.col("_last.ts").alias("added_ts"))
-    w = Window.partitionBy("user_id").orderBy("added_ts", "added_event_id")
-    return kept.withColumn("position", F.row_number().over(w))
+    return numbered(kept)
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` (user_id, added_ts, added_event_id, ...) with their position in the user's list, by time and event. Places are counted within the
+    hours of a user, in as many tasks as there are hours, and the hours before a row's own are added from a table of one count
+    for each hour; so no task numbers a whole list. Rows without a time come first."""
+    rows = rows.withColumn("_hour", F.coalesce(F.floor(ntz_micros("added_ts") / HOUR_US), F.lit(-(1 << 62))))
+    sizes = rows.groupBy("user_id", "_hour").agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy("user_id").orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select(F.col("user_id").alias("_user"), F.col("_hour").alias("_of"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("user_id", "_hour").orderBy("added_ts", "added_event_id")
+    placed = rows.withColumn("_place", F.row_number().over(inside))
+    same = placed["user_id"].eqNullSafe(before["_user"]) & (placed["_hour"] == before["_of"])
+    return placed.join(before, same).withColumn("position", (F.col("_before") + F.col("_place")).cast("int")).drop("_hour", "_user", "_of", "_before", "_place")
 
 
 def wishlist_state(toggles: DataFrame, resets: DataFrame | None = None) -> DataFrame:

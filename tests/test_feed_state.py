@@ -77,3 +77,22 @@ def test_preferences_last_valid_wins(spark):
                                 "event_id long, user_id long, ts timestamp_ntz, c1 long, c2 long, n_categories long")
     got = feed.latest_preferences(upd, products).collect()
     assert [(r.user_id, list(r.categories)) for r in got] == [(1, ["D", "E", "F"])]
+
+
+def test_a_hot_users_list_is_numbered_in_many_tasks(spark):
+    """One user with half of all toggles: the same positions as one window a user, and no large group."""
+    from pyspark.sql import Window
+    n = 6000
+    rows = spark.range(n).select(
+        F.col("id").alias("event_id"), F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id") % 50 + 100).cast("long").alias("user_id"),
+        (F.col("id") % 5000).alias("product_id"), F.lit("like_toggle").alias("action"),
+        F.when(F.col("id") % 997 != 0, F.timestamp_add("MINUTE", F.col("id") * 7 % 9000, F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))).alias("ts"))
+    rows = rows.unionByName(rows.filter("user_id = 101").withColumn("user_id", F.lit(None).cast("long")))
+    got = state.wishlist_state(rows)
+    w = Window.partitionBy("user_id").orderBy("added_ts", "added_event_id")
+    plain = got.withColumn("want", F.row_number().over(w))
+    assert plain.filter("position <> want").count() == 0 and got.filter("user_id IS NULL").count() > 0
+    hot = got.filter("user_id = 7")
+    assert hot.count() > 1000 and hot.select(F.max("position")).first()[0] == hot.count()
+    hours = hot.groupBy(F.date_trunc("hour", "added_ts")).count().agg(F.max("count"), F.count("*")).first()
+    assert hours[0] < hot.count() / 20 and hours[1] > 100
