@@ -42,9 +42,24 @@ def run_summary(users: DataFrame, products: DataFrame, raw_interactions: DataFra
             .unionByName(pairs.unpivot([], ["matrix_pairs", "matrix_users"], "metric", "value")))
 
 
+def stored_summary(figures: dict[str, int], raw_interactions: DataFrame, matrix: DataFrame) -> DataFrame:
+    """A10 of a run whose stored tables were counted by their writes (users, products, interactions, matrix_pairs): only the raw
+    log, which the run does not store, and the user ids of the matrix are read."""
+    spark = matrix.sparkSession
+    known = spark.createDataFrame([(name, int(figures[name])) for name in ("users", "products", "interactions", "matrix_pairs")],
+                                  "metric string, value long")
+    raw = raw_interactions.agg(F.count("*").alias("value")).select(F.lit("raw_interactions").alias("metric"), "value")
+    users = matrix.agg(F.countDistinct("user_id").alias("value")).select(F.lit("matrix_users").alias("metric"), "value")
+    return known.unionByName(raw).unionByName(users)
+
+
 def model_summary(metrics: DataFrame, recommendations: DataFrame) -> DataFrame:
     """A10, the model's rows: RMSE and MAE (6 decimals) of one metrics row, and the users with recommendations."""
     served = recommendations.agg(F.countDistinct("user_id").cast("double").alias("users_served"))
+    return error_summary(metrics).unionByName(served.unpivot([], ["users_served"], "metric", "value"))
+
+
+def error_summary(metrics: DataFrame) -> DataFrame:
+    """RMSE and MAE (6 decimals) of one metrics row as (metric, value) rows."""
     errors = metrics.select(round_half_up("rmse", 6).alias("rmse"), round_half_up("mae", 6).alias("mae"))
-    return errors.unpivot([], ["rmse", "mae"], "metric", "value").unionByName(
-        served.unpivot([], ["users_served"], "metric", "value"))
+    return errors.unpivot([], ["rmse", "mae"], "metric", "value")

@@ -6,7 +6,8 @@
     run_summary(inputs, sets).show()
 
 What several results read (the clean log, the split matrix, the per-product aggregate) is computed once
-and stored in the checkpoint folder, as are the fitted factors; the results themselves are lazy.
+and stored in the checkpoint folder, as are the fitted factors, the metrics and the recommendations; the other results
+are lazy. The row counts of the stored tables come from their writes (``Results.figures``), not from another scan.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfrank.functions import constants as C
 from shelfrank.operators import catalog, clean, evaluate, factor, feed, matrix, profile, recommend
@@ -59,31 +61,38 @@ class Results:
     top_rated: DataFrame
     metrics: DataFrame
     feed: DataFrame
+    figures: dict[str, int]        # counts that the writes of the stored tables made
 
 
 def build_results(spark: SparkSession, inputs: Inputs, k: int = C.NUM_FACTORS, max_iter: int = C.MAX_ITERATIONS,
                   n: int = C.RECOMMENDATIONS_PER_USER, **nmf_args) -> Results:
     store = Store(spark, "batch-run")
-    users = store.table(clean.clean_users(inputs.users), "users")
-    products = store.table(clean.clean_products(inputs.products), "products")
-    log = store.table(clean.with_event_ids(clean.clean_interactions(inputs.interactions)), "log")
-    m = store.table(matrix.user_product_matrix(log), "matrix")
-    split = store.table(matrix.train_test_split(matrix.matrix_input(m)), "split")
+    rows, train = F.count(F.lit(1)), F.col("is_train")
+    users = store.table(clean.clean_users(inputs.users), "users", users=rows)
+    products = store.table(clean.clean_products(inputs.products), "products", products=rows)
+    log = store.table(clean.with_event_ids(clean.clean_interactions(inputs.interactions)), "log", interactions=rows)
+    m = store.table(matrix.user_product_matrix(log), "matrix", matrix_pairs=rows)
+    split = store.table(matrix.train_test_split(matrix.matrix_input(m)), "split",
+                        train_entries=F.count_if(train), test_entries=F.count_if(~train))
     popularity = store.table(catalog.product_popularity(log), "popularity")
     stats = catalog.engagement_of(products, popularity)
     popular = store.table(catalog.rank_popular(popularity, products), "popular")
     similar = store.table(catalog.similar_products(stats), "similar")
     complementary = store.table(catalog.complementary_products(stats, inputs.complementary_map), "complementary")
     model = factor.fit_nmf(spark, split, k=k, max_iter=max_iter, **nmf_args)
+    top = recommend.recommend_top_n(model.user_factors, model.item_factors, split, products, k, n)
+    recommendations = store.table(top, "recommendations", users_served=F.count_if(F.col("rec_rank") == 1))
+    metrics = store.table(evaluate.model_metrics(spark, split, model), "metrics")
     none = spark.createDataFrame([], "user_id long, categories array<string>")
     slots = feed.feed_slots(feed.time_decay_weights(feed.recent_interactions(log), feed.latest_ts(log)))
     return Results(
         users=users, products=products, interactions=log, matrix=m, split=split, model=model,
-        recommendations=recommend.recommend_top_n(model.user_factors, model.item_factors, split, products, k, n),
+        recommendations=recommendations,
         popular=popular, similar=similar, complementary=complementary,
         top_rated=catalog.top_rated(products),
-        metrics=evaluate.model_metrics(spark, split, model),
+        metrics=metrics,
         feed=feed.personal_feed(slots, similar, complementary, products, feed.user_categories(users, none, products), popular),
+        figures={name: value for seen in store.seen.values() for name, value in seen.items()},
     )
 
 
@@ -101,6 +110,15 @@ def write_results(spark: SparkSession, r: Results, out_dir: str) -> int:
 
 
 def run_summary(inputs: Inputs, r: Results) -> DataFrame:
-    """A10: row counts of the run and the model's rows, all as doubles."""
-    counts = profile.run_summary(r.users, r.products, inputs.interactions, r.interactions, r.matrix)
-    return counts.withColumn("value", counts["value"].cast("double")).unionByName(profile.model_summary(r.metrics, r.recommendations))
+    """A10: row counts of the run and the model's rows, all as doubles. The raw log and the matrix's user ids are read; all other
+    counts are those of the writes."""
+    counts = profile.stored_summary(r.figures, inputs.interactions, r.matrix)
+    served = r.users.sparkSession.createDataFrame([("users_served", float(r.figures["users_served"]))], "metric string, value double")
+    return (counts.withColumn("value", F.col("value").cast("double"))
+            .unionByName(profile.error_summary(r.metrics)).unionByName(served))
+
+
+def split_counts(r: Results) -> DataFrame:
+    """A15 of the run, as the write of the split counted it."""
+    names = ("train_entries", "test_entries")
+    return r.users.sparkSession.createDataFrame([tuple(int(r.figures[n]) for n in names)], ", ".join(f"{n} long" for n in names))

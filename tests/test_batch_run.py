@@ -1,8 +1,14 @@
 """The whole batch run on reference-shaped CSV inputs (string ratings, literal complementary map)."""
 
+import contextlib
+import io
 import tempfile
 
+from pyspark.sql import functions as F
+
+from shelfrank.operators import matrix, profile
 from shelfrank.plans import batch_run
+from shelfrank.plans.store import Store
 from shelfrank.sources import lookup
 
 SUBS = [("Electronics", "Laptops"), ("Electronics", "Headphones"), ("Electronics", "Tablets"),
@@ -66,8 +72,6 @@ def test_batch_run_end_to_end(spark):
 def test_shared_inputs_are_computed_once(spark):
     """Every result reads stored rows: none scans the CSV log or dedups it again. The CSV log has no event
     ids, and the feed runs on it."""
-    import contextlib
-    import io
     r = batch_run.build_results(spark, batch_run.from_csv(spark, *fixture()), k=2, max_iter=2)
     for name in ("recommendations", "popular", "similar", "complementary", "metrics", "feed", "interactions"):
         text = io.StringIO()
@@ -77,3 +81,30 @@ def test_shared_inputs_are_computed_once(spark):
     rows = r.feed.collect()
     assert rows and all(1 <= x.position <= 14 for x in rows)
     assert r.interactions.groupBy("event_id").count().filter("count > 1").count() == 0
+
+
+def test_counts_come_from_the_writes(spark):
+    """A10 and A15 equal their scans, and their plans read no stored log, users, products or split, and only the matrix's user ids."""
+    inputs = batch_run.from_csv(spark, *fixture())
+    r = batch_run.build_results(spark, inputs, k=2, max_iter=2)
+    scans = profile.run_summary(r.users, r.products, inputs.interactions, r.interactions, r.matrix)
+    want = {x.metric: float(x.value) for x in scans.collect()} | {x.metric: x.value for x in profile.model_summary(r.metrics, r.recommendations).collect()}
+    summary = batch_run.run_summary(inputs, r)
+    assert {x.metric: x.value for x in summary.collect()} == want and len(want) == summary.count() == 9
+    assert batch_run.split_counts(r).collect() == matrix.split_counts(r.split).collect()
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        summary.explain("formatted")
+        batch_run.split_counts(r).explain("formatted")
+    read = {line for line in text.getvalue().splitlines() if line.startswith("ReadSchema")}
+    assert read == {"ReadSchema: struct<>", "ReadSchema: struct<user_id:bigint>", "ReadSchema: struct<rmse:double,mae:double>"}
+
+
+def test_store_counts_what_it_writes(spark):
+    store = Store(spark, "counted")
+    df = spark.range(1000).withColumn("even", F.col("id") % 2 == 0)
+    kept = store.table(df.repartition(7), "numbers", rows=F.count(F.lit(1)), even=F.count_if(F.col("even")))
+    assert store.seen == {"numbers": {"rows": 1000, "even": 500}} and kept.count() == 1000 and kept.dtypes == df.dtypes
+    store.table(df.where("id < 0"), "none", rows=F.count(F.lit(1)), even=F.count_if(F.col("even")))
+    store.table(df, "plain")
+    assert store.seen["none"] == {"rows": 0, "even": 0} and "plain" not in store.seen
