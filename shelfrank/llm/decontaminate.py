@@ -3,13 +3,15 @@
 The automaton accepts every word sequence that occurs in some item. Document words stream through it:
 after each word the state stands for the longest sequence, ending here, that occurs in an item. Spans
 of at least ``window`` words (or a whole shorter item) are hits. The automaton is built on an executor
-from a bounded number of item words and broadcast; more items make more automata, passed one after
-another over the documents, so a task never holds more than one.
+from a bounded number of item words; more items make more automata. As many as ``PASS_BYTES`` allow are
+broadcast and matched in one pass over the documents, whose words are hashed once; only beyond that there
+is another pass, so what a task holds does not grow with the items.
 """
 
 from __future__ import annotations
 
 import pickle
+from array import array
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -22,21 +24,27 @@ from shelfrank.llm import words as W
 from shelfrank.llm.tables import Scratch, replaced
 
 WINDOW = 10
-#: Item words in one automaton at most; it bounds what is built in one task and broadcast (about 40 MB).
+#: Item words in one automaton at most; it bounds what is built in one task.
 SHARD_WORDS = 100_000
+#: Bytes of the pickled automata of one pass (one automaton at least); it bounds what is broadcast.
+PASS_BYTES = 32 << 20
+#: In ``Automaton.word``: the state has no successor, or several.
+NONE, SEVERAL = -1, -2
 
 
 class Automaton(NamedTuple):
+    """Most states have one successor; these are two numbers, not a dict."""
     window: int
     vocabulary: np.ndarray  # sorted word hashes; a word's number is its place
-    step: list[dict[int, int]]
-    link: list[int]
-    longest: list[int]
-    #: State of the window-long suffix, for states of at least window words; else -1.
-    at_window: list[int]
-    windows: dict[int, list]  # state -> items that have this window
+    word: array  # the word to the state's only successor, or NONE or SEVERAL
+    target: array  # that successor
+    several: dict[int, dict[int, int]]  # state -> word -> successor, where there are several
+    link: array
+    longest: array
+    sets: list[tuple]  # distinct lists of items that share a window
+    found: array  # place in sets of the items that have the state's window-long suffix, for states of at least window words
     shorts: dict[int, list]  # state -> (words, item) of the shorter items that end here
-    next_short: list[int]  # nearest state on the suffix chain, itself included, with shorts; else -1
+    next_short: array  # nearest state on the suffix chain, itself included, with shorts; else -1
     least: int  # words of the shortest window
 
 
@@ -100,21 +108,28 @@ def build(items: list[tuple[object, np.ndarray]], window: int = WINDOW) -> Autom
     for s in by_length[1:]:
         next_short[s] = s if s in shorts else next_short[link[s]]
     least = min([window, *(n for x in shorts.values() for n, _ in x)])
-    return Automaton(window, vocabulary, step, link, longest, at_window, windows, shorts, next_short, least)
+    sets: dict[tuple, int] = {(): 0}
+    place = {s: sets.setdefault(tuple(ids), len(sets)) for s, ids in windows.items()}
+    ways = [next(iter(x.items())) if len(x) == 1 else (SEVERAL if x else NONE, 0) for x in step]
+    return Automaton(
+        window, vocabulary, array("i", [w for w, _ in ways]), array("i", [t for _, t in ways]), {s: x for s, x in enumerate(step) if len(x) > 1},
+        array("i", link), array("i", longest), list(sets), array("i", [place.get(s, 0) for s in at_window]), shorts, array("i", next_short), least)
 
 
 def match(a: Automaton, text: list[int]) -> tuple[list[tuple[int, int]], set]:
     """Hit word ranges (start, end) of a run of word numbers, not yet merged, and the items hit."""
-    step, link, longest, window = a.step, a.link, a.longest, a.window
+    only, target, several, link, longest, window = a.word, a.target, a.several, a.link, a.longest, a.window
     state = length = 0
     spans: list[tuple[int, int]] = []
     items: set = set()
     for i, word in enumerate(text):
-        nxt = step[state].get(word)
-        while nxt is None and state:
+        while True:
+            way = only[state]
+            nxt = target[state] if way == word else several[state].get(word) if way == SEVERAL else None
+            if nxt is not None or not state:
+                break
             state = link[state]
             length = longest[state]
-            nxt = step[state].get(word)
         if nxt is None:
             length = 0
             continue
@@ -122,7 +137,7 @@ def match(a: Automaton, text: list[int]) -> tuple[list[tuple[int, int]], set]:
         length += 1
         if length >= window:
             spans.append((i + 1 - window, i + 1))
-            items.update(a.windows.get(a.at_window[state], ()))
+            items.update(a.sets[a.found[state]])
         short = a.next_short[state]
         while short > 0:
             for n, item in a.shorts[short]:
@@ -154,38 +169,40 @@ def merged_cuts(spans: list[tuple[int, int, int, int]]) -> list[tuple[int, int,
     return out
 
 
-def scan(a: Automaton, column: pa.Array) -> Iterator[tuple[int, list[tuple[int, int]], list[tuple[int, int]], list]]:
+def scan(automata: list[Automaton], column: pa.Array) -> Iterator[tuple[int, list[tuple[int, int]], list[tuple[int, int]], set]]:
     """For every text: number of words, hit word ranges, the same in code points, items hit.
 
-    Only runs of words that occur in the items, as long as the shortest window, reach the automaton."""
+    Only runs of words that occur in an automaton's items, as long as its shortest window, reach it."""
     for lo, hi in W.slices(column):
         w = W.words(column.slice(lo, hi - lo), W.ALNUM)
-        place = np.searchsorted(a.vocabulary, w.hashes)
-        place[place == len(a.vocabulary)] = 0
-        known = a.vocabulary[place] == w.hashes if len(a.vocabulary) else np.zeros(len(w.hashes), bool)
-        starts, ends, rows = W.split(known.astype(np.uint8), w.rows, np.array([False, True] + [False] * 254))
-        long_enough = ends - starts >= a.least
-        rows = np.concatenate([[0], np.cumsum(long_enough)])[rows]
-        starts, ends = starts[long_enough], ends[long_enough]
         offsets = W.flat(column.slice(lo, hi - lo))[1]
+        spans: list[list[tuple[int, int]]] = [[] for _ in range(hi - lo)]
+        items: list[set] = [set() for _ in range(hi - lo)]
+        for a in automata:
+            place = np.searchsorted(a.vocabulary, w.hashes)
+            place[place == len(a.vocabulary)] = 0
+            known = a.vocabulary[place] == w.hashes if len(a.vocabulary) else np.zeros(len(w.hashes), bool)
+            starts, ends, rows = W.split(known.astype(np.uint8), w.rows, np.array([False, True] + [False] * 254))
+            long_enough = ends - starts >= a.least
+            rows = np.concatenate([[0], np.cumsum(long_enough)])[rows]
+            starts, ends = starts[long_enough], ends[long_enough]
+            for r in np.flatnonzero(np.diff(rows)).tolist():
+                first = int(w.rows[r])
+                for s, e in zip(starts[rows[r]:rows[r + 1]].tolist(), ends[rows[r]:rows[r + 1]].tolist()):
+                    found, hit = match(a, place[s:e].tolist())
+                    spans[r] += [(x + s - first, y + s - first) for x, y in found]
+                    items[r] |= hit
         for r in range(hi - lo):
-            spans: list[tuple[int, int]] = []
-            items: set = set()
-            for s, e in zip(starts[rows[r]:rows[r + 1]].tolist(), ends[rows[r]:rows[r + 1]].tolist()):
-                found, hit = match(a, place[s:e].tolist())
-                spans += [(x + s - int(w.rows[r]), y + s - int(w.rows[r])) for x, y in found]
-                items |= hit
-            spans = merged(spans)
-            first = int(w.rows[r])
+            first, hits = int(w.rows[r]), merged(spans[r])
             places, at, points = [], int(offsets[r]), 0
-            for x, y in spans:  # code points from one bound to the next: all bytes but continuation bytes
+            for x, y in hits:  # code points from one bound to the next: all bytes but continuation bytes
                 bounds = []
                 for bound in (int(w.starts[first + x]), int(w.ends[first + y - 1])):
                     points += int(np.count_nonzero(w.data[at:bound] & 0xC0 != 0x80))
                     at = bound
                     bounds.append(points)
                 places.append((bounds[0], bounds[1]))
-            yield int(w.rows[r + 1] - first), spans, places, sorted(items, key=str)
+            yield int(w.rows[r + 1] - first), hits, places, items[r]
 
 
 def _build_shards(window: int, most: int):
@@ -223,18 +240,30 @@ def automata(items: DataFrame, window: int = WINDOW, most: int = SHARD_WORDS) ->
         yield bytes(row["automaton"])
 
 
-def _scan_batches(blob, keep: list[str]):
+def passes(blobs: Iterator[bytes], most_bytes: int) -> Iterator[list[bytes]]:
+    """The automata in groups of at most so many bytes, one at least in each."""
+    held: list[bytes] = []
+    for blob in blobs:
+        if held and sum(map(len, held)) + len(blob) > most_bytes:
+            yield held
+            held = []
+        held.append(blob)
+    if held:
+        yield held
+
+
+def _scan_batches(blobs, keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = Automaton(*pickle.loads(blob.value))
+        automata = [Automaton(*pickle.loads(blob)) for blob in blobs.value]
         for whole in batches:
             for lo, hi in W.slices(whole.column("text")):
                 batch = whole.slice(lo, hi - lo)
-                found = list(scan(automaton, batch.column("text")))
+                found = list(scan(automata, batch.column("text")))
                 words = [x[0] for x in found]
                 hits = [[{"a": a, "b": b} for a, b in x[1]] for x in found]
                 cuts = [[{"a": a, "b": b} for a, b in x[2]] for x in found]
                 items = [[str(i) for i in x[3] if i is not None] for x in found]
-                if "hits" in keep:  # what earlier automata have found
+                if "hits" in keep:  # what earlier passes have found
                     was = [batch.column(c).to_pylist() for c in ("hits", "cuts", "items")]
                     both = [merged_cuts([(h["a"], h["b"], c["a"], c["b"]) for h, c in (*zip(x, y), *zip(hit, cut))])
                             for x, y, hit, cut in zip(was[0], was[1], hits, cuts)]
@@ -253,7 +282,8 @@ def _scan_batches(blob, keep: list[str]):
 FOUND = "n_words long, hits array<struct<a: long, b: long>>, cuts array<struct<a: long, b: long>>, items array<string>"
 
 
-def find(spark: SparkSession, docs: DataFrame, items: DataFrame, window: int = WINDOW, most: int = SHARD_WORDS) -> DataFrame:
+def find(spark: SparkSession, docs: DataFrame, items: DataFrame, window: int = WINDOW, most: int = SHARD_WORDS,
+         most_bytes: int = PASS_BYTES) -> DataFrame:
     """``docs`` (with a string column text; other columns pass through, but for the four names below) with
 
     n_words: number of words (runs of ASCII letters, digits and non-ASCII characters; A-Z lower-cased);
@@ -262,22 +292,25 @@ def find(spark: SparkSession, docs: DataFrame, items: DataFrame, window: int = W
     cuts: the same ranges in code points of the text;
     items: the item_ids with a window here, as sorted strings. Items without item_id count as hits only.
 
-    A null text has no words. Without items, or without words in them, nothing is hit.
+    ``most`` bounds the item words of an automaton, ``most_bytes`` the automata of a pass over the documents. Between passes the rows
+    are a table in the shared folder; a table that the next pass has read is dropped. A null text has no words. Without items, or without words in them, nothing is hit.
     """
     out = docs.drop("n_words", "hits", "cuts", "items").withColumn("text", F.col("text").cast("string"))
     scratch = Scratch(spark, "decontaminate")
+
+    def scanned(rows: DataFrame, blobs: list[bytes]) -> DataFrame:
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name not in ("n_words", "hits", "cuts", "items"))
+        return rows.mapInArrow(_scan_batches(spark.sparkContext.broadcast(blobs), rows.columns), f"{schema}, {FOUND}")
+
     n = 0
-    for blob in automata(items, window, most):
-        if n:  # one automaton in a task at a time
+    for blobs in passes(automata(items, window, most), most_bytes):
+        if n:
             out = scratch.table(out, f"pass-{n}")
+            if n > 1:
+                scratch.drop(f"pass-{n - 1}")
         n += 1
-        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema.fields if f.name not in ("n_words", "hits", "cuts", "items"))
-        out = out.mapInArrow(_scan_batches(spark.sparkContext.broadcast(blob), out.columns), f"{schema}, {FOUND}")
-    if not n:
-        empty = spark.sparkContext.broadcast(pickle.dumps(tuple(build([], window))))
-        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema.fields)
-        out = out.mapInArrow(_scan_batches(empty, out.columns), f"{schema}, {FOUND}")
-    return out
+        out = scanned(out, blobs)
+    return out if n else scanned(out, [])
 
 
 def remove(found: DataFrame, max_coverage: float = 0.5, max_span: int = WINDOW) -> DataFrame:
