@@ -176,26 +176,34 @@ def _delay_ms(watermark: str) -> int:
 
 
 def _first_copies(watermark: str):
-    """State of a (user, session): for each product and type the earliest (ts, event_id). A session goes once the watermark has
-    passed its last event by the delay: copies that come later than that count again, as in the stateful dedup."""
+    """State of a user: for each session the earliest (ts, event_id) of each product and type. A session goes once the watermark has
+    passed its last event by the delay: copies that come later than that count again, as in the stateful dedup. The key is the user and
+    not the session: a call of Python costs far more than an event, and most sessions are an event or two."""
     def update(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        firsts, top = json.loads(state.get[0]) if state.exists else ({}, 0)
+        now = state.getCurrentWatermarkMs()
+        sessions = json.loads(state.get[0]) if state.exists else {}
+        touched = set()
         changes: Counter = Counter()
-        for rows in chunks:
-            for product, kind, ts, event in zip(*(rows[c].tolist() for c in ("product_id", "interaction_type", "ts_us", "event_id"))):
-                place, new = f"{int(product)}|{kind}", [int(ts), int(event)]
-                old = firsts.get(place)
+        for rows in () if state.hasTimedOut else chunks:
+            for session, product, kind, ts, event in zip(*(rows[c].tolist() for c in ("session_id", "product_id", "interaction_type", "ts_us", "event_id"))):
+                name, place, new = "" if session is None else f"s{session}", f"{int(product)}|{kind}", [int(ts), int(event)]
+                held = sessions.setdefault(name, [{}, 0, 0])   # firsts, time of the last event, end of the session's state
+                old = held[0].get(place)
                 if old is None or new < old:
-                    firsts[place] = new
+                    held[0][place] = new
                     changes[new[0] // HOUR_US] += 1
                     if old is not None:
                         changes[old[0] // HOUR_US] -= 1
-                top = max(top, new[0])
-        state.update((json.dumps((firsts, top)),))
-        state.setTimeoutTimestamp(max(top // 1000, state.getCurrentWatermarkMs()) + _delay_ms(watermark) + 1)
+                held[1] = max(held[1], new[0])
+                touched.add(name)
+        for name in touched:
+            sessions[name][2] = max(sessions[name][1] // 1000, now) + _delay_ms(watermark) + 1
+        sessions = {name: held for name, held in sessions.items() if name in touched or held[2] >= now}
+        if sessions:
+            state.update((json.dumps(sessions),))
+            state.setTimeoutTimestamp(min(held[2] for held in sessions.values()))
+        else:
+            state.remove()
         out = [(key[0], hour * HOUR_US, n) for hour, n in changes.items() if n]
         yield pd.DataFrame(out, columns=["user_id", "window_us", "delta"])
     return update
@@ -204,7 +212,7 @@ def _first_copies(watermark: str):
 def window_changes(events: DataFrame, watermark: str = LATENESS) -> DataFrame:
     """Changes (+1, -1) of the hourly windows of each user, from a dedup that takes back what an earlier copy replaces."""
     rows = _interactions(events, watermark).select("ts", "user_id", "session_id", "product_id", "interaction_type", "ts_us", "event_id")
-    return rows.groupBy("user_id", "session_id").applyInPandasWithState(_first_copies(watermark), CHANGES, "blob string", "append", GroupStateTimeout.EventTimeTimeout)
+    return rows.groupBy("user_id").applyInPandasWithState(_first_copies(watermark), CHANGES, "blob string", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def window_counts(changes: DataFrame, watermark: str = LATENESS) -> DataFrame:
