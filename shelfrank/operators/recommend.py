@@ -29,6 +29,9 @@ from shelfrank.plans.store import Store
 #: Users scored together (times the item block, a matrix of doubles).
 CHUNK = 256
 
+#: Products that a user copy meets at least, where there are as many (times CHUNK users, a matrix of doubles).
+SPAN = 16_384
+
 CANDIDATE_SCHEMA = "user_id long, product_id long, score double"
 
 
@@ -173,6 +176,15 @@ def _pruned(spark: SparkSession, users: DataFrame, items: DataFrame, seen: DataF
     head = items.filter("ib = 0").withColumn("ub", F.explode(F.sequence(F.lit(0), F.lit(n_ub - 1))))
     first = store.table(_scored(users.withColumn("ub", _block("user_id", n_ub)).withColumn("ib", F.lit(0)), head, lists, n), "first")
     reach = store.table(bounds(first, users, tops, n), "reach").filter("reach > 1")
+    # Beyond the first block a user is copied to spans of blocks, not to each: what is moved follows the spans, however small the blocks.
+    width = max(1, SPAN // item_block)
+
+    def span(block: Column) -> Column:
+        return F.when(block == 0, 0).otherwise(F.floor((block - 1) / width) + 1).cast("int")
+
+    items = items.withColumn("ib", span(F.col("ib")))
+    reach = reach.withColumn("reach", span(F.col("reach") - 1) + 1)
+    lists = (lists.filter("ib > 0").groupBy("user_id", span(F.col("ib")).alias("ib")).agg(F.flatten(F.collect_list("seen")).alias("seen")))
 
     # Users of one class need a like number of blocks (powers of two), so a bucket's blocks are not for one user only.
     kind = F.ceil(F.log2("reach")).cast("int")

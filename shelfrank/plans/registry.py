@@ -811,7 +811,8 @@ def q_order_log_matrix_stats(spark, d):
 def q_order_log_recommend(spark, d):
     """M5 on the whole order log (every customer and part) from fixed factors, over many item blocks."""
     c = Ctx(spark, d)
-    log = order_log(spark, d).select("user_id", "product_id").distinct()
+    pairs = order_log(spark, d).select("user_id", "product_id").distinct()
+    log = Store(spark, "order-log").table(pairs, "pairs")  # read by many jobs: cleaned and shuffled once
     uf = factor.hashed_start(log.select("user_id").distinct(), "user_id", C.NUM_FACTORS, 1.0, C.RANDOM_SEED)
     itf = factor.hashed_start(c.products.select("product_id"), "product_id", C.NUM_FACTORS, 1.0, C.RANDOM_SEED)
     return recommend.recommend_top_n(uf, itf, log, c.products, C.NUM_FACTORS, user_block=4096, item_block=512).select(
