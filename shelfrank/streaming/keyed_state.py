@@ -3,12 +3,14 @@
 It keeps the facts of ``user_state`` (see there why their order does not matter), but not as one text per user that every
 batch writes anew. A user has
 
-* ``sessions``: per session the earliest (ts, event_id) of each product and type;
-* ``lists``: per product and list the toggles within the delay, and what is settled before;
+* ``sessions``: per session the earliest (ts, event_id) of each product and type, in chunks;
+* ``lists``: per product and list the toggles within the delay, and what is settled before, in chunks;
 * ``info``: the reset, the undominated preference updates, and the settled history (some ``HISTORY_CAP`` events).
 
-A batch reads and writes the sessions and list items that its events touch; timers at the ends of days, in event time,
-settle what no admissible event can change. So what a batch writes follows its events and not the state.
+A batch reads the chunks, which its snapshot needs anyway, and writes one more chunk with the facts of its events: facts merge in any
+order. Each call of a state variable is a round trip to the JVM, so a user costs a batch a few calls and not some for each event. A
+timer at the end of the earliest open day, in event time, settles what no admissible event can change and leaves one chunk; a batch that
+finds ``MOST_CHUNKS`` does the same. So what a batch writes follows its events and not the state.
 
 Two things are new against ``user_state``: toggles that add a product are events of the history (``like``, ``add_to_cart``), as the
 batch operator ``state.with_additions`` has them, and preference updates hold category lists.
@@ -48,31 +50,76 @@ def _added(item: str, toggles: dict, reset: int) -> list[list]:
     return [[ts, event, int(product), ADDITIONS[kind]] for i, (ts, event) in enumerate(live) if (before + i) % 2 == 0]
 
 
+#: Chunks of a user's sessions and list items above which a batch merges them.
+MOST_CHUNKS = 32
+
+
+def _merge_sessions(into: dict, more: dict) -> dict:
+    for session, firsts in more.items():
+        held = into.setdefault(session, {})
+        for place, first in firsts.items():
+            if place not in held or first[:2] < held[place][:2]:
+                held[place] = first
+    return into
+
+
+def _merge_lists(into: dict, more: dict) -> dict:
+    for item, toggles in more.items():
+        held = into.setdefault(item, {"old": None, "new": []})
+        held["old"] = held["old"] or toggles["old"]    # one chunk at most holds what is settled
+        held["new"] = held["new"] + toggles["new"]
+    return into
+
+
 class UserState(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.sessions = handle.getMapState("sessions", "session string", "blob string")
-        self.lists = handle.getMapState("lists", "item string", "blob string")
+        self.sessions = handle.getMapState("sessions", "chunk string", "blob string")
+        self.lists = handle.getMapState("lists", "chunk string", "blob string")
         self.info = handle.getValueState("info", "blob string")
 
     def _info(self) -> tuple[dict, bool]:
         if self.info.exists():
             return json.loads(self.info.get()[0]), True
-        return {"reset": None, "prefs": [], "final": [], "max_ts": None, "late": 0}, False
+        return {"reset": None, "prefs": [], "final": [], "max_ts": None, "late": 0, "chunk": 0, "chunks": 0, "timer": None}, False
+
+    def _held(self) -> tuple[dict, dict]:
+        """All chunks of the sessions and of the list items, merged."""
+        sessions, items = {}, {}
+        for _, (blob,) in self.sessions.iterator():
+            _merge_sessions(sessions, json.loads(blob))
+        for _, (blob,) in self.lists.iterator():
+            _merge_lists(items, json.loads(blob))
+        return sessions, items
+
+    def _add(self, info: dict, sessions: dict, items: dict, replace: bool) -> None:
+        """Write one more chunk, or one in place of all others."""
+        if replace:
+            for state in (self.sessions, self.lists):
+                for name in [name for (name,), _ in state.iterator()]:
+                    state.removeKey((name,))
+            info["chunks"] = 0
+        info["chunk"] += 1
+        info["chunks"] += 1
+        for state, rows in ((self.sessions, sessions), (self.lists, items)):
+            if rows:
+                state.updateValue((str(info["chunk"]),), (json.dumps(rows),))
+
+    def _wake(self, info: dict, times: set[int], watermark_us: int) -> None:
+        """One timer: the end of the earliest day among ``times`` (the old one still fires if it is later, and finds nothing)."""
+        end = min(((ts // DAY_US + 1) * DAY_US // 1000 for ts in times), default=None)
+        held = info["timer"] if info["timer"] is not None and info["timer"] * 1000 > watermark_us else None
+        if end is not None and (held is None or end < held):
+            self.handle.registerTimer(end)
+            held = end
+        info["timer"] = held
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         watermark_us = timerValues.getCurrentWatermarkInMs() * 1000
         info, known = self._info()
         sessions: dict[str, dict] = {}
         items: dict[str, dict] = {}
-        days: set[int] = set()
-
-        def touched(cache: dict, state, name: str, empty) -> dict:
-            if name not in cache:
-                held = state.getValue((name,)) if known else None
-                cache[name] = json.loads(held[0]) if held else empty
-            return cache[name]
-
+        times: set[int] = set()
         for part in rows:
             for kind, ts, event, product, itype, session, categories in zip(*(part[c].tolist() for c in COLUMNS)):
                 ts, event = int(ts), int(event)
@@ -87,23 +134,22 @@ class UserState(StatefulProcessor):
                 elif product is None or pd.isna(product):
                     continue
                 elif kind == "interaction":
-                    firsts = touched(sessions, self.sessions, str(session), {})
-                    place = f"{int(product)}|{itype}"
-                    if place not in firsts or [ts, event] < firsts[place][:2]:
-                        firsts[place] = [ts, event, int(product), itype]
+                    _merge_sessions(sessions, {str(session): {f"{int(product)}|{itype}": [ts, event, int(product), itype]}})
                     info["max_ts"] = ts if info["max_ts"] is None else max(info["max_ts"], ts)
-                    days.add(ts // DAY_US)
+                    times.add(ts)
                 else:
-                    touched(items, self.lists, f"{kind}|{int(product)}", {"old": None, "new": []})["new"].append([ts, event])
-                    days.add(ts // DAY_US)
-        for name, firsts in sessions.items():
-            self.sessions.updateValue((name,), (json.dumps(firsts),))
-        for name, toggles in items.items():
-            self.lists.updateValue((name,), (json.dumps(toggles),))
+                    items.setdefault(f"{kind}|{int(product)}", {"old": None, "new": []})["new"].append([ts, event])
+                    times.add(ts)
+        shown = (sessions, items)
+        if known:
+            held_sessions, held_items = self._held()
+            shown = (_merge_sessions(held_sessions, sessions), _merge_lists(held_items, items))
+        if sessions or items:
+            replace = info["chunks"] >= MOST_CHUNKS
+            self._add(info, *(shown if replace else (sessions, items)), replace)
+        self._wake(info, times, watermark_us)
         self.info.update((json.dumps(info),))
-        for day in days:
-            self.handle.registerTimer((day + 1) * DAY_US // 1000)
-        yield pd.DataFrame([self._snapshot(key[0], info, known, sessions, items)])
+        yield pd.DataFrame([self._snapshot(key[0], info, *shown)])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         """Settle the days that have ended: their sessions and toggles can't change any more. Emits nothing, as nothing that a
@@ -111,43 +157,38 @@ class UserState(StatefulProcessor):
         watermark_us = timerValues.getCurrentWatermarkInMs() * 1000
         info, _ = self._info()
         reset = -1 if info["reset"] is None else info["reset"]
+        sessions, items = self._held()
         final = list(info["final"])
-        for (name,), (blob,) in list(self.sessions.iterator()):
-            firsts = json.loads(blob)
+        left_sessions, left_items, times = {}, {}, set()
+        for name, firsts in sessions.items():
             ended = {p: v for p, v in firsts.items() if (v[0] // DAY_US + 1) * DAY_US <= watermark_us}
-            if ended:
-                final += ended.values()
-                left = {p: v for p, v in firsts.items() if p not in ended}
-                if left:
-                    self.sessions.updateValue((name,), (json.dumps(left),))
-                else:
-                    self.sessions.removeKey((name,))
-        for (name,), (blob,) in list(self.lists.iterator()):
-            toggles = json.loads(blob)
-            if not any(ts < watermark_us for ts, _ in toggles["new"]):
-                continue
-            if toggles["old"] and toggles["old"][3] <= reset:
-                toggles["old"] = None
-            final += [a for a in _added(name, toggles, reset) if a[0] < watermark_us]
-            live = [t for t in toggles["new"] if t[1] > reset]
-            for ts, event in [t for t in live if t[0] < watermark_us]:
-                n, last_ts, last_event, top = toggles["old"] or [0, -1, -1, -1]
-                toggles["old"] = [n + 1, *max((last_ts, last_event), (ts, event)), max(top, event)]
-            toggles["new"] = [t for t in live if t[0] >= watermark_us]
+            final += ended.values()
+            left = {p: v for p, v in firsts.items() if p not in ended}
+            if left:
+                left_sessions[name] = left
+                times.update(v[0] for v in left.values())
+        for name, toggles in items.items():
+            if any(ts < watermark_us for ts, _ in toggles["new"]):
+                if toggles["old"] and toggles["old"][3] <= reset:
+                    toggles["old"] = None
+                final += [a for a in _added(name, toggles, reset) if a[0] < watermark_us]
+                live = [t for t in toggles["new"] if t[1] > reset]
+                for ts, event in [t for t in live if t[0] < watermark_us]:
+                    n, last_ts, last_event, top = toggles["old"] or [0, -1, -1, -1]
+                    toggles["old"] = [n + 1, *max((last_ts, last_event), (ts, event)), max(top, event)]
+                toggles["new"] = [t for t in live if t[0] >= watermark_us]
             if toggles["old"] or toggles["new"]:
-                self.lists.updateValue((name,), (json.dumps(toggles),))
-            else:
-                self.lists.removeKey((name,))
+                left_items[name] = toggles
+                times.update(ts for ts, _ in toggles["new"])
+        self._add(info, left_sessions, left_items, True)
+        self._wake(info, times, watermark_us)
         info["final"] = _beaten([v for v in final if v[1] > reset], C.HISTORY_CAP)
         info["prefs"] = [p for p in info["prefs"] if p[1] > reset]
         self.info.update((json.dumps(info),))
         yield pd.DataFrame()
 
-    def _snapshot(self, user, info: dict, known: bool, sessions: dict, items: dict) -> dict:
+    def _snapshot(self, user, info: dict, sessions: dict, items: dict) -> dict:
         reset = -1 if info["reset"] is None else info["reset"]
-        if known:  # what the batch has not touched
-            sessions = {k: json.loads(v) for (k,), (v,) in self.sessions.iterator()}
-            items = {k: json.loads(v) for (k,), (v,) in self.lists.iterator()}
         lists: dict[str, list] = {kind: [] for kind in ADDITIONS}
         events = [v for v in info["final"] if v[1] > reset] + [v for firsts in sessions.values() for v in firsts.values() if v[1] > reset]
         for name, toggles in items.items():
