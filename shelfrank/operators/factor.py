@@ -12,18 +12,20 @@ step is
 1. a join of the observed triplets with the fixed factor table and a weighted vector sum per row
    key (k plain sums: one code-generated hash aggregate, partial before the shuffle, so a hot user
    sends one partial vector per task);
-2. a vectorised coordinate-descent solve per row in ``mapInPandas`` (numpy on Arrow batches, G sent
+2. a vectorised coordinate-descent solve per row in ``mapInArrow`` (numpy on Arrow batches, G sent
    with the task);
 3. a k x k Gram matrix of the new factors, summed per partition and then across partitions.
 
 Only k x k matrices and scalars reach the driver. The loss comes from the Grams:
 ||R - WH||^2 = sum r^2 - 2 sum_u w_u . b_u + trace((W'W)(HH')).
 
-Data movement: the training triplets are written once as two tables in the checkpoint folder, bucketed
-by (user, salt) and by (product, salt). The salt is a hash of the other id, so a product with half of all
-pairs lies in SALTS buckets, and the per-iteration joins move only the factor side, each row once for
-each salt (or broadcast it when it is small); the triplets are never reshuffled. The per-key sums
-shuffle partial vectors only. Each solve is written as a table in the checkpoint folder and read back
+Data movement: the training triplets are written once, bucketed by user, and the per-iteration joins move
+only the factor side; the triplets are never reshuffled. The few rows of a small side are broadcast, and its sums for the other
+side run over the table that lies by the other side's key, so a task sends one partial vector for each of
+its users, not one for each pair. Only with many products a second table is written, bucketed by product. If a user or product can
+have more than WIDE pairs (as many as the other side has rows), its table is bucketed by (key, salt), the salt
+a hash of the other id: a product with half of all pairs lies in SALTS buckets, and a factor row is copied once for each. The
+per-key sums shuffle partial vectors only. Each solve is written as a table in the checkpoint folder and read back
 (cuts plan and lineage); its tasks also emit their partial Gram rows, which an observation of the write sums up, so
 a half step is one job.
 
@@ -48,6 +50,7 @@ from dataclasses import asdict, dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.errors import AnalysisException
@@ -69,22 +72,35 @@ def nnls_rows(G: np.ndarray, B: np.ndarray, sweeps: int = 1000, tol: float = 1e-
         return B.copy()
     k = G.shape[0]
     ridge = 1e-10 * max(float(np.trace(G)) / k, 1.0)     # only for the start: G may be singular
-    W = np.maximum(np.linalg.solve(G + ridge * np.eye(k), B.T).T, 0.0)
+    columns = np.ascontiguousarray(B.T)                  # a coordinate of all rows lies together
+    W = np.maximum(np.linalg.solve(G + ridge * np.eye(k), columns), 0.0)
     diag = np.diag(G)
-    W[:, diag <= 0.0] = 0.0          # a factor unused by every row: its coordinate stays 0
-    open_rows = np.arange(len(W))
+    W[diag <= 0.0] = 0.0             # a factor unused by every row: its coordinate stays 0
+    open_rows, X, C_ = np.arange(W.shape[1]), W.copy(), columns
     for _ in range(sweeps):
-        X, C_ = W[open_rows], B[open_rows]
-        moved = np.zeros(len(X))
+        moved = np.zeros(X.shape[1])
         for j in np.flatnonzero(diag > 0.0):
-            new = np.maximum(0.0, X[:, j] - (X @ G[:, j] - C_[:, j]) / diag[j])
-            moved = np.maximum(moved, np.abs(new - X[:, j]))
-            X[:, j] = new
-        W[open_rows] = X
-        open_rows = open_rows[moved > tol * np.maximum(1.0, X.max(axis=1))]
-        if not len(open_rows):
+            new = np.maximum(0.0, X[j] - (G[j] @ X - C_[j]) / diag[j])
+            moved = np.maximum(moved, np.abs(new - X[j]))
+            X[j] = new
+        W[:, open_rows] = X
+        still = moved > tol * np.maximum(1.0, X.max(axis=0))
+        if not still.any():
             break
-    return W
+        if not still.all():
+            open_rows, X, C_ = open_rows[still], X[:, still], C_[:, still]
+    return np.ascontiguousarray(W.T)
+
+
+def _matrix(vectors: pa.Array, k: int) -> np.ndarray:
+    """A column of vectors, nulls left out, as rows of a matrix."""
+    return vectors.flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
+
+
+def _vectors(rows: np.ndarray) -> pa.Array:
+    """The rows of a matrix as a column of vectors."""
+    ends = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(rows.ravel(), pa.float64()))
 
 
 def _solve_side(sums: DataFrame, key: str, gram: np.ndarray, reg: float, prev: DataFrame | None = None,
@@ -100,23 +116,24 @@ def _solve_side(sums: DataFrame, key: str, gram: np.ndarray, reg: float, prev: D
 
     def solve(batches):
         acc = np.zeros(2 * k * k + 1)
-        for pdf in batches:
-            B = np.array(pdf["b"].tolist(), dtype=np.float64).reshape(len(pdf), k)
+        for batch in batches:
+            B = _matrix(batch.column("b"), k)
             W = nnls_rows(G, B)
             hat = W
-            if beta and "p" in pdf.columns:
-                has = pdf["p"].notna().to_numpy()
+            if beta and "p" in batch.schema.names:
+                has = batch.column("p").is_valid().to_numpy(zero_copy_only=False)
                 if has.any():
-                    P = np.array([p if h else np.zeros(k) for p, h in zip(pdf["p"], has)], dtype=np.float64)
                     hat = W.copy()
-                    hat[has] = np.maximum(0.0, W[has] + beta * (W[has] - P[has]))
+                    hat[has] = np.maximum(0.0, W[has] + beta * (W[has] - _matrix(batch.column("p"), k)))
             acc[:k * k] += (hat.T @ hat).ravel()
             acc[k * k:2 * k * k] += (W.T @ W).ravel()
             acc[-1] += float(np.einsum("ij,ij->", W, B))
-            yield pd.DataFrame({key: pdf[key].values, "factors": list(W), "hat": list(hat)})
-        yield pd.DataFrame({key: pd.array([None], dtype="Int64"), "factors": [acc], "hat": [None]})
+            yield pa.RecordBatch.from_arrays([batch.column(key).cast(pa.int64()), _vectors(W), _vectors(hat)], names)
+        sums_row = [pa.nulls(1, pa.int64()), _vectors(acc[None, :]), pa.nulls(1, pa.list_(pa.float64()))]
+        yield pa.RecordBatch.from_arrays(sums_row, names)
 
-    return sums.mapInPandas(solve, f"{key} long, factors array<double>, hat array<double>")
+    names = [key, "factors", "hat"]
+    return sums.mapInArrow(solve, f"{key} long, factors array<double>, hat array<double>")
 
 
 def _store(spark: SparkSession, solved: DataFrame, key: str, path: str, k: int):
@@ -181,9 +198,14 @@ def _with_seed(rows: DataFrame, dead: list[int], scale: float, seed: int) -> Dat
     return rows.select("user_id", pick.alias("factors"))
 
 
-#: Parts of a user's or product's pairs; and the most buckets of a table, below Spark's own limit.
+#: Parts of a user's or product's pairs, where it may have more than WIDE of them.
 SALTS = 16
+WIDE = 100_000
+
+#: The most buckets of a table, below Spark's own limit; and the pairs that a bucket holds (of some 10 bytes) before and after
+#: every core has one.
 MOST_BUCKETS = 50_000
+FEW_PAIRS, BUCKET_PAIRS = 10_000, 250_000
 
 
 #: Factor rows (of some 170 bytes with 20 factors) up to which a side is sent whole to every task.
@@ -193,9 +215,12 @@ SMALL_SIDE = 20_000
 def _weighted_sums(triplets: DataFrame, factors: DataFrame, join_key: str, group_key: str, k: int,
                    rows: int | None = None) -> DataFrame:
     """Per ``group_key``: sum over its triplets of score * factor vector of the ``join_key`` side. ``rows`` is
-    the number of factor rows, if known: a small side is broadcast, a larger one copied to each salt."""
+    the number of factor rows, if known: a small side is broadcast, a larger one copied to each salt of the triplets, if
+    they have one."""
     if rows is not None and rows <= SMALL_SIDE:
         j = triplets.join(F.broadcast(factors.select(join_key, "factors")), join_key)
+    elif "salt" not in triplets.columns:  # hashed, so neither the triplets (small as files) are broadcast nor sorted
+        j = triplets.join(factors.select(join_key, "factors").hint("shuffle_hash"), join_key)
     else:
         copies = factors.select(join_key, "factors", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
         j = triplets.join(copies, [join_key, "salt"])
@@ -207,12 +232,12 @@ def gram(factors: DataFrame, k: int) -> np.ndarray:
     """F'F (k x k): per-partition partial sums, then one vector sum across partitions."""
     def partial(batches):
         acc = np.zeros(k * k)
-        for pdf in batches:
-            M = np.array(pdf["factors"].tolist(), dtype=np.float64).reshape(len(pdf), k)
+        for batch in batches:
+            M = _matrix(batch.column("factors"), k)
             acc += (M.T @ M).ravel()
-        yield pd.DataFrame({"g": [acc.tolist()]})
+        yield pa.RecordBatch.from_arrays([_vectors(acc[None, :])], ["g"])
 
-    part = factors.select("factors").mapInPandas(partial, "g array<double>")
+    part = factors.select("factors").mapInArrow(partial, "g array<double>")
     total = part.agg(vector_to_array(Summarizer.sum(array_to_vector(F.col("g")))).alias("g")).first()["g"]
     return np.array(total, dtype=np.float64).reshape(k, k)
 
@@ -319,19 +344,35 @@ class NMFModel:
     objective: float = float("nan")                   # the full objective at the returned factors
 
 
-def _bucketed(spark: SparkSession, df: DataFrame, key: str, other: str, buckets: int, base: str) -> DataFrame:
-    """Write ``df`` once as a table bucketed by (key, salt) in the checkpoint folder and read it back.
-    Later joins on both columns move only the factor side."""
+def _buckets(spark: SparkSession, pairs: int) -> int:
+    """Buckets of a table of so many pairs: full waves of tasks, fewer for a small table."""
+    cores = spark.sparkContext.defaultParallelism
+    waves = pairs // (BUCKET_PAIRS * cores) + 1
+    return min(MOST_BUCKETS, waves * cores, pairs // FEW_PAIRS + 1)
+
+
+def _bucketed(spark: SparkSession, df: DataFrame, key: str, other: str, buckets: int, base: str, salts: int = SALTS) -> DataFrame:
+    """Write ``df`` once as a table bucketed by (key, salt) in the checkpoint folder and read it back; by the key alone with
+    one salt. Later joins on these columns move only the factor side."""
     name = f"{base.rsplit('/', 1)[-1]}_by_{key}"
+    by = [key] if salts == 1 else [key, "salt"]
+    if salts > 1:
+        df = df.withColumn("salt", F.pmod(F.xxhash64(other), F.lit(salts)).cast("int"))
     # Repartitioning by the bucket columns first makes each write task hold exactly one bucket, so the
     # table has one file per bucket instead of one per (task, bucket).
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    (df.withColumn("salt", F.pmod(F.xxhash64(other), F.lit(SALTS)).cast("int"))
-     .repartition(buckets, key, "salt").write.mode("overwrite").bucketBy(buckets, key, "salt").sortBy(key, "salt")
+    (df.repartition(buckets, *by).write.mode("overwrite").bucketBy(buckets, *by).sortBy(*by)
      .option("path", f"{base}/by_{key}").saveAsTable(name))
     return spark.table(name)
 
 
+def _written(df: DataFrame, path: str, **figures) -> dict:
+    """Write ``df``; returns aggregates of its rows that the write computes."""
+    seen = Observation()
+    df.observe(seen, *(c.alias(n) for n, c in figures.items())).write.mode("overwrite").parquet(path)
+    return seen.get
+
+
 def fit_nmf(spark: SparkSession, entries: DataFrame, k: int = C.NUM_FACTORS, max_iter: int = C.MAX_ITERATIONS,
             alpha_w: float = C.ALPHA_W, alpha_h: float = C.ALPHA_H, seed: int = C.RANDOM_SEED,
             tol: float = 1e-4, scale_alphas: bool = True, extrapolate: bool = True, patience: int = 2,
@@ -354,18 +395,15 @@ def fit_nmf(spark: SparkSession, entries: DataFrame, k: int = C.NUM_FACTORS, max
     has_split = "is_train" in entries.columns
     cells = entries.select("user_id", "product_id", F.col("final_score").alias("score"),
                            *(["is_train"] if has_split else []))
-    cells.write.mode("overwrite").parquet(f"{base}/cells")   # setup reads it several times
-    cells = spark.read.schema(cells.schema).parquet(f"{base}/cells")
-    train = (cells.filter("is_train") if has_split else cells).select("user_id", "product_id", "score")
-    buckets = min(MOST_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    by_user = _bucketed(spark, train, "user_id", "product_id", buckets, base)
-    by_product = _bucketed(spark, train, "product_id", "user_id", buckets, base)
     is_train = F.col("is_train") if has_split else F.lit(True)
-    stats = cells.agg(F.countDistinct("user_id").alias("nu"), F.countDistinct("product_id").alias("ni"),
-                      F.sum(F.when(is_train, F.col("score"))).alias("s"),
-                      F.sum(F.when(is_train, F.col("score") * F.col("score"))).alias("s2")).first()
-    n_users, n_items = int(stats["nu"]), int(stats["ni"])
-    sum_r, sum_r2 = float(stats["s"] or 0.0), float(stats["s2"] or 0.0)
+    value = F.when(is_train, F.col("score").cast("double"))
+    stats = _written(cells, f"{base}/cells", pairs=F.count_if(is_train), s=F.coalesce(F.sum(value), F.lit(0.0)),
+                     s2=F.coalesce(F.sum(value * value), F.lit(0.0)))
+    cells = spark.read.schema(cells.schema).parquet(f"{base}/cells")   # setup reads it several times
+    # Every user and product of the matrix gets a factor row; ids kept as tables.
+    ids = {name: cells.select(key).distinct() for name, key in (("users", "user_id"), ("items", "product_id"))}
+    n_users, n_items = (int(_written(df, f"{base}/{name}", n=F.count(df.columns[0]))["n"]) for name, df in ids.items())
+    sum_r, sum_r2 = float(stats["s"]), float(stats["s2"])
     if n_users == 0 or n_items == 0:
         return NMFModel(spark.createDataFrame([], "user_id long, factors array<double>"),
                         spark.createDataFrame([], "product_id long, factors array<double>"), k, 0, [], 0.0, 0.0)
@@ -373,11 +411,19 @@ def fit_nmf(spark: SparkSession, entries: DataFrame, k: int = C.NUM_FACTORS, max
     lh = alpha_h * (n_users if scale_alphas else 1.0)
     scale = float(np.sqrt(max(sum_r, 1e-12) / max(n_users * n_items, 1) / k))
 
-    # Every user and product of the matrix gets a factor row; ids kept as tables, then the cells go.
-    cells.select("user_id").distinct().write.mode("overwrite").parquet(f"{base}/users")
-    cells.select("product_id").distinct().write.mode("overwrite").parquet(f"{base}/items")
+    users, items = (spark.read.schema(df.schema).parquet(f"{base}/{name}") for name, df in ids.items())
+
+    # Sums for a side run over the table of its own key if the other side is small and broadcast, else over that of the other's.
+    train = (cells.filter("is_train") if has_split else cells).select("user_id", "product_id", "score")
+    buckets = _buckets(spark, int(stats["pairs"]))
+    by_user = by_product = None
+    if n_items <= SMALL_SIDE or n_users > SMALL_SIDE or start == "svd":
+        by_user = _bucketed(spark, train, "user_id", "product_id", buckets, base, SALTS if n_items > WIDE else 1)
+    if n_items > SMALL_SIDE or start == "svd":
+        by_product = _bucketed(spark, train, "product_id", "user_id", buckets, base, SALTS if n_users > WIDE else 1)
+    for_users = by_user if n_items <= SMALL_SIDE else by_product
+    for_items = by_product if n_users <= SMALL_SIDE < n_items else by_user
     drop(spark, f"{base}/cells")
-    users, items = spark.read.parquet(f"{base}/users"), spark.read.parquet(f"{base}/items")
 
     zeros = F.array_repeat(F.lit(0.0), k)
     p = _Progress.last(spark, base, setup) if run is not None else None
@@ -405,12 +451,12 @@ def fit_nmf(spark: SparkSession, entries: DataFrame, k: int = C.NUM_FACTORS, max
         if p.done:
             break
         # H step: per product, b = sum_u r_up w_u; solve with W'W + lh I; extrapolate from the last H.
-        sums_h = _weighted_sums(by_user, W_use, "user_id", "product_id", k, n_users)
+        sums_h = _weighted_sums(for_items, W_use, "user_id", "product_id", k, n_users)
         H_rows, GH_hat, GHn, _ = _store(spark, _solve_side(sums_h, "product_id", G_use, lh, H_prev, p.beta),
                                         "product_id", f"{base}/h{it}", k)
         H_hat = H_rows.select("product_id", F.col("hat").alias("factors"))
         # W step: per user, b = sum_p r_up h_p (extrapolated H); solve with H H' + lw I.
-        sums_w = _weighted_sums(by_product, H_hat, "product_id", "user_id", k, n_items)
+        sums_w = _weighted_sums(for_users, H_hat, "product_id", "user_id", k, n_items)
         W_rows, GW_hat, GWn, wb = _store(spark, _solve_side(sums_w, "user_id", GH_hat, lw, W_prev, p.beta),
                                          "user_id", f"{base}/w{it}", k)
         loss = (0.5 * (sum_r2 - 2.0 * wb + float(np.sum(GWn * GH_hat)))
@@ -446,7 +492,7 @@ def fit_nmf(spark: SparkSession, entries: DataFrame, k: int = C.NUM_FACTORS, max
     W_fit = W_rows.select("user_id", "factors")
     H_fit = H_rows.select("product_id", "factors")
     # Objective at the returned (plain) factors: one more weighted sum with H.
-    wb = float(_weighted_sums(by_product, H_fit, "product_id", "user_id", k, n_items).join(W_fit, "user_id")
+    wb = float(_weighted_sums(for_users, H_fit, "product_id", "user_id", k, n_items).join(W_fit, "user_id")
                .agg(F.sum(dot(F.col("b"), F.col("factors")))).first()[0] or 0.0)
     for key in ("user_id", "product_id"):
         spark.sql(f"DROP TABLE IF EXISTS {base.rsplit('/', 1)[-1]}_by_{key}")

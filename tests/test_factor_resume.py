@@ -90,3 +90,46 @@ def test_numbers_are_dense_and_implicit_als_runs(spark):
     _, uf, itf = factor.fit_als(df, k=2, max_iter=2, implicit=True)
     assert uf.count() == df.filter("is_train").select("user_id").distinct().count() and itf.count() > 0
     assert all(x >= 0 for r in uf.collect() for x in r["factors"])
+
+
+def test_a_small_side_is_summed_over_the_other_sides_table(spark, monkeypatch):
+    """Many users, few products: one table, bucketed by user alone; no factor row is copied, and the sums of a user are shuffled
+    once for each of its tasks at most, not once for each pair or file."""
+    df = cells(spark, n=300, m=11)
+    args = dict(k=3, max_iter=4, tol=0.0)
+    monkeypatch.setattr(factor, "WIDE", 0)          # both sides joined, in salted tables
+    monkeypatch.setattr(factor, "SMALL_SIDE", 0)
+    wide = factor.fit_nmf(spark, df, **args)
+    monkeypatch.setattr(factor, "WIDE", 100_000)    # both sides joined, without salts
+    joined = factor.fit_nmf(spark, df, **args)
+    tables, plans, bucketed, store = [], [], factor._bucketed, factor._store
+
+    def seen_table(spark, rows, key, other, buckets, base, salts=factor.SALTS):
+        tables.append((key, salts))
+        return bucketed(spark, rows, key, other, buckets, base, salts)
+
+    def seen_plan(spark, solved, *rest):
+        plans.append(solved._jdf.queryExecution().optimizedPlan().toString())
+        return store(spark, solved, *rest)
+    monkeypatch.setattr(factor, "_bucketed", seen_table)
+    monkeypatch.setattr(factor, "_store", seen_plan)
+    monkeypatch.setattr(factor, "SMALL_SIDE", 50)
+    few = factor.fit_nmf(spark, df, **args)
+    assert tables == [("user_id", 1)] and plans and not any("Generate" in p or "explode" in p for p in plans)
+    turned = df.select(F.col("product_id").alias("user_id"), F.col("user_id").alias("product_id"), "final_score", "is_train")
+    tables.clear()
+    factor.fit_nmf(spark, turned, **args)            # few users, many products
+    assert tables == [("product_id", 1)]
+    for other in (wide, joined):
+        assert np.allclose(few.losses, other.losses, rtol=1e-9)
+        for a, b in zip(factors(few), factors(other)):
+            assert a.keys() == b.keys() and all(np.allclose(a[i], b[i], rtol=1e-7, atol=1e-9) for i in a)
+
+
+def test_buckets_grow_with_the_pairs(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert factor._buckets(spark, 0) == 1 and factor._buckets(spark, 10 ** 6) <= 10 ** 6 // factor.FEW_PAIRS + 1
+    for pairs in (10 ** 7, 10 ** 8, 10 ** 9):
+        n = factor._buckets(spark, pairs)
+        assert n % cores == 0 and pairs / n <= factor.BUCKET_PAIRS and n <= pairs / factor.BUCKET_PAIRS + cores
+    assert factor._buckets(spark, 10 ** 13) == factor.MOST_BUCKETS
